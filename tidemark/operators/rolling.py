@@ -8,7 +8,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import PandasUDFType, pandas_udf
+from pyspark.sql.types import DoubleType
 
 from tidemark.core import KEY, by_time, clip, in_order, ratio
 
@@ -87,6 +88,14 @@ def ffill_quotes(df: DataFrame) -> DataFrame:
     return out.withColumn("mid", (F.col("best_bid") + F.col("best_ask")) / 2)
 
 
+def of_arrays(fn, missing: float | None):
+    """A vectorised UDF of an array column: ``fn`` of each array, ``missing`` for null."""
+    def run(series: pd.Series) -> pd.Series:
+        return pd.Series([missing if s is None else fn(np.asarray(s, float)) for s in series], dtype="float64")
+
+    return pandas_udf(run, DoubleType(), PandasUDFType.SCALAR)
+
+
 def hurst_of(r: np.ndarray) -> float:
     """Rescaled-range exponent of one series of returns."""
     n, lags = len(r), [4, 8, 16, min(32, len(r) // 2)]
@@ -105,16 +114,11 @@ def hurst_of(r: np.ndarray) -> float:
     return float(np.clip(np.polyfit(xs, ys, 1)[0], 0, 1)) if len(xs) >= 2 else 0.5
 
 
-@pandas_udf("double")
-def _hurst(series: pd.Series) -> pd.Series:
-    return pd.Series([None if s is None else hurst_of(np.asarray(s, float)) for s in series], dtype="float64")
-
-
 def hurst(df: DataFrame, n: int) -> DataFrame:
     """Rolling Hurst exponent of ``n`` log returns of ``mid``; null until the frame is full."""
     r = df.withColumn("r", F.coalesce(F.log(F.col("mid") / F.lag("mid").over(by_time())), F.lit(0.0)))
     r = r.withColumn("rs", F.when(F.row_number().over(by_time()) > n, F.collect_list("r").over(last_n(n))))
-    return r.withColumn(f"hurst_{n}", _hurst("rs")).drop("r", "rs")
+    return r.withColumn(f"hurst_{n}", of_arrays(hurst_of, None)("rs")).drop("r", "rs")
 
 
 def ou_halflife(df: DataFrame, n: int = 60, col: str = "mid") -> DataFrame:
@@ -211,16 +215,11 @@ def adf_of(x: np.ndarray) -> float:
     return adf_p(coef[0] / math.sqrt(var)) if var > 0 else 1.0
 
 
-@pandas_udf("double")
-def _adf(series: pd.Series) -> pd.Series:
-    return pd.Series([1.0 if s is None else adf_of(np.asarray(s, float)) for s in series], dtype="float64")
-
-
 def adf_pvalue(pair: DataFrame, n: int = 60, by: tuple[str, ...] = ("exchange",)) -> DataFrame:
     """P-value over the previous ``n`` spreads; 1.0 until there are as many."""
     w = Window.partitionBy(*by).orderBy("ts")
     p = pair.withColumn("before", F.when(F.row_number().over(w) > n, F.collect_list("spread").over(w.rowsBetween(-n, -1))))
-    return p.withColumn(f"adf_pvalue_{n}", _adf("before")).drop("before")
+    return p.withColumn(f"adf_pvalue_{n}", of_arrays(adf_of, 1.0)("before")).drop("before")
 
 
 def spread_labels(pair: DataFrame, horizon: int = 10, p_max: float = 0.1, z_min: float = 1.5, by: tuple[str, ...] = ("exchange",)) -> DataFrame:

@@ -1,6 +1,7 @@
 """Registered queries: each has a column list that shapes both the Spark result and its SQL.
 
-A column is ``name:kind``: s text, i whole number, d number to six places, e to three, b boolean, t time, D date.
+A column is ``name:kind``: s text, i whole number, d number to six places, e to four, b boolean, t time, D date.
+Before rounding a number is nudged up by less than a tenth of its last place, so that both engines round a tie alike.
 """
 
 from __future__ import annotations
@@ -58,10 +59,10 @@ SQL = {
         from levels l left join ticks e on l.to_seq = e.seq) l join (select unnest(generate_series(timestamp '2024-01-01', timestamp '2024-02-05', interval '4 hours')) as ts) g
         on g.ts >= l.valid_from and (g.ts < l.valid_to or (l.valid_to is null and g.ts <= l.last))""",
     "fills": """select l_shipdate as ts, 'o' || l_orderkey || '-' || l_linenumber as order_id, o_orderpriority as strategy, case when l_suppkey % 2 = 0 then 'kucoin' else 'bybit' end as exchange, 'P' || (l_partkey % 20) as symbol,
-        case when l_linenumber % 2 = 1 then 'buy' else 'sell' end as side, case l_returnflag when 'R' then 'rejected' when 'A' then 'placed' else 'filled' end as status, round(l_extendedprice / l_quantity, 2) as price, l_quantity as size,
-        case when l_linenumber % 3 = 0 then round(l_extendedprice / l_quantity * (1 - l_discount / 10), 2) end as limit_price, l_linestatus = 'O' as paper,
+        case when l_linenumber % 2 = 1 then 'buy' else 'sell' end as side, case l_returnflag when 'R' then 'rejected' when 'A' then 'placed' else 'filled' end as status, l_extendedprice / l_quantity as price, l_quantity as size,
+        case when l_linenumber % 3 = 0 then l_extendedprice / l_quantity * (1 - l_discount / 10) end as limit_price, l_linestatus = 'O' as paper,
         struct_pack(a := l_orderkey, b := l_linenumber, c := l_partkey, d := l_suppkey, e := l_quantity, f := l_extendedprice) as seq from lineitem join orders on l_orderkey = o_orderkey""",
-    "ledger": """select *, case when side = 'sell' then round((price - 1500) * size / 100, 2) else 0 end as realized_pnl, row_number() over (partition by strategy, exchange, symbol order by ts, seq) as nth from fills""",
+    "ledger": """select *, case when side = 'sell' then (price - 1500) * size / 100 else 0 end as realized_pnl, row_number() over (partition by strategy, exchange, symbol order by ts, seq) as nth from fills""",
     "fees": """select *, price * size * case exchange when 'kucoin' then 0.001 else case when limit_price is not null then -0.0001 else 0.0006 end end as fee from fills""",
     "paired": """select strategy, exchange, symbol, entry.ts as entry_ts, ts as exit_ts, entry.price as entry_price, price as exit_price, least(size, entry.size) as size, (price - entry.price) * least(size, entry.size) as gross_pnl,
         (price - entry.price) * least(size, entry.size) - fee - entry.fee as net_pnl, seq from (select *, lag(side) over w as side0, last_value(case when side = 'buy' then {'ts': ts, 'price': price, 'size': size, 'fee': fee} end ignore nulls) over (w rows between unbounded preceding and 1 preceding) as entry
@@ -92,12 +93,12 @@ def shaped(df: DataFrame, spec: str) -> DataFrame:
     out = []
     for name, kind in _columns(spec):
         c = F.col(name)
-        out.append({"s": lambda c=c: c.cast("string"), "i": lambda c=c: c.cast("bigint"), "d": lambda c=c: F.round(c.cast("double"), 6) + 0.0, "e": lambda c=c: F.round(c.cast("double"), 3) + 0.0, "b": lambda c=c: c.cast("boolean"), "t": lambda c=c: c.cast("timestamp_ntz"), "D": lambda c=c: c.cast("date")}[kind]().alias(name))
+        out.append({"s": lambda c=c: c.cast("string"), "i": lambda c=c: c.cast("bigint"), "d": lambda c=c: F.round(c.cast("double") + 3e-8, 6), "e": lambda c=c: F.round(c.cast("double") + 3e-6, 4), "b": lambda c=c: c.cast("boolean"), "t": lambda c=c: c.cast("timestamp_ntz"), "D": lambda c=c: c.cast("date")}[kind]().alias(name))
     return df.select(*out)
 
 
 def oracle(spec: str, sql: str) -> str:
-    kinds = {"s": "{}::varchar", "i": "{}::bigint", "d": "round({}::double, 6) + 0.0", "e": "round({}::double, 3) + 0.0", "b": "{}::boolean", "t": "{}::timestamp", "D": "{}::date"}
+    kinds = {"s": "{}::varchar", "i": "{}::bigint", "d": "round({}::double + 3e-8, 6)", "e": "round({}::double + 3e-6, 4)", "b": "{}::boolean", "t": "{}::timestamp", "D": "{}::date"}
     columns = ", ".join(f'{kinds[k].format(chr(34) + n + chr(34))} as "{n}"' for n, k in _columns(spec))
     names = _needed(sql)
     ctes = ",\n".join([*(f"{n} as ({SQL[n]})" for n in names), f"answer as ({sql})"])
@@ -140,7 +141,7 @@ class Data:
 
     @cached_property
     def ledger(self) -> DataFrame:
-        f = self.fills.withColumn("realized_pnl", F.when(F.col("side") == "sell", F.round((F.col("price") - 1500) * F.col("size") / 100, 2)).otherwise(0.0))
+        f = self.fills.withColumn("realized_pnl", F.when(F.col("side") == "sell", (F.col("price") - 1500) * F.col("size") / 100).otherwise(0.0))
         return f.withColumn("nth", F.row_number().over(ledger.book_order()))
 
     @cached_property

@@ -66,9 +66,9 @@ def fills(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("P"), (F.col("l_partkey") % 20).cast("string")).alias("symbol"),
         F.when(buy, "buy").otherwise("sell").alias("side"),
         F.when(F.col("l_returnflag") == "R", "rejected").when(F.col("l_returnflag") == "A", "placed").otherwise("filled").alias("status"),
-        F.round(F.col("l_extendedprice") / F.col("l_quantity"), 2).alias("price"),
+        (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
         F.col("l_quantity").alias("size"),
-        F.when(F.col("l_linenumber") % 3 == 0, F.round(F.col("l_extendedprice") / F.col("l_quantity") * (1 - F.col("l_discount") / 10), 2)).alias("limit_price"),
+        F.when(F.col("l_linenumber") % 3 == 0, F.col("l_extendedprice") / F.col("l_quantity") * (1 - F.col("l_discount") / 10)).alias("limit_price"),
         F.when(F.col("l_linestatus") == "O", F.lit(True)).otherwise(F.lit(False)).alias("paper"),
         F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice").alias("seq"),
     )
