@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.plans import bar_queries, more_queries  # noqa: F401
+from tidemark.plans import bar_queries, more_queries, source_queries  # noqa: F401
 from tidemark.plans.registry import ORACLES, QUERIES
 
 

@@ -14,8 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ticks_of(table(spark, sf_dir, "events"))
+
+
+def ticks_of(events: DataFrame) -> DataFrame:
     """Unified stream rows: msg_type tick, gap or snapshot; event_type trade, update or snapshot."""
-    e = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("long"))
+    e = events.withColumn("k", F.get_json_object("props", "$.k").cast("long"))
     error = F.col("event_type") == "error"
     gap, snap = error & (F.col("event_id") % 10 == 0), error & (F.col("event_id") % 10 == 5)
     trade = F.col("event_type").isin("purchase", "click", "view")

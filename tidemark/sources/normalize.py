@@ -65,7 +65,12 @@ def normalize_kucoin_book(raw: DataFrame) -> DataFrame:
     """[price, size, sequence] tuples, sequence a number or a text; only the first level of a message carries its start."""
     shape = "topic string, data struct<sequenceStart:long, sequenceEnd:long, time:long, changes:struct<bids:array<array<string>>, asks:array<array<string>>>>"
     r = raw.where("exchange = 'kucoin'").withColumn("m", F.from_json("body", shape))
-    bids, asks = [F.transform(F.coalesce(F.col("m.data.changes")[name], F.array().cast("array<array<string>>")), lambda x, side=side: F.struct(F.lit(side).alias("side"), x.alias("x"))) for name, side in (("bids", "buy"), ("asks", "sell"))]
+
+    def levels(name: str, side: str) -> Column:
+        own = F.coalesce(F.col("m.data.changes")[name], F.array().cast("array<array<string>>"))
+        return F.transform(own, lambda x: F.struct(F.lit(side).alias("side"), x.alias("x")))
+
+    bids, asks = levels("bids", "buy"), levels("asks", "sell")
     t = r.select("exchange", "m", F.posexplode(F.concat(bids, asks)).alias("nth", "l"))
     return _shaped(t.select(
         "exchange", canonical_symbol(F.col("exchange"), F.substring_index("m.topic", ":", -1)).alias("symbol"), F.expr("try_cast(l.x[2] as bigint)").alias("seq"), F.when(F.col("nth") == 0, F.col("m.data.sequenceStart")).alias("msg_seq_start"), F.col("m.data.sequenceEnd").alias("msg_seq_end"),
@@ -78,7 +83,7 @@ def normalize_kucoin_trades(raw: DataFrame) -> DataFrame:
     shape = "topic string, data struct<sequence:string, price:string, size:string, side:string, time:string, symbol:string, tradeId:string>"
     r = raw.where("exchange = 'kucoin'").withColumn("m", F.from_json("body", shape))
     d = "m.data."
-    return _shaped(r.select("exchange", canonical_symbol(F.col("exchange"), F.col(d + "symbol")).alias("symbol"), F.expr("try_cast(m.data.sequence as bigint)").alias("seq"), F.timestamp_micros(F.floor(F.expr("try_cast(m.data.time as bigint)") / 1000)).alias("ts"), F.lit("tick").alias("msg_type"), F.lit("trade").alias("event_type"), side_of(F.col(d + "side")).alias("side"), F.col(d + "price").alias("price_str"), F.col(d + "size").alias("size_str")))
+    return _shaped(r.select("exchange", canonical_symbol(F.col("exchange"), F.col(d + "symbol")).alias("symbol"), F.expr("try_cast(m.data.sequence as bigint)").alias("seq"), F.timestamp_micros(F.expr("try_cast(m.data.time as bigint) div 1000")).alias("ts"), F.lit("tick").alias("msg_type"), F.lit("trade").alias("event_type"), side_of(F.col(d + "side")).alias("side"), F.col(d + "price").alias("price_str"), F.col(d + "size").alias("size_str")))
 
 
 def decode_messages(raw: DataFrame) -> DataFrame:
@@ -89,7 +94,7 @@ def decode_messages(raw: DataFrame) -> DataFrame:
     known = F.col("type").isin("tick", "gap", "snapshot")
     return raw.select(
         "exchange", "symbol", F.when(known, F.col("type")).alias("msg_type"), (~F.coalesce(known, F.lit(False))).alias("unknown"), F.when(F.col("type") == "tick", F.when(whole("level") == 0, "trade").otherwise("update")).when(F.col("type") == "snapshot", "snapshot").alias("event_type"),
-        whole("seq").alias("seq"), F.timestamp_micros(F.floor(whole("ts_ns") / 1000)).alias("ts"), side_of(F.col("side")).alias("side"), F.col("price").alias("price_str"), F.col("size").alias("size_str"),
+        whole("seq").alias("seq"), F.timestamp_micros(F.expr("coalesce(try_cast(ts_ns as bigint), 0) div 1000")).alias("ts"), side_of(F.col("side")).alias("side"), F.col("price").alias("price_str"), F.col("size").alias("size_str"),
     )
 
 
