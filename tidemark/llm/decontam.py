@@ -2,8 +2,8 @@
 
 Test items become windows of ten consecutive words. One pass over the corpus counts the test terms; the corpus frequencies
 choose each window's rarest terms as its anchors (a window with a term that the corpus lacks cannot occur). A second
-pass stores the postings (term, document, position) of all anchor terms: this is the index, a table bucketed by term and
-document. A window's occurrences are the documents and offset-adjusted positions that all of its anchors' lists share; the
+pass stores the postings (term, document, position) of all anchor terms: this is the stored
+index. A window's occurrences are the documents and offset-adjusted positions that all of its anchors' lists share; the
 remaining words are then compared exactly in the documents that are left.
 """
 
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import NO_ID, Words, sliced, written
 
 WINDOW = 10
-ANCHORS = 3
+ANCHORS = 2
 #: Test terms are sent to every task as 8-byte hashes; a benchmark with more distinct words than this is refused.
 MOST_TERMS = 4_000_000
 
@@ -106,18 +106,29 @@ def windows_of(items: DataFrame, width: int = WINDOW) -> DataFrame:
 
 
 def anchors_of(windows: DataFrame, frequency: DataFrame, anchors: int = ANCHORS) -> DataFrame:
-    """(window, term, offset, n_anchors): each window's rarest terms by corpus frequency; none for a window with an absent term."""
+    """(window, term, offset, rank): each window's rarest terms by corpus frequency, rarest first; none for a window with an absent term."""
     spread = windows.select("window", F.size("terms").alias("width"), F.posexplode("terms").alias("offset", "term"))
     known = spread.join(frequency, "term")
     whole = known.groupBy("window").agg(F.count(F.lit(1)).alias("seen"), F.first("width").alias("width")).where("seen = width").select("window")
     rank = F.row_number().over(Window.partitionBy("window").orderBy("n", "offset"))
-    return known.join(whole, "window", "left_semi").withColumn("rank", rank).where(F.col("rank") <= anchors).select("window", "term", "offset", F.least("width", F.lit(anchors)).alias("n_anchors"))
+    return known.join(whole, "window", "left_semi").withColumn("rank", rank).where(F.col("rank") <= anchors).select("window", "term", "offset", "rank")
 
 
-def offsets_intersected(postings: DataFrame, anchors: DataFrame) -> DataFrame:
-    """(key, window, start): where the offset-adjusted lists of all anchors of a window meet."""
-    meet = postings.join(anchors, "term").where("pos >= offset").select("key", "window", (F.col("pos") - F.col("offset")).alias("start"), "n_anchors", "offset")
-    return meet.distinct().groupBy("key", "window", "start").agg(F.count(F.lit(1)).alias("met"), F.max("n_anchors").alias("need")).where("met = need").drop("met", "need")
+def offsets_intersected(postings: DataFrame, anchors: DataFrame, most: int = ANCHORS) -> DataFrame:
+    """(key, window, start): where the offset-adjusted lists of all anchors of a window meet.
+
+    The list of the rarest term gives the places; each further anchor's list only confirms them (a semi-join on term, document and position), so
+    nothing grows beyond the rarest lists.
+    """
+    def of_rank(k: int) -> DataFrame:
+        return anchors.where(F.col("rank") == k).select("window", "term", "offset")
+
+    places = postings.join(of_rank(1), "term").where("pos >= offset").select("key", "window", (F.col("pos") - F.col("offset")).alias("start")).distinct()
+    for k in range(2, most + 1):
+        asked = places.join(of_rank(k), "window", "left").withColumn("pos", F.col("start") + F.col("offset"))
+        met = asked.where("term is not null").join(postings, ["term", "key", "pos"], "left_semi")
+        places = met.select("key", "window", "start").unionByName(asked.where("term is null").select("key", "window", "start"))
+    return places
 
 
 def proximity_matches(postings: DataFrame, terms: DataFrame, slop: int) -> DataFrame:
@@ -159,7 +170,7 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW, anchor
     found = None
     if len(terms):
         postings = build_index(docs, terms)
-        places = offsets_intersected(postings, chosen)
+        places = offsets_intersected(postings, chosen, anchors)
         found = written(places.join(windows, "window").groupBy("key").agg(F.collect_list(F.struct("start", "terms", F.array_compact("items").alias("items"))).alias("found")))
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"))
     if found is None:
