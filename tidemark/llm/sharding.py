@@ -3,8 +3,8 @@
 Documents with equal texts are linked through their text's digest (the hub), so no pairs exist. A document's first
 shard and its bundle come from a hash of its doc_id; a bundle is the documents of one hub that move together, at
 most ``BUNDLES`` for a hub however large. In each round a bundle wants the shard that holds most of its hub. Wishes from
-shard a to shard b are summed by cell (gain class and hash), and cells are granted, largest gain first, up to the wishes
-from b to a plus b's free room: swaps keep the sizes. What moves is joined back, and the next round starts.
+shard a to shard b are summed by b and cell (gain class and hash), and cells are granted, largest gain first, up to what
+wishes to leave b plus b's free room: moves keep the sizes. What moves is joined back, and the next round starts.
 
 The law ``rows`` is then exact: all rows are ranked by (label, linked in the middle, hub) and the ranking is cut into equal
 shards, at most one row apart. Cuts fall on unlinked rows unless a hub is larger than what a shard has left. Ranks come
@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import join_hot, written
 
 BUNDLES = 64
-#: Cells of a wish (a, b): gain classes times hash classes. Their table has at most shards^2 * 32 * 16 rows.
-HASHES = 16
+#: Cells of a destination: gain classes times hash classes. Their table has at most shards * 64 * HASHES rows.
+HASHES = 64
 
 
 def propagate(bundles: DataFrame, shards: int, rounds: int, room: float) -> DataFrame:
@@ -34,12 +34,11 @@ def propagate(bundles: DataFrame, shards: int, rounds: int, room: float) -> Data
         gain = F.greatest(F.col("there") - F.col("here") + F.col("n"), F.lit(0))
         cell = F.struct((-F.floor(F.log2(1.0 + gain))).cast("int").alias("g"), F.pmod(F.xxhash64("hub", "bundle", F.lit(k)), F.lit(HASHES)).cast("int").alias("h"))
         wishes = written(wishes.withColumn("cell", cell).select("hub", "bundle", "n", F.col("label").alias("a"), F.col("want").alias("b"), "cell.g", "cell.h"))
-        asked = wishes.groupBy("a", "b", "g", "h").agg(F.sum("n").alias("n"))
-        flow = asked.groupBy("a", "b").agg(F.sum("n").alias("all_n"))
-        back = flow.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("all_n").alias("back_n"))
-        sums = Window.partitionBy("a", "b").orderBy("g", "h")  # over the cells, which are few
-        granted = asked.withColumn("so_far", F.sum("n").over(sums)).join(back, ["a", "b"], "left").where(F.col("so_far") <= F.coalesce("back_n", F.lit(0)) + F.lit(room / shards)).select("a", "b", "g", "h")
-        moves = wishes.join(granted, ["a", "b", "g", "h"], "left_semi").select("hub", "bundle", F.col("b").alias("moved"))
+        asked = wishes.groupBy("b", "g", "h").agg(F.sum("n").alias("n"))
+        leaving = wishes.groupBy(F.col("a").alias("b")).agg(F.sum("n").alias("leaving"))
+        sums = Window.partitionBy("b").orderBy("g", "h")  # over a shard's cells, which are few
+        granted = asked.withColumn("so_far", F.sum("n").over(sums)).join(leaving, "b", "left").where(F.col("so_far") <= F.coalesce("leaving", F.lit(0)) + F.lit(room)).select("b", "g", "h")
+        moves = wishes.join(granted, ["b", "g", "h"], "left_semi").select("hub", "bundle", F.col("b").alias("moved"))
         bundles = written(bundles.join(moves, ["hub", "bundle"], "left").select("hub", "bundle", "n", F.coalesce("moved", "label").alias("label")))
     return bundles
 
