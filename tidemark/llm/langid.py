@@ -195,9 +195,8 @@ def identify(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without those whose text is ``und``."""
     model = fit(docs.where(~held_out(F.col("doc_id"))))
-    columns = [c for c in docs.columns if c != "text"]
-    rows = docs.withColumn("text_kept", F.col("text"))
-    return predict(rows, model, [*columns, "text_kept"]).where("lang_pred <> 'und'").withColumnRenamed("text_kept", "text").select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    return predict(rows, model, ["row"]).where("lang_pred <> 'und'").select("row.*")
 
 
 def op5_language_mixture(spark, sf_dir: str) -> DataFrame:
