@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from tidemark.core import KEY, bucket, by_time, in_order, ratio, seconds, with_bar
 
 BAR = [*KEY, "bar"]
-FIRST = F.struct("ts", "seq")
+
+
+def stream_order() -> Column:
+    return F.struct("ts", "seq")
 
 
 def per_bar(df: DataFrame, *aggs: Column) -> DataFrame:
@@ -24,7 +27,7 @@ def in_bar():
 def ohlcv(trades: DataFrame, tf: str) -> DataFrame:
     """F01."""
     return per_bar(
-        with_bar(trades, tf), F.min_by("price", FIRST).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", FIRST).alias("close"),
+        with_bar(trades, tf), F.min_by("price", stream_order()).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", stream_order()).alias("close"),
         F.sum("size").alias("volume"), F.sum(F.col("price") * F.col("size")).alias("quote_volume"), F.count(F.lit(1)).alias("trade_count"),
     )
 
@@ -35,13 +38,13 @@ def twap(trades: DataFrame, tf: str) -> DataFrame:
     end = F.unix_micros("bar") + seconds(tf) * 1_000_000
     held = (F.coalesce(F.unix_micros(F.lead("ts").over(in_bar())), end) - F.unix_micros("ts")) / 1e6
     t = t.withColumn("held", held)
-    return per_bar(t, F.coalesce(ratio(F.sum(F.col("price") * F.col("held")), F.sum("held")), F.max_by("price", FIRST)).alias("twap"))
+    return per_bar(t, F.coalesce(ratio(F.sum(F.col("price") * F.col("held")), F.sum("held")), F.max_by("price", stream_order())).alias("twap"))
 
 
 def mid_path(quotes: DataFrame, tf: str) -> DataFrame:
     """F03, over ticks with both quotes."""
     q = with_bar(quotes.where("mid is not null"), tf)
-    return per_bar(q, F.min_by("mid", FIRST).alias("mid_price_open"), F.max("mid").alias("mid_price_high"), F.min("mid").alias("mid_price_low"))
+    return per_bar(q, F.min_by("mid", stream_order()).alias("mid_price_open"), F.max("mid").alias("mid_price_high"), F.min("mid").alias("mid_price_low"))
 
 
 def spread_stats(quotes: DataFrame, tf: str) -> DataFrame:
@@ -65,7 +68,7 @@ def open_close_quotes(quotes: DataFrame, tf: str) -> DataFrame:
     """the quote carried into the bar inside the accumulator epoch (the bar's first if none) and the bar's last."""
     q = quotes.where("mid is not null").withColumn("before", F.lag(F.struct("bid", "ask")).over(in_order("acc_epoch")))
     q = with_bar(q, tf).withColumn("opening", F.coalesce("before", F.struct("bid", "ask")))
-    out = per_bar(q, F.min_by("opening", FIRST).alias("o"), F.max_by(F.struct("bid", "ask"), FIRST).alias("c"))
+    out = per_bar(q, F.min_by("opening", stream_order()).alias("o"), F.max_by(F.struct("bid", "ask"), stream_order()).alias("c"))
     return out.select(*KEY, "ts", F.col("o.bid").alias("best_bid_open"), F.col("o.ask").alias("best_ask_open"), F.col("c.bid").alias("best_bid"), F.col("c.ask").alias("best_ask"))
 
 
