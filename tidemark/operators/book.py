@@ -70,12 +70,14 @@ def update_kind(ticks: DataFrame) -> DataFrame:
 
 
 def _replay(rows: pd.DataFrame) -> pd.DataFrame:
-    """Best quotes after every row of one epoch's day, with two heaps whose stale tops are dropped lazily."""
+    """Best quotes after every row of one key's day, with two heaps whose stale tops are dropped lazily; a new epoch starts empty."""
     rows = rows.sort_values(["ts", "seq", "seed"], ascending=[True, True, False], kind="stable")
     books: tuple[dict, dict] = ({}, {})
     heaps: tuple[list, list] = ([], [])
-    out = []
-    for seed, kind, side, price, size in zip(rows["seed"], rows["event_type"], rows["side"], rows["price"], rows["size"], strict=True):
+    out, now = [], None
+    for epoch, seed, kind, side, price, size in zip(*[rows[c].tolist() for c in ("epoch", "seed", "event_type", "side", "price", "size")], strict=True):
+        if epoch != now:
+            now, books, heaps = epoch, ({}, {}), ([], [])
         if kind == "update" and price == price and side in ("buy", "sell"):
             k, sign = (0, -1) if side == "buy" else (1, 1)
             if size > 0:
@@ -93,31 +95,30 @@ def _replay(rows: pd.DataFrame) -> pd.DataFrame:
             best.append(sign * heaps[k][0] if heaps[k] else None)
         both = best[0] is not None and best[1] is not None
         out.append((best[0], books[0][best[0]], best[1], books[1][best[1]]) if both else (None,) * 4)
-    keep = rows[~rows["seed"]][[*KEY, "epoch", "ts", "seq", "msg_type", "event_type"]].reset_index(drop=True)
+    keep = rows[~rows["seed"]][[*KEY, "epoch", "acc_epoch", "ts", "seq", "msg_type", "event_type"]].reset_index(drop=True)
     return pd.concat([keep, pd.DataFrame(out, columns=["bid", "bid_size", "ask", "ask_size"], dtype="float64")], axis=1)
 
 
-QUOTES = "exchange string, symbol string, epoch long, ts timestamp, seq long, msg_type string, event_type string, bid double, bid_size double, ask double, ask_size double"
+QUOTES = "exchange string, symbol string, epoch long, acc_epoch long, ts timestamp, seq long, msg_type string, event_type string, bid double, bid_size double, ask double, ask_size double"
 
 
 def best_quotes(ticks: DataFrame) -> DataFrame:
     """Best bid and ask after every tick; null if either side is empty. Adds mid, acc_epoch and book_epoch.
 
-    The unit of work is a day of one epoch of one key; each day starts with the levels that are alive at its midnight (from ``level_intervals``), so long epochs are no single task.
+    The unit of work is a key's day; it starts with the levels that are alive at its midnight (from ``level_intervals``), so days run in parallel and no
+    task holds more than one.
     """
-    t = with_epoch(ticks).withColumn("day", F.to_date("ts"))
+    snaps = F.sum((F.col("msg_type") == "snapshot").cast("int")).over(in_order())
+    t = with_epoch(ticks).withColumn("acc_epoch", snaps).withColumn("day", F.to_date("ts"))
     alive = level_intervals(ticks).where("valid_to is null or to_date(valid_to) > to_date(valid_from)")
     last_day = t.groupBy(*KEY, "epoch").agg(F.max("day").alias("last_day"))
     alive = alive.join(last_day, [*KEY, "epoch"])
     until = F.least(F.coalesce(F.to_date("valid_to"), "last_day"), "last_day")
     days = F.when(until > F.to_date("valid_from"), F.sequence(F.date_add(F.to_date("valid_from"), 1), until))
-    seeds = alive.select(*KEY, "epoch", F.explode(days).alias("day"), "side", "price", "size").select("*", F.col("day").cast("timestamp").alias("ts"), F.lit(-1).cast("long").alias("seq"), F.lit("tick").alias("msg_type"), F.lit("update").alias("event_type"), F.lit(True).alias("seed"))
-    rows = t.select(*KEY, "epoch", "day", "ts", "seq", "msg_type", "event_type", "side", "price", "size", F.lit(False).alias("seed")).unionByName(seeds)
-    q = rows.groupBy(*KEY, "epoch", "day").applyInPandas(_replay, QUOTES)
-    snaps = t.where("msg_type = 'snapshot'").groupBy(*KEY, "epoch").agg(F.lit(1).alias("snap"))
-    acc = t.select(*KEY, "epoch").distinct().join(snaps, [*KEY, "epoch"], "left")
-    acc = acc.select(*KEY, "epoch", F.sum(F.coalesce("snap", F.lit(0))).over(Window.partitionBy(*KEY).orderBy("epoch")).alias("acc_epoch"))
-    return q.join(acc, [*KEY, "epoch"]).withColumn("mid", (F.col("bid") + F.col("ask")) / 2).withColumnRenamed("epoch", "book_epoch")
+    seeds = alive.select(*KEY, "epoch", F.explode(days).alias("day"), "side", "price", "size").select("*", F.col("day").cast("timestamp").alias("ts"), F.lit(-1).cast("long").alias("seq"), F.lit("tick").alias("msg_type"), F.lit("update").alias("event_type"), F.lit(0).cast("long").alias("acc_epoch"), F.lit(True).alias("seed"))
+    rows = t.select(*KEY, "epoch", "day", "acc_epoch", "ts", "seq", "msg_type", "event_type", "side", "price", "size", F.lit(False).alias("seed")).unionByName(seeds)
+    q = rows.groupBy(*KEY, "day").applyInPandas(_replay, QUOTES)
+    return q.withColumn("mid", (F.col("bid") + F.col("ask")) / 2).withColumnRenamed("epoch", "book_epoch")
 
 
 def with_prev_quote(quotes: DataFrame) -> DataFrame:

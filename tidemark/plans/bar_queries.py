@@ -170,4 +170,4 @@ def _day_merge(d):
 
 register("f45_merge_footprints", K + "price_str:s b:d s:d", _day_merge, "select exchange, symbol, date_trunc('day', ts) as ts, price_str, sum(b) as b, sum(s) as s from fp group by all")
 register("f46_merge_single_prints", K + "n:i levels:s", lambda d: footprint.merge_single_prints(footprint.auction_signals(d.fp, d.bars4), "1w").select("*", F.from_json("single_print_levels_json", "array<double>").alias("l")).select("exchange", "symbol", "ts", F.size("l").alias("n"), F.array_join(F.transform("l", lambda x: x.cast("long").cast("string")), ",").alias("levels")), "select exchange, symbol, ts, count(p) as n, coalesce(string_agg(p::bigint::varchar, ',' order by p), '') as levels from (select distinct exchange, symbol, time_bucket(interval '7 days', ts) as ts, case when b + s < 0.1 * m and price > lo and price < hi then price end as p from (select *, avg(b + s) over w as m, min(price) over w as lo, max(price) over w as hi from fp window w as (partition by exchange, symbol, ts))) group by all")
-register("build_bars_4h", K + "open:d close:d volume:d twap:d spread_mean:d ofi_l1:d realized_vol:d trade_sign_autocorr:d vwmp:d gap_count:i bar_seq:i ob_modify_count:i", lambda d: B.build_bars(d.ticks, d.quotes, d.kinds, d.trades, "4h"))
+register("build_bars_4h", K + "open:d close:d volume:d twap:d spread_mean:d ofi_l1:d realized_vol:d trade_sign_autocorr:d vwmp:d gap_count:i bar_seq:i ob_modify_count:i", lambda d: B.build_bars(d.ticks, d.stored_quotes, d.kinds, d.trades, "4h"))

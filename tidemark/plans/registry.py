@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import bars as B
 from tidemark.operators import book, footprint, ledger
-from tidemark.sources import adapter
+from tidemark.sources import adapter, io
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -160,6 +160,13 @@ class Data:
     def quotes(self) -> DataFrame:
         return book.best_quotes(self.ticks)
 
+    @cached_property
+    def stored_quotes(self) -> DataFrame:
+        """The quotes written once, for queries that read them several times."""
+        path = io.scratch(self.spark, "quotes")
+        self.quotes.write.parquet(path)
+        return self.spark.read.parquet(path)
+
     @cached_property
     def kinds(self) -> DataFrame:
         return book.update_kind(self.ticks)
@@ -183,6 +190,6 @@ class Data:
     def feat(self) -> DataFrame:
         """bars1 with closing quotes, mean spread and order flow."""
         at = [*B.KEY, "ts"]
-        q = B.open_close_quotes(self.quotes, "1h").select(*at, "best_bid", "best_ask")
-        out = self.bars1.join(q, at, "left").join(B.spread_stats(self.quotes, "1h").select(*at, "spread_mean"), at, "left")
-        return out.join(B.ofi_l1(self.quotes, "1h"), at, "left")
+        q = B.open_close_quotes(self.stored_quotes, "1h").select(*at, "best_bid", "best_ask")
+        out = self.bars1.join(q, at, "left").join(B.spread_stats(self.stored_quotes, "1h").select(*at, "spread_mean"), at, "left")
+        return out.join(B.ofi_l1(self.stored_quotes, "1h"), at, "left")
