@@ -1,9 +1,13 @@
 """Token counts without token ids: pieces are counted once per distinct pre-token and joined to documents' pre-token frequencies.
 
 1. Each task counts its documents' pre-tokens; sums by pre-token give the corpus's vocabulary.
-2. The tokenizer's model splits each distinct pre-token once.
-3. Documents join their frequencies with the piece counts. The ``HEAD`` most frequent pre-tokens' counts (a fixed number of rows) are sent to
-   the tasks and summed there; all other frequencies meet the vocabulary in a shuffle join, so the vocabulary may be of any size.
+2. The tokenizer splits each distinct pre-token once.
+3. Documents join their frequencies with the piece counts. The most frequent pre-tokens (``HEAD`` rows at most) are sent to the tasks and
+   summed there; all other frequencies meet the vocabulary in a shuffle join, so the vocabulary may be of any size.
+
+Where a tokenizer drops white space, no piece reaches over a space, so the pre-token that is counted is a run of other characters (with A-Z
+lower-cased if the tokenizer does so); its pieces are the sum over what the tokenizer's own pre-tokenizer makes of it. Other tokenizers' pre-tokens
+are taken from their pre-tokenizer directly.
 """
 
 from __future__ import annotations
@@ -21,6 +25,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import sliced, table, written
 
 HEAD = 300_000
+#: White space that every library takes for such; other kinds stay inside a pre-token.
+BREAK = re.compile("[ \n\t\r]+")
 FLUSH = 400_000
 TOKENIZER = "word_bpe_49k.json"
 
@@ -31,6 +37,10 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+#: Texts that show whether a tokenizer splits at white space and lower-cases.
+PROBES = ["a b", "It's 12 o'clock!! x_y", "é\u0301 ñ ß—d", "日本 x\ty\nz", "THE'VE don't ###'s 'll"]
+
+
 class PreTokenizer:
     """Pre-tokens of a text by the tokenizer file's own normalizer and pre-tokenizer; special tokens in the text count by themselves."""
 
@@ -42,20 +52,35 @@ class PreTokenizer:
         self.normalizer, self.splitter, self.model = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer, self.tokenizer.model
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(re.escape(s) for s in sorted(special, key=len, reverse=True))) if special else None
+        self.marks = tuple({s[:2] for s in special})
+        self.by_space = all(self.fine(t) == [p for w in BREAK.split(t) for p in self.fine(w)] for t in PROBES)
+        self.lowers = self.by_space and self.fine("ABC Xyz") == self.fine("abc xyz")
+
+    def fine(self, text: str) -> list[str]:
+        normal = self.normalizer.normalize_str(text) if self.normalizer else text
+        return [p for p, _ in self.splitter.pre_tokenize_str(normal)]
 
     def split(self, text: str) -> tuple[list[str], int]:
+        """Pre-tokens, and the number of special tokens."""
         parts, n = [text], 0
-        if self.special is not None and "<|" in text:
+        if self.special is not None and any(m in text for m in self.marks):
             parts = self.special.split(text)
             n = len(parts) - 1
         out: list[str] = []
         for part in parts:
-            if part:
-                normal = self.normalizer.normalize_str(part) if self.normalizer else part
-                out += [p for p, _ in self.splitter.pre_tokenize_str(normal)]
+            if not part:
+                continue
+            if not self.by_space:
+                out += self.fine(part)
+                continue
+            if self.lowers:
+                part = part.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")  # A-Z only
+            out += part.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         return out, n
 
     def pieces(self, pre_token: str) -> int:
+        if self.by_space:
+            return sum(len(self.model.tokenize(p)) for p in self.fine(pre_token)) if pre_token else 0
         return len(self.model.tokenize(pre_token))
 
 
@@ -97,12 +122,12 @@ def document_rows(path: str, head):
             for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 found, covered = pre.split(text) if text else ([], 0)
                 rest: dict[str, int] = {}
-                for p in found:
+                for p, times in Counter(found).items():
                     n = known.get(p)
                     if n is None:
-                        rest[p] = rest.get(p, 0) + 1
+                        rest[p] = times
                     else:
-                        covered += n
+                        covered += n * times
                 uid += 1
                 names += [f"\x00{uid}", *rest]
                 counts += [covered, *rest.values()]
@@ -114,6 +139,18 @@ def document_rows(path: str, head):
     return run
 
 
+def frequent(vocabulary: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` rows: the largest frequencies down to the bound of an eighth of a power of two."""
+    level = F.floor(F.log2("n") * 8)
+    least, seen = None, 0
+    for r in vocabulary.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():  # some hundred levels
+        seen += r["count"]
+        if seen > most:
+            break
+        least = r["level"]
+    return vocabulary.where(level >= least) if least is not None else vocabulary.limit(0)
+
+
 def token_counts(docs: DataFrame, path: str | None = None, limit: int = 2048, head: int = HEAD) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_tokens, over_limit (more than ``limit``).
 
@@ -124,7 +161,7 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = 2048, he
     spark = docs.sparkSession
     counts = docs.select("text").mapInArrow(vocabulary_rows(path), "pre_token string, n long").groupBy("pre_token").agg(F.sum("n").alias("n"))
     vocabulary = written(counts.mapInArrow(piece_rows(path), "pre_token string, n long, pieces int"))
-    top = vocabulary.orderBy(F.desc("n"), "pre_token").limit(head).select("pre_token", "pieces").toPandas()
+    top = frequent(vocabulary, head).select("pre_token", "pieces").toPandas()
     known = spark.sparkContext.broadcast(dict(zip(top["pre_token"].tolist(), top["pieces"].tolist(), strict=True)))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(document_rows(path, known), "uid long, doc_id long, n_bytes long, pre_token string, n long")
     joined = rows.join(vocabulary.select("pre_token", "pieces"), "pre_token", "left")
