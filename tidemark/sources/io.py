@@ -15,12 +15,17 @@ PARTITION = [*KEY, "date"]
 RETENTION = {"1s": 30, "1m": 365, "15m": 1825}
 
 
+_OWN_ROOTS: dict[str, str] = {}
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share (a temporary one where none is set)."""
+    """A new path in the folder that all executors share (``spark.checkpoint.dir``; a temporary one of this application where none is set)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        if app not in _OWN_ROOTS:
+            _OWN_ROOTS[app] = tempfile.mkdtemp(prefix="spark-")
+        root = _OWN_ROOTS[app]
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
