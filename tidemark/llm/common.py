@@ -28,13 +28,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_OWN_ROOTS: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; a temporary one where it names none, as in tests."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        root = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``; a temporary one of this application where it names none, as in tests."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root
+    app = spark.sparkContext.applicationId
+    if app not in _OWN_ROOTS:
+        _OWN_ROOTS[app] = tempfile.mkdtemp(prefix="spark-")
+    return _OWN_ROOTS[app]
 
 
 def written(df: DataFrame) -> DataFrame:
