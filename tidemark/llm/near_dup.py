@@ -9,11 +9,13 @@ similarity. Points come in order of time and a process ends as soon as it is lat
 
 Slots are banded; what shares a band is compared exactly (sum of minima over sum of maxima of the counts):
 
-1. each member with the bucket's smallest member (no pairs inside a bucket),
-2. members that are not in that one's component with the other components' members of the bucket, unless
-   sizes or the triangle inequality of the Jaccard distance already exclude a similarity at the threshold.
+1. in one round (or more), each member with one pivot of the bucket that is in another component: first the node that shares most
+   bands with others (the middle of a family), then changing ones; components grow between the rounds,
+2. members outside a bucket's largest component with the other components' members, unless sizes or the triangle inequality of
+   the Jaccard distances to the pivots already exclude a similarity at the threshold, or the whole signatures do (four bits of each
+   slot; more differ than four standard deviations allow at the threshold).
 
-Step 2 is the exact way for what step 1 leaves, so nothing is capped. Equal word sequences are one node from
+Step 2 handles what step 1 leaves, so nothing is capped. Equal word sequences are one node from
 the start. Texts without a word are similar to nothing. Components of verified links are the classes.
 """
 
@@ -40,11 +42,23 @@ class NearDupConfig:
     threshold: float = 0.8
     bands: int = 24
     rows: int = 5
+    rounds: int = 1
 
     @property
     def slots(self) -> int:
         return self.bands * self.rows
 
+    @property
+    def sketch(self) -> int:
+        """Words of 64 bits that hold four bits of each slot."""
+        return -(-self.slots // 16)
+
+    @property
+    def most_unequal(self) -> int:
+        """Slots whose four bits differ, at the threshold: the mean and four standard deviations, so that a pair there is lost with probability 3e-5."""
+        p = (1 - self.threshold) * 15 / 16
+        return int(self.slots * p + 4 * (self.slots * p * (1 - p)) ** 0.5)
+
 
 def counted(words: Words, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (row, shingle) and their counts."""
@@ -117,7 +131,11 @@ def signature_rows(config: NearDupConfig):
                 band = mix(band * G1 + sig[:, :, k] + salt[None, :])
             flat = pa.array(band.reshape(-1).view(np.int64))
             bands = pa.ListArray.from_arrays(pa.array(np.arange(words.rows + 1) * config.bands, pa.int32()), flat)
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(row_digest(words)), pa.array(total), bands], ["key", "node", "size", "bands"])
+            short = np.zeros((words.rows, 16 * config.sketch), np.uint64)
+            short[:, : config.slots] = sig.reshape(words.rows, -1) & np.uint64(15)  # the low bits do not enter the time
+            short = np.bitwise_or.reduce(short.reshape(words.rows, config.sketch, 16) << (4 * np.arange(16, dtype=np.uint64)), axis=2)
+            sketch = pa.ListArray.from_arrays(pa.array(np.arange(words.rows + 1) * config.sketch, pa.int32()), pa.array(short.reshape(-1).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(row_digest(words)), pa.array(total), bands, sketch], ["key", "node", "size", "bands", "sketch"])
 
     return run
 
@@ -174,6 +192,17 @@ def components(links: DataFrame, most: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def unequal_slots(config: NearDupConfig):
+    """Slots whose four bits differ between the columns sketch and sketch_u."""
+    out = F.lit(0)
+    for k in range(config.sketch):
+        z = F.get("sketch", F.lit(k)).bitwiseXOR(F.get("sketch_u", F.lit(k)))
+        for step in (1, 2):
+            z = z.bitwiseOR(F.shiftrightunsigned(z, step))
+        out = out + F.bit_count(z.bitwiseAND(F.lit(0x1111111111111111)))
+    return out
+
+
 def near_dup_classes(docs: DataFrame, config: NearDupConfig = NearDupConfig()) -> DataFrame:
     """One row per row of ``docs``: doc_id, node, class_id (smallest doc_id of the class), class_size, n_links, kept.
 
@@ -181,36 +210,51 @@ def near_dup_classes(docs: DataFrame, config: NearDupConfig = NearDupConfig()) -
     text to other texts. A text without words (null, empty, punctuation) is its own class and is kept; a null
     doc_id takes part and has a null class_id only if its whole class has none. A repeated row is repeated.
     """
-    signed = written(with_key(docs).select("key", "text").mapInArrow(signature_rows(config), "key long, node string, size long, bands array<bigint>"))
-    nodes = written(signed.where("size > 0").groupBy("node").agg(F.min("key").alias("rep"), F.min("size").alias("size"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands")))
+    signed = written(with_key(docs).select("key", "text").mapInArrow(signature_rows(config), "key long, node string, size long, bands array<bigint>, sketch array<bigint>"))
+    nodes = written(signed.where("size > 0").groupBy("node").agg(F.min("key").alias("rep"), F.min("size").alias("size"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
     members = written(nodes.select("node", "size", F.explode("bands").alias("band")))
-    buckets = members.groupBy("band").agg(F.count(F.lit(1)).alias("held"), F.min(F.struct("node", "size")).alias("pivot")).where("held > 1")
-    buckets = written(buckets.select("band", "held", F.col("pivot.node").alias("pivot"), F.col("pivot.size").alias("pivot_size")))
     total = members.count()
-    spokes = written(join_hot(members, buckets, ["band"], "held", total))
-    fits = F.least("size", "pivot_size") >= config.threshold * F.greatest("size", "pivot_size")
-    first = written(spokes.where((F.col("node") != F.col("pivot")) & fits).select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct())
-    star = verified(first, docs, nodes, config)
-    links = star.where(F.col("similarity") >= config.threshold)
-    label = components(links)
-
-    # What shares a bucket with another component: distances to the pivot are known, or sizes rule the pivot out.
-    known = star.select(F.col("u").alias("node"), F.col("v").alias("pivot"), (1 - F.col("similarity")).alias("away"))
-    placed = spokes.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = placed.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("band")
-    placed = placed.join(mixed, "band", "left_semi").join(known, ["node", "pivot"], "left")
-    placed = written(placed.withColumn("away", F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.col("away"))).select("band", "node", "size", "component", "away", "pivot"))
-    home = placed.where("node = pivot").select("band", F.col("component").alias("home"))
-    rest = placed.join(home, "band").where("component <> home and node <> pivot").select("band", F.col("node").alias("u"), F.col("size").alias("size_u"), F.col("component").alias("component_u"), F.col("away").alias("away_u"))
+    held = written(members.groupBy("band").agg(F.count(F.lit(1)).alias("held")).where("held > 1"))
+    members = written(join_hot(members, held, ["band"], "held", total))
+    # The node that shares most bands with others is near the middle of its family: it is compared first.
+    rank = members.groupBy("node").agg(F.sum("held").alias("central"))
+    placed = members.join(rank, "node").withColumn("component", F.col("node"))
+    links = label = None
+    for k in range(config.rounds):
+        placed = written(placed)
+        order = F.struct("central", "node") if k == 0 else F.struct(F.xxhash64("node", F.lit(k)).alias("central"), "node")
+        pivots = placed.groupBy("band").agg(F.max(F.struct(order.alias("o"), "size", "component")).alias("p"), F.min("component").alias("a"), F.max("component").alias("b"), F.max("held").alias("held")).where("a <> b")
+        pivots = written(pivots.select("band", "held", F.col("p.o.node").alias("pivot"), F.col("p.size").alias("pivot_size"), F.col("p.component").alias("pivot_component")))
+        near = join_hot(placed.drop("held"), pivots, ["band"], "held", total)
+        fits = F.least("size", "pivot_size") >= config.threshold * F.greatest("size", "pivot_size")
+        asked = near.where((F.col("component") != F.col("pivot_component")) & fits).select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
+        star = verified(written(asked), docs, nodes, config)
+        found = star.where(F.col("similarity") >= config.threshold)
+        links = found if links is None else links.unionByName(found)
+        label = components(links)
+        away = near.join(star.select(F.col("u").alias("node"), F.col("v").alias("pivot"), (1 - F.col("similarity")).alias("away")), ["node", "pivot"], "left")
+        away = away.select("band", "node", F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.col("away")).alias(f"away{k}"))
+        placed = placed.drop("component").join(label, "node", "left").withColumn("component", F.coalesce("component", "node")).join(away, ["band", "node"], "left")
+    placed = written(placed)
+
+    # What still shares a bucket with another component: all such pairs, unless sizes or the distances to the pivots exclude them.
+    most = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("band").agg(F.max(F.struct("n", "component")).alias("m"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("band", F.col("m.component").alias("home"))
+    mixed = written(placed.join(most, "band").join(nodes.select("node", "sketch"), "node"))
     slack = 1 - config.threshold + 1e-9
-    near = (F.col("component") != F.col("component_u")) & (F.col("node") != F.col("pivot")) & (F.least("size", "size_u") >= config.threshold * F.greatest("size", "size_u")) & F.coalesce(F.abs(F.col("away") - F.col("away_u")) <= slack, F.lit(True))
-    second = written(placed.join(rest, "band").where(near).select(F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v")).distinct())
+    apart = [f"away{k}" for k in range(config.rounds)]
+    rest = mixed.where("component <> home").select("band", F.col("node").alias("u"), F.col("size").alias("size_u"), F.col("component").alias("component_u"), F.col("sketch").alias("sketch_u"), *[F.col(c).alias(f"{c}_u") for c in apart])
+    near = (F.col("component") != F.col("component_u")) & (F.least("size", "size_u") >= config.threshold * F.greatest("size", "size_u"))
+    for c in apart:
+        near = near & F.coalesce((F.abs(F.col(c) - F.col(f"{c}_u")) <= slack) & (F.col(c) > 0) & (F.col(f"{c}_u") > 0), F.lit(True))
+    near = near & (unequal_slots(config) <= config.most_unequal)
+    second = written(mixed.select("band", "node", "size", "component", "sketch", *apart).join(rest, "band").where(near).select(F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v")).distinct())
     if second.limit(1).count():
         more = verified(second, docs, nodes, config).where(F.col("similarity") >= config.threshold)
         links = links.unionByName(more)
         if more.limit(1).count():
             label = components(links)
 
+    links = links.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     degree = links.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     whole = nodes.join(label, "node", "left").withColumn("component", F.coalesce("component", "node")).join(degree, "node", "left")
     size = whole.groupBy("component").agg(F.sum("n").alias("class_size"), F.min("rep").alias("first"))
