@@ -12,8 +12,9 @@ Slots are banded; what shares a band is compared exactly (sum of minima over sum
 1. in one round (or more), each member with one pivot of the bucket that is in another component: first the node that shares most
    bands with others (the middle of a family), then changing ones; components grow between the rounds,
 2. members outside a bucket's largest component with the other components' members, unless sizes or the triangle inequality of
-   the Jaccard distances to the pivots already exclude a similarity at the threshold, or the whole signatures do (four bits of each
-   slot; more differ than four standard deviations allow at the threshold).
+   the Jaccard distances to the pivots already exclude a similarity at the threshold, or an odd sketch of the multisets does: each
+   element flips one bit, so two sketches differ in no more bits than the multisets do in elements. The bound is exact; the sketch
+   grows with the text, so that it stays sharp.
 
 Step 2 handles what step 1 leaves, so nothing is capped. Equal word sequences are one node from
 the start. Texts without a word are similar to nothing. Components of verified links are the classes.
@@ -26,11 +27,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import NO_ID, Words, join_hot, mix, row_digest, shingles, sliced, written
 
+SKETCH_BITS = 8192
 G1, G2, G3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -49,15 +51,9 @@ class NearDupConfig:
         return self.bands * self.rows
 
     @property
-    def sketch(self) -> int:
-        """Words of 64 bits that hold four bits of each slot."""
-        return -(-self.slots // 16)
-
-    @property
-    def most_unequal(self) -> int:
-        """Slots whose four bits differ, at the threshold: the mean and four standard deviations, so that a pair there is lost with probability 3e-5."""
-        p = (1 - self.threshold) * 15 / 16
-        return int(self.slots * p + 4 * (self.slots * p * (1 - p)) ** 0.5)
+    def most_apart(self) -> float:
+        """Size of the symmetric difference over the sum of both sizes, at the threshold."""
+        return (1 - self.threshold) / (1 + self.threshold)
 
 
 def counted(words: Words, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -118,6 +114,21 @@ def bag_minhash(value: np.ndarray, row: np.ndarray, count: np.ndarray, rows: int
     return winner.reshape(rows, slots)
 
 
+def odd_sketch(value: np.ndarray, row: np.ndarray, count: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words of 64 bits and their number for each row: bit ``h`` is the parity of the elements (shingle, copy) that hash to it.
+
+    A row has twice as many bits as elements, rounded up to a power of two, from 64 to ``SKETCH_BITS``; the halves of
+    a sketch, combined by exclusive or, are the sketch of half the size.
+    """
+    total = np.bincount(row, count, rows)
+    bits = np.exp2(np.ceil(np.log2(np.clip(2 * total, 64, SKETCH_BITS)))).astype(np.int64)
+    at = np.repeat(np.arange(len(value)), count)
+    copy = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
+    place = mix(value[at] + (copy + 1).astype(np.uint64) * G2) & (bits[row[at]] - 1).astype(np.uint64)
+    odd = np.bincount((np.cumsum(bits) - bits)[row[at]] + place.astype(np.int64), minlength=int(bits.sum())) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64), bits // 64
+
+
 def signature_rows(config: NearDupConfig):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = mix(np.arange(1, config.bands + 1, dtype=np.uint64))
@@ -131,10 +142,8 @@ def signature_rows(config: NearDupConfig):
                 band = mix(band * G1 + sig[:, :, k] + salt[None, :])
             flat = pa.array(band.reshape(-1).view(np.int64))
             bands = pa.ListArray.from_arrays(pa.array(np.arange(words.rows + 1) * config.bands, pa.int32()), flat)
-            short = np.zeros((words.rows, 16 * config.sketch), np.uint64)
-            short[:, : config.slots] = sig.reshape(words.rows, -1) & np.uint64(15)  # the low bits do not enter the time
-            short = np.bitwise_or.reduce(short.reshape(words.rows, config.sketch, 16) << (4 * np.arange(16, dtype=np.uint64)), axis=2)
-            sketch = pa.ListArray.from_arrays(pa.array(np.arange(words.rows + 1) * config.sketch, pa.int32()), pa.array(short.reshape(-1).view(np.int64)))
+            bits, n_bits = odd_sketch(value, row, count, words.rows)
+            sketch = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n_bits)]), pa.int32()), pa.array(bits))
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(row_digest(words)), pa.array(total), bands, sketch], ["key", "node", "size", "bands", "sketch"])
 
     return run
@@ -192,15 +201,16 @@ def components(links: DataFrame, most: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def unequal_slots(config: NearDupConfig):
-    """Slots whose four bits differ between the columns sketch and sketch_u."""
-    out = F.lit(0)
-    for k in range(config.sketch):
-        z = F.get("sketch", F.lit(k)).bitwiseXOR(F.get("sketch_u", F.lit(k)))
-        for step in (1, 2):
-            z = z.bitwiseOR(F.shiftrightunsigned(z, step))
-        out = out + F.bit_count(z.bitwiseAND(F.lit(0x1111111111111111)))
-    return out
+def unequal_bits(a: Column, b: Column) -> Column:
+    """Bits in which two odd sketches differ; the longer is halved first (sizes within the threshold differ by one doubling at most)."""
+    width = F.least(F.size(a), F.size(b))
+
+    def fold(c: Column) -> Column:
+        halves = F.zip_with(F.slice(c, F.lit(1), width), F.slice(c, width + 1, width), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(c) > width, halves).otherwise(c)
+
+    differing = F.zip_with(fold(a), fold(b), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(differing, F.lit(0), lambda total, x: total + x)
 
 
 def near_dup_classes(docs: DataFrame, config: NearDupConfig = NearDupConfig()) -> DataFrame:
@@ -246,7 +256,7 @@ def near_dup_classes(docs: DataFrame, config: NearDupConfig = NearDupConfig()) -
     near = (F.col("component") != F.col("component_u")) & (F.least("size", "size_u") >= config.threshold * F.greatest("size", "size_u"))
     for c in apart:
         near = near & F.coalesce((F.abs(F.col(c) - F.col(f"{c}_u")) <= slack) & (F.col(c) > 0) & (F.col(f"{c}_u") > 0), F.lit(True))
-    near = near & (unequal_slots(config) <= config.most_unequal)
+    near = near & (unequal_bits(F.col("sketch"), F.col("sketch_u")) <= (F.col("size") + F.col("size_u")) * config.most_apart + 1e-6)
     second = written(mixed.select("band", "node", "size", "component", "sketch", *apart).join(rest, "band").where(near).select(F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v")).distinct())
     if second.limit(1).count():
         more = verified(second, docs, nodes, config).where(F.col("similarity") >= config.threshold)
