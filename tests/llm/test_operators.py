@@ -121,6 +121,24 @@ def test_near_duplicates_odd_rows(odd_docs, no_docs):
     assert near_dup_classes(no_docs).count() == 0
 
 
+def test_odd_sketches_bound_the_difference(spark):
+    from tidemark.llm.near_dup import odd_sketch, unequal_bits
+
+    rng, bags = random.Random(7), []
+    for n in (0, 1, 3, 40, 300, 5000):
+        bag = Counter(rng.randrange(1, 2**60) for _ in range(n)) + Counter({5: n // 3})
+        near = bag + Counter(rng.randrange(1, 2**60) for _ in range(n // 8))
+        bags += [bag, near]
+    flat = [(v, i, c) for i, bag in enumerate(bags) for v, c in bag.items()]
+    value, row, count = (np.array(x) for x in zip(*flat, strict=True))
+    words, size = odd_sketch(value.astype(np.uint64), row, count, len(bags))
+    parts = [p.tolist() for p in np.split(words, np.cumsum(size)[:-1])]
+    pairs = spark.createDataFrame([(i, parts[i], parts[i + 1]) for i in range(0, len(bags), 2)], "i int, a array<bigint>, b array<bigint>")
+    for i, bits in pairs.select("i", unequal_bits(F.col("a"), F.col("b"))).collect():
+        apart = ((bags[i] - bags[i + 1]) + (bags[i + 1] - bags[i])).total()
+        assert bits <= apart and (bits > 0) == (apart > 0) and bits >= apart / 2
+
+
 def test_bag_minhash_is_unbiased():
     from tidemark.llm.common import mix
     from tidemark.llm.near_dup import bag_minhash
