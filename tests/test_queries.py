@@ -29,7 +29,7 @@ def plain(df: pd.DataFrame) -> pd.DataFrame:
     for c in df.columns:
         if str(df[c].dtype).startswith("datetime"):
             df[c] = df[c].astype("datetime64[us]").astype(str)
-        df[c] = df[c].map(lambda x: "-" if x is None or x is pd.NaT or x != x else repr(round(float(x), 6) + 0.0) if isinstance(x, (int, float)) or hasattr(x, "dtype") else str(x))
+        df[c] = df[c].map(lambda x: "-" if x is None or x is pd.NaT or x is pd.NA or x != x else repr(round(float(x), 6) + 0.0) if isinstance(x, (int, float)) or hasattr(x, "dtype") else str(x))
     return df.replace({"NaT": "-"}).sort_values(list(df.columns)).reset_index(drop=True)
 
 

@@ -53,7 +53,7 @@ _NT = "(select * from (select *, row_number() over (partition by order_id order
 register("j04_orders_confirmed", "order_id:s status:s", lambda d: joins.orders_confirmed(_placed(d), _open(d)), f"select order_id, status from {_NT} where order_id in (select order_id from fills where size > 30)")
 register("j05_orders_missing", "order_id:s status:s", lambda d: joins.orders_missing(_placed(d), _open(d)), f"select order_id, status from {_NT} where order_id not in (select order_id from fills where size > 30)")
 register("j06_orders_orphaned", "order_id:s alert_type:s detail:s resolved:b", lambda d: joins.orders_orphaned(_open(d), d.fills.where("status = 'filled'")), "select order_id, 'orphan_order' as alert_type, exchange || ' ' || symbol || ' ' || side as detail, false as resolved from fills where size > 30 and order_id not in (select order_id from fills where status = 'filled')")
-register("j07_uncovered_positions", "exchange:s symbol:s", lambda d: joins.uncovered_positions(d.fills, d.fills.where("price > 2090")), "select distinct exchange, symbol from fills where (exchange, symbol) not in (select exchange, symbol from fills where price > 2090)")
+register("j07_uncovered_positions", "exchange:s symbol:s", lambda d: joins.uncovered_positions(d.fills, d.fills.where("price > 103000")), "select distinct exchange, symbol from fills where (exchange, symbol) not in (select exchange, symbol from fills where price > 103000)")
 register("j08_merge_stats", BK + "trades:i total_pnl:e", lambda d: joins.merge_stats(d.ledger.select(*ledger.BOOK).distinct(), ledger.strategy_overview(d.ledger.where("paper and price > 2000")), ledger.BOOK), "select strategy, exchange, symbol, coalesce(n, 0) as trades, coalesce(p, 0) as total_pnl from (select distinct strategy, exchange, symbol from ledger) left join (select strategy, exchange, symbol, count(*) as n, sum(realized_pnl) as p from ledger where paper and price > 2000 and side = 'sell' group by all) using (strategy, exchange, symbol)")
 _REG = f"""(select *, case when valid < 5 then 'RANGING' when med > 0 and coalesce(spread_mean, 0) > 2 * med then 'THIN_BOOK' when vol > 0.002 then 'HIGH_VOL' when (close - c4) / c4 > 0.001 then 'TRENDING_UP' when (close - c4) / c4 < -0.001 then 'TRENDING_DOWN' else 'RANGING' end as regime
   from (select *, count(close) over w as valid, median(coalesce(spread_mean, 0)) over w as med, stddev_pop(r) over ({W} rows between 8 preceding and current row) as vol, lag(close, 4) over ({W}) as c4 from (select *, ln(close / lag(close) over ({W})) as r from feat) window w as ({W} rows between 9 preceding and current row)))"""
@@ -75,7 +75,7 @@ register("q01_latest_bars", K + "close:d", lambda d: queries.latest_bars(d.bars4
 register("q02_bars_since", K + "close:d", lambda d: queries.bars_since(d.bars4, "bybit", "S1", at("2024-01-05"), 100), f"select * from bars4 where {_one} and ts > timestamp '2024-01-05' order by ts limit 100")
 register("q03_last_source_ts", K + "source_ts:t", lambda d: queries.last_source_ts(d.bars4, "1m", "4h"), "select exchange, symbol, ts, ts + interval '239 minutes' as source_ts from bars4")
 register("q04_bars_around", K + "close:d", lambda d: queries.bars_around(d.bars4, "bybit", "S1", at("2024-01-15 10:00:00"), "4h", 10), f"select * from bars4 where {_one} and ts between timestamp '2024-01-15 10:00:00' - interval '40 hours' and timestamp '2024-01-15 10:00:00' + interval '40 hours' order by ts limit 70")
-register("q05_bar_detail", K + "open:d close:d volume:d", lambda d: queries.bar_detail(d.bars1, "bybit", "S1", at("2024-01-15 10:20:00"), "1h"), f"select * from bars1 where {_one} and ts <= timestamp '2024-01-15 10:20:00.5' and ts > timestamp '2024-01-15 09:19:59' order by abs(epoch(ts) - epoch(timestamp '2024-01-15 10:20:00')), ts limit 1")
+register("q05_bar_detail", K + "open:d close:d volume:d", lambda d: queries.bar_detail(d.bars1, "bybit", "S1", at("2024-01-14 12:20:00"), "1h"), f"select * from bars1 where {_one} and ts <= timestamp '2024-01-14 12:20:00.5' and ts > timestamp '2024-01-14 11:19:59' order by abs(epoch(ts) - epoch(timestamp '2024-01-14 12:20:00')), ts limit 1")
 register("q06_available_symbols", "exchange:s symbol:s first_ts:t last_ts:t rows:i", lambda d: queries.available_symbols(d.bars4), "select exchange, symbol, min(ts) as first_ts, max(ts) as last_ts, count(*) as rows from bars4 group by all")
 
 
