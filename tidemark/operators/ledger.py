@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+from functools import reduce
+
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.core import KEY, ratio
@@ -215,40 +219,91 @@ def walk_forward_report(folds: DataFrame, pnl: str, by: list[str]) -> DataFrame:
     return f.withColumn("degradation", F.when(F.col("is_sharpe") == 0, 0.0).otherwise(1 - F.col("oos_sharpe") / F.col("is_sharpe")))
 
 
-def stress_report(trades: DataFrame, windows: DataFrame, capital: float) -> DataFrame:
-    """Trades, result and drawdown in each (name, first_day, last_day), days inclusive; zeros for an empty window. The list of windows is short and configured."""
+def stress_report(trades: DataFrame, windows: DataFrame, capital: float, by: list[str] | None = None) -> DataFrame:
+    """Trades, result and drawdown in each (name, first_day, last_day), days inclusive; zeros for an empty window. Of all trades, or of each group ``by``. The list of windows is short and configured."""
+    by = by or []
     day = F.to_date("exit_ts")
     j = trades.join(F.broadcast(windows), (day >= F.col("first_day")) & (day <= F.col("last_day")))
-    w = Window.partitionBy("name").orderBy("exit_ts", "seq", *BOOK)
+    w = Window.partitionBy(*by, "name").orderBy("exit_ts", "seq", *BOOK)
     j = j.withColumn("equity", capital + F.sum("net_pnl").over(w))
-    j = j.withColumn("dd", (F.greatest(F.lit(capital), F.max("equity").over(w)) - F.col("equity")) / F.greatest(F.lit(capital), F.max("equity").over(w)))
-    s = j.groupBy("name").agg(F.count(F.lit(1)).alias("n_trades"), F.sum("net_pnl").alias("net_pnl"), F.max("dd").alias("max_drawdown"))
-    return windows.select("name").join(s, "name", "left").fillna(0, ["n_trades", "net_pnl", "max_drawdown"])
+    j = j.withColumn("dd", _below_peak(capital, w))
+    s = j.groupBy(*by, "name").agg(F.count(F.lit(1)).alias("n_trades"), F.sum("net_pnl").alias("net_pnl"), F.max("dd").alias("max_drawdown"))
+    every = windows.select("name")
+    if by:
+        every = trades.select(*by).distinct().join(F.broadcast(every))
+    return every.join(s, [*by, "name"], "left").fillna(0, ["n_trades", "net_pnl", "max_drawdown"])
+
+
+def _below_peak(capital: float, w: WindowSpec) -> Column:
+    """Share of the highest equity so far (``capital`` at least) that is lost."""
+    peak = F.greatest(F.lit(capital), F.max("equity").over(w))
+    return (peak - F.col("equity")) / peak
+
+
+#: Trades of a book that one worker of the bootstrap holds.
+BLOCK = 8192
+#: Draws that it holds at a time.
+SLAB = 1_000_000
 
 
-def monte_carlo_p5(pnls: DataFrame, paths: int, seed: int = 7, pnl: str = "net_pnl") -> DataFrame:
-    """Bootstrap of trade results: ``paths`` sums of n draws with replacement, 5th percentile (linear).
+def monte_carlo_p5(pnls: DataFrame, paths: int = 10_000, seed: int = 7, pnl: str = "net_pnl", by: list[str] | None = None, block: int = BLOCK) -> DataFrame:
+    """L18, one row per book: bootstrap of its trade results: ``paths`` sums of n draws with replacement from its n trades, 5th percentile (linear).
 
-    Draws are hashes of (seed, path, draw) that pick a trade's position, joined to the trades by position and summed by path.
+    A book's trades lie in blocks of at most ``block``. How many of a path's n draws fall into a block follows from the seed, so the workers of a
+    book's blocks agree on it without a word; each draws from its own trades, and the partial sums are added by path.
     """
-    spark = pnls.sparkSession
-    numbered = _numbered(pnls.select(F.col(pnl).alias("pnl")))
-    n = numbered.count()
-    if not n:
-        return spark.createDataFrame([(0, 0.0)], "trades long, p5 double")
-    draws = spark.range(paths).select(F.col("id").alias("path"), F.explode(F.sequence(F.lit(1), F.lit(n))).alias("draw"))
-    draws = draws.select("path", F.pmod(F.xxhash64(F.lit(seed), "path", "draw"), F.lit(n)).alias("pos"))
-    totals = draws.groupBy("path", "pos").agg(F.count(F.lit(1)).alias("times")).join(numbered, "pos").groupBy("path").agg(F.sum(F.col("times") * F.col("pnl")).alias("total"))
-    return totals.agg(F.percentile("total", 0.05).alias("p5")).select(F.lit(n).cast("long").alias("trades"), "p5")
-
-
-def _numbered(values: DataFrame) -> DataFrame:
-    """Positions 0, 1, ... by value, from counts of value cells and a row number inside each."""
+    by = by or BOOK
+    numbered = _numbered(pnls.select(*by, F.col(pnl).cast("double").alias("pnl")), by)
+    blocks = numbered.withColumn("block", F.floor(F.col("pos") / block).cast("int"))
+    shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in blocks.select(*by).schema)
+    drawn = blocks.groupBy(*by, "block").applyInPandas(_bootstrap(by, paths, seed, block), f"{shape}, n long, path int, part double")
+    totals = drawn.groupBy(*by, "n", "path").agg(F.sum("part").alias("total"))
+    return totals.groupBy(*by, F.col("n").alias("trades")).agg(F.percentile("total", 0.05).alias("p5"))
+
+
+def _bootstrap(by: list[str], paths: int, seed: int, block: int):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        first = rows.iloc[0]
+        n, nth, book = int(first["n"]), int(first["block"]), zlib.crc32("|".join(str(first[c]) for c in by).encode())
+        values = rows.sort_values("pos")["pnl"].to_numpy()
+        counts = draws_in_block(seed, book, n, nth, block, paths)
+        rng, out, at = np.random.default_rng([seed, book, nth]), np.zeros(paths), 0
+        ends = np.cumsum(counts)
+        while at < paths:
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLAB, "right")))
+            out[at:to] = _sums(values, counts[at:to], rng)
+            at = to
+        return pd.DataFrame({**{c: first[c] for c in by}, "n": n, "path": np.arange(paths, dtype=np.int32), "part": out})
+
+    return run
+
+
+def draws_in_block(seed: int, book: int, n: int, nth: int, block: int, paths: int) -> np.ndarray:
+    """How many of the n draws of each path fall into block ``nth`` of a book: a multinomial count by binomial halving, each half from its own seed, so that the counts of a book's blocks add up to n."""
+    low, high, counts = 0, -(-n // block), np.full(paths, n)
+    while high - low > 1:
+        middle = (low + high) // 2
+        share = (middle - low) * block / (min(high * block, n) - low * block)
+        left = np.random.default_rng([seed, book, low, high]).binomial(counts, share)
+        low, high, counts = (low, middle, left) if nth < middle else (middle, high, counts - left)
+    return counts
+
+
+def _sums(values: np.ndarray, counts: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Sums of ``counts[i]`` draws with replacement."""
+    drawn = values[rng.integers(0, len(values), int(counts.sum()), dtype=np.int32)]
+    starts = np.cumsum(counts) - counts
+    return np.where(counts > 0, np.add.reduceat(np.append(drawn, 0.0), starts), 0.0)
+
+
+def _numbered(values: DataFrame, by: list[str]) -> DataFrame:
+    """Positions 0, 1, ... by value in each book and the book's size n, from counts of value cells and a row number inside each."""
     v = values.withColumn("cell", F.pmod(F.xxhash64("pnl"), F.lit(256)))
-    starts = v.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-    starts = starts.select("cell", (F.sum("n").over(Window.orderBy("cell")) - F.col("n")).alias("start"))  # 256 rows
-    inside = F.row_number().over(Window.partitionBy("cell").orderBy("pnl")) - 1
-    return v.withColumn("nth", inside).join(F.broadcast(starts), "cell").select((F.col("start") + F.col("nth")).alias("pos"), "pnl")
+    w = Window.partitionBy(*by)
+    starts = v.groupBy(*by, "cell").agg(F.count(F.lit(1)).alias("m"))
+    starts = starts.select(*by, "cell", (F.sum("m").over(w.orderBy("cell")) - F.col("m")).alias("start"), F.sum("m").over(w).alias("n"))  # at most 256 rows of a book
+    inside = F.row_number().over(Window.partitionBy(*by, "cell").orderBy("pnl")) - 1
+    return v.withColumn("nth", inside).join(starts, [*by, "cell"]).select(*by, "n", (F.col("start") + F.col("nth")).alias("pos"), "pnl")
 
 
 def fee_impact(trades: DataFrame, taker: float, bps: float) -> DataFrame:
@@ -266,6 +321,20 @@ def validation_verdict(reports: DataFrame) -> DataFrame:
     return reports.withColumn("failures", F.array_join(failures, ",")).withColumn("passed", F.size(failures) == 0)
 
 
+def validation_inputs(trades: DataFrame, windows: DataFrame, capital: float, folds: int = 4, paths: int = 10_000, seed: int = 7) -> DataFrame:
+    """What L20 judges, one row per book: mean Sharpe, drawdown and degradation of its test folds (L16), its worst stress window (L17), its bootstrap percentile (L18) and its fee gate (L13). A book too small to fold has no fold means."""
+    order = ["exit_ts", "seq"]
+    cut = walk_forward_folds(trades, folds, BOOK, order)
+    means = walk_forward_report(cut, "net_pnl", BOOK).groupBy(*BOOK).agg(F.avg("oos_sharpe").alias("sharpe"), F.avg("degradation").alias("degradation"))
+    w = Window.partitionBy(*BOOK, "fold").orderBy(*order)
+    out = cut.where("part = 'out'").withColumn("equity", capital + F.sum("net_pnl").over(w)).withColumn("dd", _below_peak(capital, w))
+    depth = out.groupBy(*BOOK, "fold").agg(F.max("dd").alias("dd")).groupBy(*BOOK).agg(F.avg("dd").alias("max_drawdown"))
+    stress = stress_report(trades, windows, capital, BOOK).groupBy(*BOOK).agg(F.max("max_drawdown").alias("worst_stress"))
+    p5 = monte_carlo_p5(trades, paths, seed).select(*BOOK, "p5")
+    gate = run_metrics(trades, capital).select(*BOOK, "passes_fee_gate")
+    return reduce(lambda a, b: a.join(b, BOOK, "left"), [gate, means, depth, stress, p5])
+
+
 def strategy_ema_flip(bars: DataFrame, fast: int = 9, slow: int = 21) -> DataFrame:
     """Long while the fast mean is above the slow one: entries and exits of the flip strategy."""
     from tidemark.operators.rolling import ema_cross
