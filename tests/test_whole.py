@@ -86,3 +86,38 @@ def test_verdict_uses_each_books_results(spark):
         assert r["p5"] == pytest.approx(bootstrap(x), abs=0.1 * np.std(x) * len(x) ** 0.5 + 1e-6)
     fails = {k: set(r["failures"].split(",")) for k, r in got.items()}
     assert got["good"]["passed"] and {"degradation"} <= fails["fades"] and {"monte_carlo", "stress"} <= fails["crash"]
+
+
+def feature_bars(spark, n, micro=True):
+    rng = np.random.default_rng(2)
+    mid = 100 + np.cumsum(rng.normal(0, 1, n))
+    num = lambda x: float(x)
+    rows = [("x", "A", T0 + dt.timedelta(hours=i), num(m - 1), num(m + 1), num(rng.normal()), 2.0 + i % 3, 5.0, 3.0, 4.0, 1.0 + i % 5, num(rng.normal(0, 9)) if micro and i % 7 else None, None if i % 4 == 0 else 0.5 + i % 2, i % 3, i % 2) for i, m in enumerate(mid)]
+    return spark.createDataFrame(rows, "exchange string, symbol string, ts timestamp, best_bid double, best_ask double, ofi_l1 double, spread_mean double, volume double, buy_volume double, bid_depth_l1_close double, ask_depth_l1_close double, microprice_mid_delta double, hawkes_intensity double, bid_cancel_count long, ask_cancel_count long")
+
+
+def test_features_are_all_built(spark):
+    from tidemark.operators.ml import build_features
+
+    bars = feature_bars(spark, 90)
+    x = build_features(bars).orderBy("ts").toPandas()
+    assert x["hurst_60"][:60].isna().all() and x["hurst_60"][60:].between(0, 1).all()
+    assert x["ofi_x_spread"].to_numpy() == pytest.approx((x["ofi_l1_sg"] * x["spread_mean_sg"]).to_numpy())
+    raw = bars.orderBy("ts").toPandas()
+    delta = raw["microprice_mid_delta"].fillna(0).to_numpy()
+    assert x["microprice_x_hawkes"].to_numpy() == pytest.approx(delta * raw["hawkes_intensity"].fillna(0).to_numpy())
+    assert x["cancel_bias"].to_numpy() == pytest.approx(((raw["bid_cancel_count"] - raw["ask_cancel_count"]) / (raw["bid_cancel_count"] + raw["ask_cancel_count"] + 1)).to_numpy())
+    for i in range(59, 90):
+        y = delta[i - 59 : i + 1]
+        phi = np.polyfit(y[:-1], y[1:], 1)[0]
+        assert x["ou_halflife"][i] == pytest.approx(np.clip(-np.log(2) / np.log(phi), 1, 300) if 0 < phi < 1 else 60.0, rel=1e-6)
+
+
+def test_features_without_a_delta(spark):
+    from tidemark.operators.ml import build_features
+
+    x = build_features(feature_bars(spark, 12, micro=False)).orderBy("ts").toPandas()
+    mid = (x["best_bid"] + x["best_ask"]) / 2
+    b, a = x["bid_depth_l1_close"], x["ask_depth_l1_close"]
+    want = ((x["best_ask"] * b + x["best_bid"] * a) / (b + a + 1e-9) - mid) / mid * 10000
+    assert x["microprice_mid_delta"].to_numpy() == pytest.approx(want.to_numpy()) and (x["microprice_x_hawkes"] == 0).all()

@@ -31,11 +31,13 @@ def feature_cols(df: DataFrame) -> list[str]:
 
 
 def build_features(bars: DataFrame, regimes: DataFrame | None = None) -> DataFrame:
-    """Quotes carried forward, smoothed flow, ratios, rolling statistics, the regime as of the bar."""
+    """Quotes carried forward, smoothed flow, ratios, rolling statistics (the half-life of the microprice delta), interactions of the smoothed columns, the regime as of the bar."""
     x = rolling.ffill_quotes(bars)
     x = rolling.savgol5(rolling.savgol5(x, "ofi_l1"), "spread_mean")
-    x = rolling.hurst(rolling.flow_ratios(x), 20)
-    x = rolling.kyle_lambda(rolling.ou_halflife(x))
+    x = rolling.hurst(rolling.hurst(rolling.flow_ratios(x), 20), 60)
+    delta = F.col("microprice_mid_delta") if "microprice_mid_delta" in bars.columns else F.lit(None).cast("double")
+    x = rolling.ou_halflife(x.withColumn("delta", F.coalesce(delta, F.lit(0.0))), 60, "delta").drop("delta")
+    x = rolling.interactions(rolling.kyle_lambda(x), "ofi_l1_sg", "spread_mean_sg").withColumn("microprice_x_hawkes", F.coalesce("microprice_x_hawkes", F.lit(0.0)))
     if regimes is not None:
         x = x.join(regimes.select(*KEY, "ts", "regime"), [*KEY, "ts"], "left").withColumn("regime", F.coalesce("regime", F.lit("RANGING")))
     return x

@@ -138,13 +138,24 @@ def kyle_lambda(df: DataFrame, n: int = 60) -> DataFrame:
     return d.withColumn("kyle_lambda", F.when(F.col("nth") >= n, F.when(pairs < 10, 0.0).otherwise(F.coalesce(slope, F.lit(0.0))))).drop("dm", "nth")
 
 
-def interactions(df: DataFrame) -> DataFrame:
-    """Products; microprice delta and cancel bias are 0 where the whole column is null."""
+def interactions(df: DataFrame, ofi: str = "ofi_l1", spread: str = "spread_mean") -> DataFrame:
+    """Products; where the whole column is null or not there, microprice delta follows from the closing depth and cancel bias from the cancel counts (0 without those). The products take the given delta, 0 for such a column."""
+    for c in ("microprice_mid_delta", "cancel_bias", "hawkes_intensity"):
+        df = df if c in df.columns else df.withColumn(c, F.lit(None).cast("double"))
     counts = df.agg(F.count("microprice_mid_delta").alias("n_m"), F.count("cancel_bias").alias("n_c"))
     d = df.join(F.broadcast(counts))  # one row
-    micro = F.when(F.col("n_m") == 0, 0.0).otherwise(F.col("microprice_mid_delta"))
-    d = d.withColumn("microprice_mid_delta", micro).withColumn("cancel_bias", F.when(F.col("n_c") == 0, 0.0).otherwise(F.col("cancel_bias")))
-    return d.withColumn("ofi_x_spread", F.col("ofi_l1") * F.col("spread_mean")).withColumn("microprice_x_hawkes", F.col("microprice_mid_delta") * F.col("hawkes_intensity")).drop("n_m", "n_c")
+    given = F.when(F.col("n_m") == 0, 0.0).otherwise(F.col("microprice_mid_delta"))
+    d = d.withColumn("ofi_x_spread", F.col(ofi) * F.col(spread)).withColumn("microprice_x_hawkes", given * F.col("hawkes_intensity"))
+    micro = bias = F.lit(0.0)
+    if {"best_bid", "best_ask", "bid_depth_l1_close", "ask_depth_l1_close"} <= set(df.columns):
+        b, a = (F.coalesce(f"{side}_depth_l1_close", F.lit(0.0)) for side in ("bid", "ask"))
+        mid = (F.col("best_bid") + F.col("best_ask")) / 2
+        micro = F.when(mid > 0, ((F.col("best_ask") * b + F.col("best_bid") * a) / (b + a + 1e-9) - mid) / mid * 10000).otherwise(0.0)
+    if {"bid_cancel_count", "ask_cancel_count"} <= set(df.columns):
+        b, a = (F.coalesce(f"{side}_cancel_count", F.lit(0)) for side in ("bid", "ask"))
+        bias = (b - a) / (b + a + 1.0)
+    d = d.withColumn("microprice_mid_delta", F.when(F.col("n_m") == 0, micro).otherwise(F.col("microprice_mid_delta")))
+    return d.withColumn("cancel_bias", F.when(F.col("n_c") == 0, bias).otherwise(F.col("cancel_bias"))).drop("n_m", "n_c")
 
 
 def reversion_labels(df: DataFrame, horizons: list[int], bps: float) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.core import KEY
+from tidemark.operators import bars as B
 from tidemark.operators import data_quality, ledger, ml, rolling
 from tidemark.plans.bar_queries import at
 from tidemark.plans.more_queries import _DELTA, _delta, _fixed, _pair
@@ -202,6 +203,13 @@ def _features(d: Data) -> DataFrame:
     return rolling.reversion_labels(f.withColumn("hurst_60", F.lit(0.4)), [1], 20.0)
 
 
+def _built(d: Data) -> DataFrame:
+    """M02 of the hourly bars with their excitation and cancel counts."""
+    at = [*KEY, "ts"]
+    b = _delta(d).join(B.hawkes(d.ticks, "1h"), at, "left").join(B.book_activity(d.kinds, "1h").select(*at, "bid_cancel_count", "ask_cancel_count"), at, "left")
+    return ml.build_features(b, rolling.classify_regime(d.feat))
+
+
 def _clustered(d: Data) -> DataFrame:
     raw, path = io.scratch(d.spark, "features"), io.scratch(d.spark, "clustered")
     _features(d).write.parquet(raw)
@@ -216,7 +224,7 @@ def _models(d: Data):
 
 
 register("m01_feature_cols", "name:s", lambda d: d.spark.createDataFrame([(c,) for c in ml.feature_cols(d.feat)], "name string"), "select unnest(['open', 'high', 'low', 'close', 'volume', 'quote_volume', 'trade_count', 'buy_volume', 'buy_count', 'sell_volume', 'best_bid', 'best_ask', 'spread_mean', 'ofi_l1', 'ofi']) as name")
-register("m02_build_features", K + "ofi_l1_sg:d hurst_20:d ou_halflife:e kyle_lambda:d regime:s", lambda d: ml.build_features(_delta(d), rolling.classify_regime(d.feat)))
+register("m02_build_features", K + "ofi_l1_sg:d hurst_20:d hurst_60:d ou_halflife:e kyle_lambda:d ofi_x_spread:d microprice_x_hawkes:d microprice_mid_delta:d cancel_bias:d regime:s", _built)
 
 
 def _labels_back(d: Data) -> DataFrame:
