@@ -121,3 +121,39 @@ def test_features_without_a_delta(spark):
     b, a = x["bid_depth_l1_close"], x["ask_depth_l1_close"]
     want = ((x["best_ask"] * b + x["best_bid"] * a) / (b + a + 1e-9) - mid) / mid * 10000
     assert x["microprice_mid_delta"].to_numpy() == pytest.approx(want.to_numpy()) and (x["microprice_x_hawkes"] == 0).all()
+
+
+def test_candidates_are_whole(spark, monkeypatch):
+    from tidemark.operators import ml
+    from tidemark.plans import source_queries as q
+
+    c = ml.candidates()
+    assert set(c) == {"logistic", "forest", "boosted"} and all(m.getWeightCol() == "weight" for m in c.values())
+    trees = c["boosted"].getClassifier()
+    assert (trees.getMaxIter(), trees.getMaxDepth(), trees.getWeightCol()) == (500, 6, "weight")
+    assert (c["forest"].getNumTrees(), c["forest"].getMaxDepth(), c["logistic"].getMaxIter()) == (200, 8, 1000)
+    seen = {}
+    train = ml.train_slots
+    monkeypatch.setattr(q, "_clustered", lambda d: None)
+    monkeypatch.setattr(ml, "train_slots", lambda *a, **k: seen.update(k) or (None, None))
+    q._models(None)
+    assert not {"names", "folds", "least"} & set(seen)
+    assert train.__defaults__[:3] == (5, 5, 200)
+
+
+def test_model_features_have_real_regimes_and_hurst(spark):
+    from tidemark.plans import source_queries as q
+    from tidemark.plans.registry import Data
+
+    f = q._features(Data(spark, SF))
+    assert f.agg(F.count_distinct("hurst_60")).first()[0] > 20 and f.where("regime in ('THIN_BOOK', 'TRENDING_UP', 'TRENDING_DOWN')").count() > 0
+
+
+def test_confidence_of_boosted_trees(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from tidemark.operators import ml
+
+    df = spark.createDataFrame([(Vectors.dense([0.0, 0.0, 0.0]),), (Vectors.dense([2.0, -1.0, 0.5]),)], ["rawPrediction"])
+    p = 1 / (1 + np.exp(-2 * np.array([2.0, -1.0, 0.5])))
+    assert [r[0] for r in df.select(ml._one_vs_rest_confidence()).collect()] == pytest.approx([1 / 3, p.max() / p.sum()])

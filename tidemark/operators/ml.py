@@ -78,16 +78,22 @@ def with_weights(df: DataFrame, label: str) -> DataFrame:
     return d.withColumn("weight", F.when(F.col("label") == 1, WEIGHTS[1]).otherwise(WEIGHTS[0]))
 
 
-def candidates(seed: int = 7) -> dict:
-    common = {"featuresCol": "raw", "labelCol": "label"}
+def candidates(seed: int = 7, rounds: int = 500) -> dict:
+    """The reference's three candidates at its sizes, all with class weights; boosting runs ``rounds`` rounds."""
+    common = {"featuresCol": "raw", "labelCol": "label", "weightCol": "weight"}
+    trees = GBTClassifier(maxIter=rounds, maxDepth=6, stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed, **common)
     return {
-        "logistic": LogisticRegression(weightCol="weight", maxIter=20, **common),
-        "forest": RandomForestClassifier(numTrees=20, maxDepth=5, seed=seed, **common),
-        "boosted": OneVsRest(classifier=GBTClassifier(maxIter=5, maxDepth=3, seed=seed, **common), **common),
+        "logistic": LogisticRegression(maxIter=1000, **common),
+        "forest": RandomForestClassifier(numTrees=200, maxDepth=8, seed=seed, **common),
+        "boosted": OneVsRest(classifier=trees, parallelism=len(LABELS), **common),
     }
 
 
-def train_slots(features: DataFrame, target: str, cols: list[str], folds: int = 3, gap: int = 5, least: int = 200, names: list[str] | None = None) -> tuple[dict, DataFrame]:
+#: Boosting rounds of the refit on all rows, which the reference fixes lower than those of its folds.
+FINAL_ROUNDS = 300
+
+
+def train_slots(features: DataFrame, target: str, cols: list[str], folds: int = 5, gap: int = 5, least: int = 200, names: list[str] | None = None) -> tuple[dict, DataFrame]:
     """For each (regime, cluster) with ``least`` rows, neither trending nor noise, the candidate of the best mean weighted F1 over purged folds, refitted on all rows.
 
     Returns the models by slot and the registry table. Slots are few (regimes times clusters); each fit is a distributed Spark ML job.
@@ -111,9 +117,9 @@ def train_slots(features: DataFrame, target: str, cols: list[str], folds: int =
                 values.append(score.evaluate(model.fit(train).transform(test)))
             mean = sum(values) / len(values) if values else 0.0
             if best is None or mean > best[1]:
-                best = (name, mean, model)
+                best = (name, mean)
         if best is not None and own.select("label").distinct().count() > 1:
-            fitted = best[2].fit(own)
+            fitted = candidates(rounds=FINAL_ROUNDS)[best[0]].fit(own)
             models[(s["regime"], s["cluster"])] = fitted
             rows.append((s["regime"], s["cluster"], best[0], float(best[1]), int(s["n"]), importances(fitted, cols)))
         own.unpersist()
@@ -142,6 +148,12 @@ def gated(df: DataFrame) -> Column:
     return F.col("regime").isin(TRENDING) | hurst
 
 
+def _one_vs_rest_confidence() -> Column:
+    """The largest share of the classes' boosted probabilities; a boosted margin is half of the log odds."""
+    p = F.transform(vector_to_array("rawPrediction"), lambda x: 1 / (1 + F.exp(-2 * x)))
+    return F.array_max(p) / F.aggregate(p, F.lit(0.0), lambda acc, x: acc + x)
+
+
 def score(features: DataFrame, models: dict, cols: list[str]) -> DataFrame:
     """Label and confidence of every row: gates first, FLAT 1.0 (FLAT 0.0 without a model), else the slot's model."""
     names = F.element_at(F.create_map(*[x for n, i in LABELS.items() for x in (F.lit(float(i)), F.lit(n))]), F.col("prediction"))
@@ -153,7 +165,7 @@ def score(features: DataFrame, models: dict, cols: list[str]) -> DataFrame:
         slot = (F.col("regime") == regime) & (F.col("cluster") == cluster)
         known = known | slot
         out = model.transform(_assembled(open_rows.where(slot), cols))
-        conf = F.array_max(vector_to_array("probability")) if "probability" in out.columns else F.lit(1.0)
+        conf = F.array_max(vector_to_array("probability")) if "probability" in out.columns else _one_vs_rest_confidence()
         parts.append(out.select(*KEY, "ts", "regime", names.alias("label"), conf.alias("confidence")))
     parts.append(open_rows.where(~known).select(*KEY, "ts", "regime", F.lit("FLAT").alias("label"), F.lit(0.0).alias("confidence")))
     return reduce(DataFrame.unionByName, parts)

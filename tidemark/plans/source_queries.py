@@ -198,11 +198,6 @@ register("t07_drop_stale", "exchange:s ts:t mid_a:d", lambda d: stream.drop_stal
 COLS = ["volume", "spread_mean", "ofi_l1", "microprice_mid_delta", "net_buy_fraction"]
 
 
-def _features(d: Data) -> DataFrame:
-    f = rolling.flow_ratios(_delta(d)).withColumn("regime", F.when(F.coalesce("volume", F.lit(0.0)) > 150, "HIGH_VOL").otherwise("RANGING"))
-    return rolling.reversion_labels(f.withColumn("hurst_60", F.lit(0.4)), [1], 20.0)
-
-
 def _built(d: Data) -> DataFrame:
     """M02 of the hourly bars with their excitation and cancel counts."""
     at = [*KEY, "ts"]
@@ -210,6 +205,10 @@ def _built(d: Data) -> DataFrame:
     return ml.build_features(b, rolling.classify_regime(d.feat))
 
 
+def _features(d: Data) -> DataFrame:
+    return rolling.reversion_labels(_built(d), [1], 20.0)
+
+
 def _clustered(d: Data) -> DataFrame:
     raw, path = io.scratch(d.spark, "features"), io.scratch(d.spark, "clustered")
     _features(d).write.parquet(raw)
@@ -219,7 +218,7 @@ def _clustered(d: Data) -> DataFrame:
 
 def _models(d: Data):
     f = _clustered(d)
-    models, registry = ml.train_slots(f, "label_revert_1", COLS, folds=2, least=100, names=["logistic", "forest"])
+    models, registry = ml.train_slots(f, "label_revert_1", COLS)
     return f, models, registry
 
 
