@@ -17,11 +17,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 20
-#: A key is hot if it holds at least this share of the rows, so there are at most 1 / HOT_SHARE of them.
-HOT_SHARE = 1 / 4096
+#: A key is hot if it holds at least this share of the rows (and ``LEAST_HOT`` of them), so there are at most 1 / HOT_SHARE hot keys.
+HOT_SHARE = 1 / 65_536
+LEAST_HOT = 1000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Stands for a null id in joins; what such a join finds is verified row by row.
-NO_ID = -(2**63)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,10 +31,13 @@ _OWN_ROOTS: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in ``spark.checkpoint.dir``; a temporary one of this application where it names none, as in tests."""
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``. Where it names none, a local session gets a temporary folder
+    of this application; on a cluster that is an error, as each executor would write to a disk of its own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_ROOTS:
         _OWN_ROOTS[app] = tempfile.mkdtemp(prefix="spark-")
@@ -46,7 +48,24 @@ def written(df: DataFrame) -> DataFrame:
     """The rows from a table written to the shared folder: the lineage ends here, and a lost executor costs no more than a reread."""
     path = f"{scratch_root(df.sparkSession)}/tidemark-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete the folders of ``written`` tables that no later plan reads."""
+    for t in tables:
+        path = getattr(t, "__dict__", {}).get("scratch")
+        if path:
+            jvm = t.sparkSession._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(t.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
+def row_struct(docs: DataFrame) -> Column:
+    """The whole row as one value, so that no column of the caller meets one of ours."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def lower_ascii(c: Column) -> Column:
@@ -57,15 +76,29 @@ def join_hot(big: DataFrame, groups: DataFrame, keys: list[str], size: str, tota
     """Join ``big`` with ``groups`` (one row for each key, with the number ``size`` of its rows in ``big``).
 
     Keys that hold ``HOT_SHARE`` of the ``total`` rows or more number at most ``1 / HOT_SHARE``: they are broadcast, so that no
-    task gets all rows of one. The others meet in a shuffle join. ``how`` is inner or left; null keys match nothing.
+    task gets all rows of one. The others (of 1e11 rows, 1.5 million at most) meet in a shuffle join. ``how`` is inner or left; null keys match nothing.
     """
-    least = max(1000.0, total * HOT_SHARE)
+    least = max(LEAST_HOT, total * HOT_SHARE)
     hot = groups.where(F.col(size) >= least)
     cold = groups.where(F.col(size) < least)
     marked = big.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys, how)
     return big.join(F.broadcast(hot), keys, "inner").unionByName(marked)
 
 
+def crowded(rows: DataFrame, keys: list[str], total: int, piece: int = LEAST_HOT) -> DataFrame:
+    """(keys, pieces) of the keys that are to be split into pieces of ``piece`` rows: at most 1 / HOT_SHARE of them, so that they may be broadcast."""
+    held = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("held")).where(F.col("held") >= max(piece, total * HOT_SHARE))
+    return held.select(*keys, F.ceil(F.col("held") / piece).cast("int").alias("pieces"))
+
+
+def join_pieces(many: DataFrame, one: DataFrame, keys: list[str], split: DataFrame, spread: Column) -> DataFrame:
+    """Inner join on ``keys``, where the rows of ``many`` with a key in ``split`` are dealt over its pieces by the hash ``spread``, and
+    the rows of ``one`` with such a key are repeated for each piece."""
+    dealt = many.join(F.broadcast(split), keys, "left").withColumn("piece", F.coalesce(F.pmod(spread, F.col("pieces").cast("long")).cast("int"), F.lit(0))).drop("pieces")
+    copies = one.join(F.broadcast(split), keys, "left").withColumn("piece", F.explode(F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1))).drop("pieces")
+    return dealt.join(copies, [*keys, "piece"]).drop("piece")
+
+
 # ---- Arrow and numpy side ------------------------------------------------------------------------
 
 WORD_BYTE = np.zeros(256, bool)

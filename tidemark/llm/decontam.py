@@ -3,46 +3,68 @@
 Test items become windows of ten consecutive words. One pass over the corpus counts the test terms; the corpus frequencies
 choose each window's rarest terms as its anchors (a window with a term that the corpus lacks cannot occur). A second
 pass stores the postings (term, document, position) of all anchor terms: this is the stored
-index. A window's occurrences are the documents and offset-adjusted positions that all of its anchors' lists share; the
-remaining words are then compared exactly in the documents that are left.
+index. Phrase matches are the documents and offset-adjusted positions that all of a window's anchor lists share; proximity matches start from
+the documents and positions where its anchors stand near each other. The remaining words are then compared in the documents that are left.
+
+Words and windows are equal if their 64-bit hashes are. A document is known in the index by a hash of doc_id and text; what is found
+for one is compared with the row's own words, so that a clash costs time and changes nothing.
 """
 
 from __future__ import annotations
 
-import hashlib
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tidemark.llm.common import NO_ID, Words, sliced, written
+from tidemark.llm.common import HOT_SHARE, Words, discard, join_hot, join_pieces, mix, row_struct, sliced, written
 
 WINDOW = 10
 ANCHORS = 2
-#: Test terms are sent to every task as 8-byte hashes; a benchmark with more distinct words than this is refused.
-MOST_TERMS = 4_000_000
+#: A proximity match has all words of a window, each as often as the window has it, in so many consecutive words.
+SPAN = 15
+#: Test terms go to the tasks as 8-byte hashes, so many at a time; more terms take more passes.
+BLOCK = 4_000_000
+POSTINGS_A_PIECE = 200_000
+GOLD, STEP = np.uint64(0x9E3779B97F4A7C15), 0xD1B54A32D192ED03
+
+
+def window_hash(terms: np.ndarray) -> np.ndarray:
+    """Of each row of word hashes (all of one width)."""
+    out = np.full(len(terms), terms.shape[1] * STEP % 2**64, np.uint64)
+    for k in range(terms.shape[1]):
+        out = mix(out * GOLD + terms[:, k].astype(np.uint64))
+    return out.view(np.int64)
+
+
+def runs(hashes: np.ndarray, width: int) -> np.ndarray:
+    return np.lib.stride_tricks.sliding_window_view(hashes, width)
 
 
 def item_windows(width: int):
-    """Each item's windows as arrays of word hashes; an item of fewer words, but not none, is one window."""
+    """Each item's windows: item_id, the window's hash and its word hashes; an item of fewer words, but not none, is one window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             words = Words(batch.column("text"))
-            hashes, ids, out = words.hash.view(np.int64), batch.column("item_id").to_pylist(), []
+            ids = batch.column("item_id")
             for i in range(words.rows):
-                lo, hi = int(words.first[i]), int(words.first[i + 1])
-                out += [(ids[i], hashes[k : min(k + width, hi)].tolist()) for k in range(lo, max(lo + 1, hi - width + 1)) if hi > lo]
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.list_(pa.int64()))], ["item_id", "terms"])
+                own = words.hash[words.first[i] : words.first[i + 1]]
+                if len(own):
+                    parts = runs(own, min(width, len(own)))
+                    ends = pa.array(np.arange(len(parts) + 1) * parts.shape[1], pa.int32())
+                    terms = pa.ListArray.from_arrays(ends, pa.array(np.ascontiguousarray(parts).reshape(-1).view(np.int64)))
+                    yield pa.RecordBatch.from_arrays([pa.array([ids[i].as_py()] * len(parts), pa.int64()), pa.array(window_hash(parts)), terms], ["item_id", "window", "terms"])
 
     return run
 
 
 def term_counts(vocabulary):
-    """(term, n) of each slice for terms in the broadcast, sorted ``vocabulary``."""
+    """(term, n) of each task for terms in the broadcast, sorted ``vocabulary``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, total = vocabulary.value, np.zeros(len(vocabulary.value), np.int64)
@@ -71,118 +93,214 @@ def posting_rows(vocabulary):
     return run
 
 
-def judged_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compare candidate windows with the words at their places; mark the words that any occurrence covers."""
-    for batch in sliced(batches):
-        words = Words(batch.column("text"))
-        h, found = words.hash.view(np.int64), batch.column("found").to_pylist()
-        n_hit, n_items, digest = [], [], []
-        for i in range(words.rows):
-            own = h[words.first[i] : words.first[i + 1]]
-            hit, items = np.zeros(len(own), bool), set()
-            for c in found[i] or []:
-                k, terms = c["start"], np.asarray(c["terms"], np.int64)
-                if 0 <= k <= len(own) - len(terms) and np.array_equal(own[k : k + len(terms)], terms):
-                    hit[k : k + len(terms)] = True
-                    items.update(c["items"])
-            n_hit.append(int(hit.sum()))
-            n_items.append(len(items))
-            digest.append(hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(words.count, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(digest)], ["doc_id", "n_words", "n_hit", "n_items", "items_sha256"])
-
-
-def sorted_terms(df: DataFrame) -> np.ndarray:
-    """Distinct test terms on the driver; their number is checked, and follows the benchmark alone."""
-    rows = df.limit(MOST_TERMS + 1).toPandas()["term"].to_numpy(np.int64)
-    if len(rows) > MOST_TERMS:
-        raise ValueError(f"over {MOST_TERMS} distinct test words: split the benchmark")
-    return np.sort(rows)
+def phrase_hits(own: np.ndarray, found: list[dict]) -> tuple[np.ndarray, set[int]]:
+    """Words of one document that an occurrence of a candidate window covers, and the windows that occur."""
+    hit, seen = np.zeros(len(own), bool), set()
+    at = np.array([(c["start"], c["width"], c["window"]) for c in found], np.int64).reshape(-1, 3)
+    for width in np.unique(at[:, 1]):
+        part = at[(at[:, 1] == width) & (at[:, 0] >= 0) & (at[:, 0] <= len(own) - width)]
+        if len(part):
+            same = part[window_hash(runs(own, int(width))[part[:, 0]]) == part[:, 2]]
+            for k in range(int(width)):
+                hit[same[:, 0] + k] = True
+            seen.update(same[:, 2].tolist())
+    return hit, seen
+
+
+def near(own: np.ndarray, pos: int, need: Counter, span: int) -> bool:
+    """Whether ``span`` consecutive words around ``pos`` have all of ``need``."""
+    lo, hi = max(0, pos - span + 1), min(len(own), pos + span)
+    around, left = own[lo:hi].tolist(), need.copy()
+    missing = len(left)
+    for k, w in enumerate(around):
+        if w in left:
+            left[w] -= 1
+            missing -= left[w] == 0
+        if k >= span and (old := around[k - span]) in left:
+            missing += left[old] == 0
+            left[old] += 1
+        if not missing:
+            return True
+    return False
+
+
+def judged_rows(span: int):
+    """n_words, n_hit, windows that occur and windows with a proximity match of each row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            words = Words(batch.column("text"))
+            h, found, close = words.hash.view(np.int64), batch.column("found"), batch.column("close")
+            n_hit, windows, nears = [], [], []
+            for i in range(words.rows):
+                own = h[words.first[i] : words.first[i + 1]]
+                hit, seen = phrase_hits(own.view(np.uint64), found[i].as_py()) if found[i].is_valid else ((), set())
+                n_hit.append(int(np.sum(hit)))
+                windows.append(sorted(seen))
+                nears.append(sorted(c["window"] for c in close[i].as_py() if any(near(own, p, need, span) for need in [Counter(c["terms"])] for p in c["at"])) if close[i].is_valid else [])
+            kind = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(words.count, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(windows, kind), pa.array(nears, kind)], ["doc_id", "key", "n_words", "n_hit", "windows", "nears"])
+
+    return run
+
+
+def clean_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows without an occurrence of a window."""
+    for batch in batches:
+        flat = pa.RecordBatch.from_arrays([batch.column("row"), batch.column("row").field("text"), batch.column("found")], ["row", "text", "found"])
+        for part in sliced(iter([flat])):
+            asked = np.flatnonzero(np.asarray(part.column("found").is_valid()))
+            keep = np.ones(len(part), bool)
+            if len(asked):
+                some = part.take(pa.array(asked))
+                words = Words(some.column("text"))
+                for k, i in enumerate(asked):
+                    keep[i] = not phrase_hits(words.hash[words.first[k] : words.first[k + 1]], some.column("found")[k].as_py())[1]
+            yield pa.RecordBatch.from_arrays([part.column("row").filter(pa.array(keep))], ["row"])
+
+
+def blocks(terms: DataFrame, most: int | None = None) -> Iterator[np.ndarray]:
+    """Distinct test terms on the driver, sorted, about ``most`` at a time (dealt by their hash)."""
+    parts = max(1, -(-terms.count() // (most or BLOCK)))
+    for k in range(parts):
+        block = terms.where(F.pmod("term", F.lit(parts)) == k).toPandas()["term"].to_numpy(np.int64)
+        if len(block):
+            yield np.sort(block)
+
+
+def over_blocks(docs: DataFrame, terms: DataFrame, rows, shape: str) -> DataFrame | None:
+    """``docs`` mapped by ``rows(broadcast block)`` for each block of terms."""
+    out = None
+    for block in blocks(terms):
+        part = docs.mapInArrow(rows(docs.sparkSession.sparkContext.broadcast(block)), shape)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def windows_of(items: DataFrame, width: int = WINDOW) -> DataFrame:
-    """Distinct windows: window (its content's hash), terms, items."""
-    raw = items.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(item_windows(width), "item_id long, terms array<bigint>")
-    return raw.groupBy("terms").agg(F.collect_set("item_id").alias("items")).select(F.xxhash64("terms").alias("window"), "terms", "items")
+    """Distinct windows: window (its content's hash), terms, items (a null item_id is none)."""
+    raw = items.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(item_windows(width), "item_id long, window long, terms array<bigint>")
+    return raw.groupBy("window").agg(F.first("terms").alias("terms"), F.collect_set("item_id").alias("items"))
 
 
 def anchors_of(windows: DataFrame, frequency: DataFrame, anchors: int = ANCHORS) -> DataFrame:
-    """(window, term, offset, rank): each window's rarest terms by corpus frequency, rarest first; none for a window with an absent term."""
+    """(window, width, term, offset, rank): each window's rarest terms by corpus frequency, rarest first; none for a window with an absent term."""
     spread = windows.select("window", F.size("terms").alias("width"), F.posexplode("terms").alias("offset", "term"))
     known = spread.join(frequency, "term")
-    whole = known.groupBy("window").agg(F.count(F.lit(1)).alias("seen"), F.first("width").alias("width")).where("seen = width").select("window")
+    whole = known.groupBy("window").agg(F.count(F.lit(1)).alias("seen"), F.first("width").alias("w")).where("seen = w").select("window")
     rank = F.row_number().over(Window.partitionBy("window").orderBy("n", "offset"))
-    return known.join(whole, "window", "left_semi").withColumn("rank", rank).where(F.col("rank") <= anchors).select("window", "term", "offset", "rank")
+    return known.join(whole, "window", "left_semi").withColumn("rank", rank).where(F.col("rank") <= anchors).select("window", "width", "term", "offset", "rank")
 
 
-def offsets_intersected(postings: DataFrame, anchors: DataFrame, most: int = ANCHORS) -> DataFrame:
-    """(key, window, start): where the offset-adjusted lists of all anchors of a window meet.
+def of_rank(anchors: DataFrame, k: int) -> DataFrame:
+    return anchors.where(F.col("rank") == k).select("window", "width", "term", "offset")
+
+
+def offsets_intersected(postings: DataFrame, anchors: DataFrame, split: DataFrame, most: int = ANCHORS) -> DataFrame:
+    """(key, window, width, start): where the offset-adjusted lists of all anchors of a window meet.
 
     The list of the rarest term gives the places; each further anchor's list only confirms them (a semi-join on term, document and position), so
-    nothing grows beyond the rarest lists.
+    nothing grows beyond the rarest lists. ``split`` has the terms whose lists are dealt over several tasks.
     """
-    def of_rank(k: int) -> DataFrame:
-        return anchors.where(F.col("rank") == k).select("window", "term", "offset")
-
-    places = postings.join(of_rank(1), "term").where("pos >= offset").select("key", "window", (F.col("pos") - F.col("offset")).alias("start")).distinct()
+    first = join_pieces(postings, of_rank(anchors, 1), ["term"], split, F.xxhash64("key", "pos"))
+    places = first.where("pos >= offset").select("key", "window", "width", (F.col("pos") - F.col("offset")).alias("start")).distinct()
     for k in range(2, most + 1):
-        asked = places.join(of_rank(k), "window", "left").withColumn("pos", F.col("start") + F.col("offset"))
+        asked = places.join(of_rank(anchors, k).drop("width"), "window", "left").withColumn("pos", F.col("start") + F.col("offset"))
         met = asked.where("term is not null").join(postings, ["term", "key", "pos"], "left_semi")
-        places = met.select("key", "window", "start").unionByName(asked.where("term is null").select("key", "window", "start"))
+        places = met.select("key", "window", "width", "start").unionByName(asked.where("term is null").select("key", "window", "width", "start"))
     return places
 
 
-def proximity_matches(postings: DataFrame, terms: DataFrame, slop: int) -> DataFrame:
-    """(key, phrase, first_pos, last_pos): spans of at most ``slop`` positions that hold all of a phrase's distinct terms in any order.
+def anchors_near(postings: DataFrame, anchors: DataFrame, split: DataFrame, span: int, most: int = ANCHORS) -> DataFrame:
+    """(key, window, pos): places of each window's rarest term that have its other anchors less than ``2 * span`` words away in the document.
 
-    ``terms`` has (phrase, term). Each posting starts a span of positions in [pos, pos + slop); it is a match if the span has as many
-    distinct terms as the phrase. The window runs over one document's postings of one phrase.
+    The other lists only confirm (a semi-join on document, window and cell of ``span`` positions), so nothing grows beyond the rarest lists.
     """
-    need = terms.distinct().groupBy("phrase").agg(F.count(F.lit(1)).alias("need"))
-    hits = postings.join(terms.distinct(), "term").join(need, "phrase")
-    ahead = Window.partitionBy("key", "phrase").orderBy("pos").rangeBetween(0, slop - 1)
-    return hits.withColumn("got", F.size(F.collect_set("term").over(ahead))).withColumn("last_pos", F.max("pos").over(ahead)).where("got = need").select("key", "phrase", F.col("pos").alias("first_pos"), "last_pos")
-
-
-def build_index(docs: DataFrame, terms: np.ndarray) -> DataFrame:
-    """The stored postings (term, key, pos) of ``terms`` over whole texts; key is doc_id, NO_ID for null."""
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), "text")
-    vocabulary = docs.sparkSession.sparkContext.broadcast(terms)
-    return written(keyed.mapInArrow(posting_rows(vocabulary), "term long, key long, pos long"))
-
-
-def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW, anchors: int = ANCHORS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
-
+    places = join_pieces(postings, of_rank(anchors, 1).select("window", "term"), ["term"], split, F.xxhash64("key", "pos")).select("key", "window", "pos", F.floor(F.col("pos") / span).alias("cell")).distinct()
+    for k in range(2, most + 1):
+        other = of_rank(anchors, k).select("window", "term")
+        cells = join_pieces(postings, other, ["term"], split, F.xxhash64("key", "pos")).select("key", "window", F.floor(F.col("pos") / span).alias("cell")).distinct()
+        around = cells.select("key", "window", F.explode(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1)).alias("cell"))
+        lone = places.join(other.select("window").distinct(), "window", "left_anti")
+        places = places.join(around, ["key", "window", "cell"], "left_semi").unionByName(lone)
+    return places.select("key", "window", "pos")
+
+
+def document_key() -> Column:
+    return F.xxhash64(F.col("doc_id").cast("long"), "text")
+
+
+class PositionalIndex:
+    """The windows of ``items``, their anchors by the frequencies in ``docs``, and the stored postings of all anchor terms over whole texts."""
+
+    def __init__(self, docs: DataFrame, items: DataFrame, width: int = WINDOW, anchors: int = ANCHORS) -> None:
+        self.most = anchors
+        self.windows = written(windows_of(items, width))
+        texts = docs.select("text")
+        counts = over_blocks(texts, self.windows.select(F.explode("terms").alias("term")).distinct(), term_counts, "term long, n long")
+        self.anchors = self.postings = None
+        if counts is None:
+            return
+        frequency = written(counts.groupBy("term").agg(F.sum("n").alias("n")))
+        self.anchors = written(anchors_of(self.windows, frequency, anchors))
+        terms = self.anchors.select("term").distinct()
+        postings = over_blocks(docs.select(document_key().alias("key"), "text"), terms, posting_rows, "term long, key long, pos long")
+        if postings is not None:
+            self.postings = written(postings)
+            listed = frequency.join(terms, "term", "left_semi")
+            total = listed.agg(F.sum("n")).first()[0] or 0
+            long = listed.where(F.col("n") >= max(POSTINGS_A_PIECE, total * HOT_SHARE))
+            self.split = written(long.select("term", F.ceil(F.col("n") / POSTINGS_A_PIECE).cast("int").alias("pieces")))
+        discard(frequency)
+
+    def phrases(self) -> DataFrame:
+        """(key, found): candidate places of each document."""
+        places = offsets_intersected(self.postings, self.anchors, self.split, self.most)
+        return places.groupBy("key").agg(F.collect_list(F.struct(F.col("start"), F.col("width"), F.col("window"))).alias("found"))
+
+    def proximities(self, span: int) -> DataFrame:
+        """(key, close): candidate windows of each document with their words and the places of the rarest one."""
+        places = anchors_near(self.postings, self.anchors, self.split, span, self.most).groupBy("key", "window").agg(F.collect_set("pos").alias("at"))
+        return places.join(self.windows.select("window", "terms"), "window").groupBy("key").agg(F.collect_list(F.struct("window", "terms", "at")).alias("close"))
+
+
+def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW, anchors: int = ANCHORS, span: int = SPAN) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near_items.
+
+    n_near_items counts the items with a window all of whose words, each as often as the window has it, stand in ``span`` consecutive words in any order.
     Null and empty texts have no words; a null item_id counts as no item but its words hit. Items with equal windows all count.
-    Repeated rows are judged each on its own text, a null doc_id as well. Empty tables give no rows, or no hits.
+    Repeated rows, rows that share a doc_id and rows with a null doc_id are judged each on its own text. Empty tables give no rows, or no hits.
     """
-    spark = docs.sparkSession
-    windows = written(windows_of(items, width))
-    vocabulary = sorted_terms(windows.select(F.explode("terms").alias("term")).distinct())
-    shape = "term long, n long"
-    texts = docs.select("text")
-    if len(vocabulary):
-        frequency = written(texts.mapInArrow(term_counts(spark.sparkContext.broadcast(vocabulary)), shape).groupBy("term").agg(F.sum("n").alias("n")))
-    else:
-        frequency = spark.createDataFrame([], shape)
-    chosen = written(anchors_of(windows, frequency, anchors))
-    terms = sorted_terms(chosen.select("term").distinct())
-    found = None
-    if len(terms):
-        postings = build_index(docs, terms)
-        places = offsets_intersected(postings, chosen, anchors)
-        found = written(places.join(windows, "window").groupBy("key").agg(F.collect_list(F.struct("start", "terms", F.array_compact("items").alias("items"))).alias("found")))
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"))
-    if found is None:
-        kind = "array<struct<start:long,terms:array<bigint>,items:array<bigint>>>"
-        joined = keyed.withColumn("found", F.lit(None).cast(kind))
+    index = PositionalIndex(docs, items, width, anchors)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", document_key().alias("key"))
+    if index.postings is None:
+        at, close = "array<struct<start:long,width:int,window:long>>", "array<struct<window:long,terms:array<bigint>,at:array<bigint>>>"
+        joined = rows.withColumns({"found": F.lit(None).cast(at), "close": F.lit(None).cast(close)})
     else:
-        joined = keyed.join(found, "key", "left")
-    out = joined.select("doc_id", "text", "found").mapInArrow(judged_rows, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string")
-    return out.withColumn("contaminated", F.col("n_hit") > 0)
+        candidates = written(index.phrases().join(index.proximities(span), "key", "full"))
+        joined = rows.join(candidates, "key", "left")
+    shape = "doc_id long, key long, n_words long, n_hit long, windows array<bigint>, nears array<bigint>"
+    judged = written(joined.select("doc_id", "key", "text", "found", "close").mapInArrow(judged_rows(span), shape))
+    discard(index.anchors, index.postings)
+    # Items come in once the windows are certain.
+    held = written(judged.select("doc_id", "key", F.explode(F.concat(F.transform("windows", lambda w: F.struct(w.alias("window"), F.lit(True).alias("exact"))), F.transform("nears", lambda w: F.struct(w.alias("window"), F.lit(False).alias("exact"))))).alias("w")).select("doc_id", "key", "w.window", "w.exact").distinct())
+    size = held.groupBy("window").agg(F.count(F.lit(1)).alias("held")).join(index.windows.select("window", "items"), "window")
+    listed = join_hot(held, size, ["window"], "held", held.count()).select("doc_id", "key", "exact", F.explode("items").alias("item"))
+    sums = listed.groupBy("doc_id", "key").agg(F.array_sort(F.collect_set(F.when(F.col("exact"), F.col("item").cast("string")))).alias("items"), F.countDistinct(F.when(~F.col("exact"), F.col("item"))).alias("n_near_items"))
+    sums = sums.withColumnsRenamed({"doc_id": "of_id", "key": "of_key"})
+    out = judged.join(sums, (F.col("key") == F.col("of_key")) & F.col("doc_id").eqNullSafe(F.col("of_id")), "left")
+    ids = F.coalesce("items", F.array().cast("array<string>"))
+    return out.select("doc_id", "n_words", "n_hit", F.size(ids).cast("long").alias("n_items"), F.sha2(F.encode(F.array_join(ids, ","), "UTF-8"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), F.coalesce("n_near_items", F.lit(0)).cast("long").alias("n_near_items"))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id has no contaminated row."""
-    bad = contamination(docs, items).where("contaminated").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti")
+    """The rows of ``docs`` that are not contaminated, each judged on its own text (see ``contamination``); all columns."""
+    index = PositionalIndex(docs, items)
+    if index.postings is None:
+        return docs
+    found = written(index.phrases())
+    discard(index.anchors, index.postings, index.windows, index.split)
+    rows = docs.select(row_struct(docs).alias("row"), document_key().alias("key"))
+    joined = rows.join(found, "key", "left").select("row", "found")
+    shape = StructType([joined.schema["row"]])
+    return joined.mapInArrow(clean_rows, shape).select("row.*")

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import row_struct
+
 #: Beyond this number of sources the rates are joined by a shuffle with salted keys instead of a broadcast.
 MOST_BROADCAST = 50_000
 PART = 64.0
@@ -53,31 +55,40 @@ def poisson_table(rates: DataFrame) -> DataFrame:
     return rates.withColumn("parts", parts).withColumn("below", F.aggregate(steps, start, add, lambda acc: acc["below"]))
 
 
-def poisson_mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = 0.5, budget: float | None = None, measure: str = "bytes", seed: int = 17) -> DataFrame:
-    """All columns of ``docs``, each document ``n_copies`` times, with ``copy`` (from 1) and ``mix_key`` (order of the mixture).
-
-    Rows with the same doc_id draw the same count; a null doc_id draws as the text ``null``. Texts may be null or
-    empty. An empty table stays empty. Columns named like those that are added are replaced.
-    """
-    clash = ["copy", "n_copies", "mix_key", "rate", "parts", "below", "size", "weight", "salt"]
-    docs = docs.drop(*clash)
-    rates = poisson_table(source_rates(docs, weights, temperature, budget, measure)).select(F.coalesce("source", F.lit("\x00")).alias("source_key"), "parts", "below")
-    keyed = docs.withColumn("source_key", F.coalesce("source", F.lit("\x00")))
+def replicated(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = 0.5, budget: float | None = None, measure: str = "bytes", seed: int = 17) -> DataFrame:
+    """(row, n_copies, copy, mix_key): each row of ``docs``, as one value, ``n_copies`` times, dealt out and sorted by ``mix_key``."""
+    rates = poisson_table(source_rates(docs.select("source", "text"), weights, temperature, budget, measure)).select(F.coalesce("source", F.lit("\x00")).alias("source_key"), "parts", "below")
+    keyed = docs.select(row_struct(docs).alias("row"), F.coalesce("source", F.lit("\x00")).alias("source_key"), F.col("doc_id").alias("id"))
     if rates.select("source_key").limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST:
         joined = keyed.join(F.broadcast(rates), "source_key")
     else:
-        salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
-        joined = keyed.withColumn("salt", salt).join(rates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["source_key", "salt"]).drop("salt")
+        salt = F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")
+        joined = keyed.withColumn("salt", salt).join(rates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["source_key", "salt"])
 
     def drawn(k: Column) -> Column:
-        return F.size(F.filter("below", lambda p: uniform(F.lit(seed), F.col("doc_id"), k) >= p))
+        return F.size(F.filter("below", lambda p: uniform(F.lit(seed), F.col("id"), k) >= p))
 
     one = F.size(F.filter("below", lambda p: F.col("u") >= p))
     count = F.when(F.col("parts") == 1, one).otherwise(F.aggregate(F.sequence(F.lit(1), F.col("parts")), F.lit(0), lambda acc, k: acc + drawn(k)))
-    counted = joined.withColumn("u", uniform(F.lit(seed), F.col("doc_id"), F.lit(1))).withColumn("n_copies", count).drop("u", "parts", "below", "source_key")
+    counted = joined.withColumn("u", uniform(F.lit(seed), F.col("id"), F.lit(1))).select("row", "id", count.alias("n_copies"))
     copies = counted.where("n_copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("copy").cast("string")))
-    return copies.withColumn("mix_key", key).repartition(F.col("mix_key")).sortWithinPartitions("mix_key")
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("id").cast("string"), F.lit("null")), F.col("copy").cast("string")))
+    return copies.select("row", "n_copies", "copy", key.alias("mix_key")).repartition(F.col("mix_key")).sortWithinPartitions("mix_key")
+
+
+def poisson_mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = 0.5, budget: float | None = None, measure: str = "bytes", seed: int = 17) -> DataFrame:
+    """All columns of ``docs``, each document ``n_copies`` times, with ``copy`` (from 1) and ``mix_key`` (order of the mixture).
+
+    Rows with the same doc_id draw the same count; a null doc_id draws as the text ``null``. Texts may be null or
+    empty. An empty table stays empty. Columns named copy, n_copies or mix_key are replaced; all others stay as they are.
+    """
+    added = ["n_copies", "copy", "mix_key"]
+    return replicated(docs.drop(*added), weights, temperature, budget, measure, seed).select("row.*", *added)
+
+
+def mixed(docs: DataFrame, **target) -> DataFrame:
+    """The copies with the columns of ``docs`` alone, whatever their names."""
+    return replicated(docs, **target).select("row.*")
 
 
 MIX_SQL = """

@@ -5,9 +5,11 @@ distinct shingle a Poisson process over (time, weight, slot) is seeded by the sh
 is cut into the dyadic intervals (0,1], (1,2], (2,4], ... and each point's place inside an interval comes from
 further hash bits, so that a document with count ``w`` sees just the points below ``w``. The earliest point of
 each slot is the signature: two documents share it with probability equal to their weighted Jaccard
-similarity. Points come in order of time and a process ends as soon as it is later than the latest slot.
+similarity. The intervals are the right-hand children along the left edge of the binary tree over the weights, and a point's place inside one picks the
+leaf below it. Points come in order of time and a process ends as soon as it is later than the latest slot.
 
-Slots are banded; what shares a band is compared exactly (sum of minima over sum of maxima of the counts):
+Slots are banded; what shares a band is compared by whole multisets (sum of minima over sum of maxima of the counts; shingles are equal if their
+64-bit hashes are):
 
 1. in one round (or more), each member with one pivot of the bucket that is in another component: first the node that shares most
    bands with others (the middle of a family), then changing ones; components grow between the rounds,
@@ -17,11 +19,15 @@ Slots are banded; what shares a band is compared exactly (sum of minima over sum
    grows with the text, so that it stays sharp.
 
 Step 2 handles what step 1 leaves, so nothing is capped. Equal word sequences are one node from
-the start. Texts without a word are similar to nothing. Components of verified links are the classes.
+the start (128-bit digests). Texts without a word are similar to nothing. Components of verified links are the classes.
+
+A row is known by doc_id and the MD5 of its text, so rows that share a doc_id are judged each by its own text. Rows of a bucket, a family or a node
+that are more than a task should hold are dealt over pieces.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,9 +36,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import NO_ID, Words, join_hot, mix, row_digest, shingles, sliced, written
+from tidemark.llm.common import Words, crowded, discard, join_hot, join_pieces, mix, row_digest, row_struct, shingles, sliced, written
 
 SKETCH_BITS = 8192
+#: Pairs with their texts, and members of a bucket, that one task compares.
+PAIRS_A_PIECE, MEMBERS_A_PIECE = 1000, 2000
 G1, G2, G3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -144,7 +152,7 @@ def signature_rows(config: NearDupConfig):
             bands = pa.ListArray.from_arrays(pa.array(np.arange(words.rows + 1) * config.bands, pa.int32()), flat)
             bits, n_bits = odd_sketch(value, row, count, words.rows)
             sketch = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n_bits)]), pa.int32()), pa.array(bits))
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(row_digest(words)), pa.array(total), bands, sketch], ["key", "node", "size", "bands", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("tid"), pa.array(row_digest(words)), pa.array(total), bands, sketch], ["key", "tid", "node", "size", "bands", "sketch"])
 
     return run
 
@@ -174,31 +182,43 @@ def overlap_rows(config: NearDupConfig):
     return run
 
 
-def with_key(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("key", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
+def keyed(docs: DataFrame) -> list[Column]:
+    """What a row is known by: key (doc_id), tid (MD5 of its text) and a hash of both."""
+    key, tid = F.col("doc_id").cast("long"), F.md5(F.encode("text", "UTF-8"))
+    return [key.alias("key"), tid.alias("tid"), F.xxhash64(key, tid).alias("spot")]
 
 
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, config: NearDupConfig) -> DataFrame:
-    """Similarities of pairs of nodes; texts are fetched by each node's smallest id."""
-    wanted = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct().join(nodes.select("node", "rep"), "node")
-    texts = written(with_key(docs).select("key", "text").join(wanted.withColumnRenamed("rep", "key"), "key").select("node", "text"))
-    both = pairs.select("u", "v").join(texts.toDF("u", "text_u"), "u").join(texts.toDF("v", "text_v"), "v")
-    return written(both.mapInArrow(overlap_rows(config), "u string, v string, similarity double"))
-
-
-def components(links: DataFrame, most: int = 60) -> DataFrame:
-    """(node, component): the smallest node that links lead to. Minima spread over links and pointers jump, until nothing changes."""
+    """Similarities of pairs of nodes (a written table); a node's text is that of its first row."""
+    total = pairs.count()
+    wanted = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct().join(nodes.select("node", F.col("rep.tid").alias("tid"), F.xxhash64("rep.key", "rep.tid").alias("spot")), "node")
+    texts = written(docs.select(*keyed(docs), "text").drop("key").join(wanted, ["spot", "tid"]).dropDuplicates(["spot", "tid"]).select("node", "text"))
+    both = pairs.select("u", "v")
+    for side, other in (("u", "v"), ("v", "u")):
+        both = join_pieces(both, texts.toDF(side, f"text_{side}"), [side], crowded(pairs, [side], total, PAIRS_A_PIECE), F.xxhash64(other))
+    out = written(both.mapInArrow(overlap_rows(config), "u string, v string, similarity double"))
+    discard(texts)
+    return out
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, component): the smallest node that links lead to. Minima spread over links and pointers jump, until nothing changes; labels only fall, so that it ends."""
     both = written(links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
-    label = written(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m")).select("node", F.least("node", "m").alias("component")))
-    for _ in range(most):
-        seen = both.join(label.toDF("v", "seen"), "v").groupBy(F.col("u").alias("node")).agg(F.min("seen").alias("seen"))
-        near = label.join(seen, "node").select("node", F.least("component", "seen").alias("via"), F.col("component").alias("was"))
-        jump = label.toDF("via", "far")
-        new = written(near.join(jump, "via", "left").select("node", F.least("via", F.coalesce("far", "via")).alias("component"), "was"))
-        label = new.select("node", "component")
+    total = both.count()
+    label = written(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("degree")).select("node", F.least("node", "m").alias("component"), "degree"))
+    while True:
+        seen = join_hot(both, label.toDF("v", "seen", "degree"), ["v"], "degree", total).groupBy(F.col("u").alias("node")).agg(F.min("seen").alias("seen"))
+        near = written(label.join(seen, "node").select("node", "degree", F.least("component", "seen").alias("via"), F.col("component").alias("was")))
+        jump = near.groupBy("via").agg(F.count(F.lit(1)).alias("held")).join(label.select(F.col("node").alias("via"), F.col("component").alias("far")), "via")
+        new = written(join_hot(near, jump, ["via"], "held", total, "left").select("node", F.least("via", F.coalesce("far", "via")).alias("component"), "degree", "was"))
+        discard(near, label)
+        label = new.select("node", "component", "degree")
+        label.scratch = new.scratch
         if not new.where(F.col("component") != F.col("was")).limit(1).count():
-            return label
-    raise RuntimeError("components did not settle")
+            discard(both)
+            out = new.select("node", "component")
+            out.scratch = new.scratch
+            return out
 
 
 def unequal_bits(a: Column, b: Column) -> Column:
@@ -213,23 +233,22 @@ def unequal_bits(a: Column, b: Column) -> Column:
     return F.aggregate(differing, F.lit(0), lambda total, x: total + x)
 
 
-def near_dup_classes(docs: DataFrame, config: NearDupConfig = NearDupConfig()) -> DataFrame:
-    """One row per row of ``docs``: doc_id, node, class_id (smallest doc_id of the class), class_size, n_links, kept.
-
-    ``kept`` marks the rows of the smallest doc_id of a class. n_links counts the verified links of the row's
-    text to other texts. A text without words (null, empty, punctuation) is its own class and is kept; a null
-    doc_id takes part and has a null class_id only if its whole class has none. A repeated row is repeated.
-    """
-    signed = written(with_key(docs).select("key", "text").mapInArrow(signature_rows(config), "key long, node string, size long, bands array<bigint>, sketch array<bigint>"))
-    nodes = written(signed.where("size > 0").groupBy("node").agg(F.min("key").alias("rep"), F.min("size").alias("size"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
+def judged(docs: DataFrame, config: NearDupConfig) -> DataFrame:
+    """One row per row of ``docs``: key, tid, n_shingles, class_size, n_links, first (the class's first row: no_id, key, tid)."""
+    shape = "key long, tid string, node string, size long, bands array<bigint>, sketch array<bigint>"
+    signed = written(docs.select(*keyed(docs), "text").drop("spot").mapInArrow(signature_rows(config), shape))
+    itself = F.struct(F.col("key").isNull().alias("no_id"), "key", "tid")
+    nodes = written(signed.where("size > 0").groupBy("node").agg(F.min(itself).alias("rep"), F.min("size").alias("size"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
     members = written(nodes.select("node", "size", F.explode("bands").alias("band")))
     total = members.count()
     held = written(members.groupBy("band").agg(F.count(F.lit(1)).alias("held")).where("held > 1"))
-    members = written(join_hot(members, held, ["band"], "held", total))
+    shared = written(join_hot(members, held, ["band"], "held", total))
+    discard(members)
     # The node that shares most bands with others is near the middle of its family: it is compared first.
-    rank = members.groupBy("node").agg(F.sum("held").alias("central"))
-    placed = members.join(rank, "node").withColumn("component", F.col("node"))
+    rank = shared.groupBy("node").agg(F.sum("held").alias("central"))
+    placed = shared.join(rank, "node").withColumn("component", F.col("node"))
     links = label = None
+    used = [held, shared]
     for k in range(config.rounds):
         placed = written(placed)
         order = F.struct("central", "node") if k == 0 else F.struct(F.xxhash64("node", F.lit(k)).alias("central"), "node")
@@ -237,46 +256,72 @@ def near_dup_classes(docs: DataFrame, config: NearDupConfig = NearDupConfig()) -
         pivots = written(pivots.select("band", "held", F.col("p.o.node").alias("pivot"), F.col("p.size").alias("pivot_size"), F.col("p.component").alias("pivot_component")))
         near = join_hot(placed.drop("held"), pivots, ["band"], "held", total)
         fits = F.least("size", "pivot_size") >= config.threshold * F.greatest("size", "pivot_size")
-        asked = near.where((F.col("component") != F.col("pivot_component")) & fits).select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
-        star = verified(written(asked), docs, nodes, config)
+        asked = written(near.where((F.col("component") != F.col("pivot_component")) & fits).select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct())
+        star = verified(asked, docs, nodes, config)
         found = star.where(F.col("similarity") >= config.threshold)
         links = found if links is None else links.unionByName(found)
         label = components(links)
         away = near.join(star.select(F.col("u").alias("node"), F.col("v").alias("pivot"), (1 - F.col("similarity")).alias("away")), ["node", "pivot"], "left")
         away = away.select("band", "node", F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.col("away")).alias(f"away{k}"))
+        used += [placed, pivots, asked, star, label]
         placed = placed.drop("component").join(label, "node", "left").withColumn("component", F.coalesce("component", "node")).join(away, ["band", "node"], "left")
     placed = written(placed)
 
     # What still shares a bucket with another component: all such pairs, unless sizes or the distances to the pivots exclude them.
-    most = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("band").agg(F.max(F.struct("n", "component")).alias("m"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("band", F.col("m.component").alias("home"))
-    mixed = written(placed.join(most, "band").join(nodes.select("node", "sketch"), "node"))
+    most = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"), F.max("held").alias("held")).groupBy("band").agg(F.max(F.struct("n", "component")).alias("m"), F.max("held").alias("held"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("band", "held", F.col("m.component").alias("home"))
+    # Sizes within the threshold are at most one class apart.
+    scale = F.floor(F.log("size") / max(-math.log(config.threshold) * 1.001, 1e-3)).cast("int")
+    mixed = written(join_hot(placed.drop("held"), most, ["band"], "held", total).join(nodes.select("node", "sketch"), "node").withColumn("scale", scale))
     slack = 1 - config.threshold + 1e-9
     apart = [f"away{k}" for k in range(config.rounds)]
-    rest = mixed.where("component <> home").select("band", F.col("node").alias("u"), F.col("size").alias("size_u"), F.col("component").alias("component_u"), F.col("sketch").alias("sketch_u"), *[F.col(c).alias(f"{c}_u") for c in apart])
+    rest = mixed.where("component <> home").select("band", F.col("node").alias("u"), F.col("size").alias("size_u"), F.col("component").alias("component_u"), F.col("sketch").alias("sketch_u"), *[F.col(c).alias(f"{c}_u") for c in apart], F.explode(F.array(F.col("scale") - 1, F.col("scale"), F.col("scale") + 1)).alias("scale"))
     near = (F.col("component") != F.col("component_u")) & (F.least("size", "size_u") >= config.threshold * F.greatest("size", "size_u"))
     for c in apart:
         near = near & F.coalesce((F.abs(F.col(c) - F.col(f"{c}_u")) <= slack) & (F.col(c) > 0) & (F.col(f"{c}_u") > 0), F.lit(True))
     near = near & (unequal_bits(F.col("sketch"), F.col("sketch_u")) <= (F.col("size") + F.col("size_u")) * config.most_apart + 1e-6)
-    second = written(mixed.select("band", "node", "size", "component", "sketch", *apart).join(rest, "band").where(near).select(F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v")).distinct())
+    crowd = crowded(mixed, ["band", "scale"], total, MEMBERS_A_PIECE)
+    met = join_pieces(mixed.select("band", "scale", "node", "size", "component", "sketch", *apart), rest, ["band", "scale"], crowd, F.xxhash64("node"))
+    second = written(met.where(near).select(F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v")).distinct())
+    used += [placed, mixed, second]
     if second.limit(1).count():
-        more = verified(second, docs, nodes, config).where(F.col("similarity") >= config.threshold)
+        more = verified(second, docs, nodes, config)
+        used.append(more)
+        more = more.where(F.col("similarity") >= config.threshold)
         links = links.unionByName(more)
         if more.limit(1).count():
             label = components(links)
+            used.append(label)
 
     links = links.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     degree = links.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    whole = nodes.join(label, "node", "left").withColumn("component", F.coalesce("component", "node")).join(degree, "node", "left")
-    size = whole.groupBy("component").agg(F.sum("n").alias("class_size"), F.min("rep").alias("first"))
-    facts = written(whole.join(size, "component").select("node", "n", "class_size", "first", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
-    ids = signed.select("key", "node", F.col("size").alias("n_shingles"))
-    out = join_hot(ids.where("n_shingles > 0"), facts, ["node"], "n", total).select("key", "node", "n_shingles", "class_size", "first", "n_links")
-    alone = ids.where("n_shingles = 0").select("key", "node", "n_shingles", F.lit(1).cast("long").alias("class_size"), F.col("key").alias("first"), F.lit(0).cast("long").alias("n_links"))
-    out = out.unionByName(alone)
-    return out.select(F.when(F.col("key") != NO_ID, F.col("key")).alias("doc_id"), F.when(F.col("first") != NO_ID, F.col("first")).alias("class_id"), "class_size", "n_links", "n_shingles", (F.col("key") == F.col("first")).alias("kept"))
+    whole = written(nodes.select("node", "rep", "n").join(label, "node", "left").withColumn("component", F.coalesce("component", "node")).join(degree, "node", "left"))
+    size = whole.groupBy("component").agg(F.sum("n").alias("class_size"), F.min("rep").alias("first"), F.count(F.lit(1)).alias("members"))
+    facts = written(join_hot(whole, size, ["component"], "members", total).select("node", "n", "class_size", "first", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+    discard(nodes, whole, *used)
+    ids = signed.select("key", "tid", "node", F.col("size").alias("n_shingles"))
+    out = join_hot(ids.where("n_shingles > 0"), facts, ["node"], "n", total)
+    alone = ids.where("n_shingles = 0").select("*", F.lit(1).cast("long").alias("class_size"), itself.alias("first"), F.lit(0).cast("long").alias("n_links"))
+    return out.drop("n").unionByName(alone).select("key", "tid", "n_shingles", "class_size", "n_links", "first", itself.eqNullSafe(F.col("first")).alias("kept"))
+
+
+def near_dup_classes(docs: DataFrame, config: NearDupConfig = NearDupConfig()) -> DataFrame:
+    """One row per row of ``docs``: doc_id, class_id (smallest doc_id of the class), class_size, n_links, n_shingles, kept.
+
+    ``kept`` marks the class's first row: the smallest doc_id (a null one comes last) and, where several texts of the class have it, the smallest MD5 of a text;
+    rows that agree in both are repeated rows and are all marked. n_links counts the verified links of the row's text to other texts. A text without words (null,
+    empty, punctuation) is its own class and is kept; a null doc_id takes part and has a null class_id only if its whole class has none.
+    """
+    out = judged(docs, config)
+    return out.select(F.col("key").alias("doc_id"), F.col("first.key").alias("class_id"), "class_size", "n_links", "n_shingles", "kept")
 
 
 def drop_near_duplicates(docs: DataFrame, config: NearDupConfig = NearDupConfig()) -> DataFrame:
-    """The rows of ``docs`` without those whose class has a smaller doc_id. Repeated rows of the doc_id that stays all stay."""
-    gone = near_dup_classes(docs, config).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    """One row of ``docs`` for each class, its first row (see ``near_dup_classes``; of repeated rows any one), and all rows without words. A null class is like any other."""
+    verdict = written(judged(docs, config).where("n_shingles > 0").groupBy("key", "tid").agg(F.first("kept").alias("kept"), F.count(F.lit(1)).alias("n")).select(F.xxhash64("key", "tid").alias("spot"), "tid", "kept", "n"))
+    carried = docs.select(*keyed(docs), row_struct(docs).alias("row")).drop("key")
+    gone = verdict.where("not kept or n > 1").select("spot", "tid")
+    out = carried.join(gone, ["spot", "tid"], "left_anti").select("row")
+    repeated = verdict.where("kept and n > 1").select("spot", "tid")
+    if repeated.limit(1).count():
+        out = out.unionByName(carried.join(repeated, ["spot", "tid"]).dropDuplicates(["spot", "tid"]).select("row"))
+    return out.select("row.*")

@@ -48,9 +48,18 @@ widths as (select distinct n from grams),
 spots as (select doc_id, k, n, w[k:k + n - 1] as g from words, widths, unnest(range(1, len(w) - n + 2)) as t(k)),
 found as (select s.doc_id, s.k, s.n, i.item_id from spots s join grams i on s.n = i.n and s.g = i.g),
 hits as (select doc_id, count(distinct k + j) as n_hit from found, unnest(range(0, n)) as t(j) group by doc_id),
-ids as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as listed from (select distinct doc_id, item_id::varchar as item from found) group by doc_id)
-select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(listed, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
-from words left join hits using (doc_id) left join ids using (doc_id)
+ids as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as listed from (select distinct doc_id, item_id::varchar as item from found) group by doc_id),
+frequency as (select x, count(*) as c from (select unnest(w) as x from words) group by x),
+phrases as (select g, list_distinct(g) as terms from (select distinct g from grams)),
+rarest as (select g, any_value(p.terms) as terms, arg_min(x, c) as x from (select g, terms, unnest(terms) as x from phrases) p join frequency using (x) group by g having count(*) = len(any_value(p.terms))),
+places as (select doc_id, unnest(w) as x, generate_subscripts(w, 1) as k from words),
+around as (select distinct p.doc_id, r.g, r.terms, d.w[greatest(p.k - 14, 1):p.k + 14] as part from places p join rarest r using (x) join words d on d.doc_id = p.doc_id),
+near as (select distinct doc_id, g from around where list_has_all(part, terms) and len(list_filter(range(1, greatest(len(part) - 14, 1) + 1),
+    lambda s: len(list_filter(terms, lambda t: len(list_filter(part[s:s + 14], lambda y: y = t)) < len(list_filter(g, lambda y: y = t)))) = 0)) > 0),
+close as (select doc_id, count(distinct item_id) as n_near from near join grams using (g) group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(listed, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated,
+  coalesce(n_near, 0)::bigint as n_near_items
+from words left join hits using (doc_id) left join ids using (doc_id) left join close using (doc_id)
 """
 
 OP8_SQL = """
