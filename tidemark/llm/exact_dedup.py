@@ -1,8 +1,8 @@
 """Exact deduplication against a persistent digest index, bucketed and sorted by digest.
 
 The index is a warehouse table with one row for each digest ever kept. A batch is reduced to one row per
-digest, sort-merge anti-joined with the index (whose side needs no shuffle and no sort), and what is new is
-appended in the same buckets. DataFrame functions only.
+digest, sort-merge anti-joined with the index (whose side needs no shuffle: it is bucketed by the join key), and what is new is
+appended in the same buckets. What stays is then read from the index. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -12,47 +12,86 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import join_hot, lower_ascii, written
+from tidemark.llm.common import discard, join_hot, lower_ascii, written
+
+BATCHES = 3
+
+
+def digested(docs: DataFrame) -> DataFrame:
+    """doc_id and digest of the normalised text (A-Z lowered, null as empty)."""
+    normal = F.encode(lower_ascii(F.coalesce("text", F.lit(""))), "UTF-8")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2(normal, 256).alias("digest"))
 
 
 class DigestIndex:
-    """Digests seen so far: ``digest`` (SHA-256, hex), ``keep_id`` (doc_id that stays), ``batch``."""
+    """Digests seen so far: ``digest`` (SHA-256, hex), ``keep_id`` (doc_id that stays), ``batch`` (that brought it).
 
-    def __init__(self, spark: SparkSession, name: str | None = None, buckets: int = 64) -> None:
-        self.spark, self.name, self.buckets = spark, name or f"digest_index_{uuid.uuid4().hex}", buckets
-        if not spark.catalog.tableExists(self.name):
+    A new index gets as many buckets as the session has shuffle partitions, unless ``buckets`` says otherwise: an index that is to
+    hold much more than its first batch should be given more.
+    """
+
+    def __init__(self, spark: SparkSession, name: str | None = None, buckets: int | None = None) -> None:
+        self.spark, self.name = spark, name or f"digest_index_{uuid.uuid4().hex}"
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        if spark.catalog.tableExists(self.name):
+            known = spark.sql(f"describe extended {self.name}").where("col_name = 'Num Buckets'").first()
+            self.buckets = int(known["data_type"]) if known else self.buckets
+        else:
             self._append(spark.createDataFrame([], "digest string, keep_id long, batch string"), "overwrite")
 
     def _append(self, rows: DataFrame, mode: str = "append") -> None:
-        rows.write.mode(mode).format("parquet").bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.name)
+        """Dealt by bucket first, so that a batch adds one file to each."""
+        rows.repartition(self.buckets, "digest").write.mode(mode).format("parquet").bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.name)
 
     def table(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def ingest(self, docs: DataFrame, batch: str = "0") -> DataFrame:
-        """Decide on each row of ``docs`` and append new digests.
+    def drop(self) -> None:
+        self.spark.sql(f"drop table if exists {self.name}")
+
+    def add(self, groups: DataFrame, batch: str) -> None:
+        """Append the rows of ``groups`` (digest, last_id) whose digest the index lacks. Adding a batch again appends nothing."""
+        new = groups.hint("merge").join(self.table().select("digest").hint("merge"), "digest", "left_anti")
+        fresh = written(new.select("digest", F.col("last_id").alias("keep_id"), F.lit(batch).alias("batch")))
+        self._append(fresh)
+        discard(fresh)
+
+    def ingest(self, docs: DataFrame, batch: str) -> DataFrame:
+        """Decide on each row of ``docs`` and append new digests; ``batch`` names these rows.
 
         Texts are equal if identical after lower-casing A-Z; null counts as empty. Of the batch's rows with a text
-        that the index lacks, the largest doc_id stays; a text that the index has is dropped wholly, with the
+        that no other batch brought, the largest doc_id stays; a text of another batch is dropped wholly, with the
         keep_id stored there. group_size counts the batch. A null doc_id is smaller than any; repeated rows of the
-        keep_id are all marked kept. An empty batch changes nothing. Other columns of ``docs`` are ignored.
+        keep_id are all marked kept. An empty batch changes nothing. The same batch again gets the same answers. Other columns of ``docs`` are ignored.
         """
-        normal = F.encode(lower_ascii(F.coalesce("text", F.lit(""))), "UTF-8")
-        rows = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2(normal, 256).alias("digest")))
-        groups = written(rows.groupBy("digest").agg(F.max("doc_id").alias("last_id"), F.count(F.lit(1)).alias("group_size")))
-        old = self.table().select("digest", "keep_id")
-        new = groups.hint("merge").join(old.hint("merge"), "digest", "left_anti")
-        fresh = written(new.select("digest", F.col("last_id").alias("keep_id"), F.lit(batch).alias("batch")))
-        seen = groups.hint("merge").join(old.hint("merge"), "digest").select("digest", "keep_id", "group_size", F.lit(False).alias("new"))
-        first = groups.join(fresh, "digest").select("digest", "keep_id", "group_size", F.lit(True).alias("new"))
-        facts = written(first.unionByName(seen))
-        self._append(fresh)
-        total = rows.count()
-        return join_hot(rows, facts, ["digest"], "group_size", total).select(
-            "doc_id", "keep_id", "group_size", (F.col("new") & F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"), F.col("digest").alias("text_sha256")
-        )
+        return self.decide(written(digested(docs).withColumn("step", F.lit(0))), [batch])
+
+    def decide(self, rows: DataFrame, batches: list[str]) -> DataFrame:
+        """Add ``rows`` (doc_id, digest, step) step by step as ``batches`` and tell what the index then says of each row."""
+        groups = written(rows.groupBy("digest", "step").agg(F.max("doc_id").alias("last_id"), F.count(F.lit(1)).alias("n")))
+        for k, batch in enumerate(batches):
+            self.add(groups.where(F.col("step") == k), batch)
+        whole = groups.groupBy("digest").agg(F.sum("n").alias("group_size"))
+        facts = written(whole.hint("merge").join(self.table().hint("merge"), "digest").select("digest", "keep_id", "group_size", F.col("batch").isin(batches).alias("new")))
+        discard(groups)
+        kept = F.col("new") & F.col("doc_id").eqNullSafe(F.col("keep_id"))
+        return join_hot(rows.drop("step"), facts, ["digest"], "group_size", rows.count()).select("doc_id", "keep_id", "group_size", kept.alias("kept"), F.col("digest").alias("text_sha256"))
+
 
+def exact_duplicates(docs: DataFrame, index: DigestIndex | None = None, batches: int = BATCHES) -> DataFrame:
+    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
-def exact_duplicates(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
-    """``docs`` as one batch of ``index``, or of a new one."""
-    return (index or DigestIndex(docs.sparkSession)).ingest(docs)
+    The rows go into ``index`` (or one made for this call and dropped at its end) in ``batches`` by descending doc_id, so that the first batch with a text holds its largest
+    doc_id and later ones are dropped by the anti-join; null doc_ids come last. Ties and repeated rows as in ``DigestIndex.ingest``.
+    """
+    spark, own, run = docs.sparkSession, index is None, uuid.uuid4().hex[:8]
+    index = index or DigestIndex(spark)
+    rows = written(digested(docs))
+    cuts = rows.agg(F.percentile_approx("doc_id", [k / batches for k in range(batches - 1, 0, -1)] or [0.5])).first()[0] or []
+    step = F.lit(0)
+    for cut in cuts[: batches - 1]:
+        step = step + F.coalesce((F.col("doc_id") <= cut).cast("int"), F.lit(1))
+    out = index.decide(rows.withColumn("step", step), [f"{run}-{k}" for k in range(batches)])
+    if own:
+        index.drop()
+    return out

@@ -5,13 +5,14 @@
 3. Documents join their frequencies with the piece counts. The most frequent pre-tokens (``HEAD`` rows at most) are sent to the tasks and
    summed there; all other frequencies meet the vocabulary in a shuffle join, so the vocabulary may be of any size.
 
-Where a tokenizer drops white space, no piece reaches over a space, so the pre-token that is counted is a run of other characters (with A-Z
+Where a tokenizer's file says that it drops white space, no piece reaches over a space, so the pre-token that is counted is a run of other characters (with A-Z
 lower-cased if the tokenizer does so); its pieces are the sum over what the tokenizer's own pre-tokenizer makes of it. Other tokenizers' pre-tokens
 are taken from their pre-tokenizer directly.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections import Counter
@@ -37,8 +38,26 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-#: Texts that show whether a tokenizer splits at white space and lower-cases.
-PROBES = ["a b", "It's 12 o'clock!! x_y", "é\u0301 ñ ß—d", "日本 x\ty\nz", "THE'VE don't ###'s 'll"]
+#: Fixed value: the split pattern of the word tokenizer's file; none of its alternatives takes white space.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+DROPS_SPACE = {"Whitespace", "WhitespaceSplit", "BertPreTokenizer"}
+
+
+def steps_of(part) -> list[dict]:
+    """The steps of a normalizer or pre-tokenizer as its file lists them."""
+    if part is None:
+        return []
+    state = json.loads(part.__getstate__())
+    return state.get("normalizers") or state.get("pretokenizers") or [state]
+
+
+def splits_at_space(normal: list[dict], split: list[dict]) -> bool:
+    """Whether the listed steps can be taken run by run between white space: each normalizing step works on characters and their marks, the first split
+    drops white space, and what follows works inside a piece."""
+    by_character = all(s["type"] in ("NFC", "Lowercase") or (s["type"] == "Replace" and s["pattern"] == {"Regex": r"\s+"} and s["content"] == " ") for s in normal)
+    first, rest = (split[0], split[1:]) if split else ({"type": None}, [])
+    words = first["type"] in DROPS_SPACE or (first["type"] == "Split" and first["pattern"] == {"Regex": WORD_PATTERN} and first["behavior"] == "Removed" and first["invert"])
+    return by_character and words and all(s["type"] == "ByteLevel" and not s["use_regex"] and not s["add_prefix_space"] for s in rest)
 
 
 class PreTokenizer:
@@ -50,11 +69,15 @@ class PreTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.normalizer, self.splitter, self.model = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer, self.tokenizer.model
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        added = list(self.tokenizer.get_added_tokens_decoder().values())
+        if any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added):
+            raise ValueError("added tokens that depend on what stands beside them, or on normalized text, are not counted here")
+        special = [t.content for t in added]
         self.special = re.compile("|".join(re.escape(s) for s in sorted(special, key=len, reverse=True))) if special else None
         self.marks = tuple({s[:2] for s in special})
-        self.by_space = all(self.fine(t) == [p for w in BREAK.split(t) for p in self.fine(w)] for t in PROBES)
-        self.lowers = self.by_space and self.fine("ABC Xyz") == self.fine("abc xyz")
+        normal, split = steps_of(self.normalizer), steps_of(self.splitter)
+        self.by_space = splits_at_space(normal, split)
+        self.lowers = self.by_space and any(s["type"] == "Lowercase" for s in normal)
 
     def fine(self, text: str) -> list[str]:
         normal = self.normalizer.normalize_str(text) if self.normalizer else text
@@ -112,7 +135,7 @@ def piece_rows(path: str):
 
 
 def document_rows(path: str, head):
-    """For each document one row of what the head covers (its pre_token matches nothing), and one for each other distinct pre-token."""
+    """For each document one row of its id, bytes and what the head covers, with a null pre_token, and one for each other distinct pre-token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pre, known = PreTokenizer(path), head.value
@@ -129,7 +152,7 @@ def document_rows(path: str, head):
                     else:
                         covered += n * times
                 uid += 1
-                names += [f"\x00{uid}", *rest]
+                names += [None, *rest]
                 counts += [covered, *rest.values()]
                 uids += [uid] * (len(rest) + 1)
                 ids += [key, *[None] * len(rest)]
@@ -163,9 +186,12 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = 2048, he
     vocabulary = written(counts.mapInArrow(piece_rows(path), "pre_token string, n long, pieces int"))
     top = frequent(vocabulary, head).select("pre_token", "pieces").toPandas()
     known = spark.sparkContext.broadcast(dict(zip(top["pre_token"].tolist(), top["pieces"].tolist(), strict=True)))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(document_rows(path, known), "uid long, doc_id long, n_bytes long, pre_token string, n long")
-    joined = rows.join(vocabulary.select("pre_token", "pieces"), "pre_token", "left")
-    out = joined.groupBy("uid").agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum(F.col("n") * F.coalesce("pieces", F.lit(1))).alias("n_tokens"))
+    # Written, so that a task that runs again changes no uid that others have seen.
+    rows = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(document_rows(path, known), "uid long, doc_id long, n_bytes long, pre_token string, n long"))
+    whole = rows.where("pre_token is null").select("uid", "doc_id", "n_bytes", "n")
+    joined = rows.where("pre_token is not null").select("uid", "pre_token", "n").join(vocabulary.select("pre_token", "pieces"), "pre_token")
+    parts = joined.select("uid", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("n_bytes"), (F.col("n") * F.col("pieces")).alias("n"))
+    out = whole.unionByName(parts).groupBy("uid").agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum("n").alias("n_tokens"))
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
