@@ -3,10 +3,11 @@
 A model holds, for each language, the log probability of hashed byte trigrams inside words (Unicode lower case; a
 word is a run of a-z and characters beyond ASCII). A document's words are a mixture: expectation-maximisation estimates the
 languages' proportions from the words' likelihoods, and the set of languages is the one of the largest
-``log-likelihood - penalty * ln(words) * (languages - 1)`` among the sets of the most present 1, 2, ... languages.
+``log-likelihood - penalty * ln(words) * (languages - 1)`` among the best single language and the sets of the 2, 3, ... most present languages of the
+mixture of all. Larger sets are tried as long as they can win: the log-likelihood is concave in the proportions, so its gradient bounds what any mixture can reach.
 
 The model is counted over all given rows by a partial sum in each task and a sum by (language, trigram); what reaches the driver
-is bounded by ``MOST_LANGUAGES`` x ``TABLE`` numbers, however large the corpus is.
+is one table of ``TABLE`` 4-byte numbers for each language, however large the corpus is.
 """
 
 from __future__ import annotations
@@ -19,14 +20,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import FALSE, sliced, table, text_buffers
+from tidemark.llm.common import FALSE, discard, row_struct, sliced, table, text_buffers, written
 
 TABLE = 1 << 16
-MOST_LANGUAGES = 256
+#: A model of so many languages is 256 MB in every task; labels of more kinds are refused, not cut.
+MOST_LANGUAGES = 1024
 SMOOTH = 0.5
 PENALTY = 2.0
-MOST_IN_SET = 4
-ROUNDS = 6
+#: Expectation-maximisation of a document ends when no proportion moves by more.
+TOLERANCE = 1e-4
+TINY = 1e-30
 LETTER = np.zeros(256, bool)
 LETTER[0x61:0x7B] = LETTER[0x80:] = True
 
@@ -82,19 +85,30 @@ class Model:
         self.languages, self.log_p = languages, log_p  # log_p: TABLE x languages
 
 
+def language_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each language's log probabilities of all slots, from its list of counted ones."""
+    for batch in batches:
+        packed = []
+        for entries in batch.column("entries"):
+            flat = entries.values
+            dense = np.full(TABLE, SMOOTH)
+            dense[np.asarray(flat.field("slot"))] += np.asarray(flat.field("n"))
+            packed.append(np.log(dense / dense.sum()).astype(np.float32).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(packed, pa.binary())], ["lang", "log_p"])
+
+
 def fit(labelled: DataFrame) -> Model | None:
     """From rows with text and lang; rows with a null in either are left out. None if nothing is left."""
     usable = labelled.select("text", F.col("lang").cast("string").alias("lang")).where("text is not null and lang is not null")
-    counts = usable.mapInArrow(gram_counts, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
-    found = counts.limit(MOST_LANGUAGES * TABLE + 1).toPandas()
-    languages = sorted(found["lang"].unique())
-    if not languages:
-        return None
-    if len(languages) > MOST_LANGUAGES:
+    counts = written(usable.mapInArrow(gram_counts, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")))
+    if counts.select("lang").distinct().count() > MOST_LANGUAGES:
         raise ValueError(f"over {MOST_LANGUAGES} languages")
-    dense = np.full((len(languages), TABLE), SMOOTH)
-    np.add.at(dense, ([languages.index(x) for x in found["lang"]], found["slot"].to_numpy()), found["n"].to_numpy())
-    return Model(languages, np.ascontiguousarray(np.log(dense / dense.sum(1, keepdims=True)).T.astype(np.float32)))
+    entries = counts.groupBy("lang").agg(F.collect_list(F.struct("slot", "n")).alias("entries"))  # at most TABLE
+    found = sorted((r["lang"], bytes(r["log_p"])) for r in entries.mapInArrow(language_tables, "lang string, log_p binary").collect())
+    discard(counts)
+    if not found:
+        return None
+    return Model([lang for lang, _ in found], np.ascontiguousarray(np.stack([np.frombuffer(b, np.float32) for _, b in found], axis=1)))
 
 
 def by_row(values: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -102,14 +116,63 @@ def by_row(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, first, axis=0)
 
 
-def mixture(likelihood: np.ndarray, first: np.ndarray, count: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Proportions and log-likelihoods (less the words' maxima) by ``ROUNDS`` of EM; ``allowed``: rows x languages."""
-    share = allowed / allowed.sum(1, keepdims=True)
-    for _ in range(ROUNDS):
-        part = likelihood * np.repeat(share, count, axis=0)
-        part /= np.maximum(part.sum(1, keepdims=True), 1e-30)
-        share = by_row(part, first) / count[:, None]
-    return share, by_row(np.log(np.maximum((likelihood * np.repeat(share, count, axis=0)).sum(1), 1e-30)), first)
+def of_rows(values: np.ndarray, count: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words, counts and first words of the rows that ``keep`` marks."""
+    left = count[keep]
+    return values[np.repeat(keep, count)], left, np.cumsum(left) - left
+
+
+def mixture(likelihood: np.ndarray, first: np.ndarray, count: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Proportions by EM, log-likelihoods (less the words' maxima), and a bound that no mixture of the ``allowed`` languages (rows x languages) exceeds.
+
+    Each round raises the log-likelihood by at least words * (greatest change)^2 / 2, so the rounds end.
+    """
+    share = (allowed / allowed.sum(1, keepdims=True)).astype(np.float64)
+    live, words, n, at = np.arange(len(count)), likelihood, count, first
+    while len(live):
+        part = words * np.repeat(share[live], n, axis=0).astype(np.float32)
+        part /= np.maximum(part.sum(1, keepdims=True), TINY)
+        new = by_row(part.astype(np.float64), at) / n[:, None]
+        moving = np.abs(new - share[live]).max(1) > TOLERANCE
+        share[live] = new
+        if not moving.all():
+            live = live[moving]
+            words, n, at = of_rows(words, n, moving)
+    mixed = np.maximum((likelihood * np.repeat(share, count, axis=0)).sum(1), TINY)
+    value = by_row(np.log(mixed), first)
+    steepest = np.where(allowed > 0, by_row(likelihood / mixed[:, None], first), 0).max(1)
+    return share, value, value + steepest - count
+
+
+def language_sets(words: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Proportions (rows x languages) of the best set for each row; ``words``: log-likelihoods less each word's maximum."""
+    width = words.shape[1]
+    single = by_row(words.astype(np.float64), first)
+    best, value = np.zeros((len(count), width)), single.max(1)
+    best[np.arange(len(count)), single.argmax(1)] = 1
+    penalty = PENALTY * np.log(np.maximum(count, 2))
+    open_ = value < -penalty  # no mixture has a log-likelihood above 0
+    if width < 2 or not open_.any():
+        return best
+    rows = np.flatnonzero(open_)
+    likelihood, n, at = of_rows(np.exp(words), count, open_)
+    spread, top, bound = mixture(likelihood, at, n, np.ones((len(rows), width), np.float32))
+    order = np.argsort(-spread, axis=1, kind="stable")
+    for k in range(2, width + 1):
+        able = bound - penalty[rows] * (k - 1) > value[rows]
+        if not able.any():
+            break
+        rows, order, spread, top, bound = rows[able], order[able], spread[able], top[able], bound[able]
+        likelihood, n, at = of_rows(likelihood, n, able)
+        own, reached = spread, top
+        if k < width:
+            allowed = np.zeros((len(rows), width), np.float32)
+            np.put_along_axis(allowed, order[:, :k], 1, 1)
+            own, reached, _ = mixture(likelihood, at, n, allowed)
+        reached = reached - penalty[rows] * (k - 1)
+        win = reached > value[rows]
+        best[rows[win]], value[rows[win]] = own[win], reached[win]
+    return best
 
 
 def predict_rows(model):
@@ -125,27 +188,7 @@ def predict_rows(model):
             if len(full):
                 words = np.add.reduceat(m.log_p[grams.slot], grams.head, axis=0)
                 words -= words.max(1, keepdims=True)
-                first, n = grams.first[:-1][full], count[full]
-                single = by_row(words.astype(np.float64), first)
-                likelihood = np.exp(words)
-                penalty = PENALTY * np.log(np.maximum(n, 2))
-                best, value = np.zeros((len(full), width)), single.max(1)
-                best[np.arange(len(full)), single.argmax(1)] = 1
-                spread, top = mixture(likelihood, first, n, np.ones((len(full), width), np.float32))
-                more = np.flatnonzero(top - penalty > value)  # else no set of two or more can win
-                if len(more):
-                    pick = np.zeros(len(full), bool)
-                    pick[more] = True
-                    sub, m_n = likelihood[np.repeat(pick, n)], n[more]
-                    m_first = np.cumsum(m_n) - m_n
-                    order = np.argsort(-spread[more], axis=1, kind="stable")
-                    for k in range(2, min(width, MOST_IN_SET) + 1):
-                        allowed = np.zeros((len(more), width), np.float32)
-                        np.put_along_axis(allowed, order[:, :k], 1, 1)
-                        own, ll = mixture(sub, m_first, m_n, allowed)
-                        ll = ll - penalty[more] * (k - 1)
-                        win = ll > value[more]
-                        best[more[win]], value[more[win]] = own[win], ll[win]
+                best = language_sets(words, grams.first[:-1][full], count[full])
                 share[full] = best
             lang = langs[share.argmax(1)].astype(object)
             score = share.max(1)
@@ -195,7 +238,7 @@ def identify(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without those whose text is ``und``."""
     model = fit(docs.where(~held_out(F.col("doc_id"))))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    rows = docs.select(row_struct(docs).alias("row"), "text")
     return predict(rows, model, ["row"]).where("lang_pred <> 'und'").select("row.*")
 
 

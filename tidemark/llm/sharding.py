@@ -16,9 +16,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import join_hot, written
+from tidemark.llm.common import discard, join_hot, written
 
 BUNDLES = 64
+#: Rows that one task ranks: larger hubs are dealt over as many pieces as they need.
+PIECE = 10_000
 #: Cells of a destination: gain classes times hash classes. Their table has at most shards * 64 * HASHES rows.
 HASHES = 64
 
@@ -39,7 +41,9 @@ def propagate(bundles: DataFrame, shards: int, rounds: int, room: float) -> Data
         sums = Window.partitionBy("b").orderBy("g", "h")  # over a shard's cells, which are few
         granted = asked.withColumn("so_far", F.sum("n").over(sums)).join(leaving, "b", "left").where(F.col("so_far") <= F.coalesce("leaving", F.lit(0)) + F.lit(room)).select("b", "g", "h")
         moves = wishes.join(granted, ["b", "g", "h"], "left_semi").select("hub", "bundle", F.col("b").alias("moved"))
-        bundles = written(bundles.join(moves, ["hub", "bundle"], "left").select("hub", "bundle", "n", F.coalesce("moved", "label").alias("label")))
+        after = written(bundles.join(moves, ["hub", "bundle"], "left").select("hub", "bundle", "n", F.coalesce("moved", "label").alias("label")))
+        discard(wishes, bundles)
+        bundles = after
     return bundles
 
 
@@ -47,13 +51,15 @@ def balanced_shards(docs: DataFrame, shards: int = 16, rounds: int = 3, slack: f
     """One row per row of ``docs``: doc_id, size, text_crc32, law ``rows``, shard, slot, grown_shard (null), linked, first_shard.
 
     Size is the UTF-8 bytes plus 1 (null: 1); text_crc32 of null is null. Equal texts are linked, a null text to none. Repeated
-    rows count one by one. Rows that agree in doc_id and text may swap slots. An empty table gives an empty result; extra columns
-    are ignored. Labels of rows are exchangeable inside a bundle; with all doc_ids null, a hub is one bundle.
+    rows count one by one. Rows that agree in doc_id and text may swap slots; rows without doc_id are told apart by their place in the stored table. An empty
+    table gives an empty result; extra columns are ignored. Labels of rows are exchangeable inside a bundle. Under this law a row's shard depends on all
+    rows: cells and pieces for ranking are counted from the table's and the hubs' sizes.
     """
     known = F.col("text").isNotNull()
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.when(known, F.octet_length("text") + 1).otherwise(1).cast("long").alias("size"), F.crc32(F.encode("text", "UTF-8")).alias("text_crc32"), F.when(known, F.md5(F.encode("text", "UTF-8"))).alias("hub"), F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(BUNDLES)).cast("int").alias("bundle"))
-    rows = written(rows)
-    total = rows.count()
+    stored = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.when(known, F.octet_length("text") + 1).otherwise(1).cast("long").alias("size"), F.crc32(F.encode("text", "UTF-8")).alias("text_crc32"), F.when(known, F.md5(F.encode("text", "UTF-8"))).alias("hub")))
+    rows = stored.withColumn("ident", F.coalesce("doc_id", F.xxhash64("_metadata.file_name", "_metadata.row_index")))
+    rows = rows.withColumn("bundle", F.pmod(F.xxhash64(F.lit(seed), "ident"), F.lit(BUNDLES)).cast("int"))
+    total = stored.count()
     hubs = rows.where("hub is not null").groupBy("hub").agg(F.count(F.lit(1)).alias("hub_n")).where("hub_n > 1")
     counts = rows.where("hub is not null").groupBy("hub", "bundle").agg(F.count(F.lit(1)).alias("n"))
     start = written(counts.join(hubs, "hub").select("hub", "bundle", "n", "hub_n", F.pmod("bundle", F.lit(shards)).alias("label")))
@@ -62,21 +68,22 @@ def balanced_shards(docs: DataFrame, shards: int = 16, rounds: int = 3, slack: f
     labels = written(placed)
 
     def shown(part: DataFrame) -> DataFrame:
-        return part.select("doc_id", "size", "text_crc32", "hub", "bundle", "label", F.coalesce("hub_n", F.lit(1)).alias("hub_n"))
+        return part.select("doc_id", "ident", "size", "text_crc32", "hub", "bundle", "label", F.coalesce("hub_n", F.lit(1)).alias("hub_n"))
 
     linked = join_hot(rows.where("hub is not null"), labels, ["hub", "bundle"], "n", total, "left")
     free = rows.where("hub is null").withColumn("label", F.lit(None).cast("int")).withColumn("hub_n", F.lit(1).cast("long"))
     both = shown(linked).unionByName(shown(free)).withColumn("first_shard", F.pmod("bundle", F.lit(shards)))
     label = F.coalesce("label", "first_shard")
-    side = F.when(F.col("hub_n") > 1, 1).otherwise(F.when(F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.lit(2)) == 0, 0).otherwise(2))
-    spot = F.xxhash64(F.coalesce("hub", F.lit("")), F.when(F.col("hub_n") > 1, F.lit(0)).otherwise(F.coalesce("doc_id", F.lit(0))))
-    cells = max(16, int(total / shards / 20_000))  # some 20,000 rows in a cell; a hub above that is spread over its bundles
-    piece = F.when(F.col("hub_n") > 10_000, F.col("bundle")).otherwise(0)
+    side = F.when(F.col("hub_n") > 1, 1).otherwise(F.when(F.pmod(F.xxhash64("ident", F.lit(seed + 1)), F.lit(2)) == 0, 0).otherwise(2))
+    spot = F.xxhash64(F.coalesce("hub", F.lit("")), F.when(F.col("hub_n") > 1, F.lit(0)).otherwise(F.col("ident")))
+    cells = max(16, int(total / shards / (2 * PIECE)))  # some 20,000 rows in a cell
+    piece = F.when(F.col("hub_n") > PIECE, F.pmod(F.xxhash64("ident", F.lit(seed + 2)), F.ceil(F.col("hub_n") / PIECE))).otherwise(0)
     both = both.select("*", F.struct(label.alias("label"), side.alias("side"), F.pmod(spot, F.lit(cells)).cast("int").alias("cell"), piece.cast("int").alias("piece")).alias("at"), spot.alias("spot"))
     both = written(both.select("doc_id", "size", "text_crc32", "hub_n", "first_shard", "spot", "bundle", "at.label", "at.side", "at.cell", "at.piece"))
+    discard(start, labels, stored)
     keys = ["label", "side", "cell", "piece"]
     heights = both.groupBy(*keys).agg(F.count(F.lit(1)).alias("height"))
-    # The cells number shards * 3 * cells plus at most BUNDLES for each hub of over 10,000 rows: a window over them is small beside the rows.
+    # The cells hold some thousands of rows each: a window over a label's cells is small beside its rows.
     by_label = heights.groupBy("label").agg(F.sum("height").alias("label_n"))
     ahead = by_label.select("label", (F.sum("label_n").over(Window.orderBy("label")) - F.col("label_n")).alias("label_start"))  # one row for each shard
     before = Window.partitionBy("label").orderBy("side", "cell", "piece")

@@ -4,8 +4,8 @@ A capture table has record_id, url, ts, kind (``response`` or ``revisit``), stat
 lower-case names) and payload_digest. Each revisit is joined as of its time with the latest earlier full response (status
 200) of the same canonical URL; its validators are checked against that response's and the permitted headers are merged.
 
-The as-of join runs in two steps, so that one URL with a third of all captures is not one task: inside (url, time cell) by a
-window, and between cells by carrying each cell's last response forward.
+The as-of join runs in two steps, so that one URL with a third of all captures is not one task: captures are dealt by ranges of (url, time, record), whose ends Spark takes
+from a sample, so that ranges are even however times are spread; inside a range a window finds the response, and between the ranges of a URL the last one of each is carried forward.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from tidemark.llm.common import table, written
 PERMITTED = ["age", "cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary"]
 #: Query parameters that do not select a page.
 TRACKING = r"(?i)^(utm_[a-z]+|ref|fbclid|gclid|sessionid|sid|phpsessid)(=|$)"
-CELLS = 256
 
 
 def canonical_url(url: Column) -> Column:
@@ -43,21 +42,19 @@ def resolve_revisits(captures: DataFrame) -> DataFrame:
     common validator: joined, not merged), ``orphan`` (no earlier response). Earlier means a smaller ts, or the same ts and a
     smaller record_id; of rows equal in both, any. A revisit with a null url or ts is an orphan; a null headers map is empty.
     Only ``resolved`` rows have merged headers: the response's, with the revisit's permitted ones over them. Repeated revisits
-    give repeated rows; extra columns are ignored.
+    give repeated rows; extra columns are ignored. A null record_id is smaller than any; an empty url is a key like others. An empty table gives no rows.
     """
     rows = captures.select("record_id", canonical_url(F.col("url")).alias("url_key"), "ts", "kind", "status", "etag", "last_modified", F.coalesce("headers", F.create_map().cast("map<string,string>")).alias("headers"), "payload_digest")
-    span = rows.agg(F.min("ts").cast("double").alias("a"), F.max("ts").cast("double").alias("b")).first()
-    low, width = span["a"] or 0.0, max(((span["b"] or 0.0) - (span["a"] or 0.0)) / CELLS, 1e-9)
-    cell = F.least(F.floor((F.col("ts").cast("double") - low) / width), F.lit(CELLS)).cast("int")
     usable = (F.col("kind") == "response") & (F.col("status") == 200)
     full = F.when(usable, F.struct("ts", F.col("record_id").alias("id"), "etag", "last_modified", "headers", "payload_digest"))
-    rows = rows.where("kind = 'revisit' or status = 200").withColumn("full", full).withColumn("cell", cell)
-    placed = rows.where("url_key is not null and ts is not null")
+    rows = rows.where("kind = 'revisit' or status = 200").withColumn("full", full)
+    ranged = rows.where("url_key is not null and ts is not null").repartitionByRange("url_key", "ts", "record_id")
+    placed = written(ranged.withColumn("cell", F.spark_partition_id()))
     order = F.struct("ts", "record_id")
     last = placed.where(usable).groupBy("url_key", "cell").agg(F.max_by("full", order).alias("full"))
     revisits_at = placed.where("kind = 'revisit'").groupBy("url_key", "cell").agg(F.lit(1).alias("x")).select("url_key", "cell", F.lit(None).cast(last.schema["full"].dataType).alias("full"))
     cells = last.unionByName(revisits_at).groupBy("url_key", "cell").agg(F.max_by("full", F.col("full").isNotNull()).alias("full"))
-    earlier = Window.partitionBy("url_key").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)  # at most CELLS + 1 rows a URL
+    earlier = Window.partitionBy("url_key").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)  # a URL has a row for each range it reaches into
     carried = cells.select("url_key", "cell", F.last("full", ignorenulls=True).over(earlier).alias("carried"))
     in_cell = Window.partitionBy("url_key", "cell").orderBy("ts", "record_id").rowsBetween(Window.unboundedPreceding, -1)
     found = placed.withColumn("near", F.last("full", ignorenulls=True).over(in_cell)).where("kind = 'revisit'")
