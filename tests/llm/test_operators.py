@@ -226,14 +226,6 @@ def test_contamination_against_brute_force(spark, odd_docs, no_docs):
     assert sorted((r["doc_id"] or 0) for r in odd) == [0, 7, 7, 9]
 
 
-def test_proximity(spark):
-    from tidemark.llm.decontam import proximity_matches
-
-    postings = spark.createDataFrame([(1, 5, 0), (2, 5, 3), (1, 5, 9), (2, 6, 0), (1, 6, 8)], "term long, key long, pos long")
-    terms = spark.createDataFrame([("p", 1), ("p", 2)], "phrase string, term long")
-    assert rows(proximity_matches(postings, terms, 4), "key", "first_pos", "last_pos") == [(5, 0, 3)]
-
-
 # ---- 5 -------------------------------------------------------------------------------------------
 def test_language_mixture(spark, no_docs):
     from tidemark.llm.langid import identify, keep_identified
@@ -337,7 +329,7 @@ def test_digest_index(spark, odd_docs, no_docs):
     assert [out[i]["keep_id"] for i in range(8)] == [2, 2, 2, 3, 5, 5, 6, 7] and [out[i]["group_size"] for i in range(8)] == [3, 3, 3, 1, 2, 2, 1, 1]
     assert out[0]["text_sha256"] == hashlib.sha256(b"same").hexdigest() and sorted(i for i in out if out[i]["kept"]) == [2, 3, 5, 6, 7]
     index = DigestIndex(spark, buckets=4)
-    index.ingest(as_docs(spark, ["x", "y"]), "1").collect()
+    index.ingest(as_docs(spark, ["x", "y"]), "1")
     second = {r["doc_id"]: r for r in index.ingest(spark.createDataFrame([(7, "Y", "", "", 0), (8, "z", "", "", 0), (9, "Z", "", "", 0)], DOCS), "2").collect()}
     assert (second[7]["keep_id"], second[7]["kept"]) == (1, False) and (second[8]["keep_id"], second[8]["kept"], second[9]["kept"]) == (9, False, True)
     assert DigestIndex(spark, index.name).table().count() == 3
