@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.common import table, written
 from tidemark.llm.decontam import drop_contaminated
 from tidemark.llm.langid import keep_identified
-from tidemark.llm.mixing import poisson_mix
+from tidemark.llm.mixing import mixed
 from tidemark.llm.near_dup import drop_near_duplicates
 from tidemark.llm.sharding import balanced_shards
 
@@ -32,7 +32,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are repeated by a Poisson count; sources weigh as the square root of their bytes."""
-    return poisson_mix(docs).select(*docs.columns)
+    return mixed(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
