@@ -1,4 +1,4 @@
-"""Spark against DuckDB at the smallest size: a part of the registered queries, or all with TIDEMARK_ALL=1."""
+"""Spark against DuckDB at the smallest size: every registered query that has SQL."""
 
 import os
 
@@ -9,10 +9,7 @@ import pytest
 from tidemark.plans import all_oracles, all_queries
 
 SF = "/root/testdata/sf0.001"
-PART = """b01_epochs b04_level_intervals b06_best_quotes b08_update_kind b13_detect_gaps f01_ohlcv f02_twap f07_open_close_quotes f10_ofi_l1 f14_max_run f17_realized_skew f21_sign_autocorr f25_value_area f26_imbalance
-f31_cvd_divergence f33_hawkes f39_fill_empty_bars f43_resample w01_block_threshold w02_regime w03_savgol_causal w15_ema_cross w16_rsi_signal w20_gap_gate w22_data_segments j01_asof_pair j02_funding_cost j10_with_model
-l01_realize_pnl l05_order_gates l12_pair_trades l13_run_metrics l15_walk_forward_folds p01_volume_levels p08_footprint_ladder d02_null_rates d03_readiness s01_bybit_book s06_decode_messages s12_upsert_bars t01_stream_bars t05_barrier""".split()
-NAMES = sorted(all_oracles()) if os.environ.get("TIDEMARK_ALL") else PART
+NAMES = sorted(all_oracles())
 
 
 @pytest.fixture(scope="module")

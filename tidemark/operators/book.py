@@ -8,24 +8,28 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.core import KEY, bucket, in_order
+from tidemark.core import KEY, bucket, over_days
 
 LEVEL = [*KEY, "epoch", "side", "price_str"]
 
 
+def epochs(ticks: DataFrame) -> DataFrame:
+    """Adds epoch (opens at a snapshot or gap), acc_epoch (at a snapshot) and waiting (see B01)."""
+    snap, cut = F.col("msg_type") == "snapshot", F.col("msg_type").isin("snapshot", "gap")
+    mark = F.when(snap, 0).when((F.col("msg_type") == "gap") & (F.col("gap_cause") == "internal_merge_error"), 1)
+    out = over_days(ticks, sums={"epoch": cut.cast("int"), "acc_epoch": snap.cast("int")}, lasts={"waiting": mark})
+    return out.withColumn("waiting", F.coalesce("waiting", F.lit(0)) == 1)
+
+
 def with_epoch(ticks: DataFrame) -> DataFrame:
     """A snapshot or gap opens a book epoch. ``waiting`` marks rows after an ``internal_merge_error`` until the next snapshot."""
-    cut = F.col("msg_type").isin("snapshot", "gap").cast("int")
-    w = in_order()
-    mark = F.when(F.col("msg_type") == "snapshot", 0).when((F.col("msg_type") == "gap") & (F.col("gap_cause") == "internal_merge_error"), 1)
-    return ticks.select("*", F.sum(cut).over(w).alias("epoch"), (F.coalesce(F.last(mark, ignorenulls=True).over(w), F.lit(0)) == 1).alias("waiting"))
+    return epochs(ticks).drop("acc_epoch")
 
 
 def cold_start_filter(ticks: DataFrame) -> DataFrame:
     """Before a key's first snapshot updates wait, and those above its sequence are replayed after it (column ``replayed``); trades stay."""
-    first = Window.partitionBy(*KEY)
-    snap = F.min(F.when(F.col("msg_type") == "snapshot", F.struct("ts", "seq"))).over(first)
-    t = ticks.withColumn("snap", snap)
+    first = ticks.groupBy(*KEY).agg(F.min(F.when(F.col("msg_type") == "snapshot", F.struct("ts", "seq"))).alias("snap"))
+    t = ticks.join(first, KEY)
     early = F.struct("ts", "seq") < F.col("snap")
     update = (F.col("msg_type") == "tick") & (F.col("event_type") == "update")
     buffered = update & F.coalesce(early, F.lit(True))
@@ -35,10 +39,9 @@ def cold_start_filter(ticks: DataFrame) -> DataFrame:
 def synthetic_gaps(ticks: DataFrame, overflow: int = 1000) -> DataFrame:
     """Gap rows that the book itself makes: a snapshot right after a snapshot with no update between (``snapshot_superseded``), a snapshot below half the largest
     sequence seen (``seq_reset``), more than ``overflow`` updates before the first snapshot (``cold_start_buffer_overflow``)."""
-    w, before = in_order(), in_order().rowsBetween(Window.unboundedPreceding, -1)
-    snap, update = F.col("msg_type") == "snapshot", F.col("event_type") == "update"
-    t = ticks.select("*", F.max(F.when(update, F.col("seq"))).over(before).alias("most"), F.sum(snap.cast("int")).over(w).alias("nth"), F.last(F.when(snap | update, F.col("event_type")), ignorenulls=True).over(before).alias("prior"))
-    t = t.withColumn("held", F.when((F.col("nth") == 0) & update, F.sum(update.cast("int")).over(w)))
+    snap, update = F.col("msg_type") == "snapshot", F.coalesce(F.col("event_type") == "update", F.lit(False))
+    t = over_days(ticks, sums={"nth": snap.cast("int"), "updates": update.cast("int")}, priors={"prior": F.when(snap | update, F.col("event_type"))}, tops={"most": F.when(update, F.col("seq"))})
+    t = t.withColumn("held", F.when((F.col("nth") == 0) & update, F.col("updates")))
     cause = F.when(snap & (F.col("prior") == "snapshot"), "snapshot_superseded").when(snap & (F.col("seq") < F.col("most") / 2), "seq_reset").when(F.col("held") == overflow + 1, "cold_start_buffer_overflow")
     return t.withColumn("cause", cause).where("cause is not null").select(*KEY, "ts", "seq", "cause")
 
@@ -46,8 +49,9 @@ def synthetic_gaps(ticks: DataFrame, overflow: int = 1000) -> DataFrame:
 def dedupe_updates(ticks: DataFrame) -> DataFrame:
     """An update whose message sequence is not above all earlier ones is dropped, as is one without side or price; levels of one message (equal sequence and time) stay together."""
     u = ticks.where("msg_type = 'tick' and event_type = 'update' and side in ('buy', 'sell') and price_str is not null and price_str <> ''")
-    before = Window.partitionBy(*KEY).orderBy(F.unix_micros("ts")).rangeBetween(Window.unboundedPreceding, -1)
-    return u.withColumn("most", F.max("seq").over(before)).where("most is null or seq > most").drop("most")
+    # Equal times are one step of the running maximum.
+    at = over_days(u.groupBy(*KEY, "ts").agg(F.max("seq").alias("newest")), tops={"most": F.col("newest")}, order=("ts",)).select(*KEY, "ts", "most")
+    return u.join(at, [*KEY, "ts"]).where("most is null or seq > most").drop("most").select(*u.columns)
 
 
 def level_intervals(ticks: DataFrame) -> DataFrame:
@@ -108,8 +112,7 @@ def best_quotes(ticks: DataFrame) -> DataFrame:
     The unit of work is a key's day; it starts with the levels that are alive at its midnight (from ``level_intervals``), so days run in parallel and no
     task holds more than one.
     """
-    snaps = F.sum((F.col("msg_type") == "snapshot").cast("int")).over(in_order())
-    t = with_epoch(ticks).withColumn("acc_epoch", snaps).withColumn("day", F.to_date("ts"))
+    t = epochs(ticks).withColumn("day", F.to_date("ts"))
     alive = level_intervals(ticks).where("valid_to is null or to_date(valid_to) > to_date(valid_from)")
     last_day = t.groupBy(*KEY, "epoch").agg(F.max("day").alias("last_day"))
     alive = alive.join(last_day, [*KEY, "epoch"])
@@ -123,8 +126,10 @@ def best_quotes(ticks: DataFrame) -> DataFrame:
 
 def with_prev_quote(quotes: DataFrame) -> DataFrame:
     """The quote before each tick, inside its epoch."""
-    w = in_order("book_epoch")
-    return quotes.select("*", *[F.lag(c).over(w).alias(f"prev_{c}") for c in ("bid", "bid_size", "ask", "ask_size")])
+    parts = ["bid", "bid_size", "ask", "ask_size"]
+    out = over_days(quotes, priors={"before": F.struct("book_epoch", *parts)})
+    same = F.col("before.book_epoch") == F.col("book_epoch")
+    return out.select(*quotes.columns, *[F.when(same, F.col(f"before.{c}")).alias(f"prev_{c}") for c in parts])
 
 
 def grid_of(ticks: DataFrame, tf: str) -> DataFrame:
@@ -206,8 +211,7 @@ def detect_gaps(ticks: DataFrame) -> DataFrame:
     for c in ("msg_seq_start", "msg_seq_end"):
         if c not in t.columns:
             t = t.withColumn(c, F.lit(None).cast("long"))
-    w = in_order()
-    t = t.select("*", F.lag("seq").over(w).alias("seq0"), F.lag("msg_seq_end").over(w).alias("end0"))
+    t = over_days(t, priors={"before": F.struct("seq", "msg_seq_end")}).select(*t.columns, F.col("before.seq").alias("seq0"), F.col("before.msg_seq_end").alias("end0"))
     message = F.col("msg_seq_start").isNotNull() & F.col("end0").isNotNull()
     before, after = F.when(message, F.col("end0")).otherwise(F.col("seq0")), F.when(message, F.col("msg_seq_start")).otherwise(F.col("seq"))
     one_message = F.coalesce((F.col("msg_seq_end") == F.col("end0")) & message, F.lit(False))
@@ -249,9 +253,8 @@ def gap_health(gaps: DataFrame, persistent: list[str], n: int, as_of: Column) ->
 
 def snapshot_merge(ticks: DataFrame) -> DataFrame:
     """For each snapshot the oldest update buffered since the one before; stale if that is above its sequence + 1; and how many are replayed."""
-    w = in_order()
     snap = (F.col("msg_type") == "snapshot").cast("int")
-    t = ticks.withColumn("nth", F.sum(snap).over(w) - snap)
+    t = over_days(ticks, sums={"nth": snap}).withColumn("nth", F.col("nth") - snap)
     s = t.where("msg_type = 'snapshot'").select(*KEY, "nth", F.col("seq").alias("snap_seq"), "ts")
     u = t.where("event_type = 'update'").select(*KEY, "nth", "seq")
     out = s.join(u, [*KEY, "nth"], "left").groupBy(*KEY, "ts", "snap_seq").agg(F.min("seq").alias("oldest"), F.count_if(F.col("seq") > F.col("snap_seq")).alias("replayed"))
@@ -260,5 +263,5 @@ def snapshot_merge(ticks: DataFrame) -> DataFrame:
 
 def drop_buffering(ticks: DataFrame) -> DataFrame:
     """Between a gap and the next snapshot trades and updates are dropped; the gap row stays."""
-    state = F.last(F.when(F.col("msg_type") == "gap", 1).when(F.col("msg_type") == "snapshot", 0), ignorenulls=True).over(in_order())
-    return ticks.withColumn("state", state).where("msg_type <> 'tick' or coalesce(state, 0) = 0").drop("state")
+    state = F.when(F.col("msg_type") == "gap", 1).when(F.col("msg_type") == "snapshot", 0)
+    return over_days(ticks, lasts={"state": state}).where("msg_type <> 'tick' or coalesce(state, 0) = 0").drop("state")

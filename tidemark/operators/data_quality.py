@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.core import KEY, bucket
+from tidemark.core import KEY, bucket, over_days
 from tidemark.operators.rolling import time_gaps
 
 
@@ -36,13 +36,22 @@ def readiness(bars: DataFrame, cols: list[str], as_of: Column, good_days: int =
     return bars.select(*KEY).distinct().join(found, KEY, "left").select(*KEY, F.coalesce("failures", F.lit("")).alias("failures"), F.col("failures").isNull().alias("ready"))
 
 
-def contract_check(spark: SparkSession, tables: dict[str, DataFrame], contract: dict[str, dict[str, str]]) -> DataFrame:
-    """Required columns and types of each table: ok, missing or wrong type. Schemas only; no data is read."""
-    rows = []
+def contract_check(spark: SparkSession, tables: dict[str, DataFrame], contract: dict[str, dict[str, tuple[str, Column | None]]]) -> DataFrame:
+    """Required columns of each table, with their type and what their values must meet (a condition, or None): status ok, missing, type or values, and the rows, nulls and
+    values that fail (a null fails no condition). One pass over each table."""
+    out = None
     for name, needed in contract.items():
-        have = dict(tables[name].dtypes) if name in tables else {}
-        rows += [(name, c, t, have.get(c), "ok" if have.get(c) == t else "missing" if c not in have else "type") for c, t in needed.items()]
-    return spark.createDataFrame(rows, "table string, column string, expected string, found string, status string")
+        df, have = tables[name], dict(tables[name].dtypes)
+        facts = []
+        for c, (kind, rule) in needed.items():
+            fits = have.get(c) == kind
+            bad = F.count_if(~rule) if fits and rule is not None else F.lit(0)
+            state = F.lit("missing" if c not in have else "type") if not fits else F.when(bad > 0, "values").otherwise("ok")
+            nulls = F.count_if(F.col(c).isNull()) if c in have else F.count(F.lit(1))
+            facts.append(F.struct(F.lit(c).alias("column"), F.lit(kind).alias("expected"), F.lit(have.get(c)).cast("string").alias("found"), state.alias("status"), nulls.cast("long").alias("nulls"), bad.cast("long").alias("failing")))
+        one = df.agg(F.count(F.lit(1)).alias("rows"), F.array(*facts).alias("facts")).select(F.lit(name).alias("table"), F.explode("facts").alias("f"), "rows").select("table", "f.*", "rows")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def freshness(bars: DataFrame, as_of: Column, most: int = 60) -> DataFrame:
@@ -58,7 +67,6 @@ def rates(ticks: DataFrame, tf: str = "1m") -> DataFrame:
 
 def sustained(series: DataFrame, seconds: int) -> DataFrame:
     """Spans in which ``healthy`` is 0 for at least ``seconds`` (from the first to the last row of the span)."""
-    w = Window.partitionBy(*KEY).orderBy("ts")
-    s = series.withColumn("island", F.sum(F.when(F.col("healthy") == 0, 0).otherwise(1)).over(w)).where("healthy = 0")
+    s = over_days(series, sums={"island": F.when(F.col("healthy") == 0, 0).otherwise(1)}, order=("ts",)).where("healthy = 0")
     spans = s.groupBy(*KEY, "island").agg(F.min("ts").alias("start"), F.max("ts").alias("end"), F.count(F.lit(1)).alias("rows")).drop("island")
     return spans.where(F.unix_seconds("end") - F.unix_seconds("start") >= seconds)

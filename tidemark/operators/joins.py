@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.core import KEY
+from tidemark.core import KEY, over_days
 
 
 def asof_backward(left: DataFrame, right: DataFrame, by: list[str], value: list[str], tolerance: float | None = None) -> DataFrame:
@@ -19,8 +19,7 @@ def asof_backward(left: DataFrame, right: DataFrame, by: list[str], value: list[
     row = left.select(*by, "ts", F.struct(*[left[c] for c in names]).alias("row"), F.lit(1).alias("side"))
     ref = r.select(*by, "ts", F.struct(F.col("ts").alias("right_ts"), *[F.col("v")[c].alias(c) for c in value]).alias("ref"), F.lit(0).alias("side"))
     both = row.unionByName(ref, allowMissingColumns=True)
-    seen = F.last("ref", ignorenulls=True).over(Window.partitionBy(*by).orderBy("ts", "side"))
-    out = both.withColumn("ref", seen).where("side = 1")
+    out = over_days(both, lasts={"seen": F.col("ref")}, by=by, order=("ts", "side")).withColumn("ref", F.col("seen")).where("side = 1")
     near = F.col("ref") if tolerance is None else F.when(F.unix_micros("ts") - F.unix_micros("ref.right_ts") <= int(tolerance * 1e6), F.col("ref"))
     out = out.withColumn("ref", near)
     return out.select(*by, "ts", *[F.col("row")[c].alias(c) for c in names], F.col("ref.right_ts").alias("right_ts"), *[F.col("ref")[c].alias(c) for c in value])

@@ -10,19 +10,21 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.core import KEY, ratio
+from tidemark.core import KEY, over_days, ratio
 
 BOOK = ["strategy", *KEY]
-FILL_ORDER = ["ts", "seq"]
+FILL_ORDER = ("ts", "seq")
 
 
 def book_order():
     return Window.partitionBy(*BOOK).orderBy(*FILL_ORDER)
 
 
-def _average_cost(rows: pd.DataFrame) -> pd.DataFrame:
+def _with_costs(rows: pd.DataFrame) -> pd.DataFrame:
+    """The fills of one book's day from what it held and what that had cost at the day's start."""
     rows = rows.sort_values("nth", kind="stable")
-    held = cost = 0.0
+    held, value = float(rows["held_"].iloc[0]), float(rows["value_"].iloc[0])
+    cost = value / held if held else 0.0
     pnl, size, price = [], [], []
     for side, p, q in zip(rows["side"], rows["price"], rows["size"], strict=True):
         gain = 0.0
@@ -40,12 +42,53 @@ def _average_cost(rows: pd.DataFrame) -> pd.DataFrame:
     return rows.assign(realized_pnl=pnl, position_size_after=size, avg_cost=price)
 
 
+def _value_map(rows: pd.DataFrame) -> pd.DataFrame:
+    """A day turns the cost of what is held, v, into m v + c: a sale keeps the share that is left, a buy adds its price."""
+    rows = rows.sort_values("nth", kind="stable")
+    held, m, c = float(rows["held_"].iloc[0]), 1.0, 0.0
+    for side, p, q in zip(rows["side"], rows["price"], rows["size"], strict=True):
+        if side == "buy":
+            held, c = held + q, c + p * q
+        else:
+            left = max(held - q, 0.0)
+            keep = left / held if held else 0.0
+            held, m, c = left, m * keep, c * keep
+    return pd.DataFrame([(*[rows[k].iloc[0] for k in (*BOOK, "day_")], m, c)])
+
+
+def _fold_days(out: str, step):
+    """The state at the start of each day of one book, from 0 on; a book has one row for each day."""
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("day_")
+        at, state = [], 0.0
+        for x, y in rows[["x", "y"]].itertuples(index=False):
+            at.append(state)
+            state = step(state, x, y)
+        return rows[[*BOOK, "day_"]].assign(**{out: at})
+
+    return run
+
+
 def realize_pnl(fills: DataFrame) -> DataFrame:
-    """Average cost, long only: buys average in, a sell realises what is held, flat resets. A book is one sequential recursion (its clamp at zero is
-    not associative), so books are the parallel unit."""
-    f = fills.withColumn("nth", F.row_number().over(book_order()).cast("long")).select(*BOOK, "nth", "ts", "order_id", "side", "price", "size")
-    shape = ", ".join(f"{x.name} {x.dataType.simpleString()}" for x in f.schema)
-    return f.groupBy(*BOOK).applyInPandas(_average_cost, f"{shape}, realized_pnl double, position_size_after double, avg_cost double")
+    """Average cost, long only: buys average in, a sell realises what is held, flat resets.
+
+    The unit of work is a book's day. A day turns the size held into max(held + x, y) and, once that is known, its cost into an affine function of itself; both
+    fold over a book's days, and then each day is computed from its own start.
+    """
+    shape = "strategy string, exchange string, symbol string, day_ date"
+    f = over_days(fills, sums={"nth": F.lit(1).cast("long")}, by=BOOK, order=FILL_ORDER, ties=False).select(*BOOK, "nth", "ts", "order_id", "side", "price", "size").withColumn("day_", F.to_date("ts"))
+    signed = F.when(F.col("side") == "buy", F.col("size")).otherwise(-F.col("size"))
+    after = Window.partitionBy(*BOOK, "day_").orderBy("nth").rowsBetween(1, Window.unboundedFollowing)
+    floor = F.when(F.col("side") != "buy", F.coalesce(F.sum(signed).over(after), F.lit(0.0)))
+    days = f.withColumn("floor", floor).groupBy(*BOOK, "day_").agg(F.sum(signed).alias("x"), F.coalesce(F.max("floor"), F.lit(float("-inf"))).alias("y"))
+    held = days.groupBy(*BOOK).applyInPandas(_fold_days("held_", lambda h, x, y: max(h + x, y)), f"{shape}, held_ double")
+    f = f.join(held, [*BOOK, "day_"])
+    maps = f.select(*BOOK, "day_", "nth", "side", "price", "size", "held_").groupBy(*BOOK, "day_").applyInPandas(_value_map, f"{shape}, x double, y double")
+    value = maps.groupBy(*BOOK).applyInPandas(_fold_days("value_", lambda v, m, c: m * v + c), f"{shape}, value_ double")
+    whole = f.join(value, [*BOOK, "day_"])
+    kind = ", ".join(f"{x.name} {x.dataType.simpleString()}" for x in whole.schema)
+    out = whole.groupBy(*BOOK, "day_").applyInPandas(_with_costs, f"{kind}, realized_pnl double, position_size_after double, avg_cost double")
+    return out.drop("day_", "held_", "value_")
 
 
 def dedupe_fills(fills: DataFrame, orders: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -62,9 +105,10 @@ def with_slippage(fills: DataFrame) -> DataFrame:
 
 def position_metrics(ledger: DataFrame) -> DataFrame:
     """Unrealised and cumulative pnl, drawdown from a peak that starts at 0. Needs nth."""
-    w = Window.partitionBy(*BOOK).orderBy("nth")
-    led = ledger.withColumn("unrealized_pnl", (F.col("price") - F.col("avg_cost")) * F.col("position_size_after")).withColumn("cum_pnl", F.sum("realized_pnl").over(w))
-    return led.withColumn("drawdown", F.greatest(F.max("cum_pnl").over(w), F.lit(0.0)) - F.col("cum_pnl"))
+    led = ledger.withColumn("unrealized_pnl", (F.col("price") - F.col("avg_cost")) * F.col("position_size_after"))
+    led = over_days(led, sums={"cum_pnl": F.col("realized_pnl")}, by=BOOK, order=("nth",))
+    led = over_days(led, tops={"top": F.col("cum_pnl")}, by=BOOK, order=("nth",))
+    return led.withColumn("drawdown", F.greatest("top", "cum_pnl", F.lit(0.0)) - F.col("cum_pnl")).drop("top")
 
 
 def order_gates(requests: DataFrame, max_order: float, max_position: float) -> DataFrame:
@@ -72,11 +116,10 @@ def order_gates(requests: DataFrame, max_order: float, max_position: float) -> D
 
     ``intent`` is entry, exit or stop; an entry stays open until the book's next exit.
     """
-    before = book_order().rowsBetween(Window.unboundedPreceding, -1)
-    prior = F.last("intent", ignorenulls=True).over(before)
-    notional = F.col("price") * F.col("size")
-    placed = F.sum(F.when(F.col("intent") == "entry", notional).otherwise(-notional)).over(before)
-    r = requests.withColumn("notional", notional).withColumn("prior", prior).withColumn("placed", F.greatest(F.coalesce(placed, F.lit(0.0)), F.lit(0.0)))
+    r = requests.withColumn("notional", F.col("price") * F.col("size"))
+    net = F.when(F.col("intent") == "entry", F.col("notional")).otherwise(-F.col("notional"))
+    r = over_days(r, sums={"placed": net}, priors={"prior": F.col("intent")}, by=BOOK, order=FILL_ORDER, ties=False)
+    r = r.withColumn("placed", F.greatest(F.col("placed") - net, F.lit(0.0)))
     gate = F.when(F.col("intent") != "entry", "pass").when(F.col("prior") == "entry", "duplicate_entry").when(F.col("notional") > max_order, "order_cap").when(F.col("placed") + F.col("notional") > max_position, "position_cap").otherwise("pass")
     return r.withColumn("gate", gate).drop("prior", "placed")
 
@@ -340,24 +383,59 @@ def strategy_ema_flip(bars: DataFrame, fast: int = 9, slow: int = 21) -> DataFra
     from tidemark.operators.rolling import ema_cross
 
     c = ema_cross(bars, fast, slow).where("action <> 'hold'")
-    prior = F.lag("action").over(Window.partitionBy(*KEY).orderBy("ts"))
-    c = c.withColumn("prior", prior).where("(action = 'buy' and coalesce(prior, 'sell') = 'sell') or (action = 'sell' and prior = 'buy')")
+    c = over_days(c, priors={"prior": F.col("action")}, order=("ts",)).where("(action = 'buy' and coalesce(prior, 'sell') = 'sell') or (action = 'sell' and prior = 'buy')")
     return c.select(*KEY, "ts", "close", F.when(F.col("action") == "buy", "enter").otherwise("exit").alias("order"))
 
 
 def strategy_hold_k(bars: DataFrame, k: int) -> DataFrame:
-    """Enter on a rising bar when flat and hold ``k`` bars. Whether a bar enters depends on the last entry, so a key is folded; its candidates are one array."""
-    w = Window.partitionBy(*KEY).orderBy("ts")
-    up = bars.where("close is not null").withColumn("nth", F.row_number().over(w)).where("close > open")
-    cands = up.groupBy(*KEY).agg(F.array_sort(F.collect_list("nth")).alias("c"))
-    taken = F.aggregate("c", F.array().cast("array<int>"), lambda acc, x: F.when((F.size(acc) == 0) | (x >= F.element_at(acc, -1) + k), F.concat(acc, F.array(x))).otherwise(acc))
-    entries = cands.select(*KEY, F.explode(taken).alias("nth"))
-    b = bars.where("close is not null").withColumn("nth", F.row_number().over(w)).select(*KEY, "nth", "ts", "close")
+    """Enter on a rising bar when flat and hold ``k`` bars. Whether a bar enters depends on the last entry: a day turns the number of bars still
+    held at its start (0 to k - 1) into that at its end, these tables fold over a key's days, and then each day enters by its own."""
+    b = over_days(bars.where("close is not null"), sums={"nth": F.lit(1).cast("long")}, order=("ts",)).select(*KEY, "nth", "ts", "close", (F.col("close") > F.col("open")).alias("up"))
+    t = b.withColumn("day_", F.to_date("ts"))
+    shape = "exchange string, symbol string, day_ date"
+    waits = t.groupBy(*KEY, "day_").applyInPandas(_waits(k), f"{shape}, waits array<int>")
+    heads = waits.groupBy(*KEY).applyInPandas(_first_waits, f"{shape}, wait int")
+    entries = t.join(heads, [*KEY, "day_"]).groupBy(*KEY, "day_").applyInPandas(_entries(k), "exchange string, symbol string, nth long")
     ins = entries.join(b, [*KEY, "nth"]).select(*KEY, "nth", F.col("ts").alias("entry_ts"), F.col("close").alias("entry_price"))
     outs = b.select(*KEY, (F.col("nth") - k).alias("nth"), F.col("ts").alias("exit_ts"), F.col("close").alias("exit_price"))
     return ins.join(outs, [*KEY, "nth"], "left").drop("nth")
 
 
+def _taken(up: np.ndarray, wait: int, k: int) -> tuple[list[int], int]:
+    """Places of the bars that enter when the first ``wait`` bars are held through, and how many bars of the next day the last entry still holds."""
+    out, free = [], wait
+    for i in np.flatnonzero(up):
+        if i >= free:
+            out.append(int(i))
+            free = int(i) + k
+    return out, max(free - len(up), 0)
+
+
+def _waits(k: int):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        up = rows.sort_values("nth")["up"].fillna(False).to_numpy(bool)
+        return pd.DataFrame([(*[rows[c].iloc[0] for c in (*KEY, "day_")], [_taken(up, wait, k)[1] for wait in range(k)])])
+
+    return run
+
+
+def _first_waits(rows: pd.DataFrame) -> pd.DataFrame:
+    rows, at, wait = rows.sort_values("day_"), [], 0
+    for waits in rows["waits"]:
+        at.append(wait)
+        wait = int(waits[wait])
+    return rows[[*KEY, "day_"]].assign(wait=at)
+
+
+def _entries(k: int):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("nth")
+        taken, _ = _taken(rows["up"].fillna(False).to_numpy(bool), int(rows["wait"].iloc[0]), k)
+        return rows.iloc[taken][[*KEY, "nth"]]
+
+    return run
+
+
 def order_event_rows(df: DataFrame) -> DataFrame:
     """Ledger rows of order events, times in microseconds."""
     return df.select("order_id", *BOOK, "side", "status", F.unix_micros("ts").alias("ts_us"), F.col("size").alias("requested_size"), F.when(F.col("status") == "filled", F.col("size")).otherwise(0.0).alias("filled_size"), F.when(F.col("status") == "filled", F.col("price")).alias("avg_fill_price"), "limit_price", F.col("paper").alias("paper_trading"))

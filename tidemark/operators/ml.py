@@ -30,6 +30,13 @@ def feature_cols(df: DataFrame) -> list[str]:
     return [c for c, t in df.dtypes if t in NUMERIC and c not in NOT_FEATURES and not c.startswith("label_")]
 
 
+def feature_profile(df: DataFrame) -> DataFrame:
+    """M01 over rows: each feature column with its rows and nulls."""
+    cols = feature_cols(df)
+    one = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(f"nulls_{i}") for i, c in enumerate(cols)])
+    return one.select("rows", F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(f"nulls_{i}").alias("nulls")) for i, c in enumerate(cols)])).alias("f")).select("f.name", "rows", "f.nulls")
+
+
 def build_features(bars: DataFrame, regimes: DataFrame | None = None) -> DataFrame:
     """Quotes carried forward, smoothed flow, ratios, rolling statistics (the half-life of the microprice delta), interactions of the smoothed columns, the regime as of the bar."""
     x = rolling.ffill_quotes(bars)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.core import KEY, after, by_time, ratio, seconds
+from tidemark.core import KEY, after, over_days, ratio, seconds
 
 
 def of_key(df: DataFrame, exchange: str, symbol: str) -> DataFrame:
@@ -83,9 +83,9 @@ def with_derived(bars: DataFrame) -> DataFrame:
     mid = (F.col("best_bid") + F.col("best_ask")) / 2
     b, a = F.col("bid_depth_top10_close"), F.col("ask_depth_top10_close")
     return (
-        bars.withColumn("vwap", ratio(F.col("quote_volume"), F.col("volume"))).withColumn("mid", mid).withColumn("spread_abs", F.col("best_ask") - F.col("best_bid")).withColumn("spread_bps", (F.col("best_ask") - F.col("best_bid")) / mid * 10_000)
+        over_days(bars, priors={"before": F.struct("ofi_l1")}, order=("ts",)).withColumn("vwap", ratio(F.col("quote_volume"), F.col("volume"))).withColumn("mid", mid).withColumn("spread_abs", F.col("best_ask") - F.col("best_bid")).withColumn("spread_bps", (F.col("best_ask") - F.col("best_bid")) / mid * 10_000)
         .withColumn("sell_volume", F.greatest(F.col("volume") - F.col("buy_volume"), F.lit(0.0))).withColumn("sell_count", F.col("trade_count") - F.col("buy_count")).withColumn("imbalance_top10", ratio(b - a, b + a))
-        .withColumn("has_gap", F.coalesce("gap_count", F.lit(0)) > 0).withColumn("ofi_delta", F.col("ofi_l1") - F.lag("ofi_l1").over(by_time()))
+        .withColumn("has_gap", F.coalesce("gap_count", F.lit(0)) > 0).withColumn("ofi_delta", F.col("ofi_l1") - F.col("before.ofi_l1")).drop("before")
     )
 
 

@@ -1,53 +1,75 @@
-"""Rolling statistics, labels and signals over bars (key, ts, ...)."""
+"""Rolling statistics, labels and signals over bars (key, ts, ...).
+
+Windows of so many rows run over blocks of a key's rows (``in_blocks``), running values and recursions over its days (``over_days``, ``recursive_means``,
+``kalman_hedge``), so that a key's history is spread over tasks.
+"""
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, insort
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.functions import PandasUDFType, pandas_udf
+from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
-from tidemark.core import KEY, by_time, clip, in_order, ratio
+from tidemark.core import KEY, clip, in_blocks, over_days, ratio
+
+
+def ordered(keys: list[str]):
+    return Window.partitionBy(*keys).orderBy("ts")
+
+
+def last_n(keys: list[str], n: int):
+    return ordered(keys).rowsBetween(1 - n, 0)
 
 
-def last_n(n: int):
-    return by_time().rowsBetween(1 - n, 0)
+def numbered(df: DataFrame, name: str = "nth") -> DataFrame:
+    """Adds the row's number in its key."""
+    return over_days(df, sums={name: F.lit(1).cast("long")}, order=("ts",))
 
 
-def when_full(c: Column, n: int) -> Column:
-    return F.when(F.count(F.lit(1)).over(last_n(n)) == n, c)
+def _nearest_rank(n: int, min_n: int):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["ts", "seq"], kind="stable")
+        sizes, held, out = rows["size"].tolist(), [], []
+        for i, x in enumerate(sizes):
+            insort(held, x)
+            if i >= n:
+                del held[bisect_left(held, sizes[i - n])]
+            out.append(held[(len(held) * 99 + 99) // 100 - 1] if len(held) >= min_n else None)
+        return rows.assign(threshold=pd.Series(out, rows.index, "float64"))
+
+    return run
 
 
 def block_threshold(trades: DataFrame, n: int = 1000, min_n: int = 100) -> DataFrame:
-    """Nearest-rank 99th percentile of the last ``n`` sizes with the current one; null below ``min_n``.
+    """Nearest-rank 99th percentile of the last ``n`` sizes with the current one; null below ``min_n``. A worker keeps one sorted list of ``n`` sizes."""
+    def run(t: DataFrame, keys: list[str]) -> DataFrame:
+        shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in t.schema)
+        return t.groupBy(*keys).applyInPandas(_nearest_rank(n, min_n), f"{shape}, threshold double")
 
-    The rank from the top is ``n - ceil(.99 n) + 1``, so a frame's largest values suffice: its sorted sizes are one array of at most ``n``.
-    """
-    w = in_order().rowsBetween(1 - n, 0)
-    t = trades.withColumn("sizes", F.collect_list("size").over(w))
-    m = F.size("sizes")
-    nearest = F.get(F.sort_array("sizes"), (F.floor((m * 99 + 99) / 100) - 1).cast("int"))
-    return t.withColumn("threshold", F.when(m >= min_n, nearest)).drop("sizes")
+    return in_blocks(trades, n - 1, run, order=("ts", "seq"))
 
 
 def classify_regime(bars: DataFrame, n: int = 10) -> DataFrame:
     """Regime of the last ``n`` bars: THIN_BOOK, HIGH_VOL, TRENDING_UP, TRENDING_DOWN or RANGING, tested in this order."""
-    w = last_n(n)
-    b = bars.withColumn("r", F.log(F.col("close") / F.lag("close").over(by_time())))
-    first = F.row_number().over(by_time())
-    b = b.select("*", F.count("close").over(w).alias("valid"), F.sort_array(F.collect_list(F.coalesce("spread_mean", F.lit(0.0))).over(w)).alias("spreads"), F.lag("close", 4).over(by_time()).alias("close4"), first.alias("nth"))
-    b = b.withColumn("vol", F.stddev_pop("r").over(by_time().rowsBetween(2 - n, 0)))
-    m = F.size("spreads")
-    median = (F.get("spreads", F.floor((m - 1) / 2).cast("int")) + F.get("spreads", F.floor(m / 2).cast("int"))) / 2
-    change = (F.col("close") - F.col("close4")) / F.col("close4")
-    regime = (
-        F.when(F.col("valid") < 5, "RANGING").when((median > 0) & (F.coalesce("spread_mean", F.lit(0.0)) > 2 * median), "THIN_BOOK").when(F.col("vol") > 0.002, "HIGH_VOL").when(change > 0.001, "TRENDING_UP").when(change < -0.001, "TRENDING_DOWN").otherwise("RANGING")
-    )
-    return b.withColumn("regime", regime).drop("r", "valid", "spreads", "close4", "nth", "vol")
+    def run(b: DataFrame, keys: list[str]) -> DataFrame:
+        w, near = ordered(keys), last_n(keys, n)
+        b = b.withColumn("r", F.log(F.col("close") / F.lag("close").over(w)))
+        b = b.select("*", F.count("close").over(near).alias("valid"), F.sort_array(F.collect_list(F.coalesce("spread_mean", F.lit(0.0))).over(near)).alias("spreads"), F.lag("close", 4).over(w).alias("close4"), F.stddev_pop("r").over(w.rowsBetween(2 - n, 0)).alias("vol"))
+        m = F.size("spreads")
+        median = (F.get("spreads", F.floor((m - 1) / 2).cast("int")) + F.get("spreads", F.floor(m / 2).cast("int"))) / 2
+        change = (F.col("close") - F.col("close4")) / F.col("close4")
+        regime = (
+            F.when(F.col("valid") < 5, "RANGING").when((median > 0) & (F.coalesce("spread_mean", F.lit(0.0)) > 2 * median), "THIN_BOOK").when(F.col("vol") > 0.002, "HIGH_VOL").when(change > 0.001, "TRENDING_UP").when(change < -0.001, "TRENDING_DOWN").otherwise("RANGING")
+        )
+        return b.withColumn("regime", regime).drop("r", "valid", "spreads", "close4", "vol")
+
+    return in_blocks(bars, n, run)
 
 
 #: Savitzky-Golay weights of window 5 and order 2 (times 35), for the middle and for positions 0 and 1 from an edge.
@@ -56,23 +78,27 @@ SAVGOL = {"middle": [-3, 12, 17, 12, -3], "edge": [31, 9, -3, -5, 3], "next": [9
 
 def savgol5(df: DataFrame, col: str, mode: str = "causal") -> DataFrame:
     """Adds ``<col>_sg``. ``centered`` looks two bars ahead (fitted edges), ``causal`` fits the last five bars; nulls are 0; raw below five rows."""
-    w = by_time()
     x = F.coalesce(F.col(col), F.lit(0.0))
-    n = F.count(F.lit(1)).over(Window.partitionBy(*KEY))
-    nth = F.row_number().over(w)
 
-    def at(k: int) -> Column:
-        return F.lag(x, -k).over(w) if k < 0 else F.lead(x, k).over(w) if k else x
+    def run(d: DataFrame, keys: list[str]) -> DataFrame:
+        w = ordered(keys)
+        # Only a key's first rows have fewer than five before them, and only its last ones fewer than two behind.
+        nth, n = F.row_number().over(w), F.count(F.lit(1)).over(Window.partitionBy(*keys))
+        behind = F.count(F.lit(1)).over(w.rowsBetween(1, 2))
 
-    def fit(name: str, offsets: list[int]) -> Column:
-        return sum((weight * at(k) for weight, k in zip(SAVGOL[name], offsets, strict=True)), F.lit(0.0)) / 35
+        def at(k: int) -> Column:
+            return F.lag(x, -k).over(w) if k < 0 else F.lead(x, k).over(w) if k else x
 
-    if mode == "causal":
-        return df.withColumn(f"{col}_sg", F.when(nth < 5, x).otherwise(fit("edge", [0, -1, -2, -3, -4])))
-    value = (
-        F.when(n < 5, x).when(nth == 1, fit("edge", [0, 1, 2, 3, 4])).when(nth == 2, fit("next", [-1, 0, 1, 2, 3])).when(nth == n, fit("edge", [0, -1, -2, -3, -4])).when(nth == n - 1, fit("next", [1, 0, -1, -2, -3])).otherwise(fit("middle", [-2, -1, 0, 1, 2]))
-    )
-    return df.withColumn(f"{col}_sg", value)
+        def fit(name: str, offsets: list[int]) -> Column:
+            return sum((weight * at(k) for weight, k in zip(SAVGOL[name], offsets, strict=True)), F.lit(0.0)) / 35
+
+        if mode == "causal":
+            return d.withColumn(f"{col}_sg", F.when(nth < 5, x).otherwise(fit("edge", [0, -1, -2, -3, -4])))
+        value = F.when(n < 5, x).when(nth == 1, fit("edge", [0, 1, 2, 3, 4])).when(nth == 2, fit("next", [-1, 0, 1, 2, 3]))
+        value = value.when(behind == 0, fit("edge", [0, -1, -2, -3, -4])).when(behind == 1, fit("next", [1, 0, -1, -2, -3])).otherwise(fit("middle", [-2, -1, 0, 1, 2]))
+        return d.withColumn(f"{col}_sg", value)
+
+    return in_blocks(df, 4, run, ahead=0 if mode == "causal" else 2)
 
 
 def flow_ratios(df: DataFrame) -> DataFrame:
@@ -83,8 +109,8 @@ def flow_ratios(df: DataFrame) -> DataFrame:
 
 def ffill_quotes(df: DataFrame) -> DataFrame:
     """best_bid and best_ask carried forward, and their mid."""
-    w = by_time()
-    out = df.withColumn("best_bid", F.last("best_bid", ignorenulls=True).over(w)).withColumn("best_ask", F.last("best_ask", ignorenulls=True).over(w))
+    out = over_days(df, lasts={"bid_": F.col("best_bid"), "ask_": F.col("best_ask")}, order=("ts",))
+    out = out.withColumns({"best_bid": F.col("bid_"), "best_ask": F.col("ask_")}).drop("bid_", "ask_")
     return out.withColumn("mid", (F.col("best_bid") + F.col("best_ask")) / 2)
 
 
@@ -93,7 +119,7 @@ def of_arrays(fn, missing: float | None):
     def run(series: pd.Series) -> pd.Series:
         return pd.Series([missing if s is None else fn(np.asarray(s, float)) for s in series], dtype="float64")
 
-    return pandas_udf(run, DoubleType(), PandasUDFType.SCALAR)
+    return pandas_udf(run, DoubleType())
 
 
 def hurst_of(r: np.ndarray) -> float:
@@ -116,26 +142,37 @@ def hurst_of(r: np.ndarray) -> float:
 
 def hurst(df: DataFrame, n: int) -> DataFrame:
     """Rolling Hurst exponent of ``n`` log returns of ``mid``; null until the frame is full."""
-    r = df.withColumn("r", F.coalesce(F.log(F.col("mid") / F.lag("mid").over(by_time())), F.lit(0.0)))
-    r = r.withColumn("rs", F.when(F.row_number().over(by_time()) > n, F.collect_list("r").over(last_n(n))))
-    return r.withColumn(f"hurst_{n}", of_arrays(hurst_of, None)("rs")).drop("r", "rs")
+    def run(d: DataFrame, keys: list[str]) -> DataFrame:
+        w = ordered(keys)
+        r = d.withColumn("r", F.coalesce(F.log(F.col("mid") / F.lag("mid").over(w)), F.lit(0.0)))
+        r = r.withColumn("rs", F.when(F.row_number().over(w) > n, F.collect_list("r").over(last_n(keys, n))))
+        return r.withColumn(f"hurst_{n}", of_arrays(hurst_of, None)("rs")).drop("r", "rs")
+
+    return in_blocks(df, n, run)
 
 
 def ou_halflife(df: DataFrame, n: int = 60, col: str = "mid") -> DataFrame:
     """Half-life of mean reversion from the slope of x on its previous value in the last ``n`` rows."""
-    x0 = df.withColumn("x0", F.lag(col).over(by_time()))
-    slope = F.regr_slope(F.col(col), F.col("x0")).over(by_time().rowsBetween(2 - n, 0))
-    phi = x0.withColumn("phi", slope).withColumn("nth", F.row_number().over(by_time()))
-    half = F.when((F.col("phi") > 0) & (F.col("phi") < 1), clip(-math.log(2) / F.log("phi"), 1.0, 300.0)).otherwise(60.0)
-    return phi.withColumn("ou_halflife", F.when(F.col("nth") >= n, half)).drop("x0", "phi", "nth")
+    def run(d: DataFrame, keys: list[str]) -> DataFrame:
+        w = ordered(keys)
+        x0 = d.withColumn("x0", F.lag(col).over(w))
+        slope = F.regr_slope(F.col(col), F.col("x0")).over(w.rowsBetween(2 - n, 0))
+        phi = x0.withColumn("phi", slope).withColumn("nth", F.row_number().over(w))
+        half = F.when((F.col("phi") > 0) & (F.col("phi") < 1), clip(-math.log(2) / F.log("phi"), 1.0, 300.0)).otherwise(60.0)
+        return phi.withColumn("ou_halflife", F.when(F.col("nth") >= n, half)).drop("x0", "phi", "nth")
+
+    return in_blocks(df, n, run)
 
 
 def kyle_lambda(df: DataFrame, n: int = 60) -> DataFrame:
     """Slope of mid changes on smoothed order flow; 0 below ten pairs or without variance."""
-    d = df.withColumn("dm", F.col("mid") - F.lag("mid").over(by_time())).withColumn("nth", F.row_number().over(by_time()))
-    w = last_n(n)
-    slope, pairs = F.regr_slope("dm", "ofi_l1_sg").over(w), F.regr_count("dm", "ofi_l1_sg").over(w)
-    return d.withColumn("kyle_lambda", F.when(F.col("nth") >= n, F.when(pairs < 10, 0.0).otherwise(F.coalesce(slope, F.lit(0.0))))).drop("dm", "nth")
+    def run(d: DataFrame, keys: list[str]) -> DataFrame:
+        w, near = ordered(keys), last_n(keys, n)
+        d = d.withColumn("dm", F.col("mid") - F.lag("mid").over(w)).withColumn("nth", F.row_number().over(w))
+        slope, pairs = F.regr_slope("dm", "ofi_l1_sg").over(near), F.regr_count("dm", "ofi_l1_sg").over(near)
+        return d.withColumn("kyle_lambda", F.when(F.col("nth") >= n, F.when(pairs < 10, 0.0).otherwise(F.coalesce(slope, F.lit(0.0))))).drop("dm", "nth")
+
+    return in_blocks(df, n, run)
 
 
 def interactions(df: DataFrame, ofi: str = "ofi_l1", spread: str = "spread_mean") -> DataFrame:
@@ -161,42 +198,85 @@ def interactions(df: DataFrame, ofi: str = "ofi_l1", spread: str = "spread_mean"
 def reversion_labels(df: DataFrame, horizons: list[int], bps: float) -> DataFrame:
     """REVERT, TREND or FLAT at each horizon from microprice_mid_delta and hurst_60."""
     d, h = F.abs("microprice_mid_delta"), F.coalesce("hurst_60", F.lit(0.5))
-    for n in horizons:
-        fwd = F.abs(F.lead("microprice_mid_delta", n).over(by_time())) / d
-        strong = (d >= bps) & (d >= 1e-10) & (h < 0.5) & fwd.isNotNull()
-        df = df.withColumn(f"label_revert_{n}", F.when(strong & (fwd < 0.5), "REVERT").when(strong & (fwd > 1.2), "TREND").otherwise("FLAT"))
-    return df
 
+    def run(rows: DataFrame, keys: list[str]) -> DataFrame:
+        for n in horizons:
+            fwd = F.abs(F.lead("microprice_mid_delta", n).over(ordered(keys))) / d
+            strong = (d >= bps) & (d >= 1e-10) & (h < 0.5) & fwd.isNotNull()
+            rows = rows.withColumn(f"label_revert_{n}", F.when(strong & (fwd < 0.5), "REVERT").when(strong & (fwd > 1.2), "TREND").otherwise("FLAT"))
+        return rows
+
+    return in_blocks(df, 0, run, ahead=max(horizons))
+
+
+def filtered(a: np.ndarray, b: np.ndarray, beta: float, p: float, q: float, r: float) -> tuple[np.ndarray, float, float]:
+    """The hedge ratio after each row, and the last state."""
+    out = np.empty(len(a))
+    for i in range(len(a)):
+        p += q
+        gain = p * b[i] / (b[i] * b[i] * p + r)
+        beta += gain * (a[i] - beta * b[i])
+        p *= 1 - gain * b[i]
+        out[i] = beta
+    return out, beta, p
+
+
+def filter_of(a: np.ndarray, b: np.ndarray, q: float, r: float) -> tuple[float, float, float, float, float]:
+    """What a run of rows does to any state (m, p): five numbers (x, y, c, e, j) of the associative form of the filter, so that the state after the run is
+    m' = x (m + p e) / (1 + p j) + y and p' = x^2 p / (1 + p j) + c."""
+    x, y, c, e, j = 1.0, 0.0, 0.0, 0.0, 0.0
+    for ai, bi in zip(a, b, strict=True):
+        s = bi * bi * q + r
+        k = q * bi / s
+        x2, y2, c2, e2, j2 = 1 - k * bi, k * ai, (1 - k * bi) * q, bi * ai / s, bi * bi / s
+        d = 1 / (1 + c * j2)
+        x, y, c, e, j = x2 * d * x, x2 * d * (y + c * e2) + y2, x2 * x2 * d * c + c2, x * d * (e2 - j2 * y) + e, x * x * d * j2 + j
+    return x, y, c, e, j
+
+
+def kalman_hedge(pair: DataFrame, beta0: float | None = None, q: float = 1e-5, r: float = 1e-3) -> DataFrame:
+    """Dynamic hedge ratio of log mids, one filter per exchange. Starts at the first ratio, or at ``beta0``.
+
+    Each day of an exchange is first summed up in five numbers; the days' states follow from those alone; then each day is filtered from its own.
+    """
+    t, columns = pair.withColumn("day_", F.to_date("ts")), pair.columns
 
-def _kalman(beta0: float | None, q: float = 1e-5, r: float = 1e-3):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
+    def day_of(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("ts", kind="stable")
         a, b = np.log(rows["mid_a"].to_numpy()), np.log(rows["mid_b"].to_numpy())
-        beta, p, out = (a[0] / b[0] if b[0] else 1.0) if beta0 is None else beta0, 1.0, np.empty(len(rows))
-        for i in range(len(rows)):
-            p += q
-            gain = p * b[i] / (b[i] * b[i] * p + r)
-            beta += gain * (a[i] - beta * b[i])
-            p *= 1 - gain * b[i]
-            out[i] = beta
-        return rows.assign(hedge_ratio=out)
+        return pd.DataFrame([(rows["exchange"].iloc[0], rows["day_"].iloc[0], a[0] / b[0] if b[0] else 1.0, *filter_of(a, b, q, r))])
 
-    return run
+    def states(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("day_")
+        m, p, out = float(rows["first"].iloc[0]) if beta0 is None else beta0, 1.0, []
+        for x, y, c, e, j in rows[["x", "y", "c", "e", "j"]].itertuples(index=False):
+            out.append((m, p))
+            m, p = x * (m + p * e) / (1 + p * j) + y, x * x * p / (1 + p * j) + c
+        return rows[["exchange", "day_"]].assign(m_=[o[0] for o in out], p_=[o[1] for o in out])
 
+    def ratios(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("ts", kind="stable")
+        a, b = np.log(rows["mid_a"].to_numpy()), np.log(rows["mid_b"].to_numpy())
+        out, _, _ = filtered(a, b, rows["m_"].iloc[0], rows["p_"].iloc[0], q, r)
+        return rows[columns].assign(hedge_ratio=out)
 
-def kalman_hedge(pair: DataFrame, beta0: float | None = None) -> DataFrame:
-    """Dynamic hedge ratio of log mids, one filter per exchange (a sequential recursion). Starts at the first ratio, or at ``beta0``."""
+    days = t.select("exchange", "day_", "ts", "mid_a", "mid_b").groupBy("exchange", "day_").applyInPandas(day_of, "exchange string, day_ date, first double, x double, y double, c double, e double, j double")
+    heads = days.groupBy("exchange").applyInPandas(states, "exchange string, day_ date, m_ double, p_ double")
     shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pair.schema)
-    return pair.groupBy("exchange").applyInPandas(_kalman(beta0), f"{shape}, hedge_ratio double")
+    return t.join(heads, ["exchange", "day_"]).groupBy("exchange", "day_").applyInPandas(ratios, f"{shape}, hedge_ratio double")
 
 
 def spread_zscore(pair: DataFrame, n: int = 60, ddof: int = 1, by: tuple[str, ...] = ("exchange",)) -> DataFrame:
     """Spread of log mids under the hedge ratio and its rolling z-score; null until full or without variance."""
-    w = Window.partitionBy(*by).orderBy("ts").rowsBetween(1 - n, 0)
     p = pair.withColumn("spread", F.log("mid_a") - F.col("hedge_ratio") * F.log("mid_b"))
-    std = (F.stddev_samp if ddof else F.stddev_pop)("spread").over(w)
-    full = F.count("spread").over(w) == n
-    return p.withColumn("spread_z", F.when(full & (std > 0), (F.col("spread") - F.avg("spread").over(w)) / std))
+
+    def run(d: DataFrame, keys: list[str]) -> DataFrame:
+        w = last_n(keys, n)
+        std = (F.stddev_samp if ddof else F.stddev_pop)("spread").over(w)
+        full = F.count("spread").over(w) == n
+        return d.withColumn("spread_z", F.when(full & (std > 0), (F.col("spread") - F.avg("spread").over(w)) / std))
+
+    return in_blocks(p, n, run, by=list(by))
 
 
 #: Fixed values (MacKinnon 1994): response surface of the test with a constant: bounds, and polynomials in tau for the normal quantile of p.
@@ -228,80 +308,87 @@ def adf_of(x: np.ndarray) -> float:
 
 def adf_pvalue(pair: DataFrame, n: int = 60, by: tuple[str, ...] = ("exchange",)) -> DataFrame:
     """P-value over the previous ``n`` spreads; 1.0 until there are as many."""
-    w = Window.partitionBy(*by).orderBy("ts")
-    p = pair.withColumn("before", F.when(F.row_number().over(w) > n, F.collect_list("spread").over(w.rowsBetween(-n, -1))))
-    return p.withColumn(f"adf_pvalue_{n}", of_arrays(adf_of, 1.0)("before")).drop("before")
+    def run(d: DataFrame, keys: list[str]) -> DataFrame:
+        w = ordered(keys)
+        p = d.withColumn("before", F.when(F.row_number().over(w) > n, F.collect_list("spread").over(w.rowsBetween(-n, -1))))
+        return p.withColumn(f"adf_pvalue_{n}", of_arrays(adf_of, 1.0)("before")).drop("before")
+
+    return in_blocks(pair, n, run, by=list(by))
 
 
 def spread_labels(pair: DataFrame, horizon: int = 10, p_max: float = 0.1, z_min: float = 1.5, by: tuple[str, ...] = ("exchange",)) -> DataFrame:
     """CONVERGE, DIVERGE or NEUTRAL at ``horizon``."""
     z = F.abs("spread_z")
-    fwd = F.abs(F.lead("spread_z", horizon).over(Window.partitionBy(*by).orderBy("ts")))
     on = (F.col("adf_pvalue_60") <= p_max) & (z > z_min)
-    return pair.withColumn("label_spread", F.when(on & (fwd < 0.5 * z), "CONVERGE").when(on & (fwd > 1.2 * z), "DIVERGE").otherwise("NEUTRAL"))
 
+    def run(d: DataFrame, keys: list[str]) -> DataFrame:
+        fwd = F.abs(F.lead("spread_z", horizon).over(ordered(keys)))
+        return d.withColumn("label_spread", F.when(on & (fwd < 0.5 * z), "CONVERGE").when(on & (fwd > 1.2 * z), "DIVERGE").otherwise("NEUTRAL"))
 
-# ---- signals: a signal adds action, confidence and reason ---------------------------------------
-
+    return in_blocks(pair, 0, run, by=list(by), ahead=horizon)
 
-def folded(df: DataFrame, col: str, start, step, out: str, by: list[str] | None = None) -> DataFrame:
-    """An exact left fold along each key's rows, exploded back to rows: ``step(acc, x)`` gives the next state. One key's column is one array."""
-    by = by or KEY
-    rows = F.array_sort(F.collect_list(F.struct("ts", F.col(col).alias("x"))))
-    g = df.groupBy(*by).agg(rows.alias("rows"))
 
-    def push(acc: Column, r: Column) -> Column:
-        last = F.when(F.size(acc) == 0, start(r["x"])).otherwise(step(F.element_at(acc, -1)[out], r["x"]))
-        return F.concat(acc, F.array(F.struct(r["ts"].alias("ts"), last.alias(out))))
+# ---- signals: a signal adds action, confidence and reason ---------------------------------------
 
-    empty = F.array().cast(f"array<struct<ts:timestamp,{out}:double>>")
-    states = g.select(*by, F.explode(F.aggregate("rows", empty, push)).alias("e")).select(*by, F.col("e.ts").alias("ts"), F.col("e")[out].alias(out))
-    return df.join(states, [*by, "ts"])
 
+def recursive_means(df: DataFrame, means: dict[str, tuple[str, float]]) -> DataFrame:
+    """Adds means m = a x + (1 - a) m of columns, ``means``: name -> (column, a), from each key's first non-null value on (null before it; no null may follow).
 
-def _ewm(spans: dict[str, int], col: str):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
+    A day turns a mean into (1 - a)^n m + b; so each day is first summed up in (n, b), the days' means follow from those alone, and each day then starts from its own.
+    """
+    t, columns = df.withColumn("day_", F.to_date("ts")), df.columns
+    w = Window.partitionBy(*KEY, "day_").orderBy("ts")
+    back = F.row_number().over(w.orderBy(F.desc("ts"))) - 1
+    each = t.select(*KEY, "day_", "ts", back.alias("back_"), *{c for c, _ in means.values()})
+    sums = [F.sum(F.col(c) * a * F.pow(F.lit(1 - a), F.col("back_"))).alias(f"{n}_b") for n, (c, a) in means.items()]
+    sizes = [F.count(c).alias(f"{n}_n") for n, (c, _) in means.items()] + [F.min_by(c, F.when(F.col(c).isNotNull(), F.col("ts"))).alias(f"{n}_x") for n, (c, _) in means.items()]
+    days = each.groupBy(*KEY, "day_").agg(*sums, *sizes)
+
+    def states(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("day_")
+        out = rows[[*KEY, "day_"]].copy()
+        for n, (_, a) in means.items():
+            at, m = [], math.nan
+            for size, b, x in zip(rows[f"{n}_n"], rows[f"{n}_b"], rows[f"{n}_x"], strict=True):
+                m = x if math.isnan(m) and size else m
+                at.append(m)
+                m = (1 - a) ** size * m + b if size else m
+            out[f"{n}_m"] = at
+        return out
+
+    def day_of(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("ts", kind="stable")
-        return rows.assign(**{name: rows[col].ewm(span=span, adjust=False).mean() for name, span in spans.items()})
-
-    return run
-
-
-def ewm(df: DataFrame, col: str, spans: dict[str, int]) -> DataFrame:
-    """Exponential means without adjustment, from each key's first row (a recursion: grouped worker per key)."""
+        out = rows[columns].copy()
+        for n, (c, a) in means.items():
+            x = pd.concat([rows[f"{n}_m"].iloc[:1], rows[c].astype("float64")])
+            m = x.ewm(alpha=a, adjust=False).mean().iloc[1:]
+            out[n] = m.where(rows[c].notna().to_numpy())
+        return out
+
+    heads = days.groupBy(*KEY).applyInPandas(states, "exchange string, symbol string, day_ date, " + ", ".join(f"{n}_m double" for n in means))
     shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
-    return df.groupBy(*KEY).applyInPandas(_ewm(spans, col), f"{shape}, " + ", ".join(f"{n} double" for n in spans))
+    return t.join(heads, [*KEY, "day_"]).groupBy(*KEY, "day_").applyInPandas(day_of, f"{shape}, " + ", ".join(f"{n} double" for n in means))
 
 
 def ema_cross(bars: DataFrame, fast: int = 9, slow: int = 21) -> DataFrame:
     """Buy where the fast mean crosses above the slow one, sell below; confidence is the gap over 1 % of the slow mean, at most 1."""
-    b = ewm(bars.where("close is not null").select(*KEY, "ts", "close"), "close", {"fast": fast, "slow": slow})
-    w = by_time()
-    b = b.select("*", (F.lag("fast").over(w) - F.lag("slow").over(w)).alias("gap0"), F.row_number().over(w).alias("nth"))
+    b = recursive_means(bars.where("close is not null").select(*KEY, "ts", "close"), {"fast": ("close", 2 / (fast + 1)), "slow": ("close", 2 / (slow + 1))})
     gap = F.col("fast") - F.col("slow")
+    b = over_days(b, sums={"nth": F.lit(1)}, priors={"gap0": gap}, order=("ts",))
     up, down = (F.col("gap0") <= 0) & (gap > 0), (F.col("gap0") >= 0) & (gap < 0)
     action = F.when(F.col("nth") < slow + 1, "hold").when(up, "buy").when(down, "sell").otherwise("hold")
     return b.select(*KEY, "ts", "close", "fast", "slow", action.alias("action"), F.when(action != "hold", F.least(F.lit(1.0), F.abs(gap) / (F.col("slow") * 0.01))).otherwise(0.0).alias("confidence"))
 
 
-def _rsi(period: int):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("ts", kind="stable")
-        d = rows["close"].diff()
-        up = d.clip(lower=0).ewm(alpha=1 / period, adjust=False).mean()
-        down = (-d).clip(lower=0).ewm(alpha=1 / period, adjust=False).mean()
-        rsi = (100 - 100 / (1 + up / down)).where(down != 0, 100.0)
-        return rows.assign(rsi=rsi.where(d.notna(), np.nan))
-
-    return run
-
-
 def rsi_signal(bars: DataFrame, period: int = 14, low: float = 30.0, high: float = 70.0) -> DataFrame:
     """Wilder's index; buy where it rises through ``low``, sell where it falls through ``high``; confidence is how far beyond the threshold it had been."""
-    b = bars.where("close is not null").select(*KEY, "ts", "close").groupBy(*KEY).applyInPandas(_rsi(period), "exchange string, symbol string, ts timestamp, close double, rsi double")
-    w = by_time()
-    r0 = F.lag("rsi").over(w)
-    b = b.select(*KEY, "ts", "close", F.nanvl("rsi", F.lit(None).cast("double")).alias("rsi"), F.nanvl(r0, F.lit(None).cast("double")).alias("r0"), F.row_number().over(w).alias("nth"))
+    b = over_days(bars.where("close is not null").select(*KEY, "ts", "close"), priors={"close0": F.col("close")}, order=("ts",))
+    move = F.col("close") - F.col("close0")
+    b = b.select(*KEY, "ts", "close", F.when(move.isNotNull(), F.greatest(move, F.lit(0.0))).alias("up"), F.when(move.isNotNull(), F.greatest(-move, F.lit(0.0))).alias("down"))
+    b = recursive_means(b, {"ups": ("up", 1 / period), "downs": ("down", 1 / period)})
+    up, down = F.nanvl("ups", F.lit(None).cast("double")), F.nanvl("downs", F.lit(None).cast("double"))
+    b = b.select(*KEY, "ts", "close", F.when(down == 0, 100.0).otherwise(100 - 100 / (1 + up / down)).alias("rsi"))
+    b = over_days(b, sums={"nth": F.lit(1)}, priors={"r0": F.struct("rsi")}, order=("ts",)).withColumn("r0", F.col("r0.rsi"))
     warm = F.col("nth") > period + 1
     up, down = warm & (F.col("r0") <= low) & (F.col("rsi") > low), warm & (F.col("r0") >= high) & (F.col("rsi") < high)
     conf = F.when(up, F.least(F.lit(1.0), (low - F.col("r0")) / low)).when(down, F.least(F.lit(1.0), (F.col("r0") - high) / (100 - high))).otherwise(0.0)
@@ -310,10 +397,12 @@ def rsi_signal(bars: DataFrame, period: int = 14, low: float = 30.0, high: float
 
 def ofi_signal(bars: DataFrame, n: int = 30, threshold: float = 0.6) -> DataFrame:
     """Z-score of order flow in the last ``n`` known bars; buy above, sell below; confidence abs(z) / (2 threshold), at most 1."""
-    b = bars.where("ofi is not null")
-    w = last_n(n)
-    std, full = F.stddev_samp("ofi").over(w), F.count(F.lit(1)).over(w) == n
-    b = b.withColumn("z", F.when(full & (std > 0), (F.col("ofi") - F.avg("ofi").over(w)) / std))
+    def run(d: DataFrame, keys: list[str]) -> DataFrame:
+        w = last_n(keys, n)
+        std, full = F.stddev_samp("ofi").over(w), F.count(F.lit(1)).over(w) == n
+        return d.withColumn("z", F.when(full & (std > 0), (F.col("ofi") - F.avg("ofi").over(w)) / std))
+
+    b = in_blocks(bars.where("ofi is not null"), n, run)
     action = F.when(F.col("z") > threshold, "buy").when(F.col("z") < -threshold, "sell").otherwise("hold")
     return b.select(*KEY, "ts", "z", action.alias("action"), F.when(action != "hold", F.least(F.lit(1.0), F.abs("z") / (2 * threshold))).otherwise(0.0).alias("confidence"))
 
@@ -330,14 +419,13 @@ def lookback_gate(df: DataFrame, n: int, needed: list[str]) -> DataFrame:
     whole = F.lit(True)
     for c in needed:
         whole = whole & F.col(c).isNotNull()
-    return df.withColumn("ready", (F.row_number().over(by_time()) >= n) & whole)
+    return numbered(df).withColumn("ready", (F.col("nth") >= n) & whole).drop("nth")
 
 
 def gap_gate(df: DataFrame, n: int) -> DataFrame:
     """``clean`` once ``n`` bars without a gap have followed the last one."""
-    nth = df.withColumn("nth", F.row_number().over(by_time()))
-    last = F.max(F.when(F.col("gap_count") > 0, F.col("nth"))).over(by_time())
-    return nth.withColumn("clean", F.coalesce(F.col("nth") - last >= n, F.lit(True))).drop("nth")
+    last = over_days(numbered(df), lasts={"gap_at": F.when(F.col("gap_count") > 0, F.col("nth"))}, order=("ts",))
+    return last.withColumn("clean", F.coalesce(F.col("nth") - F.col("gap_at") >= n, F.lit(True))).drop("nth", "gap_at")
 
 
 def gap_fraction(df: DataFrame) -> DataFrame:
@@ -349,7 +437,7 @@ def gap_fraction(df: DataFrame) -> DataFrame:
 def data_segments(bars: DataFrame) -> DataFrame:
     """Runs of valid bars (a close and no gap): start, end, bars."""
     ok = F.col("close").isNotNull() & (F.coalesce("gap_count", F.lit(0)) == 0)
-    b = bars.withColumn("island", F.sum(F.when(ok, 0).otherwise(1)).over(by_time())).where(ok)
+    b = over_days(bars, sums={"island": F.when(ok, 0).otherwise(1)}, order=("ts",)).where(ok)
     return b.groupBy(*KEY, "island").agg(F.min("ts").alias("start"), F.max("ts").alias("end"), F.count(F.lit(1)).alias("bars")).drop("island")
 
 
@@ -370,15 +458,15 @@ def mask_gaps(bars: DataFrame) -> DataFrame:
 
 def time_gaps(bars: DataFrame, seconds: int) -> DataFrame:
     """Neighbouring bars further apart than ``seconds``."""
-    nxt = F.lead("ts").over(by_time())
-    b = bars.select(*KEY, "ts", nxt.alias("next_ts")).withColumn("gap_seconds", F.unix_seconds("next_ts") - F.unix_seconds("ts"))
+    b = over_days(bars.select(*KEY, "ts"), priors={"before": F.col("ts")}, order=("ts",))
+    b = b.where("before is not null").select(*KEY, F.col("before").alias("ts"), F.col("ts").alias("next_ts")).withColumn("gap_seconds", F.unix_seconds("next_ts") - F.unix_seconds("ts"))
     return b.where(F.col("gap_seconds") > seconds)
 
 
 def cvd(bars: DataFrame) -> DataFrame:
     """Cumulative delta with its positive and negative parts."""
-    total = F.sum(2 * F.coalesce("buy_volume", F.lit(0.0)) - F.coalesce("volume", F.lit(0.0))).over(by_time())
-    return bars.select(*KEY, "ts", total.alias("cvd")).select("*", F.greatest("cvd", F.lit(0.0)).alias("cvd_pos"), F.least("cvd", F.lit(0.0)).alias("cvd_neg"))
+    net = 2 * F.coalesce("buy_volume", F.lit(0.0)) - F.coalesce("volume", F.lit(0.0))
+    return over_days(bars.select(*KEY, "ts", net.alias("net")), sums={"cvd": F.col("net")}, order=("ts",)).drop("net").select("*", F.greatest("cvd", F.lit(0.0)).alias("cvd_pos"), F.least("cvd", F.lit(0.0)).alias("cvd_neg"))
 
 
 #: User signals: name -> function of a DataFrame that adds action, confidence and reason.

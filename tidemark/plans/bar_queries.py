@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import bars as B
 from tidemark.operators import book, cascade, footprint
-from tidemark.plans.registry import register
+from tidemark.plans.registry import RAW, register
 
 K = "exchange:s symbol:s ts:t "
 BY = "exchange, symbol, bar as ts"
@@ -25,7 +25,7 @@ register("b03_synthetic_gaps", K + "cause:s", lambda d: book.synthetic_gaps(d.ti
 register("b04_level_intervals", "exchange:s symbol:s epoch:i side:s price:d size:d valid_from:t to_seq:i", lambda d: d.levels, "select * from levels")
 register("b05_dedupe_updates", "exchange:s symbol:s seq:i price:d size:d", lambda d: book.dedupe_updates(d.ticks), "select exchange, symbol, seq, price, size from (select *, max(seq) over (partition by exchange, symbol order by ts rows between unbounded preceding and 1 preceding) as m from updates) where m is null or seq > m")
 register("b06_best_quotes", "exchange:s symbol:s seq:i bid:d bid_size:d ask:d ask_size:d mid:d", lambda d: d.quotes, "select * from quotes")
-register("b07_previous_quote", "exchange:s symbol:s seq:i bid:d prev_bid:d prev_ask:d", lambda d: book.with_prev_quote(d.quotes), "select exchange, symbol, seq, bid, lag(bid) over w as prev_bid, lag(ask) over w as prev_ask from quotes window w as (partition by exchange, symbol, epoch order by ts, seq)")
+register("b07_previous_quote", "exchange:s symbol:s seq:i bid:d prev_bid:d prev_ask:d", lambda d: book.with_prev_quote(d.stored_quotes), "select exchange, symbol, seq, bid, lag(bid) over w as prev_bid, lag(ask) over w as prev_ask from quotes window w as (partition by exchange, symbol, epoch order by ts, seq)")
 register("b08_update_kind", "exchange:s symbol:s seq:i kind:s", lambda d: d.kinds, "select * from kinds")
 _depth = ", ".join(f"sum(size) filter (where side = '{s}' and r <= {n}) as {x}_depth_{label}" for s, x in (("buy", "bid"), ("sell", "ask")) for n, label in ((1, "l1"), (2, "l2"), (3, "l3"), (4, "l4"), (5, "l5"), (10, "top10"), (99999, "total")))
 _ranked = "(select *, row_number() over (partition by exchange, symbol, ts, side order by case when side = 'buy' then -price else price end) as r from depth_grid)"
@@ -63,8 +63,8 @@ def _trades_q(d):
 
 register("f05_vwmp", K + "vwmp:d", lambda d: B.vwmp(_trades_q(d), "4h"), f"select exchange, symbol, t.bar as ts, sum(q.mid * t.size) / sum(t.size) as vwmp {_tq} group by all")
 register("f06_effective_spread", K + "effective_spread:d", lambda d: B.effective_spread(_trades_q(d), "4h"), f"select exchange, symbol, t.bar as ts, avg(2 * abs(t.price - q.mid)) as effective_spread {_tq} group by all")
-register("f07_open_close_quotes", K + "best_bid_open:d best_ask_open:d best_bid:d best_ask:d", lambda d: B.open_close_quotes(d.quotes, "4h"), f"select {BY}, arg_min(coalesce(b0, bid), seq) as best_bid_open, arg_min(coalesce(a0, ask), seq) as best_ask_open, arg_max(bid, seq) as best_bid, arg_max(ask, seq) as best_ask from (select *, lag(bid) over w as b0, lag(ask) over w as a0 from quotes where mid is not null window w as (partition by exchange, symbol, acc_epoch order by ts, seq)) group by all")
-register("f08_quote_changes", K + "best_bid_changes:i best_ask_changes:i", lambda d: B.quote_changes(d.quotes, "4h"), f"select {BY}, count(*) filter (where bid <> b0) as best_bid_changes, count(*) filter (where ask <> a0) as best_ask_changes from (select *, lag(bid) over w as b0, lag(ask) over w as a0 from quotes where mid is not null window w as (partition by exchange, symbol, bar order by ts, seq)) group by all")
+register("f07_open_close_quotes", K + "best_bid_open:d best_ask_open:d best_bid:d best_ask:d", lambda d: B.open_close_quotes(d.stored_quotes, "4h"), f"select {BY}, arg_min(coalesce(b0, bid), seq) as best_bid_open, arg_min(coalesce(a0, ask), seq) as best_ask_open, arg_max(bid, seq) as best_bid, arg_max(ask, seq) as best_ask from (select *, lag(bid) over w as b0, lag(ask) over w as a0 from quotes where mid is not null window w as (partition by exchange, symbol, acc_epoch order by ts, seq)) group by all")
+register("f08_quote_changes", K + "best_bid_changes:i best_ask_changes:i", lambda d: B.quote_changes(d.stored_quotes, "4h"), f"select {BY}, count(*) filter (where bid <> b0) as best_bid_changes, count(*) filter (where ask <> a0) as best_ask_changes from (select *, lag(bid) over w as b0, lag(ask) over w as a0 from quotes where mid is not null window w as (partition by exchange, symbol, bar order by ts, seq)) group by all")
 
 
 def _depth_columns(d):
@@ -79,17 +79,17 @@ _dsql = f"""(select coalesce(o.exchange, c.exchange) as exchange, coalesce(o.sym
   (select exchange, symbol, ts - interval '4 hours' as ts, sum(size) filter (where side = 'buy' and r = 1) as bl1, sum(size) filter (where side = 'sell' and r = 1) as al1, sum(size) filter (where side = 'buy' and r <= 10) as b10, sum(size) filter (where side = 'sell' and r <= 10) as a10 from {_ranked} group by all) c
   on o.exchange = c.exchange and o.symbol = c.symbol and o.ts = c.ts)"""
 register("f09_depth_columns", K + "bid_depth_l1_open:d ask_depth_l1_open:d bid_depth_l1_close:d ask_depth_l1_close:d bid_depth_top10_close:d", _depth_columns, f"select * from {_dsql}")
-register("f10_ofi_l1", K + "ofi_l1:d ofi:d", lambda d: B.ofi_l1(d.quotes, "4h"), f"select {BY}, sum(f) as ofi_l1, sum(f) as ofi from flow group by all")
+register("f10_ofi_l1", K + "ofi_l1:d ofi:d", lambda d: B.ofi_l1(d.stored_quotes, "4h"), f"select {BY}, sum(f) as ofi_l1, sum(f) as ofi from flow group by all")
 register("f11_side_volumes", K + "buy_volume:d buy_count:i sell_volume:d", lambda d: B.side_volumes(d.trades, "4h"), f"select {BY}, sum(case when side = 'buy' then size else 0 end) as buy_volume, count(*) filter (where side = 'buy') as buy_count, sum(case when side = 'sell' then size else 0 end) as sell_volume {T}")
 
 
 def _thr(d):
     from tidemark.operators.rolling import block_threshold
 
-    return block_threshold(d.trades, 200, 50)
+    return block_threshold(d.trades)
 
 
-_thr_sql = "(select *, case when n >= 50 then list_sort(l)[ceil(0.99 * n)::bigint] end as threshold from (select *, list(size) over w as l, count(*) over w as n from trades window w as (partition by exchange, symbol order by ts, seq rows between 199 preceding and current row)))"
+_thr_sql = "(select *, case when n >= 100 then list_sort(l)[ceil(0.99 * n)::bigint] end as threshold from (select *, list(size) over w as l, count(*) over w as n from trades window w as (partition by exchange, symbol order by ts, seq rows between 999 preceding and current row)))"
 register("w01_block_threshold", "exchange:s symbol:s seq:i threshold:d", _thr, f"select * from {_thr_sql}")
 register("f12_block_trades", K + "block_buy_volume:d block_sell_volume:d large_bid_orders:i large_ask_orders:i", lambda d: B.block_trades(_thr(d), "4h"), f"select {BY}, sum(size) filter (where size > threshold and side = 'buy') as block_buy_volume, sum(size) filter (where size > threshold and side = 'sell') as block_sell_volume, sum(1) filter (where size > threshold and side = 'buy') as large_bid_orders, sum(1) filter (where size > threshold and side = 'sell') as large_ask_orders from {_thr_sql} group by all")
 register("f13_trade_extremes", K + "max_trade_size:d first_trade_offset_ms:i last_trade_offset_ms:i", lambda d: B.trade_extremes(d.trades, "4h"), f"select {BY}, max(size) as max_trade_size, min((epoch_us(ts) - epoch_us(bar)) // 1000) as first_trade_offset_ms, max((epoch_us(ts) - epoch_us(bar)) // 1000) as last_trade_offset_ms {T}")
@@ -97,8 +97,8 @@ register("f14_max_run", K + "max_consecutive_run:i", lambda d: B.max_run(d.trade
 _gap = "(select *, epoch_us(ts) - epoch_us(lag(ts) over (partition by exchange, symbol, bar order by ts, seq)) as g from trades)"
 register("f15_interval_gini", K + "trade_clustering:d", lambda d: B.interval_gini(d.trades, "4h"), f"select {BY}, case when sum(g) > 0 then sum((2 * i - m - 1) * g)::double / (max(m) * sum(g))::double end as trade_clustering from (select *, row_number() over (partition by exchange, symbol, bar order by g) as i, count(*) over (partition by exchange, symbol, bar) as m from {_gap} where g is not null) group by all")
 _ret = "(select *, ln(mid / lag(mid) over (partition by exchange, symbol, acc_epoch order by ts, seq)) as r from quotes where mid is not null)"
-register("f16_realized_vol", K + "realized_vol:d", lambda d: B.realized_vol(d.quotes, "4h"), f"select {BY}, case when stddev_samp(r) > 0 then stddev_samp(r) end as realized_vol from {_ret} where r is not null group by all")
-register("f17_realized_skew", K + "realized_skewness:d", lambda d: B.realized_skew(d.quotes, "4h"), f"select {BY}, case when count(*) >= 3 and sum((r - m) ** 2) > 0 then sqrt(count(*)) * sum((r - m) ** 3) / sum((r - m) ** 2) ** 1.5 end as realized_skewness from (select *, avg(r) over (partition by exchange, symbol, bar) as m from {_ret} where r is not null) group by all")
+register("f16_realized_vol", K + "realized_vol:d", lambda d: B.realized_vol(d.stored_quotes, "4h"), f"select {BY}, case when stddev_samp(r) > 0 then stddev_samp(r) end as realized_vol from {_ret} where r is not null group by all")
+register("f17_realized_skew", K + "realized_skewness:d", lambda d: B.realized_skew(d.stored_quotes, "4h"), f"select {BY}, case when count(*) >= 3 and sum((r - m) ** 2) > 0 then sqrt(count(*)) * sum((r - m) ** 3) / sum((r - m) ** 2) ** 1.5 end as realized_skewness from (select *, avg(r) over (partition by exchange, symbol, bar) as m from {_ret} where r is not null) group by all")
 register("f18_tick_counts", K + "uptick_count:i downtick_count:i", lambda d: B.tick_counts(d.trades, "4h"), f"select {BY}, count(*) filter (where price > p) as uptick_count, count(*) filter (where price < p) as downtick_count from (select *, lag(price) over (partition by exchange, symbol, bar order by ts, seq) as p from trades) group by all")
 _act = ", ".join(f"count(*) filter (where kind = '{k}' and side = '{s}') as {n}" for k, s, n in (("add", "buy", "bid_order_arrivals"), ("add", "sell", "ask_order_arrivals"), ("cancel", "buy", "bid_cancel_count"), ("cancel", "sell", "ask_cancel_count")))
 register("f19_book_activity", K + "bid_order_arrivals:i ask_order_arrivals:i bid_cancel_count:i ask_cancel_count:i ob_modify_count:i avg_bid_order_size:d avg_ask_order_size:d", lambda d: B.book_activity(d.kinds, "4h"), f"select {BY}, {_act}, count(*) filter (where kind = 'modify') as ob_modify_count, avg(size) filter (where kind = 'add' and side = 'buy') as avg_bid_order_size, avg(size) filter (where kind = 'add' and side = 'sell') as avg_ask_order_size from kinds group by all")
@@ -133,7 +133,7 @@ register("f31_cvd_divergence", K + "cvd_divergence:i", _with_cvd_epoch, f"select
 
 
 def _closing(d):
-    return d.bars4.drop("volume").join(B.ohlcv(d.trades, "4h").select(*B.KEY, "ts", "volume"), [*B.KEY, "ts"]).join(_depth_columns(d), [*B.KEY, "ts"], "left").join(B.book_activity(d.kinds, "4h"), [*B.KEY, "ts"], "left").join(B.open_close_quotes(d.quotes, "4h"), [*B.KEY, "ts"], "left")
+    return d.bars4.drop("volume").join(B.ohlcv(d.trades, "4h").select(*B.KEY, "ts", "volume"), [*B.KEY, "ts"]).join(_depth_columns(d), [*B.KEY, "ts"], "left").join(B.book_activity(d.kinds, "4h"), [*B.KEY, "ts"], "left").join(B.open_close_quotes(d.stored_quotes, "4h"), [*B.KEY, "ts"], "left")
 
 
 _closing_sql = f"(select b.*, bid_depth_l1_open, ask_depth_l1_open, bid_depth_l1_close, ask_depth_l1_close, bid_depth_top10_close, ask_depth_top10_close, ba, aa, bc, ac, best_bid, best_ask from bars4 b left join {_dsql} using (exchange, symbol, ts) left join (select exchange, symbol, bar as ts, count(*) filter (where kind = 'add' and side = 'buy') as ba, count(*) filter (where kind = 'add' and side = 'sell') as aa, count(*) filter (where kind = 'cancel' and side = 'buy') as bc, count(*) filter (where kind = 'cancel' and side = 'sell') as ac from kinds group by all) using (exchange, symbol, ts) left join (select exchange, symbol, bar as ts, arg_max(bid, seq) as best_bid, arg_max(ask, seq) as best_ask from quotes where mid is not null group by all) using (exchange, symbol, ts))"
@@ -145,7 +145,7 @@ _micro = "case when bid_depth_l1_close + ask_depth_l1_close <> 0 then (best_ask
 register("f34_microprice", K + "microprice:d microprice_mid_delta:d", lambda d: B.microprice(_closing(d)), f"select exchange, symbol, ts, {_micro} as microprice, ({_micro} - (best_bid + best_ask) / 2) / ((best_bid + best_ask) / 2) * 10000 as microprice_mid_delta from {_closing_sql}")
 register("f35_cancel_bias", K + "cancel_bias:d", lambda d: B.cancel_bias(_closing(d)), f"select exchange, symbol, ts, (bc - ac) / (bc + ac + 1)::double as cancel_bias from {_closing_sql}")
 register("f36_trade_aggressiveness", K + "trade_aggressiveness:d", lambda d: B.trade_aggressiveness(_closing(d)), f"select exchange, symbol, ts, case when coalesce(bid_depth_l1_close, 0) = 0 then 0 else volume / (bid_depth_l1_close + 1e-9) end as trade_aggressiveness from {_closing_sql}")
-register("f37_vwap_deviation", K + "buy_vwap_deviation_bps:d sell_vwap_deviation_bps:d", lambda d: B.vwap_deviation(d.trades, B.open_close_quotes(d.quotes, "4h"), "4h"), "select exchange, symbol, ts, (bv - m) / m * 10000 as buy_vwap_deviation_bps, (sv - m) / m * 10000 as sell_vwap_deviation_bps from (select exchange, symbol, bar as ts, sum(price * size) filter (where side = 'buy') / sum(size) filter (where side = 'buy') as bv, sum(price * size) filter (where side = 'sell') / sum(size) filter (where side = 'sell') as sv from trades group by all) join (select exchange, symbol, bar as ts, (arg_max(bid, seq) + arg_max(ask, seq)) / 2 as m from quotes where mid is not null group by all) using (exchange, symbol, ts)")
+register("f37_vwap_deviation", K + "buy_vwap_deviation_bps:d sell_vwap_deviation_bps:d", lambda d: B.vwap_deviation(d.trades, B.open_close_quotes(d.stored_quotes, "4h"), "4h"), "select exchange, symbol, ts, (bv - m) / m * 10000 as buy_vwap_deviation_bps, (sv - m) / m * 10000 as sell_vwap_deviation_bps from (select exchange, symbol, bar as ts, sum(price * size) filter (where side = 'buy') / sum(size) filter (where side = 'buy') as bv, sum(price * size) filter (where side = 'sell') / sum(size) filter (where side = 'sell') as sv from trades group by all) join (select exchange, symbol, bar as ts, (arg_max(bid, seq) + arg_max(ask, seq)) / 2 as m from quotes where mid is not null group by all) using (exchange, symbol, ts)")
 register("f38_bar_quality", K + "gap_count:i bar_seq:i is_partial:b", lambda d: B.bar_quality(d.ticks, "4h"), "select exchange, symbol, ts, gap_count, row_number() over (partition by exchange, symbol, e order by ts) as bar_seq, is_partial from (select exchange, symbol, time_bucket(interval '4 hours', ts) as ts, count(*) filter (where gap) as gap_count, bool_or(snap) as is_partial, max(acc_epoch) as e from epochs group by all)")
 register("f39_fill_empty_bars", K + "open:d volume:d", lambda d: B.fill_empty_bars(B.ohlcv(d.trades, "1h"), "1h"), "select s.exchange, s.symbol, s.ts, open, volume from (select exchange, symbol, unnest(generate_series(min(ts), max(ts), interval '1 hour')) as ts from bars1 where open is not null group by exchange, symbol) s left join bars1 b on s.exchange = b.exchange and s.symbol = b.symbol and s.ts = b.ts")
 
@@ -170,4 +170,25 @@ def _day_merge(d):
 
 register("f45_merge_footprints", K + "price_str:s b:d s:d", _day_merge, "select exchange, symbol, date_trunc('day', ts) as ts, price_str, sum(b) as b, sum(s) as s from fp group by all")
 register("f46_merge_single_prints", K + "n:i levels:s", lambda d: footprint.merge_single_prints(footprint.auction_signals(d.fp, d.bars4), "1w").select("*", F.from_json("single_print_levels_json", "array<double>").alias("l")).select("exchange", "symbol", "ts", F.size("l").alias("n"), F.array_join(F.transform("l", lambda x: x.cast("long").cast("string")), ",").alias("levels")), "select exchange, symbol, ts, count(p) as n, coalesce(string_agg(p::bigint::varchar, ',' order by p), '') as levels from (select distinct exchange, symbol, time_bucket(interval '7 days', ts) as ts, case when b + s < 0.1 * m and price > lo and price < hi then price end as p from (select *, avg(b + s) over w as m, min(price) over w as lo, max(price) over w as hi from fp window w as (partition by exchange, symbol, ts))) group by all")
-register("build_bars_4h", K + "open:d close:d volume:d twap:d spread_mean:d ofi_l1:d realized_vol:d trade_sign_autocorr:d vwmp:d gap_count:i bar_seq:i ob_modify_count:i", lambda d: B.build_bars(d.ticks, d.stored_quotes, d.kinds, d.trades, "4h"))
+
+
+_BAR = """open high low close volume quote_volume twap buy_volume sell_volume max_trade_size vwmp effective_spread mid_price_open mid_price_high mid_price_low spread_high spread_low spread_mean best_bid_open best_ask_open best_bid best_ask
+ofi_l1 ofi realized_vol realized_skewness trade_clustering trade_sign_autocorr avg_bid_order_size avg_ask_order_size hawkes_intensity""".split()
+_BAR_COUNTS = """trade_count buy_count first_trade_offset_ms last_trade_offset_ms max_consecutive_run uptick_count downtick_count num_trade_price_levels best_bid_changes best_ask_changes bid_order_arrivals ask_order_arrivals bid_cancel_count
+ask_cancel_count ob_modify_count gap_count bar_seq""".split()
+_OF_BARS = "f01_ohlcv f02_twap f11_side_volumes f13_trade_extremes f14_max_run f15_interval_gini f18_tick_counts f21_sign_autocorr f22_interval_std f23_price_levels f05_vwmp f06_effective_spread f03_mid_path f04_spread_stats f07_open_close_quotes f08_quote_changes f10_ofi_l1 f16_realized_vol f17_realized_skew f19_book_activity f33_hawkes".split()
+
+
+def _bar_sql() -> str:
+    """The joined row from the SQL of its parts, each with its own columns."""
+    parts = []
+    for name in _OF_BARS:
+        raw = RAW[name] if name != "f01_ohlcv" else "select * exclude (buy_volume, sell_volume) from bars4"
+        parts.append(f"left join ({raw}) using (exchange, symbol, ts)")
+    return f"select * from ({RAW['f38_bar_quality']}) " + " ".join(parts)
+
+
+register(
+    "build_bars_4h", K + " ".join(f"{c}:d" for c in _BAR) + " " + " ".join(f"{c}:i" for c in _BAR_COUNTS) + " inter_trade_interval_std_ms:e is_partial:b",
+    lambda d: B.build_bars(d.ticks, d.stored_quotes, d.kinds, d.trades, "4h"), _bar_sql(),
+)

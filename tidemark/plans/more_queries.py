@@ -121,10 +121,10 @@ _FF = f"(select exchange, symbol, ts, ofi_l1, last_value(best_bid ignore nulls)
 _MID = f"(select *, (best_bid + best_ask) / 2 as mid from {_FF})"
 register("w05_ffill_quotes", K + "best_bid:d best_ask:d mid:d", lambda d: rolling.ffill_quotes(d.feat), f"select exchange, symbol, ts, best_bid, best_ask, mid from {_MID}")
 register("w06_hurst", K + "hurst_60:d", lambda d: rolling.hurst(rolling.ffill_quotes(d.feat), 60))
-_phi = f"(select *, regr_slope(mid, m0) over ({W} rows between 18 preceding and current row) as phi, row_number() over ({W}) as k from (select *, lag(mid) over ({W}) as m0 from {_MID}))"
-register("w07_ou_halflife", K + "ou_halflife:e", lambda d: rolling.ou_halflife(rolling.ffill_quotes(d.feat), 20), f"select exchange, symbol, ts, case when k >= 20 then case when phi > 0 and phi < 1 then least(greatest(-ln(2) / ln(phi), 1), 300) else 60 end end as ou_halflife from {_phi}")
-_kl = f"(select *, regr_slope(dm, sg) over w as b, regr_count(dm, sg) over w as n, row_number() over ({W}) as k from (select m.*, sg, mid - lag(mid) over (partition by m.exchange, m.symbol order by m.ts) as dm from {_MID} m join (select exchange, symbol, ts, sg from {_SGC}) using (exchange, symbol, ts)) window w as ({W} rows between 19 preceding and current row))"
-register("w08_kyle_lambda", K + "kyle_lambda:d", lambda d: rolling.kyle_lambda(rolling.savgol5(rolling.ffill_quotes(d.feat), "ofi_l1"), 20), f"select exchange, symbol, ts, case when k >= 20 then case when n < 10 or b is null or isnan(b) then 0 else b end end as kyle_lambda from {_kl}")
+_phi = f"(select *, regr_slope(mid, m0) over ({W} rows between 58 preceding and current row) as phi, row_number() over ({W}) as k from (select *, lag(mid) over ({W}) as m0 from {_MID}))"
+register("w07_ou_halflife", K + "ou_halflife:e", lambda d: rolling.ou_halflife(rolling.ffill_quotes(d.feat)), f"select exchange, symbol, ts, case when k >= 60 then case when phi > 0 and phi < 1 then least(greatest(-ln(2) / ln(phi), 1), 300) else 60 end end as ou_halflife from {_phi}")
+_kl = f"(select *, regr_slope(dm, sg) over w as b, regr_count(dm, sg) over w as n, row_number() over ({W}) as k from (select m.*, sg, mid - lag(mid) over (partition by m.exchange, m.symbol order by m.ts) as dm from {_MID} m join (select exchange, symbol, ts, sg from {_SGC}) using (exchange, symbol, ts)) window w as ({W} rows between 59 preceding and current row))"
+register("w08_kyle_lambda", K + "kyle_lambda:d", lambda d: rolling.kyle_lambda(rolling.savgol5(rolling.ffill_quotes(d.feat), "ofi_l1")), f"select exchange, symbol, ts, case when k >= 60 then case when n < 10 or b is null or isnan(b) then 0 else b end end as kyle_lambda from {_kl}")
 register("w09_interactions", K + "ofi_x_spread:d microprice_x_hawkes:d cancel_bias:d", lambda d: rolling.interactions(_delta(d).withColumn("hawkes_intensity", F.col("trade_count") * 0.5).withColumn("cancel_bias", F.lit(None).cast("double"))), f"select exchange, symbol, ts, ofi_l1 * spread_mean as ofi_x_spread, microprice_mid_delta * (trade_count * 0.5::double) as microprice_x_hawkes, 0 as cancel_bias from {_DELTA}")
 _lab = "case when a >= 50 and h < 0.5 and f / a < 0.5 then 'REVERT' when a >= 50 and h < 0.5 and f / a > 1.2 then 'TREND' else 'FLAT' end"
 register("w10_reversion_labels", K + "label_revert_1:s label_revert_5:s", lambda d: rolling.reversion_labels(_delta(d).withColumn("hurst_60", F.col("gap_count") * 0.6), [1, 5], 50.0), f"select exchange, symbol, ts, {_lab.replace('f /', 'f1 /')} as label_revert_1, {_lab.replace('f /', 'f5 /')} as label_revert_5 from (select *, abs(microprice_mid_delta) as a, gap_count * 0.6 as h, abs(lead(microprice_mid_delta, 1) over ({W})) as f1, abs(lead(microprice_mid_delta, 5) over ({W})) as f5 from {_DELTA})")
@@ -133,7 +133,7 @@ _z = f"(select *, case when count(spread) over w = 60 and stddev_samp(spread) ov
 _fixed = lambda d: rolling.spread_zscore(_pair(d).withColumn("hedge_ratio", F.lit(1.0)))
 register("w12_spread_zscore", "exchange:s ts:t spread:d spread_z:d", _fixed, f"select exchange, ts, spread, z as spread_z from {_z}")
 register("w13_adf_pvalue", "exchange:s ts:t adf_pvalue_60:d", lambda d: rolling.adf_pvalue(_fixed(d)))
-register("w14_spread_labels", "exchange:s ts:t label_spread:s", lambda d: rolling.spread_labels(_fixed(d).withColumn("adf_pvalue_60", F.lit(0.05))), f"select exchange, ts, case when abs(z) > 1.5 and f < 0.5 * abs(z) then 'CONVERGE' when abs(z) > 1.5 and f > 1.2 * abs(z) then 'DIVERGE' else 'NEUTRAL' end as label_spread from (select *, abs(lead(z, 10) over (partition by exchange order by ts)) as f from {_z})")
+register("w14_spread_labels", "exchange:s ts:t label_spread:s", lambda d: rolling.spread_labels(_fixed(d).withColumn("adf_pvalue_60", F.when(F.unix_seconds("ts") % 10800 == 0, 0.2).otherwise(0.05))), f"select exchange, ts, case when epoch(ts)::bigint % 10800 = 0 then 'NEUTRAL' when abs(z) > 1.5 and f < 0.5 * abs(z) then 'CONVERGE' when abs(z) > 1.5 and f > 1.2 * abs(z) then 'DIVERGE' else 'NEUTRAL' end as label_spread from (select *, abs(lead(z, 10) over (partition by exchange order by ts)) as f from {_z})")
 
 
 def _ema_sql(n: int, name: str) -> str:

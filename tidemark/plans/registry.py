@@ -1,7 +1,8 @@
 """Registered queries: each has a column list that shapes both the Spark result and its SQL.
 
 A column is ``name:kind``: s text, i whole number, d number to six places, e to four, b boolean, t time, D date.
-Before rounding a number is nudged up by less than a tenth of its last place, so that both engines round a tie alike.
+Before rounding a number is nudged up by less than a tenth of its last place, so that both engines round a tie alike; the nudge has more
+places than the data, so that it makes no ties itself.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from tidemark.sources import adapter, io
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: The SQL of each query before its columns are shaped, for queries that join the answers of others.
+RAW: dict[str, str] = {}
 
 #: What the SQL side calls the engine's tables; a query gets those that its text names.
 SQL = {
@@ -93,12 +96,12 @@ def shaped(df: DataFrame, spec: str) -> DataFrame:
     out = []
     for name, kind in _columns(spec):
         c = F.col(name)
-        out.append({"s": lambda c=c: c.cast("string"), "i": lambda c=c: c.cast("bigint"), "d": lambda c=c: F.round(c.cast("double") + 3e-8, 6), "e": lambda c=c: F.round(c.cast("double") + 3e-6, 4), "b": lambda c=c: c.cast("boolean"), "t": lambda c=c: c.cast("timestamp_ntz"), "D": lambda c=c: c.cast("date")}[kind]().alias(name))
+        out.append({"s": lambda c=c: c.cast("string"), "i": lambda c=c: c.cast("bigint"), "d": lambda c=c: F.round(c.cast("double") + 3.137e-8, 6), "e": lambda c=c: F.round(c.cast("double") + 3.137e-6, 4), "b": lambda c=c: c.cast("boolean"), "t": lambda c=c: c.cast("timestamp_ntz"), "D": lambda c=c: c.cast("date")}[kind]().alias(name))
     return df.select(*out)
 
 
 def oracle(spec: str, sql: str) -> str:
-    kinds = {"s": "{}::varchar", "i": "{}::bigint", "d": "round({}::double + 3e-8, 6)", "e": "round({}::double + 3e-6, 4)", "b": "{}::boolean", "t": "{}::timestamp", "D": "{}::date"}
+    kinds = {"s": "{}::varchar", "i": "{}::bigint", "d": "round({}::double + 3.137e-8, 6)", "e": "round({}::double + 3.137e-6, 4)", "b": "{}::boolean", "t": "{}::timestamp", "D": "{}::date"}
     columns = ", ".join(f'{kinds[k].format(chr(34) + n + chr(34))} as "{n}"' for n, k in _columns(spec))
     names = _needed(sql)
     ctes = ",\n".join([*(f"{n} as ({SQL[n]})" for n in names), f"answer as ({sql})"])
@@ -110,7 +113,7 @@ def register(name: str, spec: str, fn: Callable[[Data], DataFrame], sql: str | N
         raise ValueError(name)
     QUERIES[name] = lambda spark, sf_dir: shaped(fn(Data(spark, sf_dir)), spec)
     if sql is not None:
-        ORACLES[name] = oracle(spec, sql)
+        RAW[name], ORACLES[name] = sql, oracle(spec, sql)
 
 
 class Data:

@@ -10,7 +10,7 @@ from tidemark.operators import bars as B
 from tidemark.operators import data_quality, ledger, ml, rolling
 from tidemark.plans.bar_queries import at
 from tidemark.plans.more_queries import _DELTA, _delta, _fixed, _pair
-from tidemark.plans.registry import Data, register
+from tidemark.plans.registry import RAW, Data, register
 from tidemark.sources import io, normalize
 from tidemark.streaming import ticks as stream
 
@@ -124,6 +124,15 @@ register("s12_upsert_bars", K + "close:d volume:d version:i", _upserted, "select
 register("s13_live_bars", K + "close:d", lambda d: io.live_bars(d.bars4, "1s", at("2024-02-10")), "select * from bars4 where ts::date >= date '2024-02-10' - 30")
 
 
+def _after_expiry(d: Data) -> DataFrame:
+    path = _stored(d)
+    io.expire_bars(d.spark, path, "1s", at("2024-02-10"))
+    return d.spark.read.parquet(path)
+
+
+register("s13_expire_bars", K + "close:d", _after_expiry, "select * from bars4 where ts::date >= date '2024-02-10' - 30")
+
+
 def _exported(d: Data) -> DataFrame:
     path = io.scratch(d.spark, "export")
     for day in ("2024-01-03", "2024-01-04", "2030-01-01"):
@@ -167,15 +176,24 @@ def _runs_back(d: Data) -> DataFrame:
 register("s24_write_run", "strategy:s exchange:s symbol:s n_trades:i month:s", _runs_back, "select strategy, exchange, symbol, count(*) as n_trades, '2024-01' as month from paired group by all")
 
 
+STREAM_FILES = 4
+
+
 # ---- streams ----------------------------------------------------------------------------------------
-def _stream_ticks(d: Data) -> DataFrame:
-    """``events`` as a file stream, shaped as ticks."""
+def _stream_ticks(d: Data, repeated: int = 0) -> DataFrame:
+    """``events`` as a file stream in time order, one file a trigger, shaped as ticks; ``repeated`` times more, each row comes again in its file."""
     from tidemark.sources import adapter
 
     events = adapter.table(d.spark, d.sf_dir, "events")
     path = io.scratch(d.spark, "stream-in")
-    events.repartitionByRange(4, "event_id").write.parquet(path)
-    return adapter.ticks_of(d.spark.readStream.schema(events.schema).parquet(path))
+    ordered = events.repartitionByRange(STREAM_FILES, "ts", "event_id")
+    if repeated:
+        ordered = ordered.withColumn("again", F.explode(F.sequence(F.lit(0), F.lit(repeated)))).drop("again")
+    ordered.withColumn("file", F.spark_partition_id()).sortWithinPartitions("ts", "event_id").write.partitionBy("file").parquet(path)
+    # Triggers take files by their time of change; those of one write may tie, so that their order is left to the watermark's delay.
+    for k in sorted(r["file"] for r in d.spark.read.parquet(path).select("file").distinct().collect()):
+        d.spark.read.schema(events.schema).parquet(f"{path}/file={k}").coalesce(1).write.mode("append").parquet(f"{path}-in")
+    return adapter.ticks_of(d.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}-in"))
 
 
 def _stream_trades(d: Data) -> DataFrame:
@@ -187,7 +205,7 @@ def _stream_trades(d: Data) -> DataFrame:
 register("t01_stream_bars", K + "open:d high:d low:d close:d volume:d trade_count:i", lambda d: stream.run_available(stream.stream_bars(_stream_trades(d), "4h")), "select * from bars4 where ts + interval '4 hours' <= (select max(ts) from trades) - interval '10 seconds'")
 register("t02_stream_partial_bars", K + "close:d volume:d", lambda d: io.latest_rows(stream.run_available(stream.stream_partial_bars(_stream_trades(d), "4h"), "update"), [*KEY, "ts"], "batch"), "select * from bars4")
 register("t03_stream_book", "exchange:s symbol:s seq:i bid:d bid_size:d ask:d ask_size:d", lambda d: stream.run_available(stream.stream_book(_stream_ticks(d))), "select exchange, symbol, seq, bid, bid_size, ask, ask_size from quotes")
-register("t04_stream_dedupe", "exchange:s symbol:s seq:i", lambda d: stream.run_available(stream.stream_dedupe(_stream_ticks(d))), "select exchange, symbol, seq from ticks")
+register("t04_stream_dedupe", "exchange:s symbol:s seq:i", lambda d: stream.run_available(stream.stream_dedupe(_stream_ticks(d, repeated=1))), "select exchange, symbol, seq from ticks")
 register("t05_barrier", "exchange:s ts:t arrived:i is_complete:b", lambda d: stream.barrier(d.bars1.where("close is not null"), ["S0", "S1"], at("2024-01-20"), 3600)[0], "select exchange, ts, count(*) as arrived, count(*) = 2 as is_complete from bars1 where close is not null group by all having count(*) = 2 or ts + interval '1 hour' <= timestamp '2024-01-20'")
 register("t05_barrier_gaps", "exchange:s ts:t symbol:s gap_cause:s", lambda d: stream.barrier(d.bars1.where("close is not null"), ["S0", "S1"], at("2024-01-20"), 3600)[1], "select exchange, ts, case when max(symbol) = 'S0' then 'S1' else 'S0' end as symbol, 'barrier_timeout' as gap_cause from bars1 where close is not null and ts + interval '1 hour' <= timestamp '2024-01-20' group by all having count(*) = 1")
 register("t06_cut_partial", K + "acc_epoch:i open:d close:d volume:d is_partial:b", lambda d: stream.cut_partial(d.ticks, d.trades, "4h"), "select exchange, symbol, bar as ts, acc_epoch, open, close, volume, acc_epoch < max(acc_epoch) over (partition by exchange, symbol, bar) as is_partial from (select exchange, symbol, time_bucket(interval '4 hours', ts) as bar, acc_epoch, arg_min(price, seq) as open, arg_max(price, seq) as close, sum(size) as volume from epochs where event_type = 'trade' and size > 0 group by all)")
@@ -222,18 +240,23 @@ def _models(d: Data):
     return f, models, registry
 
 
-register("m01_feature_cols", "name:s", lambda d: d.spark.createDataFrame([(c,) for c in ml.feature_cols(d.feat)], "name string"), "select unnest(['open', 'high', 'low', 'close', 'volume', 'quote_volume', 'trade_count', 'buy_volume', 'buy_count', 'sell_volume', 'best_bid', 'best_ask', 'spread_mean', 'ofi_l1', 'ofi']) as name")
+#: Columns of the wide bars that the SQL side lacks, and columns that are null in the same rows.
+_AS_STORED = {"quote_volume": "volume", "buy_count": "volume", "ofi": "ofi_l1"}
+_FEATURES = "open high low close volume quote_volume trade_count buy_volume buy_count sell_volume best_bid best_ask spread_mean ofi_l1 ofi".split()
+register("m01_feature_cols", "name:s rows:i nulls:i", lambda d: ml.feature_profile(d.feat.withColumn("label_x", F.lit(1))), " union all ".join(f"select '{c}' as name, count(*) as rows, count(*) - count({_AS_STORED.get(c, c)}) as nulls from feat" for c in _FEATURES))
 register("m02_build_features", K + "ofi_l1_sg:d hurst_20:d hurst_60:d ou_halflife:e kyle_lambda:d ofi_x_spread:d microprice_x_hawkes:d microprice_mid_delta:d cancel_bias:d regime:s", _built)
 
 
 def _labels_back(d: Data) -> DataFrame:
-    path, f = io.scratch(d.spark, "labels"), _features(d).select(*KEY, "ts", "label_revert_1")
-    ml.write_labels(f, path)
-    ml.write_labels(f.where("exchange = 'bybit'"), path)  # a rerun of some partitions
+    path = io.scratch(d.spark, "labels")
+    f = rolling.reversion_labels(_delta(d).withColumn("hurst_60", F.col("gap_count") * 0.6), [1], 50.0).select(*KEY, "ts", "label_revert_1")
+    ml.write_labels(f.withColumn("label_revert_1", F.lit("stale")), path)
+    ml.write_labels(f.where("exchange = 'kucoin'"), path)  # reruns of some partitions replace them
+    ml.write_labels(f.where("exchange = 'bybit'"), path)
     return d.spark.read.parquet(path)
 
 
-register("m03_write_labels", K + "date:D", _labels_back, "select exchange, symbol, ts, ts::date as date from bars1")
+register("m03_write_labels", K + "date:D label_revert_1:s", _labels_back, f"select *, ts::date as date from ({RAW['w10_reversion_labels']})")
 register("m04_cluster_regimes", K + "regime:s cluster:i", _clustered)
 register("m06_with_weights", K + "label:i weight:d", lambda d: ml.with_weights(_delta(d).withColumn("l", F.when(F.col("volume") > 100, "TREND").when(F.col("volume") > 50, "REVERT")), "l"), "select exchange, symbol, ts, case when volume > 100 then 2 when volume > 50 then 0 else 1 end as label, case when volume > 50 then 2 else 1 end as weight from feat")
 register("m07_train_slots", "regime:s cluster:i model_id:s cv_score:d n:i", lambda d: _models(d)[2])
@@ -247,4 +270,15 @@ def _scored(d: Data) -> DataFrame:
 
 register("m09_score", K + "label:s confidence:d", _scored)
 register("m10_score_spread", "exchange:s ts:t label:s reason:s confidence:d", lambda d: ml.score_spread(rolling.adf_pvalue(_fixed(d))))
-register("d04_contract_check", "table:s column:s expected:s status:s", lambda d: data_quality.contract_check(d.spark, {"bars": d.bars4, "ticks": d.ticks}, {"bars": {"open": "double", "twap": "double"}, "ticks": {"seq": "bigint", "side": "int"}}), "select * from (values ('bars', 'open', 'double', 'ok'), ('bars', 'twap', 'double', 'missing'), ('ticks', 'seq', 'bigint', 'ok'), ('ticks', 'side', 'int', 'type')) as t(\"table\", \"column\", expected, status)")
+def _contract() -> dict:
+    return {"bars": {"open": ("double", F.col("open") > 0), "close": ("double", F.col("close") < 200), "twap": ("double", None)}, "ticks": {"seq": ("bigint", None), "side": ("int", None), "size": ("double", F.col("size") >= 0)}}
+
+
+_DSQL = "select '{}' as \"table\", '{}' as \"column\", '{}' as expected, {} as status, count(*) as rows, {} as nulls, {} as failing from {}"
+_CONTRACT_SQL = " union all ".join([
+    _DSQL.format("bars", "open", "double", "case when count(*) filter (where open <= 0) > 0 then 'values' else 'ok' end", "count(*) - count(open)", "count(*) filter (where open <= 0)", "bars4"),
+    _DSQL.format("bars", "close", "double", "case when count(*) filter (where close >= 200) > 0 then 'values' else 'ok' end", "count(*) - count(close)", "count(*) filter (where close >= 200)", "bars4"),
+    _DSQL.format("bars", "twap", "double", "'missing'", "count(*)", "0", "bars4"), _DSQL.format("ticks", "seq", "bigint", "'ok'", "count(*) - count(seq)", "0", "ticks"),
+    _DSQL.format("ticks", "side", "int", "'type'", "count(*) - count(side)", "0", "ticks"), _DSQL.format("ticks", "size", "double", "case when count(*) filter (where size < 0) > 0 then 'values' else 'ok' end", "count(*) - count(size)", "count(*) filter (where size < 0)", "ticks"),
+])
+register("d04_contract_check", "table:s column:s expected:s status:s rows:i nulls:i failing:i", lambda d: data_quality.contract_check(d.spark, {"bars": d.bars4, "ticks": d.ticks}, _contract()), _CONTRACT_SQL)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import json
 from collections.abc import Iterator
 
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tidemark.core import KEY, seconds
+from tidemark.core import KEY, over_days, seconds
 from tidemark.sources.io import scratch
 
 
@@ -41,26 +42,56 @@ def stream_dedupe(ticks: DataFrame, delay: str = "1 second") -> DataFrame:
     return ticks.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["exchange", "symbol", "ingest_id"])
 
 
+OUT_ROWS = 50_000
 BOOK_OUT = "exchange string, symbol string, ts timestamp, seq long, bid double, bid_size double, ask double, ask_size double"
 
 
+class LiveBook:
+    """The levels of one key; the best of a side is the top of a heap whose stale entries are dropped when met."""
+
+    def __init__(self, levels: list[list[list[float]]] | None = None) -> None:
+        self.levels = [dict(map(tuple, side)) for side in levels] if levels else [{}, {}]
+        self.heaps = [[-p for p in self.levels[0]], list(self.levels[1])]
+        for heap in self.heaps:
+            heapq.heapify(heap)
+
+    def set(self, side: int, price: float, size: float) -> None:
+        if size > 0:
+            if price not in self.levels[side]:
+                heapq.heappush(self.heaps[side], price if side else -price)
+            self.levels[side][price] = size
+        else:
+            self.levels[side].pop(price, None)
+
+    def best(self) -> tuple[float | None, float | None, float | None, float | None]:
+        out: list[float | None] = []
+        for side, sign in ((0, -1), (1, 1)):
+            heap, levels = self.heaps[side], self.levels[side]
+            while heap and sign * heap[0] not in levels:
+                heapq.heappop(heap)
+            out += [sign * heap[0], levels[sign * heap[0]]] if heap else [None, None]
+        return tuple(out) if None not in out else (None,) * 4
+
+    def stored(self) -> str:
+        return json.dumps([list(side.items()) for side in self.levels])
+
+
 def _advance(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    book = json.loads(state.get[0]) if state.exists else {"buy": {}, "sell": {}}
-    rows = pd.concat(list(batches)).sort_values(["ts", "seq"], kind="stable")
-    out = []
-    for kind, event, side, price, size, ts, seq in zip(rows["msg_type"], rows["event_type"], rows["side"], rows["price"], rows["size"], rows["ts"], rows["seq"], strict=True):
-        if kind in ("snapshot", "gap"):
-            book = {"buy": {}, "sell": {}}
-        elif event == "update" and side in book and price == price:
-            if size > 0:
-                book[side][repr(price)] = size
-            else:
-                book[side].pop(repr(price), None)
-        b, a = [max((float(p) * sign for p in book[s]), default=None) for s, sign in (("buy", 1), ("sell", -1))]
-        both = b is not None and a is not None
-        out.append((*key, ts, seq, *((b, book["buy"][repr(b)], -a, book["sell"][repr(-a)]) if both else (None,) * 4)))
-    state.update((json.dumps(book),))
-    yield pd.DataFrame(out, columns=["exchange", "symbol", "ts", "seq", "bid", "bid_size", "ask", "ask_size"])
+    """A key's rows of one trigger in stream order; only their columns that move the book are held."""
+    book = LiveBook(json.loads(state.get[0])) if state.exists else LiveBook()
+    wanted = ["msg_type", "event_type", "side", "price", "size", "ts", "seq"]
+    rows = pd.concat([b[wanted] for b in batches]).sort_values(["ts", "seq"], kind="stable")
+    sides = {"buy": 0, "sell": 1}
+    for lo in range(0, len(rows), OUT_ROWS):
+        part, out = rows.iloc[lo : lo + OUT_ROWS], []
+        for kind, event, side, price, size, ts, seq in part.itertuples(index=False):
+            if kind in ("snapshot", "gap"):
+                book = LiveBook()
+            elif event == "update" and side in sides and price == price:
+                book.set(sides[side], price, size)
+            out.append((*key, ts, seq, *book.best()))
+        yield pd.DataFrame(out, columns=["exchange", "symbol", "ts", "seq", "bid", "bid_size", "ask", "ask_size"]).astype({c: "float64" for c in ("bid", "bid_size", "ask", "ask_size")})
+    state.update((book.stored(),))
 
 
 def stream_book(ticks: DataFrame) -> DataFrame:
@@ -72,7 +103,7 @@ def cut_partial(ticks: DataFrame, trades: DataFrame, tf: str) -> DataFrame:
     """A snapshot cuts the bar: its part before and after are rows of their own (``acc_epoch``)."""
     snaps = ticks.where("msg_type = 'snapshot'").select(*KEY, "ts", "seq", F.lit(1).alias("snap"))
     both = trades.withColumn("snap", F.lit(0)).unionByName(snaps, allowMissingColumns=True)
-    cut = both.withColumn("acc_epoch", F.sum("snap").over(Window.partitionBy(*KEY).orderBy("ts", "seq"))).where("snap = 0")
+    cut = over_days(both, sums={"acc_epoch": F.col("snap")}).where("snap = 0")
     w = seconds(tf)
     slot = F.timestamp_seconds(F.unix_seconds("ts") - F.pmod(F.unix_seconds("ts"), F.lit(w)))
     out = cut.withColumn("bar", slot).groupBy(*KEY, "bar", "acc_epoch").agg(*_bar_aggs())
