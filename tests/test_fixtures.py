@@ -226,9 +226,11 @@ def test_windows_over_blocks(spark, monkeypatch):
         assert got[at(i * 7000)] == (frame[math.ceil(0.99 * len(frame)) - 1] if len(frame) >= 5 else None)
 
 
-def test_recursions_over_days(spark):
+def test_recursions_over_blocks(spark, monkeypatch):
+    from tidemark import core
     from tidemark.operators.rolling import filtered, kalman_hedge, recursive_means
 
+    monkeypatch.setattr(core, "BLOCK", 13)
     rng = np.random.default_rng(4)
     a, b = np.exp(rng.normal(3, 0.1, 200)), np.exp(rng.normal(2, 0.1, 200))
     df = spark.createDataFrame([("x", at(i * 9000), float(x), float(y)) for i, (x, y) in enumerate(zip(a, b, strict=True))], "exchange string, ts timestamp, mid_a double, mid_b double")
@@ -243,11 +245,14 @@ def test_recursions_over_days(spark):
         assert x == pytest.approx(state)
 
 
-def test_average_cost_over_days(spark):
+def test_average_cost_over_blocks(spark, monkeypatch):
     import random
 
+    from tidemark import core
+
     from tidemark.operators.ledger import realize_pnl
 
+    monkeypatch.setattr(core, "BLOCK", 7)
     rng = random.Random(5)
     rows = [(k, "x", "A", at(i * 20_000), i, f"o{i}", rng.choice(["buy", "sell"]), float(rng.randrange(5, 20)), float(rng.randrange(1, 6))) for k in ("s", "t") for i in range(120)]
     f = spark.createDataFrame(rows, "strategy string, exchange string, symbol string, ts timestamp, seq long, order_id string, side string, price double, size double")
@@ -266,11 +271,14 @@ def test_average_cost_over_days(spark):
             assert result[(k, i + 1)] == pytest.approx((gain, held, cost))
 
 
-def test_holding_over_days(spark):
+def test_holding_over_blocks(spark, monkeypatch):
     import random
 
+    from tidemark import core
+
     from tidemark.operators.ledger import strategy_hold_k
 
+    monkeypatch.setattr(core, "BLOCK", 3)
     rng = random.Random(6)
     rows = [("x", s, at(i * 15_000), 10.0, rng.choice([9.0, 11.0, 12.0, None])) for s in ("A", "B") for i in range(100)]
     out = strategy_hold_k(spark.createDataFrame(rows, "exchange string, symbol string, ts timestamp, open double, close double"), 4).collect()

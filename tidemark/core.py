@@ -97,3 +97,9 @@ def in_blocks(df: DataFrame, back: int, fn: Callable[[DataFrame, list[str]], Dat
     there = F.array_compact(F.array(home, F.when(place >= block - back, home + 1), F.when((place < ahead) & (home > 0), home - 1)))
     t = t.withColumn("home_", home).withColumn("block_", F.explode(there)).withColumn("own_", F.col("home_") == F.col("block_")).drop("home_", "nth_")
     return fn(t, [*by, "block_"]).where("own_").drop("own_", "block_")
+
+
+def in_chunks(df: DataFrame, by: list[str] = KEY, order: tuple[str, ...] = ("ts",)) -> DataFrame:
+    """Adds ``nth_`` (from 0) and ``block_``: recursions are summed up by blocks of ``BLOCK`` rows of a key, then run through each block from its own start."""
+    t = over_days(df, sums={"nth_": F.lit(1).cast("long")}, by=by, order=order, ties=False)
+    return t.withColumn("nth_", F.col("nth_") - 1).withColumn("block_", F.floor(F.col("nth_") / BLOCK))

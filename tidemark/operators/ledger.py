@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.core import KEY, over_days, ratio
+from tidemark.core import KEY, in_chunks, over_days, ratio
 
 BOOK = ["strategy", *KEY]
 FILL_ORDER = ("ts", "seq")
@@ -21,7 +21,7 @@ def book_order():
 
 
 def _with_costs(rows: pd.DataFrame) -> pd.DataFrame:
-    """The fills of one book's day from what it held and what that had cost at the day's start."""
+    """The fills of one block of a book from what it held and what that had cost at the block's start."""
     rows = rows.sort_values("nth", kind="stable")
     held, value = float(rows["held_"].iloc[0]), float(rows["value_"].iloc[0])
     cost = value / held if held else 0.0
@@ -43,7 +43,7 @@ def _with_costs(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _value_map(rows: pd.DataFrame) -> pd.DataFrame:
-    """A day turns the cost of what is held, v, into m v + c: a sale keeps the share that is left, a buy adds its price."""
+    """A block turns the cost of what is held, v, into m v + c: a sale keeps the share that is left, a buy adds its price."""
     rows = rows.sort_values("nth", kind="stable")
     held, m, c = float(rows["held_"].iloc[0]), 1.0, 0.0
     for side, p, q in zip(rows["side"], rows["price"], rows["size"], strict=True):
@@ -53,18 +53,18 @@ def _value_map(rows: pd.DataFrame) -> pd.DataFrame:
             left = max(held - q, 0.0)
             keep = left / held if held else 0.0
             held, m, c = left, m * keep, c * keep
-    return pd.DataFrame([(*[rows[k].iloc[0] for k in (*BOOK, "day_")], m, c)])
+    return pd.DataFrame([(*[rows[k].iloc[0] for k in (*BOOK, "block_")], m, c)])
 
 
-def _fold_days(out: str, step):
-    """The state at the start of each day of one book, from 0 on; a book has one row for each day."""
+def _fold_blocks(out: str, step):
+    """The state at the start of each block of one book, from 0 on; a book has one row for each block."""
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("day_")
+        rows = rows.sort_values("block_")
         at, state = [], 0.0
         for x, y in rows[["x", "y"]].itertuples(index=False):
             at.append(state)
             state = step(state, x, y)
-        return rows[[*BOOK, "day_"]].assign(**{out: at})
+        return rows[[*BOOK, "block_"]].assign(**{out: at})
 
     return run
 
@@ -72,23 +72,23 @@ def _fold_days(out: str, step):
 def realize_pnl(fills: DataFrame) -> DataFrame:
     """Average cost, long only: buys average in, a sell realises what is held, flat resets.
 
-    The unit of work is a book's day. A day turns the size held into max(held + x, y) and, once that is known, its cost into an affine function of itself; both
-    fold over a book's days, and then each day is computed from its own start.
+    The unit of work is a block of a book's fills. It turns the size held into max(held + x, y) and, once that is known, its cost into an affine function of itself; both
+    fold over a book's blocks, and then each block is computed from its own start.
     """
-    shape = "strategy string, exchange string, symbol string, day_ date"
-    f = over_days(fills, sums={"nth": F.lit(1).cast("long")}, by=BOOK, order=FILL_ORDER, ties=False).select(*BOOK, "nth", "ts", "order_id", "side", "price", "size").withColumn("day_", F.to_date("ts"))
+    shape = "strategy string, exchange string, symbol string, block_ long"
+    f = in_chunks(fills, BOOK, FILL_ORDER).select(*BOOK, (F.col("nth_") + 1).alias("nth"), "ts", "order_id", "side", "price", "size", "block_")
     signed = F.when(F.col("side") == "buy", F.col("size")).otherwise(-F.col("size"))
-    after = Window.partitionBy(*BOOK, "day_").orderBy("nth").rowsBetween(1, Window.unboundedFollowing)
+    after = Window.partitionBy(*BOOK, "block_").orderBy("nth").rowsBetween(1, Window.unboundedFollowing)
     floor = F.when(F.col("side") != "buy", F.coalesce(F.sum(signed).over(after), F.lit(0.0)))
-    days = f.withColumn("floor", floor).groupBy(*BOOK, "day_").agg(F.sum(signed).alias("x"), F.coalesce(F.max("floor"), F.lit(float("-inf"))).alias("y"))
-    held = days.groupBy(*BOOK).applyInPandas(_fold_days("held_", lambda h, x, y: max(h + x, y)), f"{shape}, held_ double")
-    f = f.join(held, [*BOOK, "day_"])
-    maps = f.select(*BOOK, "day_", "nth", "side", "price", "size", "held_").groupBy(*BOOK, "day_").applyInPandas(_value_map, f"{shape}, x double, y double")
-    value = maps.groupBy(*BOOK).applyInPandas(_fold_days("value_", lambda v, m, c: m * v + c), f"{shape}, value_ double")
-    whole = f.join(value, [*BOOK, "day_"])
+    blocks = f.withColumn("floor", floor).groupBy(*BOOK, "block_").agg(F.sum(signed).alias("x"), F.coalesce(F.max("floor"), F.lit(float("-inf"))).alias("y"))
+    held = blocks.groupBy(*BOOK).applyInPandas(_fold_blocks("held_", lambda h, x, y: max(h + x, y)), f"{shape}, held_ double")
+    f = f.join(held, [*BOOK, "block_"])
+    maps = f.select(*BOOK, "block_", "nth", "side", "price", "size", "held_").groupBy(*BOOK, "block_").applyInPandas(_value_map, f"{shape}, x double, y double")
+    value = maps.groupBy(*BOOK).applyInPandas(_fold_blocks("value_", lambda v, m, c: m * v + c), f"{shape}, value_ double")
+    whole = f.join(value, [*BOOK, "block_"])
     kind = ", ".join(f"{x.name} {x.dataType.simpleString()}" for x in whole.schema)
-    out = whole.groupBy(*BOOK, "day_").applyInPandas(_with_costs, f"{kind}, realized_pnl double, position_size_after double, avg_cost double")
-    return out.drop("day_", "held_", "value_")
+    out = whole.groupBy(*BOOK, "block_").applyInPandas(_with_costs, f"{kind}, realized_pnl double, position_size_after double, avg_cost double")
+    return out.drop("block_", "held_", "value_")
 
 
 def dedupe_fills(fills: DataFrame, orders: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -388,21 +388,21 @@ def strategy_ema_flip(bars: DataFrame, fast: int = 9, slow: int = 21) -> DataFra
 
 
 def strategy_hold_k(bars: DataFrame, k: int) -> DataFrame:
-    """Enter on a rising bar when flat and hold ``k`` bars. Whether a bar enters depends on the last entry: a day turns the number of bars still
-    held at its start (0 to k - 1) into that at its end, these tables fold over a key's days, and then each day enters by its own."""
-    b = over_days(bars.where("close is not null"), sums={"nth": F.lit(1).cast("long")}, order=("ts",)).select(*KEY, "nth", "ts", "close", (F.col("close") > F.col("open")).alias("up"))
-    t = b.withColumn("day_", F.to_date("ts"))
-    shape = "exchange string, symbol string, day_ date"
-    waits = t.groupBy(*KEY, "day_").applyInPandas(_waits(k), f"{shape}, waits array<int>")
+    """Enter on a rising bar when flat and hold ``k`` bars. Whether a bar enters depends on the last entry: a block of bars turns the number of bars
+    still held at its start (0 to k - 1) into that at its end, these tables fold over a key's blocks, and then each block enters by its own."""
+    t = in_chunks(bars.where("close is not null")).select(*KEY, F.col("nth_").alias("nth"), "block_", "ts", "close", (F.col("close") > F.col("open")).alias("up"))
+    b = t.drop("block_", "up")
+    shape = "exchange string, symbol string, block_ long"
+    waits = t.groupBy(*KEY, "block_").applyInPandas(_waits(k), f"{shape}, waits array<int>")
     heads = waits.groupBy(*KEY).applyInPandas(_first_waits, f"{shape}, wait int")
-    entries = t.join(heads, [*KEY, "day_"]).groupBy(*KEY, "day_").applyInPandas(_entries(k), "exchange string, symbol string, nth long")
+    entries = t.join(heads, [*KEY, "block_"]).groupBy(*KEY, "block_").applyInPandas(_entries(k), "exchange string, symbol string, nth long")
     ins = entries.join(b, [*KEY, "nth"]).select(*KEY, "nth", F.col("ts").alias("entry_ts"), F.col("close").alias("entry_price"))
     outs = b.select(*KEY, (F.col("nth") - k).alias("nth"), F.col("ts").alias("exit_ts"), F.col("close").alias("exit_price"))
     return ins.join(outs, [*KEY, "nth"], "left").drop("nth")
 
 
 def _taken(up: np.ndarray, wait: int, k: int) -> tuple[list[int], int]:
-    """Places of the bars that enter when the first ``wait`` bars are held through, and how many bars of the next day the last entry still holds."""
+    """Places of the bars that enter when the first ``wait`` bars are held through, and how many bars of the next block the last entry still holds."""
     out, free = [], wait
     for i in np.flatnonzero(up):
         if i >= free:
@@ -414,17 +414,17 @@ def _taken(up: np.ndarray, wait: int, k: int) -> tuple[list[int], int]:
 def _waits(k: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         up = rows.sort_values("nth")["up"].fillna(False).to_numpy(bool)
-        return pd.DataFrame([(*[rows[c].iloc[0] for c in (*KEY, "day_")], [_taken(up, wait, k)[1] for wait in range(k)])])
+        return pd.DataFrame([(*[rows[c].iloc[0] for c in (*KEY, "block_")], [_taken(up, wait, k)[1] for wait in range(k)])])
 
     return run
 
 
 def _first_waits(rows: pd.DataFrame) -> pd.DataFrame:
-    rows, at, wait = rows.sort_values("day_"), [], 0
+    rows, at, wait = rows.sort_values("block_"), [], 0
     for waits in rows["waits"]:
         at.append(wait)
         wait = int(waits[wait])
-    return rows[[*KEY, "day_"]].assign(wait=at)
+    return rows[[*KEY, "block_"]].assign(wait=at)
 
 
 def _entries(k: int):

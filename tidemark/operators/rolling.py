@@ -1,7 +1,7 @@
 """Rolling statistics, labels and signals over bars (key, ts, ...).
 
-Windows of so many rows run over blocks of a key's rows (``in_blocks``), running values and recursions over its days (``over_days``, ``recursive_means``,
-``kalman_hedge``), so that a key's history is spread over tasks.
+Windows of so many rows run over blocks of a key's rows (``in_blocks``), running values over its days (``over_days``), and
+recursions from block to block (``in_chunks``), so that a key's history is spread over tasks.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
-from tidemark.core import KEY, clip, in_blocks, over_days, ratio
+from tidemark.core import KEY, clip, in_blocks, in_chunks, over_days, ratio
 
 
 def ordered(keys: list[str]):
@@ -237,33 +237,33 @@ def filter_of(a: np.ndarray, b: np.ndarray, q: float, r: float) -> tuple[float,
 def kalman_hedge(pair: DataFrame, beta0: float | None = None, q: float = 1e-5, r: float = 1e-3) -> DataFrame:
     """Dynamic hedge ratio of log mids, one filter per exchange. Starts at the first ratio, or at ``beta0``.
 
-    Each day of an exchange is first summed up in five numbers; the days' states follow from those alone; then each day is filtered from its own.
+    Each block of an exchange's rows is first summed up in five numbers; the blocks' states follow from those alone; then each block is filtered from its own.
     """
-    t, columns = pair.withColumn("day_", F.to_date("ts")), pair.columns
+    t, columns = in_chunks(pair, ["exchange"]), pair.columns
 
-    def day_of(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("ts", kind="stable")
+    def block_of(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("nth_")
         a, b = np.log(rows["mid_a"].to_numpy()), np.log(rows["mid_b"].to_numpy())
-        return pd.DataFrame([(rows["exchange"].iloc[0], rows["day_"].iloc[0], a[0] / b[0] if b[0] else 1.0, *filter_of(a, b, q, r))])
+        return pd.DataFrame([(rows["exchange"].iloc[0], rows["block_"].iloc[0], a[0] / b[0] if b[0] else 1.0, *filter_of(a, b, q, r))])
 
     def states(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("day_")
+        rows = rows.sort_values("block_")
         m, p, out = float(rows["first"].iloc[0]) if beta0 is None else beta0, 1.0, []
         for x, y, c, e, j in rows[["x", "y", "c", "e", "j"]].itertuples(index=False):
             out.append((m, p))
             m, p = x * (m + p * e) / (1 + p * j) + y, x * x * p / (1 + p * j) + c
-        return rows[["exchange", "day_"]].assign(m_=[o[0] for o in out], p_=[o[1] for o in out])
+        return rows[["exchange", "block_"]].assign(m_=[o[0] for o in out], p_=[o[1] for o in out])
 
     def ratios(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("ts", kind="stable")
+        rows = rows.sort_values("nth_")
         a, b = np.log(rows["mid_a"].to_numpy()), np.log(rows["mid_b"].to_numpy())
         out, _, _ = filtered(a, b, rows["m_"].iloc[0], rows["p_"].iloc[0], q, r)
         return rows[columns].assign(hedge_ratio=out)
 
-    days = t.select("exchange", "day_", "ts", "mid_a", "mid_b").groupBy("exchange", "day_").applyInPandas(day_of, "exchange string, day_ date, first double, x double, y double, c double, e double, j double")
-    heads = days.groupBy("exchange").applyInPandas(states, "exchange string, day_ date, m_ double, p_ double")
+    blocks = t.select("exchange", "block_", "nth_", "mid_a", "mid_b").groupBy("exchange", "block_").applyInPandas(block_of, "exchange string, block_ long, first double, x double, y double, c double, e double, j double")
+    heads = blocks.groupBy("exchange").applyInPandas(states, "exchange string, block_ long, m_ double, p_ double")
     shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pair.schema)
-    return t.join(heads, ["exchange", "day_"]).groupBy("exchange", "day_").applyInPandas(ratios, f"{shape}, hedge_ratio double")
+    return t.join(heads, ["exchange", "block_"]).groupBy("exchange", "block_").applyInPandas(ratios, f"{shape}, hedge_ratio double")
 
 
 def spread_zscore(pair: DataFrame, n: int = 60, ddof: int = 1, by: tuple[str, ...] = ("exchange",)) -> DataFrame:
@@ -334,19 +334,19 @@ def spread_labels(pair: DataFrame, horizon: int = 10, p_max: float = 0.1, z_min:
 def recursive_means(df: DataFrame, means: dict[str, tuple[str, float]]) -> DataFrame:
     """Adds means m = a x + (1 - a) m of columns, ``means``: name -> (column, a), from each key's first non-null value on (null before it; no null may follow).
 
-    A day turns a mean into (1 - a)^n m + b; so each day is first summed up in (n, b), the days' means follow from those alone, and each day then starts from its own.
+    A block of n rows turns a mean into (1 - a)^n m + b; so each is first summed up in (n, b), the blocks' means follow from those alone, and each block then starts from its own.
     """
-    t, columns = df.withColumn("day_", F.to_date("ts")), df.columns
-    w = Window.partitionBy(*KEY, "day_").orderBy("ts")
-    back = F.row_number().over(w.orderBy(F.desc("ts"))) - 1
-    each = t.select(*KEY, "day_", "ts", back.alias("back_"), *{c for c, _ in means.values()})
+    t, columns = in_chunks(df), df.columns
+    w = Window.partitionBy(*KEY, "block_").orderBy("nth_")
+    back = F.row_number().over(w.orderBy(F.desc("nth_"))) - 1
+    each = t.select(*KEY, "block_", "nth_", back.alias("back_"), *{c for c, _ in means.values()})
     sums = [F.sum(F.col(c) * a * F.pow(F.lit(1 - a), F.col("back_"))).alias(f"{n}_b") for n, (c, a) in means.items()]
-    sizes = [F.count(c).alias(f"{n}_n") for n, (c, _) in means.items()] + [F.min_by(c, F.when(F.col(c).isNotNull(), F.col("ts"))).alias(f"{n}_x") for n, (c, _) in means.items()]
-    days = each.groupBy(*KEY, "day_").agg(*sums, *sizes)
+    sizes = [F.count(c).alias(f"{n}_n") for n, (c, _) in means.items()] + [F.min_by(c, F.when(F.col(c).isNotNull(), F.col("nth_"))).alias(f"{n}_x") for n, (c, _) in means.items()]
+    blocks = each.groupBy(*KEY, "block_").agg(*sums, *sizes)
 
     def states(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("day_")
-        out = rows[[*KEY, "day_"]].copy()
+        rows = rows.sort_values("block_")
+        out = rows[[*KEY, "block_"]].copy()
         for n, (_, a) in means.items():
             at, m = [], math.nan
             for size, b, x in zip(rows[f"{n}_n"], rows[f"{n}_b"], rows[f"{n}_x"], strict=True):
@@ -356,8 +356,8 @@ def recursive_means(df: DataFrame, means: dict[str, tuple[str, float]]) -> DataF
             out[f"{n}_m"] = at
         return out
 
-    def day_of(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("ts", kind="stable")
+    def block_of(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("nth_")
         out = rows[columns].copy()
         for n, (c, a) in means.items():
             x = pd.concat([rows[f"{n}_m"].iloc[:1], rows[c].astype("float64")])
@@ -365,9 +365,9 @@ def recursive_means(df: DataFrame, means: dict[str, tuple[str, float]]) -> DataF
             out[n] = m.where(rows[c].notna().to_numpy())
         return out
 
-    heads = days.groupBy(*KEY).applyInPandas(states, "exchange string, symbol string, day_ date, " + ", ".join(f"{n}_m double" for n in means))
+    heads = blocks.groupBy(*KEY).applyInPandas(states, "exchange string, symbol string, block_ long, " + ", ".join(f"{n}_m double" for n in means))
     shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
-    return t.join(heads, [*KEY, "day_"]).groupBy(*KEY, "day_").applyInPandas(day_of, f"{shape}, " + ", ".join(f"{n} double" for n in means))
+    return t.join(heads, [*KEY, "block_"]).groupBy(*KEY, "block_").applyInPandas(block_of, f"{shape}, " + ", ".join(f"{n} double" for n in means))
 
 
 def ema_cross(bars: DataFrame, fast: int = 9, slow: int = 21) -> DataFrame:
