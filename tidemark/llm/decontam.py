@@ -24,7 +24,6 @@ from pyspark.sql.types import StructType
 from tidemark.llm.common import HOT_SHARE, Words, discard, join_hot, join_pieces, mix, row_struct, sliced, written
 
 WINDOW = 10
-ANCHORS = 2
 #: A proximity match has all words of a window, each as often as the window has it, in so many consecutive words.
 SPAN = 15
 #: Test terms go to the tasks as 8-byte hashes, so many at a time; more terms take more passes.
@@ -96,9 +95,9 @@ def posting_rows(vocabulary):
 def phrase_hits(own: np.ndarray, found: list[dict]) -> tuple[np.ndarray, set[int]]:
     """Words of one document that an occurrence of a candidate window covers, and the windows that occur."""
     hit, seen = np.zeros(len(own), bool), set()
-    at = np.array([(c["start"], c["width"], c["window"]) for c in found], np.int64).reshape(-1, 3)
+    at = np.array([(s, c["width"], c["window"]) for c in found for s in c["starts"]], np.int64).reshape(-1, 3)
     for width in np.unique(at[:, 1]):
-        part = at[(at[:, 1] == width) & (at[:, 0] >= 0) & (at[:, 0] <= len(own) - width)]
+        part = at[(at[:, 1] == width) & (at[:, 0] <= len(own) - width)]
         if len(part):
             same = part[window_hash(runs(own, int(width))[part[:, 0]]) == part[:, 2]]
             for k in range(int(width)):
@@ -130,14 +129,15 @@ def judged_rows(span: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             words = Words(batch.column("text"))
-            h, found, close = words.hash.view(np.int64), batch.column("found"), batch.column("close")
+            h, found = words.hash.view(np.int64), batch.column("found")
             n_hit, windows, nears = [], [], []
             for i in range(words.rows):
-                own = h[words.first[i] : words.first[i + 1]]
-                hit, seen = phrase_hits(own.view(np.uint64), found[i].as_py()) if found[i].is_valid else ((), set())
-                n_hit.append(int(np.sum(hit)))
+                own, asked = h[words.first[i] : words.first[i + 1]], found[i].as_py() or []
+                hit, seen = phrase_hits(own.view(np.uint64), asked)
+                n_hit.append(int(hit.sum()))
                 windows.append(sorted(seen))
-                nears.append(sorted(c["window"] for c in close[i].as_py() if any(near(own, p, need, span) for need in [Counter(c["terms"])] for p in c["at"])) if close[i].is_valid else [])
+                # A phrase is a proximity match; other windows are looked for around the places of their rarest word.
+                nears.append(sorted(c["window"] for c in asked if c["window"] in seen or any(near(own, p, need, span) for need in [Counter(c["terms"])] for p in c["places"])))
             kind = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(words.count, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(windows, kind), pa.array(nears, kind)], ["doc_id", "key", "n_words", "n_hit", "windows", "nears"])
 
@@ -183,47 +183,33 @@ def windows_of(items: DataFrame, width: int = WINDOW) -> DataFrame:
     return raw.groupBy("window").agg(F.first("terms").alias("terms"), F.collect_set("item_id").alias("items"))
 
 
-def anchors_of(windows: DataFrame, frequency: DataFrame, anchors: int = ANCHORS) -> DataFrame:
-    """(window, width, term, offset, rank): each window's rarest terms by corpus frequency, rarest first; none for a window with an absent term."""
+def anchors_of(windows: DataFrame, frequency: DataFrame) -> DataFrame:
+    """(window, width, term, offset, term2, offset2): each window's two rarest words by corpus frequency (one, if it has no more); none for a window with an absent word."""
     spread = windows.select("window", F.size("terms").alias("width"), F.posexplode("terms").alias("offset", "term"))
-    known = spread.join(frequency, "term")
-    whole = known.groupBy("window").agg(F.count(F.lit(1)).alias("seen"), F.first("width").alias("w")).where("seen = w").select("window")
     rank = F.row_number().over(Window.partitionBy("window").orderBy("n", "offset"))
-    return known.join(whole, "window", "left_semi").withColumn("rank", rank).where(F.col("rank") <= anchors).select("window", "width", "term", "offset", "rank")
+    known = spread.join(frequency, "term").withColumn("rank", rank)
 
+    def of_rank(name: str, k: int) -> Column:
+        return F.max(F.when(F.col("rank") == k, F.col(name)))
 
-def of_rank(anchors: DataFrame, k: int) -> DataFrame:
-    return anchors.where(F.col("rank") == k).select("window", "width", "term", "offset")
+    plan = known.groupBy("window").agg(F.first("width").alias("width"), F.count(F.lit(1)).alias("seen"), of_rank("term", 1).alias("term"), of_rank("offset", 1).alias("offset"), of_rank("term", 2).alias("term2"), of_rank("offset", 2).alias("offset2"))
+    return plan.where("seen = width").drop("seen")
 
 
-def offsets_intersected(postings: DataFrame, anchors: DataFrame, split: DataFrame, most: int = ANCHORS) -> DataFrame:
-    """(key, window, width, start): where the offset-adjusted lists of all anchors of a window meet.
+def intersected(postings: DataFrame, anchors: DataFrame, split: DataFrame, span: int) -> DataFrame:
+    """(key, window, width, start, pos, exact): places ``pos`` of each window's rarest word that have the other anchor less than ``span`` words away in the document.
 
-    The list of the rarest term gives the places; each further anchor's list only confirms them (a semi-join on term, document and position), so
-    nothing grows beyond the rarest lists. ``split`` has the terms whose lists are dealt over several tasks.
+    ``exact``: the offset-adjusted lists meet, so that the window may start at ``start``. The rarest word's list gives the places and the other list only confirms them, in cells of
+    ``span`` positions, so that nothing grows beyond the rarest lists. ``split`` has the terms whose lists are dealt over several tasks.
     """
-    first = join_pieces(postings, of_rank(anchors, 1), ["term"], split, F.xxhash64("key", "pos"))
-    places = first.where("pos >= offset").select("key", "window", "width", (F.col("pos") - F.col("offset")).alias("start")).distinct()
-    for k in range(2, most + 1):
-        asked = places.join(of_rank(anchors, k).drop("width"), "window", "left").withColumn("pos", F.col("start") + F.col("offset"))
-        met = asked.where("term is not null").join(postings, ["term", "key", "pos"], "left_semi")
-        places = met.select("key", "window", "width", "start").unionByName(asked.where("term is null").select("key", "window", "width", "start"))
-    return places
-
-
-def anchors_near(postings: DataFrame, anchors: DataFrame, split: DataFrame, span: int, most: int = ANCHORS) -> DataFrame:
-    """(key, window, pos): places of each window's rarest term that have its other anchors less than ``2 * span`` words away in the document.
-
-    The other lists only confirm (a semi-join on document, window and cell of ``span`` positions), so nothing grows beyond the rarest lists.
-    """
-    places = join_pieces(postings, of_rank(anchors, 1).select("window", "term"), ["term"], split, F.xxhash64("key", "pos")).select("key", "window", "pos", F.floor(F.col("pos") / span).alias("cell")).distinct()
-    for k in range(2, most + 1):
-        other = of_rank(anchors, k).select("window", "term")
-        cells = join_pieces(postings, other, ["term"], split, F.xxhash64("key", "pos")).select("key", "window", F.floor(F.col("pos") / span).alias("cell")).distinct()
-        around = cells.select("key", "window", F.explode(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1)).alias("cell"))
-        lone = places.join(other.select("window").distinct(), "window", "left_anti")
-        places = places.join(around, ["key", "window", "cell"], "left_semi").unionByName(lone)
-    return places.select("key", "window", "pos")
+    first = join_pieces(postings, anchors, ["term"], split, F.xxhash64("key", "pos"))
+    places = first.select("key", "window", "width", "pos", (F.col("pos") - F.col("offset")).alias("start"), F.col("term2").alias("term"), (F.col("pos") - F.col("offset") + F.col("offset2")).alias("wanted"))
+    lone = places.where("term is null").select("key", "window", "width", "start", "pos", F.lit(True).alias("exact")).distinct()
+    cell = F.floor(F.col("pos") / span)
+    asked = places.where("term is not null").withColumn("cell", F.explode(F.array(cell - 1, cell, cell + 1)))
+    there = postings.select("term", "key", F.col("pos").alias("there"), cell.alias("cell"))
+    met = asked.join(there, ["term", "key", "cell"]).where(F.abs(F.col("there") - F.col("pos")) < span)
+    return met.groupBy("key", "window", "width", "start", "pos").agg(F.max(F.col("there") == F.col("wanted")).alias("exact")).unionByName(lone)
 
 
 def document_key() -> Column:
@@ -233,17 +219,16 @@ def document_key() -> Column:
 class PositionalIndex:
     """The windows of ``items``, their anchors by the frequencies in ``docs``, and the stored postings of all anchor terms over whole texts."""
 
-    def __init__(self, docs: DataFrame, items: DataFrame, width: int = WINDOW, anchors: int = ANCHORS) -> None:
-        self.most = anchors
-        self.windows = written(windows_of(items, width))
+    def __init__(self, docs: DataFrame, items: DataFrame, width: int = WINDOW) -> None:
+        self.width, self.windows = width, written(windows_of(items, width))
         texts = docs.select("text")
         counts = over_blocks(texts, self.windows.select(F.explode("terms").alias("term")).distinct(), term_counts, "term long, n long")
-        self.anchors = self.postings = None
+        self.anchors = self.postings = self.split = None
         if counts is None:
             return
         frequency = written(counts.groupBy("term").agg(F.sum("n").alias("n")))
-        self.anchors = written(anchors_of(self.windows, frequency, anchors))
-        terms = self.anchors.select("term").distinct()
+        self.anchors = written(anchors_of(self.windows, frequency))
+        terms = self.anchors.select(F.explode(F.array_compact(F.array("term", "term2"))).alias("term")).distinct()
         postings = over_blocks(docs.select(document_key().alias("key"), "text"), terms, posting_rows, "term long, key long, pos long")
         if postings is not None:
             self.postings = written(postings)
@@ -253,35 +238,38 @@ class PositionalIndex:
             self.split = written(long.select("term", F.ceil(F.col("n") / POSTINGS_A_PIECE).cast("int").alias("pieces")))
         discard(frequency)
 
-    def phrases(self) -> DataFrame:
-        """(key, found): candidate places of each document."""
-        places = offsets_intersected(self.postings, self.anchors, self.split, self.most)
-        return places.groupBy("key").agg(F.collect_list(F.struct(F.col("start"), F.col("width"), F.col("window"))).alias("found"))
+    def candidates(self, span: int | None) -> DataFrame:
+        """(key, found): for each document the windows that may occur in it: starts of possible phrases, and with ``span`` also the places of the rarest word for
+        proximity, with the window's words."""
+        places = intersected(self.postings, self.anchors, self.split, max(span or 0, self.width))
+        starts = F.collect_set(F.when(F.col("exact") & (F.col("start") >= 0), F.col("start"))).alias("starts")
+        if span is None:
+            each = places.where("exact").groupBy("key", "window", "width").agg(starts)
+            return each.groupBy("key").agg(F.collect_list(F.struct("window", "width", "starts")).alias("found"))
+        each = places.groupBy("key", "window", "width").agg(starts, F.collect_set("pos").alias("places"))
+        return each.join(self.windows.select("window", "terms"), "window").groupBy("key").agg(F.collect_list(F.struct("window", "width", "starts", "places", "terms")).alias("found"))
 
-    def proximities(self, span: int) -> DataFrame:
-        """(key, close): candidate windows of each document with their words and the places of the rarest one."""
-        places = anchors_near(self.postings, self.anchors, self.split, span, self.most).groupBy("key", "window").agg(F.collect_set("pos").alias("at"))
-        return places.join(self.windows.select("window", "terms"), "window").groupBy("key").agg(F.collect_list(F.struct("window", "terms", "at")).alias("close"))
+    def discard(self) -> None:
+        discard(self.anchors, self.postings, self.split)
 
 
-def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW, anchors: int = ANCHORS, span: int = SPAN) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW, span: int = SPAN) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near_items.
 
     n_near_items counts the items with a window all of whose words, each as often as the window has it, stand in ``span`` consecutive words in any order.
     Null and empty texts have no words; a null item_id counts as no item but its words hit. Items with equal windows all count.
     Repeated rows, rows that share a doc_id and rows with a null doc_id are judged each on its own text. Empty tables give no rows, or no hits.
     """
-    index = PositionalIndex(docs, items, width, anchors)
+    index = PositionalIndex(docs, items, width)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", document_key().alias("key"))
     if index.postings is None:
-        at, close = "array<struct<start:long,width:int,window:long>>", "array<struct<window:long,terms:array<bigint>,at:array<bigint>>>"
-        joined = rows.withColumns({"found": F.lit(None).cast(at), "close": F.lit(None).cast(close)})
+        shape = "array<struct<window:bigint,width:int,starts:array<bigint>,places:array<bigint>,terms:array<bigint>>>"
+        joined = rows.withColumn("found", F.lit(None).cast(shape))
     else:
-        candidates = written(index.phrases().join(index.proximities(span), "key", "full"))
-        joined = rows.join(candidates, "key", "left")
+        joined = rows.join(index.candidates(span), "key", "left")
     shape = "doc_id long, key long, n_words long, n_hit long, windows array<bigint>, nears array<bigint>"
-    judged = written(joined.select("doc_id", "key", "text", "found", "close").mapInArrow(judged_rows(span), shape))
-    discard(index.anchors, index.postings)
+    judged = written(joined.select("doc_id", "key", "text", "found").mapInArrow(judged_rows(span), shape))
+    index.discard()
     # Items come in once the windows are certain.
     held = written(judged.select("doc_id", "key", F.explode(F.concat(F.transform("windows", lambda w: F.struct(w.alias("window"), F.lit(True).alias("exact"))), F.transform("nears", lambda w: F.struct(w.alias("window"), F.lit(False).alias("exact"))))).alias("w")).select("doc_id", "key", "w.window", "w.exact").distinct())
     size = held.groupBy("window").agg(F.count(F.lit(1)).alias("held")).join(index.windows.select("window", "items"), "window")
@@ -298,8 +286,8 @@ def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     index = PositionalIndex(docs, items)
     if index.postings is None:
         return docs
-    found = written(index.phrases())
-    discard(index.anchors, index.postings, index.windows, index.split)
+    found = written(index.candidates(None))
+    index.discard()
     rows = docs.select(row_struct(docs).alias("row"), document_key().alias("key"))
     joined = rows.join(found, "key", "left").select("row", "found")
     shape = StructType([joined.schema["row"]])
