@@ -157,3 +157,74 @@ def test_confidence_of_boosted_trees(spark):
     df = spark.createDataFrame([(Vectors.dense([0.0, 0.0, 0.0]),), (Vectors.dense([2.0, -1.0, 0.5]),)], ["rawPrediction"])
     p = 1 / (1 + np.exp(-2 * np.array([2.0, -1.0, 0.5])))
     assert [r[0] for r in df.select(ml._one_vs_rest_confidence()).collect()] == pytest.approx([1 / 3, p.max() / p.sum()])
+
+
+# ---- clusters, scores and statistics against plain computations --------------------------------------
+def test_clusters_and_noise(spark):
+    from tidemark.operators.ml import cluster_regimes
+
+    rng = np.random.default_rng(8)
+    groups = [rng.normal((0, 0), 0.3, (150, 2)), rng.normal((6, 6), 0.3, (150, 2)), np.array([[1.3, -1.2], [7.2, 4.8], [4.8, 7.3]])]
+    rows = [("x", "A", T0 + dt.timedelta(minutes=i), "RANGING", float(a), float(b)) for i, (a, b) in enumerate(np.concatenate(groups))]
+    rows += [("x", "B", T0 + dt.timedelta(minutes=i), "THIN_BOOK", 1.0, 2.0) for i in range(20)]
+    df = spark.createDataFrame(rows, "exchange string, symbol string, ts timestamp, regime string, f double, g double")
+    got = {(r["symbol"], r["ts"]): r["cluster"] for r in cluster_regimes(df, ["f", "g"], k=2).collect()}
+    of = [got[("A", T0 + dt.timedelta(minutes=i))] for i in range(303)]
+    assert len({c for c in of[:150] if c >= 0}) == 1 and len({c for c in of[150:300] if c >= 0}) == 1 and of[0] != of[299]
+    assert sum(c == -1 for c in of) <= 6 and sum(c == -1 for c in of[300:]) >= 2  # the share of noise are the least likely rows
+    assert {c for (s, _), c in got.items() if s == "B"} == {0}  # too few rows
+    assert got == {(r["symbol"], r["ts"]): r["cluster"] for r in cluster_regimes(df, ["f", "g"], k=2).collect()}
+
+
+def test_log_density_of_a_mixture(spark):
+    from types import SimpleNamespace
+
+    from tidemark.operators.ml import _log_density
+
+    rng = np.random.default_rng(9)
+    weights, means = [0.3, 0.7], rng.normal(size=(2, 3))
+    covs = [(lambda a: a @ a.T + np.eye(3))(rng.normal(size=(3, 3))) for _ in range(2)]
+    mixture = SimpleNamespace(weights=weights, gaussians=[SimpleNamespace(mean=SimpleNamespace(toArray=lambda m=m: m), cov=SimpleNamespace(toArray=lambda c=c: c)) for m, c in zip(means, covs, strict=True)])
+    x = rng.normal(size=(20, 3))
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(x)], "i int, x array<double>").select("i", _log_density(mixture, F.col("x")).alias("d"))
+    for i, d in df.collect():
+        parts = [w * np.exp(-0.5 * (x[i] - m) @ np.linalg.solve(c, x[i] - m)) / np.sqrt((2 * np.pi) ** 3 * np.linalg.det(c)) for w, m, c in zip(weights, means, covs, strict=True)]
+        assert d == pytest.approx(np.log(sum(parts)))
+
+
+def test_rolling_exponent_and_unit_root_of_each_frame(spark):
+    from tidemark.operators.rolling import adf_of, adf_pvalue, hurst, hurst_of
+
+    rng = np.random.default_rng(10)
+    mid = np.exp(np.cumsum(rng.normal(0, 0.01, 150)))
+    df = spark.createDataFrame([("x", "A", T0 + dt.timedelta(hours=i), float(m), float(m) - 1) for i, m in enumerate(mid)], "exchange string, symbol string, ts timestamp, mid double, spread double")
+    r = np.concatenate([[0.0], np.diff(np.log(mid))])
+    for i, row in enumerate(hurst(df, 60).orderBy("ts").collect()):
+        assert row["hurst_60"] == (pytest.approx(hurst_of(r[i - 59 : i + 1])) if i >= 60 else None)
+    for i, row in enumerate(adf_pvalue(df, 60).orderBy("ts").collect()):
+        assert row["adf_pvalue_60"] == pytest.approx(adf_of(mid[i - 60 : i] - 1) if i >= 60 else 1.0)
+
+
+def test_flips_of_two_means(spark):
+    from tidemark.operators.ledger import strategy_ema_flip
+
+    rng = np.random.default_rng(11)
+    close = np.exp(np.cumsum(rng.normal(0, 0.02, 300)))
+    df = spark.createDataFrame([("x", "A", T0 + dt.timedelta(hours=i), float(c)) for i, c in enumerate(close)], "exchange string, symbol string, ts timestamp, close double")
+    fast = slow = close[0]
+    want, long, gap0 = [], False, None
+    for i, c in enumerate(close):
+        fast, slow = fast + (c - fast) * 2 / 10, slow + (c - slow) * 2 / 22
+        gap = fast - slow
+        if i >= 21 and gap0 is not None and ((gap0 <= 0 < gap and not long) or (gap0 >= 0 > gap and long)):
+            long = gap > 0
+            want.append((T0 + dt.timedelta(hours=i), "enter" if long else "exit"))
+        gap0 = gap
+    assert [(r["ts"], r["order"]) for r in strategy_ema_flip(df).orderBy("ts").collect()] == want and len(want) > 4
+
+
+def test_scores_of_spreads(spark):
+    from tidemark.operators.ml import score_spread
+
+    df = spark.createDataFrame([(None, 0.01), (1.5, 0.01), (2.0, 0.2), (2.0, 0.1), (-9.0, 0.0)], "spread_z double, adf_pvalue_60 double")
+    assert [tuple(r)[2:] for r in score_spread(df).collect()] == [("NEUTRAL", "zone", 0.0), ("NEUTRAL", "zone", 0.0), ("NEUTRAL", "unit root", 0.0), ("SHORT_A", "spread", pytest.approx(2 / 3)), ("LONG_A", "spread", 1.0)]

@@ -7,7 +7,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.core import KEY, in_chunks, over_days, ratio
@@ -153,11 +153,18 @@ def total_pnl(ledger: DataFrame, by: str = "paper") -> DataFrame:
     return ledger.groupBy(by).agg(F.sum("realized_pnl").alias("total_pnl"))
 
 
+def with_peak(df: DataFrame, pnl: str, capital: float | None, by: list[str], order: tuple[str, ...] = ("exit_ts", "seq"), time: str = "exit_ts") -> DataFrame:
+    """Adds equity (running result, on top of ``capital``) and its peak so far (at least ``capital``)."""
+    e = over_days(df, sums={"equity": F.col(pnl)}, by=by, order=order, time=time)
+    if capital is not None:
+        e = e.withColumn("equity", capital + F.col("equity"))
+    e = over_days(e, tops={"peak": F.col("equity")}, by=by, order=order, time=time)
+    return e.withColumn("peak", F.greatest("peak", "equity", *([] if capital is None else [F.lit(capital)])))
+
+
 def equity_curve(ledger: DataFrame) -> DataFrame:
     """Cumulative pnl, its running maximum and the distance, by book."""
-    w = Window.partitionBy(*BOOK).orderBy("nth")
-    e = ledger.withColumn("equity", F.sum("realized_pnl").over(w))
-    return e.withColumn("peak", F.max("equity").over(w)).withColumn("drawdown", F.col("peak") - F.col("equity"))
+    return with_peak(ledger, "realized_pnl", None, BOOK, ("nth",), "ts").withColumn("drawdown", F.col("peak") - F.col("equity"))
 
 
 def drawdown_pct(equity: DataFrame, by: list[str], order: list[str]) -> DataFrame:
@@ -187,9 +194,7 @@ def with_fees(fills: DataFrame, fees: dict[str, tuple[float, float]] = FEES) ->
 
 def pair_trades(fills: DataFrame) -> DataFrame:
     """A sell closes the latest buy before it that no sell has closed yet; gross result on the smaller size, and net of both fees."""
-    before = book_order().rowsBetween(Window.unboundedPreceding, -1)
-    entry = F.when(F.col("side") == "buy", F.struct("ts", "price", "size", "fee"))
-    f = fills.select("*", F.lag("side").over(book_order()).alias("side0"), F.last(entry, ignorenulls=True).over(before).alias("entry"))
+    f = over_days(fills, priors={"side0": F.col("side"), "entry": F.when(F.col("side") == "buy", F.struct("ts", "price", "size", "fee"))}, by=BOOK, order=FILL_ORDER)
     t = f.where("side = 'sell' and side0 = 'buy'")
     q = F.least("size", "entry.size")
     t = t.withColumn("gross_pnl", (F.col("price") - F.col("entry.price")) * q)
@@ -198,18 +203,16 @@ def pair_trades(fills: DataFrame) -> DataFrame:
 
 def trade_streaks(trades: DataFrame, by: list[str], pnl: str = "net_pnl", order: tuple[str, ...] = ("exit_ts", "seq")) -> DataFrame:
     """Longest runs of wins and of losses."""
-    t = trades.withColumn("win", F.col(pnl) > 0)
-    island = F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - F.row_number().over(Window.partitionBy(*by, "win").orderBy(*order))
-    runs = t.withColumn("island", island).groupBy(*by, "win", "island").agg(F.count(F.lit(1)).alias("n"))
+    t = over_days(trades.withColumn("win", F.col(pnl) > 0), priors={"win0": F.col("win")}, by=by, order=order, time=order[0])
+    turn = F.coalesce(F.col("win0") != F.col("win"), F.lit(False)).cast("int")
+    runs = over_days(t, sums={"island": turn}, by=by, order=order, ties=False, time=order[0]).groupBy(*by, "win", "island").agg(F.count(F.lit(1)).alias("n"))
     return runs.groupBy(*by).agg(F.coalesce(F.max(F.when(F.col("win"), F.col("n"))), F.lit(0)).alias("win_streak"), F.coalesce(F.max(F.when(~F.col("win"), F.col("n"))), F.lit(0)).alias("loss_streak"))
 
 
 def run_metrics(trades: DataFrame, capital: float, by: list[str] | None = None) -> DataFrame:
     """L13, one row per run (book): return, Sharpe and SQN of trade results, drawdown, win rate, profit factor, extremes, streaks, mean duration, fee gate (fees < 1 % of capital)."""
     by = by or BOOK
-    w = Window.partitionBy(*by).orderBy("exit_ts", "seq")
-    t = trades.withColumn("equity", capital + F.sum("net_pnl").over(w))
-    t = t.withColumn("peak", F.greatest(F.lit(capital), F.max("equity").over(w)))
+    t = with_peak(trades, "net_pnl", capital, by)
     std = F.stddev_samp("net_pnl")
     out = t.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_trades"), (F.sum("net_pnl") / capital * 100).alias("return_pct"), F.when(std > 0, F.avg("net_pnl") / std).alias("sharpe"), F.when(std > 0, F.sqrt(F.count(F.lit(1))) * F.avg("net_pnl") / std).alias("sqn"),
@@ -223,19 +226,31 @@ def run_metrics(trades: DataFrame, capital: float, by: list[str] | None = None)
 
 def trade_table(trades: DataFrame) -> DataFrame:
     """Running net result and duration."""
-    w = Window.partitionBy(*BOOK).orderBy("exit_ts", "seq")
-    return trades.select(*BOOK, "entry_ts", "exit_ts", "net_pnl", F.sum("net_pnl").over(w).alias("running_pnl"), (F.unix_seconds("exit_ts") - F.unix_seconds("entry_ts")).alias("seconds_held"))
+    t = over_days(trades, sums={"running_pnl": F.col("net_pnl")}, by=BOOK, order=("exit_ts", "seq"), time="exit_ts")
+    return t.select(*BOOK, "entry_ts", "exit_ts", "net_pnl", "running_pnl", (F.unix_seconds("exit_ts") - F.unix_seconds("entry_ts")).alias("seconds_held"))
 
 
 def sample_equity(equity: DataFrame, k: int, by: list[str], order: list[str]) -> DataFrame:
     """Every k-th point."""
-    return equity.withColumn("nth", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("nth") % k == 0)
+    return in_place(equity, by, order).where(F.col("nth") % k == 0)
+
+
+def in_place(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """Adds nth (from 1) in each group; over its days, if the order begins with a time."""
+    if dict(df.dtypes)[order[0]] in ("timestamp", "date"):
+        return over_days(df, sums={"nth": F.lit(1).cast("long")}, by=by, order=tuple(order), ties=False, time=order[0])
+    return df.withColumn("nth", F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long"))
+
+
+def with_size(df: DataFrame, by: list[str]) -> DataFrame:
+    """Adds n, the rows of each group."""
+    size = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    return df.join(size, by) if by else df.join(F.broadcast(size))  # one row
 
 
 def walk_forward_folds(df: DataFrame, k: int, by: list[str], order: list[str]) -> DataFrame:
     """Expanding folds: fold i trains on the first i * size rows and tests on the next ``size``; size = n // (k + 1). Adds fold and part; a row is in several folds."""
-    w = Window.partitionBy(*by)
-    x = df.select("*", F.row_number().over(w.orderBy(*order)).alias("nth"), F.count(F.lit(1)).over(w).alias("n"))
+    x = with_size(in_place(df, by, order), by)
     x = x.withColumn("size", F.floor(F.col("n") / (k + 1))).withColumn("fold", F.explode(F.sequence(F.lit(1), F.lit(k))))
     part = F.when(F.col("nth") <= F.col("fold") * F.col("size"), "in").when(F.col("nth") <= (F.col("fold") + 1) * F.col("size"), "out")
     return x.withColumn("part", part).where("part is not null").drop("n", "size")
@@ -243,8 +258,7 @@ def walk_forward_folds(df: DataFrame, k: int, by: list[str], order: list[str]) -
 
 def purged_folds(df: DataFrame, k: int, gap: int, by: list[str], order: list[str]) -> DataFrame:
     """As above with a gap between training and test; folds whose test would pass the end are left out."""
-    w = Window.partitionBy(*by)
-    x = df.select("*", (F.row_number().over(w.orderBy(*order)) - 1).alias("nth"), F.count(F.lit(1)).over(w).alias("n"))
+    x = with_size(in_place(df, by, order).withColumn("nth", F.col("nth") - 1), by)
     x = x.withColumn("size", F.floor(F.col("n") / (k + 1))).withColumn("fold", F.explode(F.sequence(F.lit(1), F.lit(k))))
     end = F.col("fold") * F.col("size")
     x = x.where(end + gap + F.col("size") <= F.col("n"))
@@ -267,9 +281,7 @@ def stress_report(trades: DataFrame, windows: DataFrame, capital: float, by: lis
     by = by or []
     day = F.to_date("exit_ts")
     j = trades.join(F.broadcast(windows), (day >= F.col("first_day")) & (day <= F.col("last_day")))
-    w = Window.partitionBy(*by, "name").orderBy("exit_ts", "seq", *BOOK)
-    j = j.withColumn("equity", capital + F.sum("net_pnl").over(w))
-    j = j.withColumn("dd", _below_peak(capital, w))
+    j = with_peak(j, "net_pnl", capital, [*by, "name"], ("exit_ts", "seq", *BOOK)).withColumn("dd", (F.col("peak") - F.col("equity")) / F.col("peak"))
     s = j.groupBy(*by, "name").agg(F.count(F.lit(1)).alias("n_trades"), F.sum("net_pnl").alias("net_pnl"), F.max("dd").alias("max_drawdown"))
     every = windows.select("name")
     if by:
@@ -277,12 +289,6 @@ def stress_report(trades: DataFrame, windows: DataFrame, capital: float, by: lis
     return every.join(s, [*by, "name"], "left").fillna(0, ["n_trades", "net_pnl", "max_drawdown"])
 
 
-def _below_peak(capital: float, w: WindowSpec) -> Column:
-    """Share of the highest equity so far (``capital`` at least) that is lost."""
-    peak = F.greatest(F.lit(capital), F.max("equity").over(w))
-    return (peak - F.col("equity")) / peak
-
-
 #: Trades of a book that one worker of the bootstrap holds.
 BLOCK = 8192
 #: Draws that it holds at a time.
@@ -369,8 +375,7 @@ def validation_inputs(trades: DataFrame, windows: DataFrame, capital: float, fol
     order = ["exit_ts", "seq"]
     cut = walk_forward_folds(trades, folds, BOOK, order)
     means = walk_forward_report(cut, "net_pnl", BOOK).groupBy(*BOOK).agg(F.avg("oos_sharpe").alias("sharpe"), F.avg("degradation").alias("degradation"))
-    w = Window.partitionBy(*BOOK, "fold").orderBy(*order)
-    out = cut.where("part = 'out'").withColumn("equity", capital + F.sum("net_pnl").over(w)).withColumn("dd", _below_peak(capital, w))
+    out = with_peak(cut.where("part = 'out'"), "net_pnl", capital, [*BOOK, "fold"]).withColumn("dd", (F.col("peak") - F.col("equity")) / F.col("peak"))
     depth = out.groupBy(*BOOK, "fold").agg(F.max("dd").alias("dd")).groupBy(*BOOK).agg(F.avg("dd").alias("max_drawdown"))
     stress = stress_report(trades, windows, capital, BOOK).groupBy(*BOOK).agg(F.max("max_drawdown").alias("worst_stress"))
     p5 = monte_carlo_p5(trades, paths, seed).select(*BOOK, "p5")

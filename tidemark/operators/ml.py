@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.clustering import GaussianMixture
@@ -13,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.core import KEY
+from tidemark.core import KEY, in_blocks
 from tidemark.operators import rolling
 from tidemark.operators.ledger import purged_folds
 
@@ -39,12 +41,17 @@ def feature_profile(df: DataFrame) -> DataFrame:
 
 def build_features(bars: DataFrame, regimes: DataFrame | None = None) -> DataFrame:
     """Quotes carried forward, smoothed flow, ratios, rolling statistics (the half-life of the microprice delta), interactions of the smoothed columns, the regime as of the bar."""
-    x = rolling.ffill_quotes(bars)
-    x = rolling.savgol5(rolling.savgol5(x, "ofi_l1"), "spread_mean")
-    x = rolling.hurst(rolling.hurst(rolling.flow_ratios(x), 20), 60)
     delta = F.col("microprice_mid_delta") if "microprice_mid_delta" in bars.columns else F.lit(None).cast("double")
-    x = rolling.ou_halflife(x.withColumn("delta", F.coalesce(delta, F.lit(0.0))), 60, "delta").drop("delta")
-    x = rolling.interactions(rolling.kyle_lambda(x), "ofi_l1_sg", "spread_mean_sg").withColumn("microprice_x_hawkes", F.coalesce("microprice_x_hawkes", F.lit(0.0)))
+
+    def run(x: DataFrame, keys: list[str]) -> DataFrame:
+        x = rolling.savgol5(rolling.savgol5(x, "ofi_l1", keys=keys), "spread_mean", keys=keys)
+        x = rolling.hurst(rolling.hurst(rolling.flow_ratios(x), 20, keys), 60, keys)
+        x = rolling.ou_halflife(x.withColumn("delta", F.coalesce(delta, F.lit(0.0))), 60, "delta", keys).drop("delta")
+        return rolling.kyle_lambda(x, 60, keys)
+
+    # One cut into blocks serves all windows: 60 rows of flow that is smoothed over 5.
+    x = in_blocks(rolling.ffill_quotes(bars), 64, run)
+    x = rolling.interactions(x, "ofi_l1_sg", "spread_mean_sg").withColumn("microprice_x_hawkes", F.coalesce("microprice_x_hawkes", F.lit(0.0)))
     if regimes is not None:
         x = x.join(regimes.select(*KEY, "ts", "regime"), [*KEY, "ts"], "left").withColumn("regime", F.coalesce("regime", F.lit("RANGING")))
     return x
@@ -60,8 +67,24 @@ def _assembled(df: DataFrame, cols: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=cols, outputCol="raw").transform(clean)
 
 
-def cluster_regimes(features: DataFrame, cols: list[str], k: int = 3, least: int = 200, noise: float = 0.01, seed: int = 7) -> DataFrame:
-    """In each regime scale, PCA (at most 10 components) and a Gaussian mixture; the least likely share ``noise`` gets -1. A regime below ``least`` rows keeps cluster 0."""
+def _log_density(mixture, x: Column) -> Column:
+    """Log density of a fitted Gaussian mixture at ``x``, an array: the log of the summed, weighted densities of its few components."""
+    terms = []
+    for weight, g in zip(mixture.weights, mixture.gaussians, strict=True):
+        values, vectors = np.linalg.eigh(g.cov.toArray())
+        use = values > max(values.max(), 1e-12) * 1e-9  # as in the fit, directions without variance do not count
+        mean, scaled = g.mean.toArray(), (vectors[:, use] / np.sqrt(values[use])).T
+        far = F.lit(0.0)
+        for row in scaled:
+            away = sum((float(r) * (F.get(x, F.lit(i)) - float(m)) for i, (r, m) in enumerate(zip(row, mean, strict=True))), F.lit(0.0))
+            far = far + away * away
+        terms.append(math.log(max(weight, 1e-300)) - 0.5 * (far + float(np.log(values[use]).sum() + use.sum() * math.log(2 * math.pi))))
+    most = F.greatest(*terms) if len(terms) > 1 else terms[0]
+    return most + F.log(sum((F.exp(t - most) for t in terms), F.lit(0.0)))
+
+
+def cluster_regimes(features: DataFrame, cols: list[str], k: int = 3, least: int = 200, noise: float = 0.01, seed: int = 7, starts: int = 5) -> DataFrame:
+    """In each regime scale, PCA (at most 10 components) and a Gaussian mixture; of ``starts`` fits the likeliest; the share ``noise`` of the least likely rows under the mixture gets -1. A regime below ``least`` rows keeps cluster 0."""
     sizes = {r["regime"]: r["n"] for r in features.groupBy("regime").agg(F.count(F.lit(1)).alias("n")).collect()}  # five regimes
     parts = []
     for regime, n in sorted(sizes.items()):
@@ -69,11 +92,14 @@ def cluster_regimes(features: DataFrame, cols: list[str], k: int = 3, least: int
         if n < least:
             parts.append(own.withColumn("cluster", F.lit(0)))
             continue
-        steps = [StandardScaler(inputCol="raw", outputCol="scaled", withMean=True), PCA(k=min(10, len(cols), n - 1), inputCol="scaled", outputCol="components"), GaussianMixture(k=k, featuresCol="components", predictionCol="cluster", probabilityCol="p", seed=seed, maxIter=30)]
-        data = _assembled(own, cols).cache()  # each step reads it again
-        out = Pipeline(stages=steps).fit(data).transform(data).withColumn("norm", F.aggregate(vector_to_array("components"), F.lit(0.0), lambda a, x: a + x * x))
-        cut = out.agg(F.percentile_approx("norm", 1 - noise).alias("cut"))
-        out = out.join(F.broadcast(cut)).withColumn("cluster", F.when(F.col("norm") > F.col("cut"), -1).otherwise(F.col("cluster")))  # one row
+        steps = [StandardScaler(inputCol="raw", outputCol="scaled", withMean=True), PCA(k=min(10, len(cols), n - 1), inputCol="scaled", outputCol="components")]
+        data = _assembled(own, cols)
+        data = Pipeline(stages=steps).fit(data).transform(data).cache()  # each fit reads it again
+        fits = [GaussianMixture(k=k, featuresCol="components", predictionCol="cluster", probabilityCol="p", seed=seed + i, maxIter=30).fit(data) for i in range(starts)]
+        best = max(fits, key=lambda m: m.summary.logLikelihood)
+        out = best.transform(data).withColumn("likely", _log_density(best, vector_to_array("components")))
+        cut = out.agg(F.percentile_approx("likely", noise, 100_000).alias("cut"))
+        out = out.join(F.broadcast(cut)).withColumn("cluster", F.when(F.col("likely") < F.col("cut"), -1).otherwise(F.col("cluster")))  # one row
         parts.append(out.select(*features.columns, "cluster"))
     return reduce(DataFrame.unionByName, parts)
 
@@ -110,8 +136,8 @@ def train_slots(features: DataFrame, target: str, cols: list[str], folds: int =
     score = MulticlassClassificationEvaluator(metricName="f1", labelCol="label", predictionCol="prediction")
     models, rows = {}, []
     for s in sorted(slots):
-        own = with_weights(_assembled(features.where((F.col("regime") == s["regime"]) & (F.col("cluster") == s["cluster"])), cols), target).withColumn("all", F.lit(1)).cache()
-        cut = purged_folds(own, folds, gap, ["all"], ["ts", *KEY]).cache()
+        own = with_weights(_assembled(features.where((F.col("regime") == s["regime"]) & (F.col("cluster") == s["cluster"])), cols), target).cache()
+        cut = purged_folds(own, folds, gap, [], ["ts", *KEY]).cache()
         best = None
         for name, model in candidates().items():
             if names and name not in names:

@@ -76,29 +76,28 @@ def classify_regime(bars: DataFrame, n: int = 10) -> DataFrame:
 SAVGOL = {"middle": [-3, 12, 17, 12, -3], "edge": [31, 9, -3, -5, 3], "next": [9, 13, 12, 6, -5]}
 
 
-def savgol5(df: DataFrame, col: str, mode: str = "causal") -> DataFrame:
+def savgol5(df: DataFrame, col: str, mode: str = "causal", keys: list[str] | None = None) -> DataFrame:
     """Adds ``<col>_sg``. ``centered`` looks two bars ahead (fitted edges), ``causal`` fits the last five bars; nulls are 0; raw below five rows."""
     x = F.coalesce(F.col(col), F.lit(0.0))
 
-    def run(d: DataFrame, keys: list[str]) -> DataFrame:
-        w = ordered(keys)
-        # Only a key's first rows have fewer than five before them, and only its last ones fewer than two behind.
-        nth, n = F.row_number().over(w), F.count(F.lit(1)).over(Window.partitionBy(*keys))
-        behind = F.count(F.lit(1)).over(w.rowsBetween(1, 2))
-
-        def at(k: int) -> Column:
-            return F.lag(x, -k).over(w) if k < 0 else F.lead(x, k).over(w) if k else x
+    if keys is None:
+        return in_blocks(df, 4, lambda d, k: savgol5(d, col, mode, k), ahead=0 if mode == "causal" else 2)
+    w = ordered(keys)
+    # Only a key's first rows have fewer than five before them, and only its last ones fewer than two behind.
+    nth, n = F.row_number().over(w), F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    behind = F.count(F.lit(1)).over(w.rowsBetween(1, 2))
 
-        def fit(name: str, offsets: list[int]) -> Column:
-            return sum((weight * at(k) for weight, k in zip(SAVGOL[name], offsets, strict=True)), F.lit(0.0)) / 35
+    def at(k: int) -> Column:
+        return F.lag(x, -k).over(w) if k < 0 else F.lead(x, k).over(w) if k else x
 
-        if mode == "causal":
-            return d.withColumn(f"{col}_sg", F.when(nth < 5, x).otherwise(fit("edge", [0, -1, -2, -3, -4])))
-        value = F.when(n < 5, x).when(nth == 1, fit("edge", [0, 1, 2, 3, 4])).when(nth == 2, fit("next", [-1, 0, 1, 2, 3]))
-        value = value.when(behind == 0, fit("edge", [0, -1, -2, -3, -4])).when(behind == 1, fit("next", [1, 0, -1, -2, -3])).otherwise(fit("middle", [-2, -1, 0, 1, 2]))
-        return d.withColumn(f"{col}_sg", value)
+    def fit(name: str, offsets: list[int]) -> Column:
+        return sum((weight * at(k) for weight, k in zip(SAVGOL[name], offsets, strict=True)), F.lit(0.0)) / 35
 
-    return in_blocks(df, 4, run, ahead=0 if mode == "causal" else 2)
+    if mode == "causal":
+        return df.withColumn(f"{col}_sg", F.when(nth < 5, x).otherwise(fit("edge", [0, -1, -2, -3, -4])))
+    value = F.when(n < 5, x).when(nth == 1, fit("edge", [0, 1, 2, 3, 4])).when(nth == 2, fit("next", [-1, 0, 1, 2, 3]))
+    value = value.when(behind == 0, fit("edge", [0, -1, -2, -3, -4])).when(behind == 1, fit("next", [1, 0, -1, -2, -3])).otherwise(fit("middle", [-2, -1, 0, 1, 2]))
+    return df.withColumn(f"{col}_sg", value)
 
 
 def flow_ratios(df: DataFrame) -> DataFrame:
@@ -140,39 +139,36 @@ def hurst_of(r: np.ndarray) -> float:
     return float(np.clip(np.polyfit(xs, ys, 1)[0], 0, 1)) if len(xs) >= 2 else 0.5
 
 
-def hurst(df: DataFrame, n: int) -> DataFrame:
+def hurst(df: DataFrame, n: int, keys: list[str] | None = None) -> DataFrame:
     """Rolling Hurst exponent of ``n`` log returns of ``mid``; null until the frame is full."""
-    def run(d: DataFrame, keys: list[str]) -> DataFrame:
-        w = ordered(keys)
-        r = d.withColumn("r", F.coalesce(F.log(F.col("mid") / F.lag("mid").over(w)), F.lit(0.0)))
-        r = r.withColumn("rs", F.when(F.row_number().over(w) > n, F.collect_list("r").over(last_n(keys, n))))
-        return r.withColumn(f"hurst_{n}", of_arrays(hurst_of, None)("rs")).drop("r", "rs")
-
-    return in_blocks(df, n, run)
+    if keys is None:
+        return in_blocks(df, n, lambda d, k: hurst(d, n, k))
+    w = ordered(keys)
+    r = df.withColumn("r", F.coalesce(F.log(F.col("mid") / F.lag("mid").over(w)), F.lit(0.0)))
+    r = r.withColumn("rs", F.when(F.row_number().over(w) > n, F.collect_list("r").over(last_n(keys, n))))
+    return r.withColumn(f"hurst_{n}", of_arrays(hurst_of, None)("rs")).drop("r", "rs")
 
 
-def ou_halflife(df: DataFrame, n: int = 60, col: str = "mid") -> DataFrame:
+def ou_halflife(df: DataFrame, n: int = 60, col: str = "mid", keys: list[str] | None = None) -> DataFrame:
     """Half-life of mean reversion from the slope of x on its previous value in the last ``n`` rows."""
-    def run(d: DataFrame, keys: list[str]) -> DataFrame:
-        w = ordered(keys)
-        x0 = d.withColumn("x0", F.lag(col).over(w))
-        slope = F.regr_slope(F.col(col), F.col("x0")).over(w.rowsBetween(2 - n, 0))
-        phi = x0.withColumn("phi", slope).withColumn("nth", F.row_number().over(w))
-        half = F.when((F.col("phi") > 0) & (F.col("phi") < 1), clip(-math.log(2) / F.log("phi"), 1.0, 300.0)).otherwise(60.0)
-        return phi.withColumn("ou_halflife", F.when(F.col("nth") >= n, half)).drop("x0", "phi", "nth")
-
-    return in_blocks(df, n, run)
+    if keys is None:
+        return in_blocks(df, n, lambda d, k: ou_halflife(d, n, col, k))
+    w = ordered(keys)
+    x0 = df.withColumn("x0", F.lag(col).over(w))
+    slope = F.regr_slope(F.col(col), F.col("x0")).over(w.rowsBetween(2 - n, 0))
+    phi = x0.withColumn("phi", slope).withColumn("nth", F.row_number().over(w))
+    half = F.when((F.col("phi") > 0) & (F.col("phi") < 1), clip(-math.log(2) / F.log("phi"), 1.0, 300.0)).otherwise(60.0)
+    return phi.withColumn("ou_halflife", F.when(F.col("nth") >= n, half)).drop("x0", "phi", "nth")
 
 
-def kyle_lambda(df: DataFrame, n: int = 60) -> DataFrame:
+def kyle_lambda(df: DataFrame, n: int = 60, keys: list[str] | None = None) -> DataFrame:
     """Slope of mid changes on smoothed order flow; 0 below ten pairs or without variance."""
-    def run(d: DataFrame, keys: list[str]) -> DataFrame:
-        w, near = ordered(keys), last_n(keys, n)
-        d = d.withColumn("dm", F.col("mid") - F.lag("mid").over(w)).withColumn("nth", F.row_number().over(w))
-        slope, pairs = F.regr_slope("dm", "ofi_l1_sg").over(near), F.regr_count("dm", "ofi_l1_sg").over(near)
-        return d.withColumn("kyle_lambda", F.when(F.col("nth") >= n, F.when(pairs < 10, 0.0).otherwise(F.coalesce(slope, F.lit(0.0))))).drop("dm", "nth")
-
-    return in_blocks(df, n, run)
+    if keys is None:
+        return in_blocks(df, n, lambda d, k: kyle_lambda(d, n, k))
+    w, near = ordered(keys), last_n(keys, n)
+    df = df.withColumn("dm", F.col("mid") - F.lag("mid").over(w)).withColumn("nth", F.row_number().over(w))
+    slope, pairs = F.regr_slope("dm", "ofi_l1_sg").over(near), F.regr_count("dm", "ofi_l1_sg").over(near)
+    return df.withColumn("kyle_lambda", F.when(F.col("nth") >= n, F.when(pairs < 10, 0.0).otherwise(F.coalesce(slope, F.lit(0.0))))).drop("dm", "nth")
 
 
 def interactions(df: DataFrame, ofi: str = "ofi_l1", spread: str = "spread_mean") -> DataFrame:

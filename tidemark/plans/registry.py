@@ -163,12 +163,15 @@ class Data:
     def quotes(self) -> DataFrame:
         return book.best_quotes(self.ticks)
 
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        """The rows written once to the shared folder, for queries that read them several times."""
+        path = io.scratch(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     @cached_property
     def stored_quotes(self) -> DataFrame:
-        """The quotes written once, for queries that read them several times."""
-        path = io.scratch(self.spark, "quotes")
-        self.quotes.write.parquet(path)
-        return self.spark.read.parquet(path)
+        return self.stored(self.quotes, "quotes")
 
     @cached_property
     def kinds(self) -> DataFrame:
@@ -195,4 +198,4 @@ class Data:
         at = [*B.KEY, "ts"]
         q = B.open_close_quotes(self.stored_quotes, "1h").select(*at, "best_bid", "best_ask")
         out = self.bars1.join(q, at, "left").join(B.spread_stats(self.stored_quotes, "1h").select(*at, "spread_mean"), at, "left")
-        return out.join(B.ofi_l1(self.stored_quotes, "1h"), at, "left")
+        return self.stored(out.join(B.ofi_l1(self.stored_quotes, "1h"), at, "left"), "feat")

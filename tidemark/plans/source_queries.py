@@ -220,11 +220,11 @@ def _built(d: Data) -> DataFrame:
     """M02 of the hourly bars with their excitation and cancel counts."""
     at = [*KEY, "ts"]
     b = _delta(d).join(B.hawkes(d.ticks, "1h"), at, "left").join(B.book_activity(d.kinds, "1h").select(*at, "bid_cancel_count", "ask_cancel_count"), at, "left")
-    return ml.build_features(b, rolling.classify_regime(d.feat))
+    return ml.build_features(d.stored(b, "bars-in"), d.stored(rolling.classify_regime(d.feat).select(*at, "regime"), "regimes"))
 
 
 def _features(d: Data) -> DataFrame:
-    return rolling.reversion_labels(_built(d), [1], 20.0)
+    return rolling.reversion_labels(d.stored(_built(d), "built"), [1], 20.0)
 
 
 def _clustered(d: Data) -> DataFrame:

@@ -19,9 +19,12 @@ _OWN_ROOTS: dict[str, str] = {}
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share (``spark.checkpoint.dir``; a temporary one of this application where none is set)."""
+    """A new path in the folder that all executors share (``spark.checkpoint.dir``). Where none is set a local session gets a temporary one of this application;
+    on a cluster that is an error, as each executor would write to a disk of its own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         app = spark.sparkContext.applicationId
         if app not in _OWN_ROOTS:
             _OWN_ROOTS[app] = tempfile.mkdtemp(prefix="spark-")
