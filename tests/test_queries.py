@@ -1,12 +1,13 @@
 """Spark against DuckDB at the smallest size: every registered query that has SQL."""
 
+import functools
 import os
 
 import duckdb
 import pandas as pd
 import pytest
 
-from tidemark.plans import all_oracles, all_queries
+from tidemark.plans import all_oracles, all_queries, registry
 
 SF = "/root/testdata/sf0.001"
 NAMES = sorted(all_oracles())
@@ -21,6 +22,15 @@ def con():
     return c
 
 
+@pytest.fixture(scope="module", autouse=True)
+def shared_tables():
+    """The queries of this module share their stored tables."""
+    own = registry.Data
+    registry.Data = functools.cache(own)
+    yield
+    registry.Data = own
+
+
 def plain(df: pd.DataFrame) -> pd.DataFrame:
     df = df[sorted(df.columns)].copy()
     for c in df.columns:

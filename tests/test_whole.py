@@ -228,3 +228,33 @@ def test_scores_of_spreads(spark):
 
     df = spark.createDataFrame([(None, 0.01), (1.5, 0.01), (2.0, 0.2), (2.0, 0.1), (-9.0, 0.0)], "spread_z double, adf_pvalue_60 double")
     assert [tuple(r)[2:] for r in score_spread(df).collect()] == [("NEUTRAL", "zone", 0.0), ("NEUTRAL", "zone", 0.0), ("NEUTRAL", "unit root", 0.0), ("SHORT_A", "spread", pytest.approx(2 / 3)), ("LONG_A", "spread", 1.0)]
+
+
+def test_slots_are_trained_and_scored(spark, monkeypatch):
+    """All three candidates are fitted (small ones here), the best is refitted, and scores follow gates and slots."""
+    from tidemark.operators import ml
+
+    rng = np.random.default_rng(12)
+    full, fitted = ml.candidates, set()
+
+    def small(seed=7, rounds=3):
+        c = full(seed, 3)
+        c["forest"].setNumTrees(5).setMaxDepth(3)
+        c["logistic"].setMaxIter(20)
+        for name, model in c.items():
+            model.fit = (lambda fit, name: lambda data: (fitted.add(name), fit(data))[1])(model.fit, name)
+        return c
+
+    monkeypatch.setattr(ml, "candidates", small)
+    kinds = ["REVERT", "FLAT", "TREND"]
+    rows = [("x", "A", T0 + dt.timedelta(minutes=i), "RANGING", 0, float(3 * k + rng.normal(0, 0.3)), float(rng.normal()), 0.3, kinds[k]) for i, k in enumerate(rng.integers(0, 3, 240))]
+    rows += [("x", "B", T0, "TRENDING_UP", 0, 0.0, 0.0, 0.3, "REVERT"), ("x", "C", T0, "RANGING", 5, 0.0, 0.0, 0.3, "REVERT"), ("x", "D", T0, "RANGING", 0, 0.0, 0.0, 0.7, "REVERT")]
+    df = spark.createDataFrame(rows, "exchange string, symbol string, ts timestamp, regime string, cluster int, f double, g double, hurst_60 double, target string")
+    models, registry = ml.train_slots(df, "target", ["f", "g"], folds=2)
+    row = registry.collect()
+    assert fitted == {"logistic", "forest", "boosted"} and len(row) == 1 and row[0]["cv_score"] > 0.9 and row[0]["n"] == 241 and row[0]["importances"]["f"] > row[0]["importances"]["g"]
+    out = {(r["symbol"], r["ts"]): (r["label"], r["confidence"]) for r in ml.score(df, models, ["f", "g"]).collect()}
+    assert len(out) == 243 and out[("B", T0)] == ("FLAT", 1.0) and out[("C", T0)] == ("FLAT", 0.0) and out[("D", T0)] == ("FLAT", 1.0)
+    assert np.mean([out[("A", r[2])][0] == r[8] for r in rows[:240]]) > 0.95
+    boosted = small()["boosted"].fit(ml.with_weights(ml._assembled(df, ["f", "g"]), "target"))
+    assert set(ml.importances(boosted, ["f", "g"])) == {"f", "g"} and 0 < ml.score(df.where("symbol = 'A'"), {("RANGING", 0): boosted}, ["f", "g"]).agg(F.avg("confidence")).first()[0] <= 1
