@@ -56,14 +56,14 @@ def clip(c: Column, low: float, high: float) -> Column:
     return F.least(F.greatest(c, F.lit(low)), F.lit(high))
 
 
-def over_days(df: DataFrame, sums: dict[str, Column] | None = None, lasts: dict[str, Column] | None = None, priors: dict[str, Column] | None = None, tops: dict[str, Column] | None = None, by: list[str] = KEY, order: tuple[str, ...] = ("ts", "seq"), ties: bool = True, time: str = "ts") -> DataFrame:
+def over_days(df: DataFrame, sums: dict[str, Column] | None = None, lasts: dict[str, Column] | None = None, priors: dict[str, Column] | None = None, tops: dict[str, Column] | None = None, by: list[str] = KEY, order: tuple[str, ...] = ("ts", "seq"), ties: bool = True, time: str = "ts", unit: str = "day") -> DataFrame:
     """Adds running values in the order of each key, with a key's day as the unit of work.
 
     ``sums`` and ``lasts`` (non-null values) run up to the row and its ties (without ``ties``, up to the row in any order of equal ones), ``priors`` (last non-null value) and ``tops`` (maximum) up to the row before.
-    ``time`` is the time that comes first in the order. A window over each key's days, which are few, carries the ends of days to the days after them; so no task holds a key's whole history.
+    ``time`` is the time that comes first in the order; ``unit`` may be longer (month) for rows that are sparse. A window over each key's days, which are few, carries the ends of days to the days after them; so no task holds a key's whole history.
     """
     kinds = [(n, c, k) for k, given in enumerate((sums, lasts, priors, tops)) for n, c in (given or {}).items()]
-    t = df.select("*", F.to_date(time).alias("day_"), *[c.alias(f"{n}_own") for n, c, _ in kinds])
+    t = df.select("*", F.trunc(F.to_date(time), unit).alias("day_") if unit != "day" else F.to_date(time).alias("day_"), *[c.alias(f"{n}_own") for n, c, _ in kinds])
     own, where = Window.partitionBy(*by, "day_").orderBy(*order), F.struct(*order)
     earlier = own.rowsBetween(Window.unboundedPreceding, -1)
     if not ties:
@@ -103,3 +103,8 @@ def in_chunks(df: DataFrame, by: list[str] = KEY, order: tuple[str, ...] = ("ts"
     """Adds ``nth_`` (from 0) and ``block_``: recursions are summed up by blocks of ``BLOCK`` rows of a key, then run through each block from its own start."""
     t = over_days(df, sums={"nth_": F.lit(1).cast("long")}, by=by, order=order, ties=False)
     return t.withColumn("nth_", F.col("nth_") - 1).withColumn("block_", F.floor(F.col("nth_") / BLOCK))
+
+
+def has_long_keys(df: DataFrame, by: list[str] = KEY) -> bool:
+    """Whether a key has more rows than a block; if none has, a recursion starts each key afresh and needs no sums of blocks before it."""
+    return df.groupBy(*by).count().where(F.col("count") > BLOCK).limit(1).count() > 0

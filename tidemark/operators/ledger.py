@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import zlib
-from functools import reduce
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.core import KEY, in_chunks, over_days, ratio
+from tidemark.core import KEY, has_long_keys, in_chunks, over_days, ratio
 
 BOOK = ["strategy", *KEY]
 FILL_ORDER = ("ts", "seq")
+#: Fills and trades are far fewer than ticks: a book's month is the unit of work.
+over_months = partial(over_days, unit="month")
 
 
 def book_order():
@@ -73,10 +75,18 @@ def realize_pnl(fills: DataFrame) -> DataFrame:
     """Average cost, long only: buys average in, a sell realises what is held, flat resets.
 
     The unit of work is a block of a book's fills. It turns the size held into max(held + x, y) and, once that is known, its cost into an affine function of itself; both
-    fold over a book's blocks, and then each block is computed from its own start.
+    fold over a book's blocks, and then each block is computed from its own start. Where no book is longer than a block, books are the blocks.
     """
+    columns = [*BOOK, "ts", "order_id", "side", "price", "size"]
+    if not has_long_keys(fills, BOOK):
+        named = "strategy string, exchange string, symbol string, ts timestamp, order_id string, side string, price double, size double"
+        f = fills.select(*[F.col(c).cast(x.split()[-1]).alias(c) for c, x in zip(columns, named.split(", "), strict=True)], F.struct(*FILL_ORDER).alias("at_"))
+        f = f.withColumn("at_", F.row_number().over(Window.partitionBy(*BOOK).orderBy("at_")).cast("long")).withColumnRenamed("at_", "nth").withColumns({"held_": F.lit(0.0), "value_": F.lit(0.0)})
+        kind = ", ".join(f"{x.name} {x.dataType.simpleString()}" for x in f.schema)
+        out = f.groupBy(*BOOK).applyInPandas(_with_costs, f"{kind}, realized_pnl double, position_size_after double, avg_cost double")
+        return out.select(*BOOK, "nth", *columns[3:], "realized_pnl", "position_size_after", "avg_cost")
     shape = "strategy string, exchange string, symbol string, block_ long"
-    f = in_chunks(fills, BOOK, FILL_ORDER).select(*BOOK, (F.col("nth_") + 1).alias("nth"), "ts", "order_id", "side", "price", "size", "block_")
+    f = in_chunks(fills, BOOK, FILL_ORDER).select(*BOOK, (F.col("nth_") + 1).alias("nth"), *columns[3:], "block_")
     signed = F.when(F.col("side") == "buy", F.col("size")).otherwise(-F.col("size"))
     after = Window.partitionBy(*BOOK, "block_").orderBy("nth").rowsBetween(1, Window.unboundedFollowing)
     floor = F.when(F.col("side") != "buy", F.coalesce(F.sum(signed).over(after), F.lit(0.0)))
@@ -106,8 +116,8 @@ def with_slippage(fills: DataFrame) -> DataFrame:
 def position_metrics(ledger: DataFrame) -> DataFrame:
     """Unrealised and cumulative pnl, drawdown from a peak that starts at 0. Needs nth."""
     led = ledger.withColumn("unrealized_pnl", (F.col("price") - F.col("avg_cost")) * F.col("position_size_after"))
-    led = over_days(led, sums={"cum_pnl": F.col("realized_pnl")}, by=BOOK, order=("nth",))
-    led = over_days(led, tops={"top": F.col("cum_pnl")}, by=BOOK, order=("nth",))
+    led = over_months(led, sums={"cum_pnl": F.col("realized_pnl")}, by=BOOK, order=("nth",))
+    led = over_months(led, tops={"top": F.col("cum_pnl")}, by=BOOK, order=("nth",))
     return led.withColumn("drawdown", F.greatest("top", "cum_pnl", F.lit(0.0)) - F.col("cum_pnl")).drop("top")
 
 
@@ -118,7 +128,7 @@ def order_gates(requests: DataFrame, max_order: float, max_position: float) -> D
     """
     r = requests.withColumn("notional", F.col("price") * F.col("size"))
     net = F.when(F.col("intent") == "entry", F.col("notional")).otherwise(-F.col("notional"))
-    r = over_days(r, sums={"placed": net}, priors={"prior": F.col("intent")}, by=BOOK, order=FILL_ORDER, ties=False)
+    r = over_months(r, sums={"placed": net}, priors={"prior": F.col("intent")}, by=BOOK, order=FILL_ORDER, ties=False)
     r = r.withColumn("placed", F.greatest(F.col("placed") - net, F.lit(0.0)))
     gate = F.when(F.col("intent") != "entry", "pass").when(F.col("prior") == "entry", "duplicate_entry").when(F.col("notional") > max_order, "order_cap").when(F.col("placed") + F.col("notional") > max_position, "position_cap").otherwise("pass")
     return r.withColumn("gate", gate).drop("prior", "placed")
@@ -155,10 +165,10 @@ def total_pnl(ledger: DataFrame, by: str = "paper") -> DataFrame:
 
 def with_peak(df: DataFrame, pnl: str, capital: float | None, by: list[str], order: tuple[str, ...] = ("exit_ts", "seq"), time: str = "exit_ts") -> DataFrame:
     """Adds equity (running result, on top of ``capital``) and its peak so far (at least ``capital``)."""
-    e = over_days(df, sums={"equity": F.col(pnl)}, by=by, order=order, time=time)
+    e = over_months(df, sums={"equity": F.col(pnl)}, by=by, order=order, time=time)
     if capital is not None:
         e = e.withColumn("equity", capital + F.col("equity"))
-    e = over_days(e, tops={"peak": F.col("equity")}, by=by, order=order, time=time)
+    e = over_months(e, tops={"peak": F.col("equity")}, by=by, order=order, time=time)
     return e.withColumn("peak", F.greatest("peak", "equity", *([] if capital is None else [F.lit(capital)])))
 
 
@@ -194,7 +204,7 @@ def with_fees(fills: DataFrame, fees: dict[str, tuple[float, float]] = FEES) ->
 
 def pair_trades(fills: DataFrame) -> DataFrame:
     """A sell closes the latest buy before it that no sell has closed yet; gross result on the smaller size, and net of both fees."""
-    f = over_days(fills, priors={"side0": F.col("side"), "entry": F.when(F.col("side") == "buy", F.struct("ts", "price", "size", "fee"))}, by=BOOK, order=FILL_ORDER)
+    f = over_months(fills, priors={"side0": F.col("side"), "entry": F.when(F.col("side") == "buy", F.struct("ts", "price", "size", "fee"))}, by=BOOK, order=FILL_ORDER)
     t = f.where("side = 'sell' and side0 = 'buy'")
     q = F.least("size", "entry.size")
     t = t.withColumn("gross_pnl", (F.col("price") - F.col("entry.price")) * q)
@@ -203,9 +213,9 @@ def pair_trades(fills: DataFrame) -> DataFrame:
 
 def trade_streaks(trades: DataFrame, by: list[str], pnl: str = "net_pnl", order: tuple[str, ...] = ("exit_ts", "seq")) -> DataFrame:
     """Longest runs of wins and of losses."""
-    t = over_days(trades.withColumn("win", F.col(pnl) > 0), priors={"win0": F.col("win")}, by=by, order=order, time=order[0])
+    t = over_months(trades.withColumn("win", F.col(pnl) > 0), priors={"win0": F.col("win")}, by=by, order=order, time=order[0])
     turn = F.coalesce(F.col("win0") != F.col("win"), F.lit(False)).cast("int")
-    runs = over_days(t, sums={"island": turn}, by=by, order=order, ties=False, time=order[0]).groupBy(*by, "win", "island").agg(F.count(F.lit(1)).alias("n"))
+    runs = over_months(t, sums={"island": turn}, by=by, order=order, ties=False, time=order[0]).groupBy(*by, "win", "island").agg(F.count(F.lit(1)).alias("n"))
     return runs.groupBy(*by).agg(F.coalesce(F.max(F.when(F.col("win"), F.col("n"))), F.lit(0)).alias("win_streak"), F.coalesce(F.max(F.when(~F.col("win"), F.col("n"))), F.lit(0)).alias("loss_streak"))
 
 
@@ -226,7 +236,7 @@ def run_metrics(trades: DataFrame, capital: float, by: list[str] | None = None)
 
 def trade_table(trades: DataFrame) -> DataFrame:
     """Running net result and duration."""
-    t = over_days(trades, sums={"running_pnl": F.col("net_pnl")}, by=BOOK, order=("exit_ts", "seq"), time="exit_ts")
+    t = over_months(trades, sums={"running_pnl": F.col("net_pnl")}, by=BOOK, order=("exit_ts", "seq"), time="exit_ts")
     return t.select(*BOOK, "entry_ts", "exit_ts", "net_pnl", "running_pnl", (F.unix_seconds("exit_ts") - F.unix_seconds("entry_ts")).alias("seconds_held"))
 
 
@@ -238,7 +248,7 @@ def sample_equity(equity: DataFrame, k: int, by: list[str], order: list[str]) ->
 def in_place(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
     """Adds nth (from 1) in each group; over its days, if the order begins with a time."""
     if dict(df.dtypes)[order[0]] in ("timestamp", "date"):
-        return over_days(df, sums={"nth": F.lit(1).cast("long")}, by=by, order=tuple(order), ties=False, time=order[0])
+        return over_months(df, sums={"nth": F.lit(1).cast("long")}, by=by, order=tuple(order), ties=False, time=order[0])
     return df.withColumn("nth", F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long"))
 
 
@@ -388,7 +398,7 @@ def strategy_ema_flip(bars: DataFrame, fast: int = 9, slow: int = 21) -> DataFra
     from tidemark.operators.rolling import ema_cross
 
     c = ema_cross(bars, fast, slow).where("action <> 'hold'")
-    c = over_days(c, priors={"prior": F.col("action")}, order=("ts",)).where("(action = 'buy' and coalesce(prior, 'sell') = 'sell') or (action = 'sell' and prior = 'buy')")
+    c = over_months(c, priors={"prior": F.col("action")}, order=("ts",)).where("(action = 'buy' and coalesce(prior, 'sell') = 'sell') or (action = 'sell' and prior = 'buy')")
     return c.select(*KEY, "ts", "close", F.when(F.col("action") == "buy", "enter").otherwise("exit").alias("order"))
 
 

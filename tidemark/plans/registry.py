@@ -149,7 +149,8 @@ class Data:
 
     @cached_property
     def paired(self) -> DataFrame:
-        return ledger.pair_trades(ledger.with_fees(self.fills))
+        fees = ledger.with_fees(self.fills).select(*ledger.BOOK, "ts", "seq", "side", "price", "size", "fee")
+        return self.stored(ledger.pair_trades(self.stored(fees, "fills")), "paired")
 
     @cached_property
     def levels(self) -> DataFrame:
