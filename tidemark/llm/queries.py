@@ -6,11 +6,13 @@ from tidemark.llm.chat import OP6_SQL, op6_chat_format
 from tidemark.llm.common import table
 from tidemark.llm.decontam import contamination
 from tidemark.llm.exact_dedup import exact_duplicates
+from tidemark.llm.exact_search import OP12_SQL, op12_exact_topk
 from tidemark.llm.langid import op5_language_mixture
 from tidemark.llm.merkle import OP11_SQL, op11_merkle_manifest
 from tidemark.llm.mixing import MIX_SQL, poisson_mix
 from tidemark.llm.near_dup import near_dup_classes
 from tidemark.llm.quality import op10_quality_mil
+from tidemark.llm.repair import OP13_SQL, op13_conversation_repair
 from tidemark.llm.sharding import balanced_shards
 from tidemark.llm.token_counts import op9_token_counts
 from tidemark.llm.warc import OP1_SQL, op1_warc_revisits
@@ -38,7 +40,7 @@ def op8_digest_index(spark, sf_dir: str):
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_warc_revisits, op2_bagminhash_dedup, op3_poisson_mix, op4_positional_index, op5_language_mixture, op6_chat_format, op7_balanced_shards, op8_digest_index, op9_token_counts, op10_quality_mil, op11_merkle_manifest)
+    for f in (op1_warc_revisits, op2_bagminhash_dedup, op3_poisson_mix, op4_positional_index, op5_language_mixture, op6_chat_format, op7_balanced_shards, op8_digest_index, op9_token_counts, op10_quality_mil, op11_merkle_manifest, op12_exact_topk, op13_conversation_repair)
 }
 
 OP4_SQL = r"""
@@ -68,4 +70,4 @@ with d as (select doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOP
 select doc_id, max(doc_id) over (partition by h) as keep_id, count(*) over (partition by h)::bigint as group_size, doc_id = max(doc_id) over (partition by h) as kept, h as text_sha256 from d
 """
 
-ORACLES = {"op1_warc_revisits": OP1_SQL, "op3_poisson_mix": MIX_SQL, "op4_positional_index": OP4_SQL, "op6_chat_format": OP6_SQL, "op8_digest_index": OP8_SQL, "op11_merkle_manifest": OP11_SQL}
+ORACLES = {"op1_warc_revisits": OP1_SQL, "op3_poisson_mix": MIX_SQL, "op4_positional_index": OP4_SQL, "op6_chat_format": OP6_SQL, "op8_digest_index": OP8_SQL, "op11_merkle_manifest": OP11_SQL, "op12_exact_topk": OP12_SQL, "op13_conversation_repair": OP13_SQL}
