@@ -89,17 +89,21 @@ def test_bars_are_invariant_under_resampling(spark):
 
 
 def test_resample_rules(spark):
+    """Four bars of 30 s, of which three fall into the first 90 s; quarters of prices make every sum exact."""
     from tidemark.operators import cascade, footprint
 
-    rows = [("x", "A", T0, 100.0, 110.0, 95.0, 105.0, 10.0, 1.0, 6.0), ("x", "A", T0 + dt.timedelta(minutes=1), 105.0, 115.0, 100.0, 112.0, 15.0, 5.0, 9.0)]
-    b = spark.createDataFrame(rows, "exchange string, symbol string, ts timestamp, open double, high double, low double, close double, volume double, spread_high double, buy_volume double")
-    assert got(cascade.resample(b, "2m"), "open", "high", "low", "close", "volume", "buy_volume", "spread_high") == [(100, 115, 95, 112, 25, 15, 5)]
-    days = [("x", "A", dt.datetime(2024, 1, d), float(d), float(d)) for d in (1, 7, 8)]
+    names = "open double, high double, low double, close double, volume double, spread_high double, buy_volume double"
+    steps = [(8.25, 8.75, 8.0, 8.5, 3.0, 0.25, 2.0), (8.5, 9.5, 8.5, 9.25, 1.0, 0.75, 0.0), (9.25, 9.25, 7.5, 7.75, 4.0, 0.5, 1.5), (7.75, 8.0, 7.25, 8.0, 2.0, 0.25, 2.0)]
+    b = spark.createDataFrame([("x", "A", T0 + dt.timedelta(seconds=30 * i), *v) for i, v in enumerate(steps)], f"exchange string, symbol string, ts timestamp, {names}")
+    out = got(cascade.resample(b, "1m"), "open", "high", "low", "close", "volume", "buy_volume", "spread_high")
+    assert out == [(8.25, 9.5, 8.0, 9.25, 4.0, 2.0, 0.75), (9.25, 9.25, 7.25, 8.0, 6.0, 3.5, 0.5)]
+    days = [("x", "A", dt.datetime(2024, 3, d), float(d), 2.0) for d in (3, 4, 10, 11)]  # a Sunday, Monday to Sunday, a Monday
     w = cascade.resample(spark.createDataFrame(days, "exchange string, symbol string, ts timestamp, close double, volume double"), "1w")
-    assert got(w, "close", "volume") == [(7, 8), (8, 8)]
-    f = spark.createDataFrame([("x", "A", T0, '{"100.0":{"b":1,"s":0.5}}'), ("x", "A", T0, '{"100.0":{"b":2,"s":0.3},"101.0":{"b":0,"s":1}}'), ("x", "A", T0, "bad"), ("x", "B", T0, None)], "exchange string, symbol string, ts timestamp, footprint_json string")
+    assert got(w, "close", "volume") == [(3, 2), (10, 4), (11, 2)]
+    cells = ['{"7.5":{"b":0.25,"s":4}}', '{"7.5":{"b":1.5,"s":0},"7.25":{"b":2,"s":0.5}}', '{"7.5":', None]
+    f = spark.createDataFrame([("x", "A", T0, c) for c in cells] + [("x", "B", T0, None)], "exchange string, symbol string, ts timestamp, footprint_json string")
     merged = {r["symbol"]: r["footprint_json"] for r in footprint.merge_footprints(f, "1m").collect()}
-    assert merged["B"] is None and '"100.0":{"b":3.0,"s":0.8}' in merged["A"]
+    assert merged["B"] is None and '"7.5":{"b":1.75,"s":4.0}' in merged["A"] and '"7.25":{"b":2.0,"s":0.5}' in merged["A"]
 
 
 def test_statistics():
@@ -245,6 +249,20 @@ def test_recursions_over_blocks(spark, monkeypatch):
         assert x == pytest.approx(state)
 
 
+def test_average_cost_of_decimals(spark, monkeypatch):
+    """Decimal prices and sizes give what doubles give, in books of one block and of many."""
+    from tidemark import core
+    from tidemark.operators.ledger import realize_pnl
+
+    rows = [("s", "x", "A", at(i * 20_000), i, f"o{i}", "sell" if i % 3 == 2 else "buy", float(5 + i % 4), float(1 + i % 2)) for i in range(30)]
+    f = spark.createDataFrame(rows, "strategy string, exchange string, symbol string, ts timestamp, seq long, order_id string, side string, price double, size double")
+    d = f.withColumns({c: F.col(c).cast("decimal(12,2)") for c in ("price", "size")})
+    want = got(realize_pnl(f), "realized_pnl", "position_size_after", "avg_cost")
+    assert got(realize_pnl(d), "realized_pnl", "position_size_after", "avg_cost") == want
+    monkeypatch.setattr(core, "BLOCK", 7)
+    assert got(realize_pnl(d), "realized_pnl", "position_size_after", "avg_cost") == [tuple(pytest.approx(v) for v in r) for r in want]
+
+
 def test_average_cost_over_blocks(spark, monkeypatch):
     import random
 

@@ -123,24 +123,6 @@ def test_features_without_a_delta(spark):
     assert x["microprice_mid_delta"].to_numpy() == pytest.approx(want.to_numpy()) and (x["microprice_x_hawkes"] == 0).all()
 
 
-def test_candidates_are_whole(spark, monkeypatch):
-    from tidemark.operators import ml
-    from tidemark.plans import source_queries as q
-
-    c = ml.candidates()
-    assert set(c) == {"logistic", "forest", "boosted"} and all(m.getWeightCol() == "weight" for m in c.values())
-    trees = c["boosted"].getClassifier()
-    assert (trees.getMaxIter(), trees.getMaxDepth(), trees.getWeightCol()) == (500, 6, "weight")
-    assert (c["forest"].getNumTrees(), c["forest"].getMaxDepth(), c["logistic"].getMaxIter()) == (200, 8, 1000)
-    seen = {}
-    train = ml.train_slots
-    monkeypatch.setattr(q, "_clustered", lambda d: None)
-    monkeypatch.setattr(ml, "train_slots", lambda *a, **k: seen.update(k) or (None, None))
-    q._models(None)
-    assert not {"names", "folds", "least"} & set(seen)
-    assert train.__defaults__[:3] == (5, 5, 200)
-
-
 def test_model_features_have_real_regimes_and_hurst(spark):
     from tidemark.plans import source_queries as q
     from tidemark.plans.registry import Data
@@ -149,49 +131,7 @@ def test_model_features_have_real_regimes_and_hurst(spark):
     assert f.agg(F.count_distinct("hurst_60")).first()[0] > 20 and f.where("regime in ('THIN_BOOK', 'TRENDING_UP', 'TRENDING_DOWN')").count() > 0
 
 
-def test_confidence_of_boosted_trees(spark):
-    from pyspark.ml.linalg import Vectors
-
-    from tidemark.operators import ml
-
-    df = spark.createDataFrame([(Vectors.dense([0.0, 0.0, 0.0]),), (Vectors.dense([2.0, -1.0, 0.5]),)], ["rawPrediction"])
-    p = 1 / (1 + np.exp(-2 * np.array([2.0, -1.0, 0.5])))
-    assert [r[0] for r in df.select(ml._one_vs_rest_confidence()).collect()] == pytest.approx([1 / 3, p.max() / p.sum()])
-
-
 # ---- clusters, scores and statistics against plain computations --------------------------------------
-def test_clusters_and_noise(spark):
-    from tidemark.operators.ml import cluster_regimes
-
-    rng = np.random.default_rng(8)
-    groups = [rng.normal((0, 0), 0.3, (150, 2)), rng.normal((6, 6), 0.3, (150, 2)), np.array([[1.3, -1.2], [7.2, 4.8], [4.8, 7.3]])]
-    rows = [("x", "A", T0 + dt.timedelta(minutes=i), "RANGING", float(a), float(b)) for i, (a, b) in enumerate(np.concatenate(groups))]
-    rows += [("x", "B", T0 + dt.timedelta(minutes=i), "THIN_BOOK", 1.0, 2.0) for i in range(20)]
-    df = spark.createDataFrame(rows, "exchange string, symbol string, ts timestamp, regime string, f double, g double")
-    got = {(r["symbol"], r["ts"]): r["cluster"] for r in cluster_regimes(df, ["f", "g"], k=2).collect()}
-    of = [got[("A", T0 + dt.timedelta(minutes=i))] for i in range(303)]
-    assert len({c for c in of[:150] if c >= 0}) == 1 and len({c for c in of[150:300] if c >= 0}) == 1 and of[0] != of[299]
-    assert sum(c == -1 for c in of) <= 6 and sum(c == -1 for c in of[300:]) >= 2  # the share of noise are the least likely rows
-    assert {c for (s, _), c in got.items() if s == "B"} == {0}  # too few rows
-    assert got == {(r["symbol"], r["ts"]): r["cluster"] for r in cluster_regimes(df, ["f", "g"], k=2).collect()}
-
-
-def test_log_density_of_a_mixture(spark):
-    from types import SimpleNamespace
-
-    from tidemark.operators.ml import _log_density
-
-    rng = np.random.default_rng(9)
-    weights, means = [0.3, 0.7], rng.normal(size=(2, 3))
-    covs = [(lambda a: a @ a.T + np.eye(3))(rng.normal(size=(3, 3))) for _ in range(2)]
-    mixture = SimpleNamespace(weights=weights, gaussians=[SimpleNamespace(mean=SimpleNamespace(toArray=lambda m=m: m), cov=SimpleNamespace(toArray=lambda c=c: c)) for m, c in zip(means, covs, strict=True)])
-    x = rng.normal(size=(20, 3))
-    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(x)], "i int, x array<double>").select("i", _log_density(mixture, F.col("x")).alias("d"))
-    for i, d in df.collect():
-        parts = [w * np.exp(-0.5 * (x[i] - m) @ np.linalg.solve(c, x[i] - m)) / np.sqrt((2 * np.pi) ** 3 * np.linalg.det(c)) for w, m, c in zip(weights, means, covs, strict=True)]
-        assert d == pytest.approx(np.log(sum(parts)))
-
-
 def test_rolling_exponent_and_unit_root_of_each_frame(spark):
     from tidemark.operators.rolling import adf_of, adf_pvalue, hurst, hurst_of
 
@@ -228,33 +168,3 @@ def test_scores_of_spreads(spark):
 
     df = spark.createDataFrame([(None, 0.01), (1.5, 0.01), (2.0, 0.2), (2.0, 0.1), (-9.0, 0.0)], "spread_z double, adf_pvalue_60 double")
     assert [tuple(r)[2:] for r in score_spread(df).collect()] == [("NEUTRAL", "zone", 0.0), ("NEUTRAL", "zone", 0.0), ("NEUTRAL", "unit root", 0.0), ("SHORT_A", "spread", pytest.approx(2 / 3)), ("LONG_A", "spread", 1.0)]
-
-
-def test_slots_are_trained_and_scored(spark, monkeypatch):
-    """All three candidates are fitted (small ones here), the best is refitted, and scores follow gates and slots."""
-    from tidemark.operators import ml
-
-    rng = np.random.default_rng(12)
-    full, fitted = ml.candidates, set()
-
-    def small(seed=7, rounds=3):
-        c = full(seed, 3)
-        c["forest"].setNumTrees(5).setMaxDepth(3)
-        c["logistic"].setMaxIter(20)
-        for name, model in c.items():
-            model.fit = (lambda fit, name: lambda data: (fitted.add(name), fit(data))[1])(model.fit, name)
-        return c
-
-    monkeypatch.setattr(ml, "candidates", small)
-    kinds = ["REVERT", "FLAT", "TREND"]
-    rows = [("x", "A", T0 + dt.timedelta(minutes=i), "RANGING", 0, float(3 * k + rng.normal(0, 0.3)), float(rng.normal()), 0.3, kinds[k]) for i, k in enumerate(rng.integers(0, 3, 240))]
-    rows += [("x", "B", T0, "TRENDING_UP", 0, 0.0, 0.0, 0.3, "REVERT"), ("x", "C", T0, "RANGING", 5, 0.0, 0.0, 0.3, "REVERT"), ("x", "D", T0, "RANGING", 0, 0.0, 0.0, 0.7, "REVERT")]
-    df = spark.createDataFrame(rows, "exchange string, symbol string, ts timestamp, regime string, cluster int, f double, g double, hurst_60 double, target string")
-    models, registry = ml.train_slots(df, "target", ["f", "g"], folds=2)
-    row = registry.collect()
-    assert fitted == {"logistic", "forest", "boosted"} and len(row) == 1 and row[0]["cv_score"] > 0.9 and row[0]["n"] == 241 and row[0]["importances"]["f"] > row[0]["importances"]["g"]
-    out = {(r["symbol"], r["ts"]): (r["label"], r["confidence"]) for r in ml.score(df, models, ["f", "g"]).collect()}
-    assert len(out) == 243 and out[("B", T0)] == ("FLAT", 1.0) and out[("C", T0)] == ("FLAT", 0.0) and out[("D", T0)] == ("FLAT", 1.0)
-    assert np.mean([out[("A", r[2])][0] == r[8] for r in rows[:240]]) > 0.95
-    boosted = small()["boosted"].fit(ml.with_weights(ml._assembled(df, ["f", "g"]), "target"))
-    assert set(ml.importances(boosted, ["f", "g"])) == {"f", "g"} and 0 < ml.score(df.where("symbol = 'A'"), {("RANGING", 0): boosted}, ["f", "g"]).agg(F.avg("confidence")).first()[0] <= 1

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.core import KEY, has_long_keys, in_chunks, over_days, ratio
+from tidemark.operators.places import in_ranks
 
 BOOK = ["strategy", *KEY]
 FILL_ORDER = ("ts", "seq")
@@ -78,6 +79,7 @@ def realize_pnl(fills: DataFrame) -> DataFrame:
     fold over a book's blocks, and then each block is computed from its own start. Where no book is longer than a block, books are the blocks.
     """
     columns = [*BOOK, "ts", "order_id", "side", "price", "size"]
+    fills = fills.withColumns({c: F.col(c).cast("double") for c in ("price", "size")})
     if not has_long_keys(fills, BOOK):
         named = "strategy string, exchange string, symbol string, ts timestamp, order_id string, side string, price double, size double"
         f = fills.select(*[F.col(c).cast(x.split()[-1]).alias(c) for c, x in zip(columns, named.split(", "), strict=True)], F.struct(*FILL_ORDER).alias("at_"))
@@ -246,10 +248,10 @@ def sample_equity(equity: DataFrame, k: int, by: list[str], order: list[str]) ->
 
 
 def in_place(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
-    """Adds nth (from 1) in each group; over its days, if the order begins with a time."""
-    if dict(df.dtypes)[order[0]] in ("timestamp", "date"):
+    """Adds nth (from 1) in each group: over its months if it has a key and the order begins with a time, else over ranges of all rows, so that no task holds a group."""
+    if by and dict(df.dtypes)[order[0]] in ("timestamp", "timestamp_ntz", "date"):
         return over_months(df, sums={"nth": F.lit(1).cast("long")}, by=by, order=tuple(order), ties=False, time=order[0])
-    return df.withColumn("nth", F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long"))
+    return in_ranks(df, by, order).withColumn("nth", F.col("nth_") + 1).drop("nth_", "n_")
 
 
 def with_size(df: DataFrame, by: list[str]) -> DataFrame:

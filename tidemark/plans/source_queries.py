@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -213,9 +215,6 @@ register("t07_drop_stale", "exchange:s ts:t mid_a:d", lambda d: stream.drop_stal
 
 
 # ---- models -----------------------------------------------------------------------------------------
-COLS = ["volume", "spread_mean", "ofi_l1", "microprice_mid_delta", "net_buy_fraction"]
-
-
 def _built(d: Data) -> DataFrame:
     """M02 of the hourly bars with their excitation and cancel counts."""
     at = [*KEY, "ts"]
@@ -227,23 +226,35 @@ def _features(d: Data) -> DataFrame:
     return rolling.reversion_labels(d.stored(_built(d), "built"), [1], 20.0)
 
 
+#: What several queries read, by application and data folder: written once, then read.
+_ONCE: dict[tuple, DataFrame] = {}
+
+
+def _once(d: Data, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    key = (d.spark.sparkContext.applicationId, d.sf_dir, name)
+    if key not in _ONCE:
+        _ONCE[key] = build()
+    return _ONCE[key]
+
+
 def _clustered(d: Data) -> DataFrame:
-    raw, path = io.scratch(d.spark, "features"), io.scratch(d.spark, "clustered")
-    _features(d).write.parquet(raw)
-    ml.cluster_regimes(d.spark.read.parquet(raw), COLS).write.parquet(path)
-    return d.spark.read.parquet(path)
+    def build() -> DataFrame:
+        raw = d.stored(_features(d), "features")
+        return d.stored(ml.cluster_regimes(raw, ml.feature_cols(raw)), "clustered")
+
+    return _once(d, "clustered", build)
 
 
-def _models(d: Data):
+def _registry(d: Data) -> DataFrame:
+    """M07 over all feature columns; m07, m08 and m09 read the same fits."""
     f = _clustered(d)
-    models, registry = ml.train_slots(f, "label_revert_1", COLS)
-    return f, models, registry
+    return _once(d, "registry", lambda: ml.train_slots(f, "label_revert_1", ml.feature_cols(f)))
 
 
 #: Columns of the wide bars that the SQL side lacks, and columns that are null in the same rows.
 _AS_STORED = {"quote_volume": "volume", "buy_count": "volume", "ofi": "ofi_l1"}
-_FEATURES = "open high low close volume quote_volume trade_count buy_volume buy_count sell_volume best_bid best_ask spread_mean ofi_l1 ofi".split()
-register("m01_feature_cols", "name:s rows:i nulls:i", lambda d: ml.feature_profile(d.feat.withColumn("label_x", F.lit(1))), " union all ".join(f"select '{c}' as name, count(*) as rows, count(*) - count({_AS_STORED.get(c, c)}) as nulls from feat" for c in _FEATURES))
+_FEATURES = "gap_count open high low close volume quote_volume trade_count buy_volume buy_count sell_volume best_bid best_ask spread_mean ofi_l1 ofi".split()
+register("m01_feature_cols", "name:s rows:i nulls:i", lambda d: ml.feature_profile(d.feat.withColumn("adf_pvalue_60", F.lit(1))), " union all ".join(f"select '{c}' as name, count(*) as rows, count(*) - count({_AS_STORED.get(c, c)}) as nulls from feat" for c in _FEATURES))
 register("m02_build_features", K + "ofi_l1_sg:d hurst_20:d hurst_60:d ou_halflife:e kyle_lambda:d ofi_x_spread:d microprice_x_hawkes:d microprice_mid_delta:d cancel_bias:d regime:s", _built)
 
 
@@ -258,17 +269,11 @@ def _labels_back(d: Data) -> DataFrame:
 
 register("m03_write_labels", K + "date:D label_revert_1:s", _labels_back, f"select *, ts::date as date from ({RAW['w10_reversion_labels']})")
 register("m04_cluster_regimes", K + "regime:s cluster:i", _clustered)
+register("m04_cluster_stats", "regime:s n_samples:i n_clusters:i noise_pct:d", lambda d: ml.cluster_stats(_clustered(d)))
 register("m06_with_weights", K + "label:i weight:d", lambda d: ml.with_weights(_delta(d).withColumn("l", F.when(F.col("volume") > 100, "TREND").when(F.col("volume") > 50, "REVERT")), "l"), "select exchange, symbol, ts, case when volume > 100 then 2 when volume > 50 then 0 else 1 end as label, case when volume > 50 then 2 else 1 end as weight from feat")
-register("m07_train_slots", "regime:s cluster:i model_id:s cv_score:d n:i", lambda d: _models(d)[2])
-register("m08_importances", "regime:s cluster:i feature:s importance:d", lambda d: _models(d)[2].select("regime", "cluster", F.explode("importances").alias("feature", "importance")))
-
-
-def _scored(d: Data) -> DataFrame:
-    f, models, _ = _models(d)
-    return ml.score(f, models, COLS)
-
-
-register("m09_score", K + "label:s confidence:d", _scored)
+register("m07_train_slots", "regime:s cluster:i model_id:s cv_score:d n:i", _registry)
+register("m08_importances", "regime:s cluster:i feature:s importance:d", lambda d: ml.importances(_registry(d)))
+register("m09_score", K + "label:s confidence:d model_id:s model_cluster:i deviation:d", lambda d: ml.score(_clustered(d), _registry(d)))
 register("m10_score_spread", "exchange:s ts:t label:s reason:s confidence:d", lambda d: ml.score_spread(rolling.adf_pvalue(_fixed(d))))
 def _contract() -> dict:
     return {"bars": {"open": ("double", F.col("open") > 0), "close": ("double", F.col("close") < 200), "twap": ("double", None)}, "ticks": {"seq": ("bigint", None), "side": ("int", None), "size": ("double", F.col("size") >= 0)}}
