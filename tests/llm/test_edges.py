@@ -288,7 +288,7 @@ def test_later_batches_are_dropped_by_the_index(spark, no_docs):
     later = {r["doc_id"]: r for r in index.ingest(spark.createDataFrame([(500, texts[0].upper(), "", "", 0), (501, "new", "", "", 0)], DOCS), "later").collect()}
     assert (later[500]["kept"], later[500]["keep_id"], later[501]["kept"]) == (False, last[texts[0]], True)
     again = {r["doc_id"]: r for r in index.ingest(spark.createDataFrame([(500, texts[0].upper(), "", "", 0), (501, "new", "", "", 0)], DOCS), "later").collect()}
-    assert later == again and index.table().count() == 38 and DigestIndex(spark, index.name).buckets == 3
+    assert later == again and index.table().count() == 38 and DigestIndex(spark, index.path).buckets == 3
     assert exact_duplicates(no_docs).count() == 0
     nulls = exact_duplicates(spark.createDataFrame([(None, "x", "", "", 0), (3, "x", "", "", 0), (None, "y", "", "", 0), (None, "y", "", "", 0), (None, None, "", "", 0)], DOCS)).collect()
     assert sorted((str(r["doc_id"]), str(r["keep_id"]), r["kept"], r["group_size"]) for r in nulls) == [("3", "3", True, 2), ("None", "3", False, 2), ("None", "None", True, 1), ("None", "None", True, 2), ("None", "None", True, 2)]

@@ -332,7 +332,7 @@ def test_digest_index(spark, odd_docs, no_docs):
     index.ingest(as_docs(spark, ["x", "y"]), "1")
     second = {r["doc_id"]: r for r in index.ingest(spark.createDataFrame([(7, "Y", "", "", 0), (8, "z", "", "", 0), (9, "Z", "", "", 0)], DOCS), "2").collect()}
     assert (second[7]["keep_id"], second[7]["kept"]) == (1, False) and (second[8]["keep_id"], second[8]["kept"], second[9]["kept"]) == (9, False, True)
-    assert DigestIndex(spark, index.name).table().count() == 3
+    assert DigestIndex(spark, index.path).table().count() == 3
     assert index.ingest(no_docs, "3").count() == 0 and index.table().count() == 3
     odd = exact_duplicates(odd_docs).collect()
     assert len(odd) == 12 and sum(r["kept"] for r in odd if r["doc_id"] in (7, 9)) == 1 and [r["kept"] for r in odd if r["doc_id"] is None] == [True]

@@ -53,13 +53,31 @@ MAPPINGS = [
 ]
 
 
-def field_paths(value, at: str = "") -> set[str]:
-    """Paths of the leaves; a null or an empty object is a leaf, an empty array ends in ``[]``."""
-    if isinstance(value, dict) and value:
-        return set().union(*(field_paths(v, f"{at}.{k}" if at else k) for k, v in value.items()))
-    if isinstance(value, list):
-        return set().union(*(field_paths(v, f"{at}[]") for v in value)) if value else {f"{at}[]"}
-    return {at}
+#: A record nested deeper than this is no chat; its paths are not looked at.
+DEEPEST = 64
+#: Halves of surrogate pairs that JSON escapes can leave alone; no UTF-8 has them.
+LONE = re.compile("[\ud800-\udfff]")
+
+
+def escaped_key(name: str) -> str:
+    """A key in a path: its own dots, brackets and backslashes are escaped, so that it is never taken for a step or an array."""
+    return re.sub(r"([\\.\[\]])", r"\\\1", name)
+
+
+def field_paths(record) -> set[str] | None:
+    """The paths of a record's leaves; array items are ``[]``, an empty object or array is its own path. None if it is nested deeper than ``DEEPEST``."""
+    out, queue = set(), [(record, "", 0)]
+    while queue:
+        value, at, depth = queue.pop()
+        if depth > DEEPEST:
+            return None
+        if isinstance(value, dict) and value:
+            queue += [(v, f"{at}.{escaped_key(k)}" if at else escaped_key(k), depth + 1) for k, v in value.items()]
+        elif isinstance(value, list) and value:
+            queue += [(v, f"{at}[]", depth + 1) for v in value]
+        else:
+            out.add(f"{at}[]" if isinstance(value, list) else at)
+    return out
 
 
 def fingerprint(paths) -> str:
@@ -87,8 +105,11 @@ def dig(value, path: str):
     return value
 
 
-def canonical_turns(record: dict, mapping: Mapping) -> list[tuple[str, str]]:
+def canonical_turns(record: dict, mapping: Mapping) -> list[tuple[str, str]] | None:
+    """The record's turns; None if its array of turns holds anything but messages."""
     if mapping.turns:
+        if not all(isinstance(m, dict) for m in dig(record, mapping.turns)):
+            return None
         return [(mapping.roles.get(r := as_text(m.get(mapping.role)), r), as_text(m.get(mapping.text))) for m in dig(record, mapping.turns)]
     turns: list[tuple[str, str]] = []
     for role, path in mapping.fields:
@@ -138,19 +159,25 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
     return turns
 
 
+def parsed(raw: str | None):
+    """The value of a JSON text; None if it is none or nested too deep to be read. Lone surrogates become U+FFFD."""
+    try:
+        value = json.loads(raw)
+    except (TypeError, ValueError, RecursionError):
+        return None
+    return json.loads(LONE.sub("\ufffd", json.dumps(value, ensure_ascii=False))) if "\\u" in raw and LONE.search(json.dumps(value, ensure_ascii=False)) else value
+
+
 def format_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     known: dict[str, Mapping | None] = {}
     for batch in batches:
         out = []
         for key, raw in zip(batch["conv_id"], batch["record"], strict=True):
-            try:
-                record = json.loads(raw)
-            except (TypeError, ValueError):
-                record = None
-            if not isinstance(record, dict):
+            record = parsed(raw)
+            paths = field_paths(record) if isinstance(record, dict) else None
+            if paths is None:
                 out.append((key, None, None, None))
                 continue
-            paths = field_paths(record)
             mark = fingerprint(paths)
             if mark not in known:
                 if len(known) >= REMEMBERED:
@@ -168,8 +195,8 @@ def format_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def format_records(records: DataFrame) -> DataFrame:
     """(conv_id, record as JSON) -> conv_id, fingerprint, formatted, loss_mask.
 
-    A record of no known layout, or that is no JSON object, keeps its fingerprint (null if not an object) and has a null ``formatted``: nothing is
-    guessed. Null and absent texts are empty; an empty array of turns is an empty conversation. Repeated records are repeated.
+    A record of no known layout, or whose array of turns holds anything but messages, keeps its fingerprint and has a null ``formatted``; one that is no JSON object, or is nested deeper than ``DEEPEST``,
+    has a null fingerprint too: nothing is guessed. Lone surrogates, which no UTF-8 has, are read as U+FFFD. Null and absent texts are empty; an empty array of turns is an empty conversation. Repeated records are repeated.
     """
     return records.select(F.col("conv_id").cast("long").alias("conv_id"), "record").mapInPandas(format_rows, "conv_id long, fingerprint string, formatted string, loss_mask array<struct<start:int,length:int>>")
 

@@ -1,18 +1,19 @@
 """Exact deduplication against a persistent digest index, bucketed and sorted by digest.
 
-The index is a warehouse table with one row for each digest ever kept. A batch is reduced to one row per
-digest, sort-merge anti-joined with the index (whose side needs no shuffle: it is bucketed by the join key), and what is new is
+The index is a folder with one row for each digest ever kept, which any later session opens again by its path. A batch is reduced to one row per
+digest, sort-merge anti-joined with the index (whose side needs no shuffle where the session's shuffle partitions equal its buckets: it is bucketed by the join key), and what is new is
 appended in the same buckets. What stays is then read from the index. DataFrame functions only.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import discard, join_hot, lower_ascii, written
+from tidemark.llm.common import discard, join_hot, lower_ascii, scratch_root, written
 
 BATCHES = 3
 
@@ -24,30 +25,37 @@ def digested(docs: DataFrame) -> DataFrame:
 
 
 class DigestIndex:
-    """Digests seen so far: ``digest`` (SHA-256, hex), ``keep_id`` (doc_id that stays), ``batch`` (that brought it).
+    """Digests seen so far: ``digest`` (SHA-256, hex), ``keep_id`` (doc_id that stays), ``batch`` (that brought it), under ``path`` (without one, in a new folder among the shared ones).
 
     A new index gets as many buckets as the session has shuffle partitions, unless ``buckets`` says otherwise: an index that is to
-    hold much more than its first batch should be given more.
+    hold much more than its first batch should be given more. The number is kept beside the rows, and an index that exists keeps its own.
     """
 
-    def __init__(self, spark: SparkSession, name: str | None = None, buckets: int | None = None) -> None:
-        self.spark, self.name = spark, name or f"digest_index_{uuid.uuid4().hex}"
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        if spark.catalog.tableExists(self.name):
-            known = spark.sql(f"describe extended {self.name}").where("col_name = 'Num Buckets'").first()
-            self.buckets = int(known["data_type"]) if known else self.buckets
-        else:
-            self._append(spark.createDataFrame([], "digest string, keep_id long, batch string"), "overwrite")
-
-    def _append(self, rows: DataFrame, mode: str = "append") -> None:
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None) -> None:
+        self.spark, self.path = spark, (path or f"{scratch_root(spark)}/digest-index-{uuid.uuid4().hex}").rstrip("/")
+        self.name = f"digest_index_{hashlib.md5(self.path.encode()).hexdigest()}"
+        kept = f"{self.path}/_buckets"
+        where = spark._jvm.org.apache.hadoop.fs.Path(kept)
+        if not where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where):
+            n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+            spark.range(1).select(F.lit(n).alias("buckets")).coalesce(1).write.parquet(kept)
+        self.buckets = spark.read.parquet(kept).first()["buckets"]
+        location = self.path.replace("'", "\\'")
+        spark.sql(f"create table if not exists {self.name} (digest string, keep_id bigint, batch string) using parquet clustered by (digest) sorted by (digest) into {self.buckets} buckets location '{location}'")
+        spark.catalog.refreshTable(self.name)
+
+    def _append(self, rows: DataFrame) -> None:
         """Dealt by bucket first, so that a batch adds one file to each."""
-        rows.repartition(self.buckets, "digest").write.mode(mode).format("parquet").bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.name)
+        rows.repartition(self.buckets, "digest").write.mode("append").format("parquet").bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.name)
 
     def table(self) -> DataFrame:
         return self.spark.table(self.name)
 
     def drop(self) -> None:
+        """Forget the table and delete its folder."""
         self.spark.sql(f"drop table if exists {self.name}")
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        where.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
     def add(self, groups: DataFrame, batch: str) -> None:
         """Append the rows of ``groups`` (digest, last_id) whose digest the index lacks. Adding a batch again appends nothing."""

@@ -98,6 +98,12 @@ def _numbers(column: pa.Array) -> np.ndarray:
     return column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def _floors(column: pa.Array) -> np.ndarray:
+    """Scores to reach; a query without k hits yet takes any. A score cut to the lowest long may be lower still."""
+    floor = np.where(column.is_valid().to_numpy(zero_copy_only=False), _numbers(column).astype(np.float64), -np.inf)
+    return np.where(floor <= -float(1 << 63), -np.inf, floor)
+
+
 HITS = "query_uid long, query_id long, uid long, vec_id long, score long"
 _HITS = pa.schema([("query_uid", pa.int64()), ("query_id", pa.int64()), ("uid", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
@@ -139,7 +145,7 @@ def _search(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
                 ids = held.column("vec_id").combine_chunks()
                 last, block = held, Block(_numbers(held.column("uid").combine_chunks()), _numbers(ids), np.asarray(ids.is_valid()), _matrix(held.column("x").combine_chunks()))
             uid, query_id = _numbers(q.column("uid")), _numbers(q.column("vec_id"))
-            floor = q.column("floor").fill_null(-(1 << 63)).to_numpy(zero_copy_only=False).astype(np.float64)
+            floor = _floors(q.column("floor"))
             found, _ = block.best(uid, _matrix(q.column("x")), floor, k)
             n = [len(p) for p, _ in found]
             at = np.concatenate([p for p, _ in found]) if found else np.zeros(0, np.int64)
@@ -190,7 +196,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             low, high = (_matrix(held.column(c).combine_chunks()) for c in ("low", "high"))
             norm = held.column("norm").combine_chunks().to_numpy(zero_copy_only=False)
         x, own = _matrix(q.column("x")), _numbers(q.column("block"))
-        floor = q.column("floor").fill_null(-(1 << 63)).to_numpy(zero_copy_only=False).astype(np.float64)
+        floor = _floors(q.column("floor"))
         slack = SLACK * np.outer(np.sqrt((x * x).sum(axis=1)), norm) + 1e-6
         alive = own[:, None] != blocks[None, :]
         at = 0
@@ -234,7 +240,7 @@ def top_products(vectors: DataFrame, asks: Column, k: int = 5) -> DataFrame:
 
     Ties go to the smaller vec_id, a null vec_id last. A row is a candidate unless it is the query's own row: repeated rows find each other, and a query that stands twice is answered
     twice. Vectors that are null or have a null or non-finite component (or one whose 256-fold is not finite) take no part; vectors meet those of their own length (empty ones score 0). Fewer than k
-    candidates: all. Scores beyond a long are cut to its range. An empty table gives an empty result; other columns are ignored.
+    candidates: all. Scores beyond a long are cut to its range before they are ranked. An empty table gives an empty result; other columns are ignored.
     """
     place = F.xxhash64("_metadata.file_name", "_metadata.row_index")
     plain = written(whole_vectors(vectors))
