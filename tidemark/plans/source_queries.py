@@ -14,6 +14,7 @@ from tidemark.plans.bar_queries import at
 from tidemark.plans.more_queries import _DELTA, _delta, _fixed, _pair
 from tidemark.plans.registry import RAW, Data, register
 from tidemark.sources import io, normalize
+from tidemark.streaming import stateful
 from tidemark.streaming import ticks as stream
 
 K = "exchange:s symbol:s ts:t "
@@ -178,6 +179,17 @@ def _runs_back(d: Data) -> DataFrame:
 register("s24_write_run", "strategy:s exchange:s symbol:s n_trades:i month:s", _runs_back, "select strategy, exchange, symbol, count(*) as n_trades, '2024-01' as month from paired group by all")
 
 
+#: What several queries read, by application and data folder: written once, then read.
+_ONCE: dict[tuple, DataFrame] = {}
+
+
+def _once(d: Data, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    key = (d.spark.sparkContext.applicationId, d.sf_dir, name)
+    if key not in _ONCE:
+        _ONCE[key] = build()
+    return _ONCE[key]
+
+
 STREAM_FILES = 4
 
 
@@ -210,7 +222,74 @@ register("t03_stream_book", "exchange:s symbol:s seq:i bid:d bid_size:d ask:d as
 register("t04_stream_dedupe", "exchange:s symbol:s seq:i", lambda d: stream.run_available(stream.stream_dedupe(_stream_ticks(d, repeated=1))), "select exchange, symbol, seq from ticks")
 register("t05_barrier", "exchange:s ts:t arrived:i is_complete:b", lambda d: stream.barrier(d.bars1.where("close is not null"), ["S0", "S1"], at("2024-01-20"), 3600)[0], "select exchange, ts, count(*) as arrived, count(*) = 2 as is_complete from bars1 where close is not null group by all having count(*) = 2 or ts + interval '1 hour' <= timestamp '2024-01-20'")
 register("t05_barrier_gaps", "exchange:s ts:t symbol:s gap_cause:s", lambda d: stream.barrier(d.bars1.where("close is not null"), ["S0", "S1"], at("2024-01-20"), 3600)[1], "select exchange, ts, case when max(symbol) = 'S0' then 'S1' else 'S0' end as symbol, 'barrier_timeout' as gap_cause from bars1 where close is not null and ts + interval '1 hour' <= timestamp '2024-01-20' group by all having count(*) = 1")
-register("t06_cut_partial", K + "acc_epoch:i open:d close:d volume:d is_partial:b", lambda d: stream.cut_partial(d.ticks, d.trades, "4h"), "select exchange, symbol, bar as ts, acc_epoch, open, close, volume, acc_epoch < max(acc_epoch) over (partition by exchange, symbol, bar) as is_partial from (select exchange, symbol, time_bucket(interval '4 hours', ts) as bar, acc_epoch, arg_min(price, seq) as open, arg_max(price, seq) as close, sum(size) as volume from epochs where event_type = 'trade' and size > 0 group by all)")
+_CUT = """select x.*, coalesce(time_bucket(interval '4 hours', s.cut) = ts, false) as is_partial, s.cut from (select exchange, symbol, time_bucket(interval '4 hours', ts) as ts, acc_epoch, arg_min(price, seq) as open, arg_max(price, seq) as close, sum(size) as volume
+    from epochs where event_type = 'trade' and size > 0 and {0} group by all) x left join (select exchange, symbol, acc_epoch - 1 as acc_epoch, min(ts) as cut from epochs where snap and {0} group by all) s using (exchange, symbol, acc_epoch)"""
+register("t06_cut_partial", K + "acc_epoch:i open:d close:d volume:d is_partial:b", lambda d: stream.cut_partial(d.ticks, d.trades, "4h"), _CUT.format("true"))
+
+#: Seconds that streams of ticks and of bars wait for late rows here.
+_DELAY, _TIMEOUT = 7200, 100_000
+
+
+def _files(d: Data, df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a stream of files, one a trigger, in the order of its column ``file``; rows of a file in no order."""
+    raw, path = d.stored(df, name), io.scratch(d.spark, f"{name}-in")
+    for k in sorted(r["file"] for r in raw.select("file").distinct().collect()):  # a handful of files
+        raw.where(F.col("file") == k).drop("file").orderBy(F.xxhash64(*KEY, "ts")).coalesce(1).write.mode("append").parquet(path)
+    return d.spark.readStream.schema(raw.drop("file").schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _stateful(d: Data, df: DataFrame) -> DataFrame:
+    with stateful.with_state_store(d.spark):
+        return stream.run_available(df)
+
+
+def _disordered(d: Data) -> DataFrame:
+    """Ticks in four files by time; each hour's last ten minutes come a file later than the others of their time, if by less than the delay."""
+    span = d.ticks.agg(F.min(F.unix_seconds("ts")).alias("a"), F.max(F.unix_seconds("ts")).alias("b"))
+    t = d.ticks.join(F.broadcast(span))  # one row
+    third = F.floor((F.unix_seconds("ts") - F.col("a")) * 3 / (F.col("b") - F.col("a") + 1)).cast("int")
+    near = third != F.floor((F.unix_seconds("ts") + _DELAY // 2 - F.col("a")) * 3 / (F.col("b") - F.col("a") + 1)).cast("int")  # shortly before a file's end
+    return _files(d, t.withColumn("file", third + (near & (F.minute("ts") >= 50)).cast("int")).drop("a", "b"), "disordered")
+
+
+register("t06_stream_cut", K + "acc_epoch:i open:d close:d volume:d is_partial:b", lambda d: _stateful(d, stateful.stream_cut(_disordered(d), "4h", f"{_DELAY} seconds")),
+    f"with m as (select max(ts) - interval '{_DELAY} seconds' as mark from ticks where snap or (event_type = 'trade' and size > 0)) select x.* from ({_CUT.format('ts <= (select mark from m)')}) x, m where ts + interval '4 hours' <= mark or cut <= mark")
+
+
+def _late_bars(d: Data) -> DataFrame:
+    """Hourly bars of two symbols in four files by time, each row in an older version first; some of S1 come with the last file, most of them too late."""
+    b = d.bars1.where("close is not null and symbol in ('S0', 'S1')").select(*KEY, "ts", "close")
+    span = b.agg(F.min(F.unix_seconds("ts")).alias("a"), F.max(F.unix_seconds("ts")).alias("b"))
+    held = (F.col("symbol") == "S1") & (F.floor(F.unix_seconds("ts") / 3600) % 50 == 7)
+    part = F.floor((F.unix_seconds("ts") - F.col("a")) * 3 / (F.col("b") - F.col("a") + 1)).cast("int")
+    t = b.join(F.broadcast(span)).withColumn("file", F.when(held, 3).otherwise(part)).drop("a", "b")  # one row
+    return _files(d, t.withColumn("version", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn("close", F.col("close") * F.col("version")), "late-bars")
+
+
+#: A trigger drops what is behind the watermark that the trigger before it ran with, so for the last of four files that of the first two.
+_ARRIVED = f"""(with b as (select exchange, symbol, ts, close, epoch(ts)::bigint as s, symbol = 'S1' and (epoch(ts)::bigint // 3600) % 50 = 7 as held from bars1 where close is not null and symbol in ('S0', 'S1')),
+    r as (select min(s) as a, max(s) as z from b), m as (select max(ts) filter (where not held and (s - a) * 3 // (z - a + 1) <= 1) - interval '{_TIMEOUT} seconds' as before, max(ts) - interval '{_TIMEOUT} seconds' as mark from b, r)
+    select exchange, ts, count(*) as n, max(symbol) as who, sum(2 * close) as total, any_value(mark) as mark from b, m where not held or ts > before group by all)"""
+
+
+def _barred(d: Data) -> DataFrame:
+    return _once(d, "barrier", lambda: _stateful(d, stateful.stream_barrier(_late_bars(d), ["S0", "S1"], _TIMEOUT)))
+
+
+_TOTAL = F.aggregate(F.map_values(F.from_json("closes", "map<string,double>")), F.lit(0.0), lambda a, v: a + v)
+register("t05_stream_barrier", "exchange:s ts:t arrived:i is_complete:b total:d", lambda d: _barred(d).where("gap_cause is null").withColumn("total", _TOTAL), f"select exchange, ts, n as arrived, n = 2 as is_complete, total from {_ARRIVED} where n = 2 or ts <= mark")
+register("t05_stream_gaps", "exchange:s ts:t symbol:s gap_cause:s", lambda d: _barred(d).where("gap_cause is not null"), f"select exchange, ts, case who when 'S0' then 'S1' else 'S0' end as symbol, 'barrier_timeout' as gap_cause from {_ARRIVED} where n = 1 and ts <= mark")
+
+
+def _dropped(d: Data) -> DataFrame:
+    """Every fiftieth tick comes after all others, with a trigger between."""
+    rest = F.col("seq") % 50
+    rows = _files(d, d.ticks.withColumn("file", F.when(rest == 3, 2).when(rest == 4, 1).otherwise(0)), "held-back")
+    _, dropped = stateful.counted(stream.stream_dedupe(rows), lambda df, progress: stream.run_available(df, progress=progress))
+    return dropped.groupBy("operator").agg(F.sum("dropped").alias("dropped"))
+
+
+register("t04_dropped_rows", "operator:s dropped:i", _dropped, "select 'dedupeWithinWatermark' as operator, count(*) filter (where seq % 50 = 3 and ts <= (select max(ts) - interval '1 second' from ticks where seq % 50 not in (3, 4))) as dropped from ticks")
 register("t07_drop_stale", "exchange:s ts:t mid_a:d", lambda d: stream.drop_stale(_pair(d), at("2024-01-30"), 864000), "select exchange, a.ts, a.mid_a from (select a.exchange, a.ts, a.close as mid_a, b.close as mid_b, b.ts as bts from (select * from bars1 where symbol = 'S0' and close is not null) a asof join (select * from bars1 where symbol = 'S1' and close is not null) b on a.exchange = b.exchange and a.ts >= b.ts) a where epoch(a.ts) - epoch(bts) <= 7200 and epoch(timestamp '2024-01-30') - epoch(a.ts) <= 864000")
 
 
@@ -226,17 +305,6 @@ def _features(d: Data) -> DataFrame:
     return rolling.reversion_labels(d.stored(_built(d), "built"), [1], 20.0)
 
 
-#: What several queries read, by application and data folder: written once, then read.
-_ONCE: dict[tuple, DataFrame] = {}
-
-
-def _once(d: Data, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    key = (d.spark.sparkContext.applicationId, d.sf_dir, name)
-    if key not in _ONCE:
-        _ONCE[key] = build()
-    return _ONCE[key]
-
-
 def _clustered(d: Data) -> DataFrame:
     def build() -> DataFrame:
         raw = d.stored(_features(d), "features")

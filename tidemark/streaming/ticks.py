@@ -7,11 +7,11 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tidemark.core import KEY, over_days, seconds
+from tidemark.core import KEY, bucket, over_days, seconds
 from tidemark.sources.io import scratch
 
 
@@ -100,15 +100,13 @@ def stream_book(ticks: DataFrame) -> DataFrame:
 
 
 def cut_partial(ticks: DataFrame, trades: DataFrame, tf: str) -> DataFrame:
-    """A snapshot cuts the bar: its part before and after are rows of their own (``acc_epoch``)."""
+    """A snapshot cuts the bar: its part before and after are rows of their own (``acc_epoch``), the part before is partial."""
     snaps = ticks.where("msg_type = 'snapshot'").select(*KEY, "ts", "seq", F.lit(1).alias("snap"))
     both = trades.withColumn("snap", F.lit(0)).unionByName(snaps, allowMissingColumns=True)
-    cut = over_days(both, sums={"acc_epoch": F.col("snap")}).where("snap = 0")
-    w = seconds(tf)
-    slot = F.timestamp_seconds(F.unix_seconds("ts") - F.pmod(F.unix_seconds("ts"), F.lit(w)))
-    out = cut.withColumn("bar", slot).groupBy(*KEY, "bar", "acc_epoch").agg(*_bar_aggs())
-    last = Window.partitionBy(*KEY, "bar")
-    return out.select(*KEY, F.col("bar").alias("ts"), "acc_epoch", "open", "high", "low", "close", "volume", "trade_count", (F.col("acc_epoch") < F.max("acc_epoch").over(last)).alias("is_partial"))
+    cut = over_days(both, sums={"acc_epoch": F.col("snap")}).withColumn("bar", bucket(F.col("ts"), tf))
+    ends = cut.where("snap = 1").select(*KEY, (F.col("acc_epoch") - 1).alias("acc_epoch"), F.col("bar").alias("cut_in"))
+    out = cut.where("snap = 0").groupBy(*KEY, "bar", "acc_epoch").agg(*_bar_aggs()).join(ends, [*KEY, "acc_epoch"], "left")
+    return out.select(*KEY, F.col("bar").alias("ts"), "acc_epoch", "open", "high", "low", "close", "volume", "buy_volume", "trade_count", F.coalesce(F.col("cut_in") == F.col("bar"), F.lit(False)).alias("is_partial"))
 
 
 def barrier(bars: DataFrame, symbols: list[str], as_of: Column, timeout: int) -> tuple[DataFrame, DataFrame]:
@@ -126,8 +124,8 @@ def drop_stale(pairs: DataFrame, as_of: Column, most: float = 5.0) -> DataFrame:
     return pairs.where(F.unix_micros(as_of) - F.unix_micros("ts") <= int(most * 1e6))
 
 
-def run_available(df: DataFrame, mode: str = "append") -> DataFrame:
-    """Run a streaming DataFrame over what its source has now and return what it wrote. In update mode the last version of a (key, ts) is not singled out."""
+def run_available(df: DataFrame, mode: str = "append", progress: list | None = None) -> DataFrame:
+    """Run a streaming DataFrame over what its source has now and return what it wrote; ``progress`` gets the query's reports. In update mode the last version of a (key, ts) is not singled out."""
     spark: SparkSession = df.sparkSession
     path, checkpoint = scratch(spark, "stream-out"), scratch(spark, "stream-state")
     if mode == "append":
@@ -138,6 +136,8 @@ def run_available(df: DataFrame, mode: str = "append") -> DataFrame:
 
         q = df.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
     q.awaitTermination()
+    if progress is not None:
+        progress += q.recentProgress
     shape = df.schema if mode == "append" else df.withColumn("batch", F.lit(0)).schema
     return spark.read.schema(shape).parquet(path)
 
