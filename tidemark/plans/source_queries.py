@@ -256,6 +256,11 @@ register("t06_stream_cut", K + "acc_epoch:i open:d close:d volume:d is_partial:b
     f"with m as (select max(ts) - interval '{_DELAY} seconds' as mark from ticks where snap or (event_type = 'trade' and size > 0)) select x.* from ({_CUT.format('ts <= (select mark from m)')}) x, m where ts + interval '4 hours' <= mark or cut <= mark")
 
 
+_LIVE = f"""with m as (select max(ts) - interval '{_DELAY} seconds' as mark from ticks), w as (select exchange, symbol, seq, ts, coalesce(last_value(case when snap then 0 when gap and gap_cause = 'internal_merge_error' then 1 end ignore nulls) over (partition by exchange, symbol order by ts, seq), 1) = 0 as live from ticks)
+    select w.exchange, w.symbol, w.seq, live, case when live then bid end as bid, case when live then bid_size end as bid_size, case when live then ask end as ask, case when live then ask_size end as ask_size from w join quotes q using (exchange, symbol, seq), m where w.ts <= mark"""
+register("t03_live_book", "exchange:s symbol:s seq:i bid:d bid_size:d ask:d ask_size:d live:b", lambda d: _stateful(d, stateful.stream_live_book(_disordered(d), f"{_DELAY} seconds")), _LIVE)
+
+
 def _late_bars(d: Data) -> DataFrame:
     """Hourly bars of two symbols in four files by time, each row in an older version first; some of S1 come with the last file, most of them too late."""
     b = d.bars1.where("close is not null and symbol in ('S0', 'S1')").select(*KEY, "ts", "close")

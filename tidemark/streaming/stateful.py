@@ -1,4 +1,4 @@
-"""Streams with keyed state and event-time timers: the barrier, bars cut by snapshots, and dropped rows as a table.
+"""Streams with keyed state and event-time timers: the barrier, live books, bars cut by snapshots, and dropped rows as a table.
 
 State lives in the RocksDB store (``with_state_store``), entry by entry; a processor reads and writes what a trigger touches.
 """
@@ -6,6 +6,7 @@ State lives in the RocksDB store (``with_state_store``), entry by entry; a proce
 from __future__ import annotations
 
 import json
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.core import KEY, MONDAY, seconds
+from tidemark.streaming.ticks import LiveBook
 
 _STORE, _ROCKS = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -97,44 +99,131 @@ def stream_barrier(bars: DataFrame, symbols: list[str], timeout: int) -> DataFra
     return out.select("exchange", F.timestamp_seconds("bucket").alias("ts"), "symbol", "arrived", "is_complete", "gap_cause", "closes")
 
 
-# ---- T06 -------------------------------------------------------------------------------------------
-CUT_OUT = "exchange string, symbol string, bar long, acc_epoch long, open double, high double, low double, close double, volume double, buy_volume double, trade_count long, is_partial boolean"
-_CUT = [c.split()[0] for c in CUT_OUT.split(", ")]
-_HELD = "us long, seq long, snap boolean, price double, size double, buy boolean"
-_BAR = "bar long, open double, high double, low double, close double, volume double, buy_volume double, trade_count long"
-
-
-class CutBars(StatefulProcessor):
-    """One key: rows wait until the watermark has passed them, then go on in the order of (ts, seq); the open bar is state."""
+# ---- rows in order ---------------------------------------------------------------------------------
+class InOrder(StatefulProcessor):
+    """One key: rows (us, seq, ...) wait as list state until the watermark has passed them, then go on in the order of (us, seq). ``HELD`` is their schema, ``OUT`` the output's."""
 
-    def __init__(self, width: int, start: int) -> None:
-        self.width, self.start = width, start
+    HELD, OUT = "", ""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getListState("held", _HELD)
-        self.bar = handle.getValueState("bar", _BAR)
-        self.epoch = handle.getValueState("epoch", "epoch long")
+        self.held = handle.getListState("held", self.HELD)
+        self.wanted = {name: {"long": int, "int": int, "double": float, "boolean": bool, "string": str}[kind] for name, kind in (c.split() for c in self.HELD.split(", "))}
+        self.columns = [c.split()[0] for c in self.OUT.split(", ")]
+
+    def advance(self, key: tuple, rows: list[tuple], mark: int) -> tuple[list[tuple], list[int]]:
+        """Take ``rows``; all up to ``mark`` (microseconds) have come. Returns output rows and times (milliseconds) at which to be asked again."""
+        raise NotImplementedError
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        fresh = [tuple(r) for batch in rows for r in batch[["us", "seq", "snap", "price", "size", "buy"]].astype(object).where(lambda x: x.notna(), None).itertuples(index=False)]
+        fresh = [tuple(None if pd.isna(v) else kind(v) for v, kind in zip(r, self.wanted.values(), strict=True)) for batch in rows for r in batch[list(self.wanted)].itertuples(index=False)]
         if fresh:
-            self.held.appendList([(int(us), int(seq), bool(snap), None if price is None else float(price), None if size is None else float(size), bool(buy)) for us, seq, snap, price, size, buy in fresh])
+            self.held.appendList(fresh)
         yield from self._released(key, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         yield from self._released(key, timerValues.getCurrentWatermarkInMs())
 
     def _released(self, key: tuple, mark_ms: int) -> Iterator[pd.DataFrame]:
-        mark = mark_ms * 1000
         held = sorted(self.held.get(), key=lambda r: r[:2]) if self.held.exists() else []
+        n = bisect_right(held, mark_ms * 1000, key=lambda r: r[0])
+        out, due = self.advance(key, held[:n], mark_ms * 1000)
+        if n:
+            self.held.put(held[n:]) if n < len(held) else self.held.clear()
+        due += [held[n][0] // 1000 + 1] if n < len(held) else []
+        if due:
+            self.handle.registerTimer(max(min(due), mark_ms + 1))
+        if out:
+            yield pd.DataFrame(out, columns=self.columns)
+
+    def close(self) -> None:
+        pass
+
+
+# ---- T03 -------------------------------------------------------------------------------------------
+class BookState(InOrder):
+    """The live book of a key: an entry of map state for each level, of which a trigger writes those that it changed; updates that wait for a snapshot are list state."""
+
+    HELD = "us long, seq long, kind string, cause string, side int, price double, size double"
+    OUT = "exchange string, symbol string, us long, seq long, bid double, bid_size double, ask double, ask_size double, live boolean"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.levels = handle.getMapState("levels", "side int, price double", "size double")
+        self.cold = handle.getListState("cold", "seq long, side int, price double, size double")
+        self.live = handle.getValueState("live", "live boolean")
+
+    def advance(self, key: tuple, rows: list[tuple], mark: int) -> tuple[list[tuple], list[int]]:
+        if not rows:
+            return [], []
+        stored = {tuple(k): v[0] for k, v in self.levels.iterator()}
+        book = LiveBook([[(p, z) for (s, p), z in stored.items() if s == side] for side in (0, 1)])
+        live = self.live.exists()
+        cold = list(self.cold.get()) if self.cold.exists() else []
+        waiting, out = len(cold), []
+        for us, seq, kind, cause, side, price, size in rows:
+            if kind == "snapshot":
+                book = LiveBook()
+                for s, *level in [] if live else cold:
+                    if s > seq:
+                        book.set(*level)
+                live, cold = True, []
+            elif kind == "gap":
+                book, cold = LiveBook(), []
+                live = live and cause != "internal_merge_error"
+            elif kind == "update" and side is not None and price is not None and size is not None:
+                if live:
+                    book.set(side, price, size)
+                else:
+                    cold.append((seq, side, price, size))
+            out.append((*key, us, seq, *book.best(), live))
+        now = {(side, p): z for side in (0, 1) for p, z in book.levels[side].items()}
+        for k in stored.keys() - now.keys():
+            self.levels.removeKey(k)
+        for k, z in now.items():
+            if stored.get(k) != z:
+                self.levels.updateValue(k, (z,))
+        self.live.update((True,)) if live else self.live.clear()
+        if cold:
+            self.cold.put(cold)
+        elif waiting:
+            self.cold.clear()
+        return out, []
+
+
+def stream_live_book(ticks: DataFrame, delay: str = "10 seconds") -> DataFrame:
+    """T03 with all of a book's rules: best quotes after every tick, in order even if files are late by up to ``delay``.
+
+    Until a key's first snapshot, and after an ``internal_merge_error`` until the next one, its book is not ``live``: quotes are null and updates wait; the snapshot replays those above its sequence. Other
+    gaps and further snapshots empty the book. Updates without side, price or size change nothing. Later rows are dropped and counted by Spark.
+    """
+    kind = F.when(F.col("msg_type").isin("snapshot", "gap"), F.col("msg_type")).otherwise(F.col("event_type"))
+    side = F.when(F.col("side") == "buy", 0).when(F.col("side") == "sell", 1)
+    rows = ticks.withWatermark("ts", delay).select(*KEY, "ts", F.unix_micros("ts").alias("us"), "seq", kind.alias("kind"), F.col("gap_cause").alias("cause"), side.alias("side"), F.col("price").cast("double").alias("price"), F.col("size").cast("double").alias("size"))
+    out = rows.groupBy(*KEY).transformWithStateInPandas(BookState(), BookState.OUT, "append", "eventTime")
+    return out.withColumn("us", F.timestamp_micros("us")).withColumnRenamed("us", "ts")
+
+
+# ---- T06 -------------------------------------------------------------------------------------------
+class CutBars(InOrder):
+    """The open bar of a key is state."""
+
+    HELD = "us long, seq long, snap boolean, price double, size double, buy boolean"
+    OUT = "exchange string, symbol string, bar long, acc_epoch long, open double, high double, low double, close double, volume double, buy_volume double, trade_count long, is_partial boolean"
+
+    def __init__(self, width: int, start: int) -> None:
+        self.width, self.start = width, start
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.bar = handle.getValueState("bar", "bar long, open double, high double, low double, close double, volume double, buy_volume double, trade_count long")
+        self.epoch = handle.getValueState("epoch", "epoch long")
+
+    def advance(self, key: tuple, rows: list[tuple], mark: int) -> tuple[list[tuple], list[int]]:
         bar = list(self.bar.get()) if self.bar.exists() else None
         epoch = self.epoch.get()[0] if self.epoch.exists() else 0
-        out, n = [], 0
-        for us, _, snap, price, size, buy in held:
-            if us > mark:
-                break
-            n += 1
+        out = []
+        for us, _, snap, price, size, buy in rows:
             s = us // 1_000_000
             at = s - (s - self.start) % self.width
             if bar and (snap or bar[0] != at):
@@ -149,18 +238,10 @@ class CutBars(StatefulProcessor):
         if bar and (bar[0] + self.width) * 1_000_000 <= mark:
             out.append((*key, bar[0], epoch, *bar[1:], False))
             bar = None
-        if n:
-            self.held.put(held[n:]) if n < len(held) else self.held.clear()
+        if rows:
             self.epoch.update((epoch,))
         self.bar.update(tuple(bar)) if bar else self.bar.clear()
-        due = ([held[n][0] // 1000 + 1] if n < len(held) else []) + ([(bar[0] + self.width) * 1000] if bar else [])
-        if due:  # when the next row is passed, or the bar ends
-            self.handle.registerTimer(max(min(due), mark_ms + 1))
-        if out:
-            yield pd.DataFrame(out, columns=_CUT)
-
-    def close(self) -> None:
-        pass
+        return out, [(bar[0] + self.width) * 1000] if bar else []
 
 
 def stream_cut(ticks: DataFrame, tf: str, delay: str = "10 seconds") -> DataFrame:
@@ -171,7 +252,7 @@ def stream_cut(ticks: DataFrame, tf: str, delay: str = "10 seconds") -> DataFram
     snap = F.col("msg_type") == "snapshot"
     trade = (F.col("event_type") == "trade") & (F.col("size") > 0)
     rows = ticks.where(snap | trade).withWatermark("ts", delay).select(*KEY, "ts", F.unix_micros("ts").alias("us"), "seq", snap.alias("snap"), F.col("price").cast("double").alias("price"), F.col("size").cast("double").alias("size"), F.coalesce(F.col("side") == "buy", F.lit(False)).alias("buy"))
-    out = rows.groupBy(*KEY).transformWithStateInPandas(CutBars(seconds(tf), MONDAY if tf == "1w" else 0), CUT_OUT, "append", "eventTime")
+    out = rows.groupBy(*KEY).transformWithStateInPandas(CutBars(seconds(tf), MONDAY if tf == "1w" else 0), CutBars.OUT, "append", "eventTime")
     return out.withColumn("bar", F.timestamp_seconds("bar")).withColumnRenamed("bar", "ts")
 
 
