@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm.common import table, written
+from tidemark.llm.common import discard, table, written
 from tidemark.llm.decontam import drop_contaminated
 from tidemark.llm.langid import keep_identified
 from tidemark.llm.mixing import mixed
@@ -48,8 +48,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = written(docs)
-    return docs
+    for _, stage in STAGES[:-1]:
+        kept = written(stage(spark, docs, sf_dir))
+        discard(docs)
+        docs = kept
+    return STAGES[-1][1](spark, docs, sf_dir)

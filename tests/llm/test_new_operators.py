@@ -314,3 +314,53 @@ def test_sql_of_the_new_queries(spark):
         rows = [dict(zip([d[0] for d in want.description], r, strict=True)) for r in want.fetchall()]
         assert sorted((tuple(r[c] for c in cols) for r in got.collect()), key=repr) == sorted((tuple(r[c] for c in cols) for r in rows), key=repr) and rows
     assert json.dumps(sorted(QUERIES))
+
+
+# ---- 5 and 2: memory -----------------------------------------------------------------------------
+def test_long_texts_in_pieces_get_the_same_mixture(monkeypatch):
+    """Texts of several languages, one word longer than a piece; whole and in pieces of some words."""
+    import pyarrow as pa
+
+    from tidemark.llm import langid
+
+    rng = np.random.default_rng(3)
+    words = {lang: ["".join(rng.choice(list(letters), rng.integers(2, 9))) for _ in range(60)] for lang, letters in zip("wxyz", ("abcdef", "efghij", "ijklmn", "mnopqr"), strict=True)}
+    sample = pa.RecordBatch.from_arrays([pa.array([" ".join(w) for w in words.values()]), pa.array(list(words))], ["text", "lang"])
+    counts = {lang: np.full(langid.TABLE, langid.SMOOTH) for lang in words}
+    for b in langid.gram_counts(iter([sample])):
+        for lang, slot, n in zip(*[b.column(c).to_pylist() for c in ("lang", "slot", "n")], strict=True):
+            counts[lang][slot] += n
+    model = langid.Model(list(words), np.stack([np.log(c / c.sum()).astype(np.float32) for c in counts.values()], axis=1))
+    texts = [" ".join(rng.choice(words[lang], 40)) for lang in words] + [" ".join([*rng.choice(words["w"], 50), *rng.choice(words["z"], 70)]), " ".join([*rng.choice(words["w"], 60), *rng.choice(words["x"], 60), *rng.choice(words["y"], 60)]), "abc" * 900 + " " + " ".join(words["y"]), "", None, "12"]
+    holder = type("Sent", (), {"value": model})
+
+    def told():
+        out = [r for b in langid.predict_rows(holder)(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])])) for r in b.to_pylist()]
+        return [(r["lang_pred"], round(r["score"], 3), r["mixture"] and len(r["mixture"].split(";"))) for r in out]
+
+    whole = told()
+    monkeypatch.setattr(langid, "MOST_LIKELIHOODS", 200)
+    assert told() == whole and [w[2] for w in whole[4:6]] == [2, 3]
+    monkeypatch.setattr(langid, "COUNTED", 2)
+    again = {}
+    for b in langid.gram_counts(iter([sample, sample])):
+        for lang, slot, n in zip(*[b.column(c).to_pylist() for c in ("lang", "slot", "n")], strict=True):
+            again[lang, slot] = again.get((lang, slot), 0) + n
+    assert again == {(lang, int(k)): int(2 * (counts[lang][k] - langid.SMOOTH)) for lang in words for k in np.flatnonzero(counts[lang] > langid.SMOOTH)}
+
+
+def test_a_node_with_many_pairs_is_dealt_over_pieces(spark, monkeypatch):
+    """Near copies of one text, with pieces of two pairs: the same classes and links."""
+    from tidemark.llm import near_dup
+
+    rng = random.Random(1)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(60):
+        t = list(base)
+        t[rng.randrange(5)] = f"x{i}"
+        texts.append(" ".join(t))
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts + ["other words entirely in this one here"])], DOCS)
+    want = sorted(map(tuple, near_dup.near_dup_classes(df).collect()))
+    monkeypatch.setattr(near_dup, "PAIRS_A_PIECE", 2)
+    assert sorted(map(tuple, near_dup.near_dup_classes(df).collect())) == want and want[0][2] == 60

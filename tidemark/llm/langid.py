@@ -20,11 +20,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import FALSE, discard, row_struct, sliced, table, text_buffers, written
+from tidemark.llm.common import FALSE, SLICE_BYTES, discard, row_struct, sliced, table, text_buffers, written
 
 TABLE = 1 << 16
 #: A model of so many languages is 256 MB in every task; labels of more kinds are refused, not cut.
 MOST_LANGUAGES = 1024
+#: Likelihoods (letters x languages, 4 bytes) that are in memory at a time: fewer texts at once for many languages, and a text beyond it in pieces.
+MOST_LIKELIHOODS = 1 << 24
+#: Languages that a task counts side by side before it hands its counts on.
+COUNTED = 64
 SMOOTH = 0.5
 PENALTY = 2.0
 #: Expectation-maximisation of a document ends when no proportion moves by more.
@@ -63,16 +67,25 @@ class Grams:
 
 def gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[str, np.ndarray] = {}
+
+    def told() -> Iterator[pa.RecordBatch]:
+        for name, counts in total.items():
+            some = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(some), pa.string()), pa.array(some, pa.int32()), pa.array(counts[some], pa.int64())], ["lang", "slot", "n"])
+        total.clear()
+
     for batch in sliced(batches):
         grams = Grams(batch.column("text"))
         codes, names = pd_factor(batch.column("lang"))
-        owner = np.repeat(codes, grams.letters)
-        both = np.bincount(owner * TABLE + grams.slot, minlength=len(names) * TABLE).reshape(len(names), TABLE)
+        both, n = np.unique(np.repeat(codes, grams.letters) * TABLE + grams.slot, return_counts=True)
+        edges = np.searchsorted(both, np.arange(len(names) + 1) * TABLE)
         for k, name in enumerate(names):
-            total[name] = total[name] + both[k] if name in total else both[k]
-    for name, counts in total.items():
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array([name] * len(some), pa.string()), pa.array(some, pa.int32()), pa.array(counts[some], pa.int64())], ["lang", "slot", "n"])
+            if name not in total:
+                if len(total) >= COUNTED:
+                    yield from told()
+                total[name] = np.zeros(TABLE, np.int64)
+            total[name][both[edges[k] : edges[k + 1]] - k * TABLE] += n[edges[k] : edges[k + 1]]
+    yield from told()
 
 
 def pd_factor(column: pa.Array) -> tuple[np.ndarray, list[str]]:
@@ -175,17 +188,82 @@ def language_sets(words: np.ndarray, first: np.ndarray, count: np.ndarray) -> np
     return best
 
 
+class LongText:
+    """The words of one text whose likelihoods do not fit at once: computed piece by piece, anew in each pass."""
+
+    def __init__(self, model: Model, slot: np.ndarray, head: np.ndarray) -> None:
+        self.log_p, self.slot, self.count = model.log_p, slot, len(head)
+        room = max(1, MOST_LIKELIHOODS // max(1, model.log_p.shape[1]))
+        ends, cuts = np.append(head[1:], len(slot)), [0]
+        while cuts[-1] < len(head):
+            cuts.append(max(cuts[-1] + 1, int(np.searchsorted(ends, head[cuts[-1]] + room, "right"))))
+        self.pieces = [(head[lo:hi], int(ends[hi - 1])) for lo, hi in zip(cuts, cuts[1:], strict=False)]
+        self.room = room
+
+    def words(self) -> Iterator[np.ndarray]:
+        """Log-likelihoods of words, less each word's maximum; a word longer than a piece is summed up part by part."""
+        for head, end in self.pieces:
+            first = int(head[0])
+            if len(head) == 1 and end - first > self.room:
+                out = np.sum([self.log_p[self.slot[at : min(at + self.room, end)]].sum(axis=0, dtype=np.float64) for at in range(first, end, self.room)], axis=0)[None].astype(np.float32)
+            else:
+                out = np.add.reduceat(self.log_p[self.slot[first:end]], head - first, axis=0)
+            yield out - out.max(1, keepdims=True)
+
+    def mixture(self, allowed: np.ndarray) -> tuple[np.ndarray, float, float]:
+        """As ``mixture``, for this text."""
+        share, moving = allowed / allowed.sum(), True
+        while moving:
+            new = np.zeros(len(share))
+            for w in self.words():
+                part = np.exp(w) * share.astype(np.float32)
+                part /= np.maximum(part.sum(1, keepdims=True), TINY)
+                new += part.sum(axis=0, dtype=np.float64)
+            new /= self.count
+            share, moving = new, np.abs(new - share).max() > TOLERANCE
+        value, slope = 0.0, np.zeros(len(share))
+        for w in self.words():
+            likelihood = np.exp(w)
+            mixed = np.maximum((likelihood * share).sum(1), TINY)
+            value += np.log(mixed).sum()
+            slope += (likelihood / mixed[:, None]).sum(0)
+        return share, value, value + np.where(allowed > 0, slope, 0).max() - self.count
+
+    def best_set(self) -> np.ndarray:
+        """As ``language_sets``, for this text."""
+        single = np.sum([w.sum(axis=0, dtype=np.float64) for w in self.words()], axis=0)
+        width, value = len(single), single.max()
+        best, penalty = np.eye(width)[single.argmax()], PENALTY * np.log(max(self.count, 2))
+        if width < 2 or value >= -penalty:
+            return best
+        spread, top, bound = self.mixture(np.ones(width))
+        order = np.argsort(-spread, kind="stable")
+        for k in range(2, width + 1):
+            if bound - penalty * (k - 1) <= value:
+                break
+            own, reached = spread, top
+            if k < width:
+                allowed = np.zeros(width)
+                allowed[order[:k]] = 1
+                own, reached, _ = self.mixture(allowed)
+            if reached - penalty * (k - 1) > value:
+                best, value = own, reached - penalty * (k - 1)
+        return best
+
+
 def predict_rows(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
         langs, width = np.array(m.languages, object), len(m.languages)
-        for batch in sliced(batches):
+        for batch in sliced(batches, limit=max(1, min(SLICE_BYTES, MOST_LIKELIHOODS // width))):
             column = batch.column("text")
             grams = Grams(column)
             count = np.diff(grams.first)
             full = np.flatnonzero(count)
             share = np.zeros((grams.rows, width))
-            if len(full):
+            if len(grams.slot) * width > MOST_LIKELIHOODS:  # then it is one text
+                share[full] = LongText(m, grams.slot, grams.head).best_set()
+            elif len(full):
                 words = np.add.reduceat(m.log_p[grams.slot], grams.head, axis=0)
                 words -= words.max(1, keepdims=True)
                 best = language_sets(words, grams.first[:-1][full], count[full])

@@ -189,13 +189,18 @@ def keyed(docs: DataFrame) -> list[Column]:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, config: NearDupConfig) -> DataFrame:
-    """Similarities of pairs of nodes (a written table); a node's text is that of its first row."""
+    """Similarities of pairs of nodes (a written table); a node's text is that of its first row. Where texts travel, no key has more than some ``PAIRS_A_PIECE`` rows."""
     total = pairs.count()
     wanted = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct().join(nodes.select("node", F.col("rep.tid").alias("tid"), F.xxhash64("rep.key", "rep.tid").alias("spot")), "node")
     texts = written(docs.select(*keyed(docs), "text").drop("key").join(wanted, ["spot", "tid"]).dropDuplicates(["spot", "tid"]).select("node", "text"))
-    both = pairs.select("u", "v")
-    for side, other in (("u", "v"), ("v", "u")):
-        both = join_pieces(both, texts.toDF(side, f"text_{side}"), [side], crowded(pairs, [side], total, PAIRS_A_PIECE), F.xxhash64(other))
+    both, sides = pairs.select("u", "v"), {}
+    for side, other in (("u", "v"), ("v", "u")):  # pieces first, while rows are without texts
+        held = written(pairs.groupBy(side).agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > PAIRS_A_PIECE))
+        pieces = F.ceil(F.coalesce("held", F.lit(1)) / PAIRS_A_PIECE).cast("int")
+        both = join_hot(both, held, [side], "held", total, "left").withColumn(f"piece_{side}", F.pmod(F.xxhash64(other), pieces)).drop("held")
+        sides[side] = texts.toDF(side, f"text_{side}").join(held, side, "left").withColumn(f"piece_{side}", F.explode(F.sequence(F.lit(0).cast("long"), pieces.cast("long") - 1))).drop("held")
+    both = written(both)
+    both = both.join(sides["u"], ["u", "piece_u"]).join(sides["v"], ["v", "piece_v"])
     out = written(both.mapInArrow(overlap_rows(config), "u string, v string, similarity double"))
     discard(texts)
     return out
