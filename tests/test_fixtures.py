@@ -329,3 +329,28 @@ def test_live_book_keeps_state_between_triggers():
             live = LiveBook(json.loads(live.stored()))
         b, a = max(plain[0], default=None), min(plain[1], default=None)
         assert live.best() == ((b, plain[0][b], a, plain[1][a]) if b is not None and a is not None else (None,) * 4)
+
+
+def test_path_summary_over_months(spark):
+    """Drawdowns, time under water and streaks that cross months against loops; books of one trade, of gains only and of losses only."""
+    import random
+
+    from tidemark.operators.ledger import path_summary
+
+    rng = random.Random(12)
+    books = {f"b{k}": [rng.choice([-3.0, -1.0, 0.0, 1.0, 2.5]) for _ in range(n)] for k, n in enumerate((60, 200, 1, 7))} | {"up": [1.0] * 50, "down": [-1.0] * 50}
+    rows = [(k, dt.datetime(2024, 1, 1) + dt.timedelta(days=3 * i), i, p) for k, v in books.items() for i, p in enumerate(v)]
+    rng.shuffle(rows)
+    got = {r["book"]: tuple(r)[1:] for r in path_summary(spark.createDataFrame(rows, "book string, exit_ts timestamp, seq long, net_pnl double"), 20.0, ["book"]).collect()}
+    for k, v in books.items():
+        equity = peak = 20.0
+        depth = share = 0.0
+        runs, best = [0, 0, 0], [0, 0, 0]
+        for p in v:
+            equity += p
+            peak = max(peak, equity)
+            depth, share = max(depth, peak - equity), max(share, (peak - equity) / peak * 100)
+            for i, hit in enumerate((equity < peak, p > 0, not p > 0)):
+                runs[i] = runs[i] + 1 if hit else 0
+                best[i] = max(best[i], runs[i])
+        assert got[k] == (pytest.approx(depth), pytest.approx(share), *best), k

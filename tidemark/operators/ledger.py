@@ -10,8 +10,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.core import KEY, has_long_keys, in_chunks, over_days, ratio
+from tidemark.core import KEY, has_long_keys, in_chunks, over_days, ratio, seconds
 from tidemark.operators.places import in_ranks
+from tidemark.sources.io import scratch
 
 BOOK = ["strategy", *KEY]
 FILL_ORDER = ("ts", "seq")
@@ -213,27 +214,71 @@ def pair_trades(fills: DataFrame) -> DataFrame:
     return t.select(*BOOK, F.col("entry.ts").alias("entry_ts"), F.col("ts").alias("exit_ts"), F.col("entry.price").alias("entry_price"), F.col("price").alias("exit_price"), q.alias("size"), "gross_pnl", (F.col("gross_pnl") - F.col("fee") - F.col("entry.fee")).alias("net_pnl"), "seq")
 
 
-def trade_streaks(trades: DataFrame, by: list[str], pnl: str = "net_pnl", order: tuple[str, ...] = ("exit_ts", "seq")) -> DataFrame:
-    """Longest runs of wins and of losses."""
-    t = over_months(trades.withColumn("win", F.col(pnl) > 0), priors={"win0": F.col("win")}, by=by, order=order, time=order[0])
-    turn = F.coalesce(F.col("win0") != F.col("win"), F.lit(False)).cast("int")
-    runs = over_months(t, sums={"island": turn}, by=by, order=order, ties=False, time=order[0]).groupBy(*by, "win", "island").agg(F.count(F.lit(1)).alias("n"))
-    return runs.groupBy(*by).agg(F.coalesce(F.max(F.when(F.col("win"), F.col("n"))), F.lit(0)).alias("win_streak"), F.coalesce(F.max(F.when(~F.col("win"), F.col("n"))), F.lit(0)).alias("loss_streak"))
+#: A run's summary over a stretch of trades: its length at the head and at the end, the longest one, and whether it covers all. Two stretches in a row compose.
+_RUN = "struct<first:bigint,last:bigint,longest:bigint,whole:boolean>"
 
 
-def run_metrics(trades: DataFrame, capital: float, by: list[str] | None = None) -> DataFrame:
-    """L13, one row per run (book): return, Sharpe and SQN of trade results, drawdown, win rate, profit factor, extremes, streaks, mean duration, fee gate (fees < 1 % of capital)."""
+def _no_run() -> Column:
+    zero = F.lit(0).cast("long")
+    return F.struct(zero.alias("first"), zero.alias("last"), zero.alias("longest"), F.lit(True).alias("whole"))
+
+
+def _run_step(r: Column, hit: Column) -> Column:
+    last = F.when(hit, r["last"] + 1).otherwise(0)
+    return F.struct(F.when(r["whole"] & hit, r["first"] + 1).otherwise(r["first"]).alias("first"), last.alias("last"), F.greatest(r["longest"], last).alias("longest"), (r["whole"] & hit).alias("whole")).cast(_RUN)
+
+
+def _run_join(a: Column, b: Column) -> Column:
+    first = F.when(a["whole"], a["first"] + b["first"]).otherwise(a["first"])
+    last = F.when(b["whole"], a["last"] + b["last"]).otherwise(b["last"])
+    return F.struct(first.alias("first"), last.alias("last"), F.greatest(a["longest"], b["longest"], a["last"] + b["first"]).alias("longest"), (a["whole"] & b["whole"]).alias("whole")).cast(_RUN)
+
+
+def path_summary(trades: DataFrame, capital: float, by: list[str], pnl: str = "net_pnl", order: tuple[str, ...] = ("exit_ts", "seq")) -> DataFrame:
+    """One row per group: max_drawdown and max_drawdown_pct of the equity on top of ``capital``, max_drawdown_trades (the longest stretch of trades below the peak), win_streak and loss_streak.
+
+    A group's month is a sorted array, read twice: its sum and largest prefix tell every month's equity and peak at its start by a window over the group's months, and a fold from there gives
+    its drawdowns and, as composable summaries, its runs, which a fold over the months joins. Order is by ``order``, of which the first is a time.
+    """
+    t = trades.select(*by, F.trunc(F.to_date(order[0]), "month").alias("month_"), F.struct(*order, F.col(pnl).cast("double").alias("p_")).alias("row_"))
+    path = scratch(trades.sparkSession, "months")
+    t.groupBy(*by, "month_").agg(F.transform(F.array_sort(F.collect_list("row_")), lambda r: r["p_"]).alias("p_")).write.parquet(path)
+    months = trades.sparkSession.read.parquet(path)
+    zero = F.lit(0.0)
+    reach = F.aggregate("p_", F.struct(zero.alias("sum"), zero.alias("top")), lambda a, p: F.struct((a["sum"] + p).alias("sum"), F.greatest(a["top"], a["sum"] + p).alias("top")))
+    earlier = Window.partitionBy(*by).orderBy("month_").rowsBetween(Window.unboundedPreceding, -1)
+    starts = months.select(*by, "month_", reach.alias("r")).withColumn("start", capital + F.coalesce(F.sum("r.sum").over(earlier), zero))
+    starts = starts.withColumn("peak", F.coalesce(F.greatest(F.max(F.col("start") + F.col("r.top")).over(earlier), F.lit(capital)), F.lit(capital))).drop("r")
+
+    def step(a: Column, p: Column) -> Column:
+        equity = a["equity"] + p
+        peak = F.greatest(a["peak"], equity)
+        return F.struct(equity.alias("equity"), peak.alias("peak"), F.greatest(a["depth"], peak - equity).alias("depth"), F.greatest(a["share"], (peak - equity) / peak * 100).alias("share"), _run_step(a["under"], equity < peak).alias("under"), _run_step(a["wins"], p > 0).alias("wins"), _run_step(a["losses"], ~(p > 0)).alias("losses"))
+
+    begin = F.struct(F.col("start").alias("equity"), F.col("peak").alias("peak"), zero.alias("depth"), zero.alias("share"), *[_no_run().alias(n) for n in ("under", "wins", "losses")])
+    folded = months.join(starts, [*by, "month_"]).select(*by, "month_", F.aggregate("p_", begin, step).alias("f"))
+    runs = F.struct(*[_no_run().alias(n) for n in ("under", "wins", "losses")])
+    whole = F.aggregate(F.array_sort(F.collect_list(F.struct("month_", "f.under", "f.wins", "f.losses"))), runs, lambda a, m: F.struct(*[_run_join(a[n], m[n]).alias(n) for n in ("under", "wins", "losses")]))
+    out = folded.groupBy(*by).agg(F.max("f.depth").alias("max_drawdown"), F.max("f.share").alias("max_drawdown_pct"), whole.alias("r"))  # a row for each month of a group
+    return out.select(*by, "max_drawdown", "max_drawdown_pct", F.col("r.under.longest").alias("max_drawdown_trades"), F.col("r.wins.longest").alias("win_streak"), F.col("r.losses.longest").alias("loss_streak"))
+
+
+def run_metrics(trades: DataFrame, capital: float, by: list[str] | None = None, tf: str = "1d") -> DataFrame:
+    """L13, one row per run (book): return, Sharpe and SQN of trade results, drawdown with its duration in trades, win rate, profit factor, averages, extremes, streaks, mean duration in seconds and bars of ``tf``, long and short trades, fee gate (fees < 1 % of capital).
+
+    Trades are long unless a column ``direction`` says ``short``.
+    """
     by = by or BOOK
-    t = with_peak(trades, "net_pnl", capital, by)
-    std = F.stddev_samp("net_pnl")
-    out = t.groupBy(*by).agg(
+    std, win, loss = F.stddev_samp("net_pnl"), F.col("net_pnl") > 0, F.col("net_pnl") < 0
+    short = F.coalesce(F.col("direction") == "short", F.lit(False)) if "direction" in trades.columns else F.lit(False)
+    opened, closed = (F.floor(F.unix_seconds(c) / seconds(tf)) for c in ("entry_ts", "exit_ts"))
+    out = trades.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_trades"), (F.sum("net_pnl") / capital * 100).alias("return_pct"), F.when(std > 0, F.avg("net_pnl") / std).alias("sharpe"), F.when(std > 0, F.sqrt(F.count(F.lit(1))) * F.avg("net_pnl") / std).alias("sqn"),
-        F.max(F.col("peak") - F.col("equity")).alias("max_drawdown"), F.max((F.col("peak") - F.col("equity")) / F.col("peak") * 100).alias("max_drawdown_pct"), F.avg((F.col("net_pnl") > 0).cast("double")).alias("win_rate"),
-        ratio(F.sum(F.when(F.col("net_pnl") > 0, F.col("net_pnl")).otherwise(0.0)), -F.sum(F.when(F.col("net_pnl") < 0, F.col("net_pnl")).otherwise(0.0))).alias("profit_factor"),
-        F.avg("net_pnl").alias("avg_trade"), F.max("net_pnl").alias("best_trade"), F.min("net_pnl").alias("worst_trade"), F.avg(F.unix_seconds("exit_ts") - F.unix_seconds("entry_ts")).alias("avg_seconds"),
-        (F.sum(F.col("gross_pnl") - F.col("net_pnl")) < 0.01 * capital).alias("passes_fee_gate"),
+        F.avg(win.cast("double")).alias("win_rate"), ratio(F.sum(F.when(win, F.col("net_pnl")).otherwise(0.0)), -F.sum(F.when(loss, F.col("net_pnl")).otherwise(0.0))).alias("profit_factor"),
+        F.avg("net_pnl").alias("avg_trade"), F.coalesce(F.avg(F.when(win, F.col("net_pnl"))), F.lit(0.0)).alias("avg_win"), F.coalesce(F.avg(F.when(loss, F.col("net_pnl"))), F.lit(0.0)).alias("avg_loss"), F.max("net_pnl").alias("best_trade"), F.min("net_pnl").alias("worst_trade"),
+        F.avg(F.unix_seconds("exit_ts") - F.unix_seconds("entry_ts")).alias("avg_seconds"), F.avg(closed - opened).alias("avg_bars"), F.count_if(~short).alias("n_long"), F.count_if(short).alias("n_short"), (F.sum(F.col("gross_pnl") - F.col("net_pnl")) < 0.01 * capital).alias("passes_fee_gate"),
     )
-    return out.join(trade_streaks(trades, by), by)
+    return out.join(path_summary(trades, capital, by), by)
 
 
 def trade_table(trades: DataFrame) -> DataFrame:
@@ -278,14 +323,24 @@ def purged_folds(df: DataFrame, k: int, gap: int, by: list[str], order: list[str
     return x.withColumn("part", part).where("part is not null").drop("n", "size")
 
 
-def walk_forward_report(folds: DataFrame, pnl: str, by: list[str]) -> DataFrame:
-    """Sharpe inside and outside of each fold, and degradation 1 - out / in (0 where in is 0)."""
+def walk_forward_report(folds: DataFrame, pnl: str, by: list[str], capital: float = 100_000.0) -> DataFrame:
+    """L16 by fold: Sharpe inside and outside, degradation of it, results inside and outside, pnl_degradation 1 - out / in (0 where in is 0), and the drawdown of the test part on top of ``capital`` as a share of its peak."""
+    def of(part: str) -> Column:
+        return F.when(F.col("part") == part, F.col(pnl))
+
     def sharpe(part: str) -> Column:
-        x = F.when(F.col("part") == part, F.col(pnl))
-        return F.coalesce(F.when(F.stddev_samp(x) > 0, F.avg(x) / F.stddev_samp(x)), F.lit(0.0))
+        return F.coalesce(F.when(F.stddev_samp(of(part)) > 0, F.avg(of(part)) / F.stddev_samp(of(part))), F.lit(0.0))
+
+    f = folds.groupBy(*by, "fold").agg(sharpe("in").alias("is_sharpe"), sharpe("out").alias("oos_sharpe"), F.coalesce(F.sum(of("in")), F.lit(0.0)).alias("is_pnl"), F.coalesce(F.sum(of("out")), F.lit(0.0)).alias("oos_pnl"))
+    depth = path_summary(folds.where("part = 'out'"), capital, [*by, "fold"], pnl).select(*by, "fold", (F.col("max_drawdown_pct") / 100).alias("oos_drawdown"))
+    f = f.join(depth, [*by, "fold"], "left").withColumn("oos_drawdown", F.coalesce("oos_drawdown", F.lit(0.0)))
+    lost = [F.when(F.col(a) == 0, 0.0).otherwise(1 - F.col(b) / F.col(a)) for a, b in (("is_sharpe", "oos_sharpe"), ("is_pnl", "oos_pnl"))]
+    return f.withColumn("degradation", lost[0]).withColumn("pnl_degradation", lost[1])
+
 
-    f = folds.groupBy(*by, "fold").agg(sharpe("in").alias("is_sharpe"), sharpe("out").alias("oos_sharpe"))
-    return f.withColumn("degradation", F.when(F.col("is_sharpe") == 0, 0.0).otherwise(1 - F.col("oos_sharpe") / F.col("is_sharpe")))
+def walk_forward_means(report: DataFrame, by: list[str]) -> DataFrame:
+    """L16 over folds: mean Sharpe, drawdown and degradation of results of the test parts."""
+    return report.groupBy(*by).agg(F.count(F.lit(1)).alias("folds"), F.avg("oos_sharpe").alias("mean_sharpe"), F.avg("oos_drawdown").alias("mean_drawdown"), F.avg("pnl_degradation").alias("mean_degradation"))
 
 
 def stress_report(trades: DataFrame, windows: DataFrame, capital: float, by: list[str] | None = None) -> DataFrame:
@@ -386,13 +441,11 @@ def validation_inputs(trades: DataFrame, windows: DataFrame, capital: float, fol
     """What L20 judges, one row per book: mean Sharpe, drawdown and degradation of its test folds (L16), its worst stress window (L17), its bootstrap percentile (L18) and its fee gate (L13). A book too small to fold has no fold means."""
     order = ["exit_ts", "seq"]
     cut = walk_forward_folds(trades, folds, BOOK, order)
-    means = walk_forward_report(cut, "net_pnl", BOOK).groupBy(*BOOK).agg(F.avg("oos_sharpe").alias("sharpe"), F.avg("degradation").alias("degradation"))
-    out = with_peak(cut.where("part = 'out'"), "net_pnl", capital, [*BOOK, "fold"]).withColumn("dd", (F.col("peak") - F.col("equity")) / F.col("peak"))
-    depth = out.groupBy(*BOOK, "fold").agg(F.max("dd").alias("dd")).groupBy(*BOOK).agg(F.avg("dd").alias("max_drawdown"))
+    means = walk_forward_means(walk_forward_report(cut, "net_pnl", BOOK, capital), BOOK).select(*BOOK, F.col("mean_sharpe").alias("sharpe"), F.col("mean_degradation").alias("degradation"), F.col("mean_drawdown").alias("max_drawdown"))
     stress = stress_report(trades, windows, capital, BOOK).groupBy(*BOOK).agg(F.max("max_drawdown").alias("worst_stress"))
     p5 = monte_carlo_p5(trades, paths, seed).select(*BOOK, "p5")
     gate = run_metrics(trades, capital).select(*BOOK, "passes_fee_gate")
-    return reduce(lambda a, b: a.join(b, BOOK, "left"), [gate, means, depth, stress, p5])
+    return reduce(lambda a, b: a.join(b, BOOK, "left"), [gate, means, stress, p5])
 
 
 def strategy_ema_flip(bars: DataFrame, fast: int = 9, slow: int = 21) -> DataFrame:

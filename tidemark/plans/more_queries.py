@@ -190,14 +190,25 @@ register("l10_strategy_metrics", BK + "trades:i total_pnl:e win_rate:d max_drawd
 register("l11_fees", "order_id:s price:d size:d fee:e", lambda d: ledger.with_fees(d.fills), "select order_id, price, size, fee from fees")
 register("l12_pair_trades", BK + "entry_ts:t exit_ts:t entry_price:d exit_price:d size:d gross_pnl:e net_pnl:e", lambda d: d.paired, "select * from paired")
 _EQ = f"(select *, greatest(100000, max(eq) over ({BW} exit_ts, seq)) as pk from (select *, 100000 + sum(net_pnl) over ({BW} exit_ts, seq) as eq from paired))"
-register("l13_run_metrics", BK + "n_trades:i return_pct:d sharpe:d sqn:d max_drawdown:e max_drawdown_pct:d win_rate:d profit_factor:d avg_trade:e best_trade:e worst_trade:e avg_seconds:e passes_fee_gate:b win_streak:i loss_streak:i", lambda d: ledger.run_metrics(d.paired, 100000.0), f"""select a.*, coalesce(ws, 0) as win_streak, coalesce(ls, 0) as loss_streak from (select strategy, exchange, symbol, count(*) as n_trades, sum(net_pnl) / 1000 as return_pct, case when stddev_samp(net_pnl) > 0 then avg(net_pnl) / stddev_samp(net_pnl) end as sharpe, case when stddev_samp(net_pnl) > 0 then sqrt(count(*)) * avg(net_pnl) / stddev_samp(net_pnl) end as sqn,
-  max(pk - eq) as max_drawdown, max((pk - eq) / pk * 100) as max_drawdown_pct, avg((net_pnl > 0)::int) as win_rate, sum(case when net_pnl > 0 then net_pnl else 0 end) / nullif(-sum(case when net_pnl < 0 then net_pnl else 0 end), 0) as profit_factor, avg(net_pnl) as avg_trade, max(net_pnl) as best_trade, min(net_pnl) as worst_trade, avg(epoch(exit_ts) - epoch(entry_ts)) as avg_seconds, sum(gross_pnl - net_pnl) < 1000 as passes_fee_gate from {_EQ} group by all) a
+register("l13_run_metrics", BK + "n_trades:i return_pct:d sharpe:d sqn:d max_drawdown:e max_drawdown_pct:d win_rate:d profit_factor:d avg_trade:e best_trade:e worst_trade:e avg_win:e avg_loss:e avg_seconds:e avg_bars:e n_long:i n_short:i passes_fee_gate:b win_streak:i loss_streak:i max_drawdown_trades:i", lambda d: ledger.run_metrics(d.paired, 100000.0), f"""select a.*, coalesce(ws, 0) as win_streak, coalesce(ls, 0) as loss_streak, longest as max_drawdown_trades from (select strategy, exchange, symbol, count(*) as n_trades, sum(net_pnl) / 1000 as return_pct, case when stddev_samp(net_pnl) > 0 then avg(net_pnl) / stddev_samp(net_pnl) end as sharpe, case when stddev_samp(net_pnl) > 0 then sqrt(count(*)) * avg(net_pnl) / stddev_samp(net_pnl) end as sqn,
+  max(pk - eq) as max_drawdown, max((pk - eq) / pk * 100) as max_drawdown_pct, avg((net_pnl > 0)::int) as win_rate, sum(case when net_pnl > 0 then net_pnl else 0 end) / nullif(-sum(case when net_pnl < 0 then net_pnl else 0 end), 0) as profit_factor, avg(net_pnl) as avg_trade, max(net_pnl) as best_trade, min(net_pnl) as worst_trade, avg(epoch(exit_ts) - epoch(entry_ts)) as avg_seconds, coalesce(avg(net_pnl) filter (where net_pnl > 0), 0) as avg_win, coalesce(avg(net_pnl) filter (where net_pnl < 0), 0) as avg_loss, avg(epoch(exit_ts)::bigint // 86400 - epoch(entry_ts)::bigint // 86400) as avg_bars, count(*) as n_long, 0 as n_short, sum(gross_pnl - net_pnl) < 1000 as passes_fee_gate from {_EQ} group by all) a
+  join (select strategy, exchange, symbol, max(n) as longest from (select strategy, exchange, symbol, g, count(*) filter (where eq < pk) as n from (select *, count(*) filter (where eq >= pk) over ({BW} exit_ts, seq) as g from {_EQ}) group by all) group by all) u using (strategy, exchange, symbol)
   join (select strategy, exchange, symbol, max(n) filter (where win) as ws, max(n) filter (where not win) as ls from (select strategy, exchange, symbol, win, g, count(*) as n from (select *, net_pnl > 0 as win, row_number() over ({BW} exit_ts, seq) - row_number() over (partition by strategy, exchange, symbol, net_pnl > 0 order by exit_ts, seq) as g from paired) group by all) group by all) using (strategy, exchange, symbol)""")
 register("l14_sample_equity", BK + "nth:i equity:e", lambda d: ledger.sample_equity(ledger.equity_curve(d.ledger).drop("nth").withColumn("k", F.col("seq")), 10, ledger.BOOK, ["ts", "seq"]), f"select strategy, exchange, symbol, nth, e as equity from (select *, sum(realized_pnl) over ({BW} nth) as e from ledger) where nth % 10 = 0")
 _WF = "(select *, case when k <= fold * sz then 'in' else 'out' end as part from (select *, n // 5 as sz from (select *, row_number() over (partition by strategy, exchange, symbol order by exit_ts, seq) as k, count(*) over (partition by strategy, exchange, symbol) as n from paired)), unnest(range(1, 5)) as t(fold) where k <= (fold + 1) * sz)"
 register("l15_walk_forward_folds", BK + "fold:i part:s nth:i net_pnl:e", lambda d: ledger.walk_forward_folds(d.paired, 4, ledger.BOOK, ["exit_ts", "seq"]), f"select strategy, exchange, symbol, fold, part, k as nth, net_pnl from {_WF}")
 _sh = lambda p: f"coalesce(case when stddev_samp(net_pnl) filter (where part = '{p}') > 0 then avg(net_pnl) filter (where part = '{p}') / stddev_samp(net_pnl) filter (where part = '{p}') end, 0)"
-register("l16_walk_forward_report", BK + "fold:i is_sharpe:d oos_sharpe:d degradation:e", lambda d: ledger.walk_forward_report(ledger.walk_forward_folds(d.paired, 4, ledger.BOOK, ["exit_ts", "seq"]), "net_pnl", ledger.BOOK), f"select *, case when is_sharpe = 0 then 0 else 1 - oos_sharpe / is_sharpe end as degradation from (select strategy, exchange, symbol, fold, {_sh('in')} as is_sharpe, {_sh('out')} as oos_sharpe from {_WF} group by all)")
+_WFE = f"(select *, greatest(100000, max(eq) over (partition by strategy, exchange, symbol, fold, part order by exit_ts, seq)) as pk from (select *, 100000 + sum(net_pnl) over (partition by strategy, exchange, symbol, fold, part order by exit_ts, seq) as eq from {_WF}))"
+_REPORT = f"""(select *, case when is_sharpe = 0 then 0 else 1 - oos_sharpe / is_sharpe end as degradation, case when is_pnl = 0 then 0 else 1 - oos_pnl / is_pnl end as pnl_degradation from (select strategy, exchange, symbol, fold, {_sh('in')} as is_sharpe, {_sh('out')} as oos_sharpe,
+  coalesce(sum(net_pnl) filter (where part = 'in'), 0) as is_pnl, coalesce(sum(net_pnl) filter (where part = 'out'), 0) as oos_pnl, coalesce(max((pk - eq) / pk) filter (where part = 'out'), 0) as oos_drawdown from {_WFE} group by all))"""
+
+
+def _report(d: Data) -> DataFrame:
+    return ledger.walk_forward_report(ledger.walk_forward_folds(d.paired, 4, ledger.BOOK, ["exit_ts", "seq"]), "net_pnl", ledger.BOOK)
+
+
+register("l16_walk_forward_report", BK + "fold:i is_sharpe:d oos_sharpe:d degradation:e is_pnl:e oos_pnl:e pnl_degradation:e oos_drawdown:d", _report, f"select * from {_REPORT}")
+register("l16_walk_forward_means", BK + "folds:i mean_sharpe:d mean_drawdown:d mean_degradation:e", lambda d: ledger.walk_forward_means(_report(d), ledger.BOOK), f"select strategy, exchange, symbol, count(*) as folds, avg(oos_sharpe) as mean_sharpe, avg(oos_drawdown) as mean_drawdown, avg(pnl_degradation) as mean_degradation from {_REPORT} group by all")
 _STRESS = "(values ('early', date '1995-01-01', date '1995-06-30'), ('mid', date '1996-03-01', date '1996-03-31'), ('none', date '2050-01-01', date '2050-12-31')) as w(name, a, b)"
 
 
