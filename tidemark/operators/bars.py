@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.core import KEY, bucket, in_order, over_days, ratio, seconds, with_bar
+from tidemark.operators import footprint
+from tidemark.sources.io import scratch
 
 BAR = [*KEY, "bar"]
 
@@ -380,3 +382,27 @@ def build_bars(ticks: DataFrame, quotes: DataFrame, kinds: DataFrame, trades: Da
     of_quotes = per_bar(quote_bar(quotes, tf), *mid_fields(), *spread_fields(), *edge_fields(), *change_fields(), *return_fields(), F.sum("flow").alias("ofi_l1")).withColumn("ofi", F.col("ofi_l1"))
     parts = [bar_quality(ticks, tf), of_trades, of_quotes, book_activity(kinds, tf), hawkes(ticks, tf), *(more or [])]
     return reduce(lambda a, b: a.join(b, [*KEY, "ts"], "left"), parts)
+
+
+def whole_bars(ticks: DataFrame, quotes: DataFrame, kinds: DataFrame, trades_thr: DataFrame, depths: DataFrame, tf: str, fill: bool = False) -> DataFrame:
+    """The whole bar row, F01-F38: ``build_bars`` with block trades, depths, footprint and what follows from it, book signals and cumulative delta; with ``fill`` (F39) absent bars between a key's first and last are rows too.
+
+    ``trades_thr`` are trades with W01's threshold, ``depths`` the depth columns (F09) by key and ts. The footprint is aggregated once; what is joined are bars. Fields of trades are null in
+    a bar without trades, flags are false there.
+    """
+    long = footprint.footprint_long(trades_thr, tf)
+    parts = [depths, block_trades(trades_thr, tf), footprint.footprint(long), footprint.value_area(long), footprint.imbalance(long)]
+    b = build_bars(ticks, quotes, kinds, trades_thr, tf, parts)
+    for add in (quote_stuff_ratio, absorption, footprint_divergence, iceberg, microprice, cancel_bias, trade_aggressiveness):
+        b = add(b)
+    epochs = per_bar(with_bar(with_reset_epochs(ticks), tf), F.max("cvd_epoch").alias("cvd_epoch"))
+    b = written_once(b.join(epochs, [*KEY, "ts"], "left"))  # three parts below read it
+    more = [footprint.auction_signals(long, b), vwap_deviation(trades_thr, b, tf), cum_delta(b).select(*KEY, "ts", "cum_delta", "cvd_divergence")]
+    b = reduce(lambda x, y: x.join(y, [*KEY, "ts"], "left"), [b.drop("cvd_epoch"), *more])
+    return fill_empty_bars(b, tf) if fill else b
+
+
+def written_once(df: DataFrame) -> DataFrame:
+    path = scratch(df.sparkSession, "bars")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

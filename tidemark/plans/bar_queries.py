@@ -192,3 +192,30 @@ register(
     "build_bars_4h", K + " ".join(f"{c}:d" for c in _BAR) + " " + " ".join(f"{c}:i" for c in _BAR_COUNTS) + " inter_trade_interval_std_ms:e is_partial:b",
     lambda d: B.build_bars(d.ticks, d.stored_quotes, d.kinds, d.trades, "4h"), _bar_sql(),
 )
+
+
+_MORE = """block_buy_volume block_sell_volume bid_depth_l1_open ask_depth_l1_open bid_depth_l1_close ask_depth_l1_close bid_depth_top10_close poc_price value_area_high value_area_low poc_volume imbalance_ratio quote_stuff_ratio iceberg_price
+microprice microprice_mid_delta cancel_bias trade_aggressiveness buy_vwap_deviation_bps sell_vwap_deviation_bps cum_delta""".split()
+_MORE_COUNTS = "large_bid_orders large_ask_orders imbalance_buy_count imbalance_sell_count imbalance_stack_buy imbalance_stack_sell single_print_count cvd_divergence footprint_delta_divergence levels".split()
+_MORE_FLAGS = "absorption_detected iceberg_bid_detected iceberg_ask_detected unfinished_top unfinished_bottom".split()
+
+
+def _whole_sql() -> str:
+    """The row above with what follows from it; parts of the footprint and of block trades have their own SQL."""
+    joined = " ".join(f"left join ({RAW[name]}) using (exchange, symbol, ts)" for name in "f12_block_trades f24_footprint f25_value_area f26_imbalance f27_auction_signals f30_cum_delta f31_cvd_divergence f37_vwap_deviation".split())
+    ice = [f"coalesce({s}_depth_l1_open > 0 and {s}_depth_l1_close >= 0.8 * {s}_depth_l1_open and {v} > 0 and {s}_order_arrivals > 0, false)" for s, v in (("bid", "buy_volume"), ("ask", "sell_volume"))]
+    return f"""select *, (bid_order_arrivals + ask_order_arrivals + bid_cancel_count + ask_cancel_count)::double / nullif(trade_count, 0) as quote_stuff_ratio, {ice[0]} as iceberg_bid_detected, {ice[1]} as iceberg_ask_detected,
+      case when {ice[0]} then best_bid when {ice[1]} then best_ask end as iceberg_price, coalesce(trade_count >= 5 and (buy_volume / volume > 0.6 or buy_volume / volume < 0.4) and abs(close - open) / close < 0.0005, false) as absorption_detected,
+      case when close > open and buy_volume < sell_volume then 1 when close < open and buy_volume > sell_volume then -1 when close is not null then 0 end as footprint_delta_divergence,
+      {_micro} as microprice, ({_micro} - (best_bid + best_ask) / 2) / ((best_bid + best_ask) / 2) * 10000 as microprice_mid_delta, (bid_cancel_count - ask_cancel_count) / (bid_cancel_count + ask_cancel_count + 1)::double as cancel_bias,
+      case when coalesce(trade_count, 0) = 0 then null when coalesce(bid_depth_l1_close, 0) = 0 then 0 else volume / (bid_depth_l1_close + 1e-9) end as trade_aggressiveness
+      from ({_bar_sql()}) left join {_dsql} using (exchange, symbol, ts) {joined}"""
+
+
+def _whole(d):
+    out = B.whole_bars(d.ticks, d.stored_quotes, d.kinds, d.stored(_thr(d), "thresholds"), _depth_columns(d), "4h")
+    return out.withColumn("levels", F.size(footprint.parsed(F.col("footprint_json"))))
+
+
+_WHOLE = K + " ".join(f"{c}:d" for c in _BAR + _MORE) + " " + " ".join(f"{c}:i" for c in _BAR_COUNTS + _MORE_COUNTS) + " inter_trade_interval_std_ms:e is_partial:b " + " ".join(f"{c}:b" for c in _MORE_FLAGS)
+register("build_bars_whole_4h", _WHOLE, _whole, _whole_sql())

@@ -261,6 +261,22 @@ _LIVE = f"""with m as (select max(ts) - interval '{_DELAY} seconds' as mark from
 register("t03_live_book", "exchange:s symbol:s seq:i bid:d bid_size:d ask:d ask_size:d live:b", lambda d: _stateful(d, stateful.stream_live_book(_disordered(d), f"{_DELAY} seconds")), _LIVE)
 
 
+def _upsert_stream(d: Data) -> DataFrame:
+    """Three files: all bars, corrections of the large ones, and the first versions again, which change nothing."""
+    b = d.bars4.select(*KEY, "ts", "close", "volume")
+    first = b.withColumn("version", F.lit(1))
+    fixed = b.where("volume > 300").withColumn("close", -F.col("close")).withColumn("version", F.lit(2))
+    rows = first.withColumn("file", F.lit(0)).unionByName(fixed.withColumn("file", F.lit(1))).unionByName(first.withColumn("file", F.lit(2)))
+    path, checkpoint = io.scratch(d.spark, "upserted"), io.scratch(d.spark, "upsert-state")
+    stream_in = _files(d, rows, "versions")
+    for _ in range(2):  # the second run finds nothing to do
+        io.upsert_stream(stream_in, path, checkpoint, "version").awaitTermination()
+    return d.spark.read.parquet(path)
+
+
+register("s12_stream_upsert", K + "close:d volume:d version:i", _upsert_stream, RAW["s12_upsert_bars"])
+
+
 def _late_bars(d: Data) -> DataFrame:
     """Hourly bars of two symbols in four files by time, each row in an older version first; some of S1 come with the last file, most of them too late."""
     b = d.bars1.where("close is not null and symbol in ('S0', 'S1')").select(*KEY, "ts", "close")

@@ -87,6 +87,26 @@ def upsert_bars(spark: SparkSession, path: str, new: DataFrame, version: str = "
     spark.read.schema(merged.schema).parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION).parquet(path)
 
 
+def upsert_sink(path: str, version: str | None = None):
+    """S12 for ``foreachBatch``: rows replace those of the same (key, ts) if their ``version`` is higher, or equal and their batch is not older; without ``version`` the batch alone decides.
+
+    The table keeps each row's ``batch``, so a batch that is given again, after a failure or from a checkpoint that knows less, changes nothing. Rows of one batch that tie are told apart by their content.
+    """
+    def put(rows: DataFrame, number: int) -> None:
+        if rows.isEmpty():
+            return
+        b = rows.withColumn("batch", F.lit(number).cast("long"))
+        rank = F.struct(*([version] if version else []), "batch", F.xxhash64(*rows.columns).alias("content"))
+        upsert_bars(rows.sparkSession, path, b.withColumn("rank_", rank), "rank_")
+
+    return put
+
+
+def upsert_stream(bars: DataFrame, path: str, checkpoint: str, version: str | None = None):
+    """S12 as a sink: a query that upserts what its source has now into the table under ``path``; started again from its checkpoint it goes on where it was."""
+    return bars.writeStream.foreachBatch(upsert_sink(path, version)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def live_bars(bars: DataFrame, tf: str, as_of: Column) -> DataFrame:
     """Bars inside the retention of their length; a filter on dates."""
     return with_date(bars).where(F.col("date") >= F.date_sub(F.to_date(as_of), RETENTION[tf])).drop("date")
