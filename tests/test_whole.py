@@ -164,7 +164,21 @@ def test_flips_of_two_means(spark):
 
 
 def test_scores_of_spreads(spark):
-    from tidemark.operators.ml import score_spread
+    """Gates without a model, and the best pair model behind them."""
+    import datetime as dt
 
-    df = spark.createDataFrame([(None, 0.01), (1.5, 0.01), (2.0, 0.2), (2.0, 0.1), (-9.0, 0.0)], "spread_z double, adf_pvalue_60 double")
-    assert [tuple(r)[2:] for r in score_spread(df).collect()] == [("NEUTRAL", "zone", 0.0), ("NEUTRAL", "zone", 0.0), ("NEUTRAL", "unit root", 0.0), ("SHORT_A", "spread", pytest.approx(2 / 3)), ("LONG_A", "spread", 1.0)]
+    from tidemark.operators import ml
+
+    df = spark.createDataFrame([(None, 0.01), (float("nan"), 0.01), (1.5, 0.01), (2.0, 0.2), (2.0, None), (2.0, 0.1), (-9.0, 0.0)], "spread_z double, adf_pvalue_60 double")
+    rows = ml.score_spread(df).collect()
+    assert [r["reason"] for r in rows] == ["neutral_zone"] * 3 + ["adf_fail"] * 2 + ["no_spread_model"] * 2 and {(r["label"], r["confidence"], r["model_id"]) for r in rows} == {("NEUTRAL", 0.0, None)}
+    rng = np.random.default_rng(2)
+    kinds = ["CONVERGE", "NEUTRAL", "DIVERGE"]
+    data = [("x", T0 + dt.timedelta(hours=i), 2.0 if i % 4 else 1.0, 0.05, kinds[k], float(3 * k + rng.normal(0, 0.2)), None) for i, k in enumerate(rng.integers(0, 3, 240))]
+    pair = spark.createDataFrame(data, "exchange string, ts timestamp, spread_z double, adf_pvalue_60 double, label_spread string, f double, g double")
+    registry = ml.train_spread(pair, ["f", "g"], folds=2)
+    out = {r["ts"]: r for r in ml.score_spread(pair, registry).collect()}
+    assert all(out[r[1]]["reason"] == ("neutral_zone" if r[2] < 1.5 else "model") for r in data) and all(out[r[1]]["label"] == "NEUTRAL" for r in data if r[2] < 1.5)
+    assert np.mean([out[r[1]]["label"] == r[4] for r in data if r[2] > 1.5]) > 0.97 and {r["model_id"] for r in out.values()} == {None, registry.first()["model_id"]}
+    other = registry.withColumn("regime", F.lit("RANGING"))
+    assert {r["reason"] for r in ml.score_spread(pair, other).collect()} == {"neutral_zone", "no_spread_model"}

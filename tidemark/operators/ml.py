@@ -284,9 +284,30 @@ def score(features: DataFrame, registry: DataFrame) -> DataFrame:
     return flat.unionByName(told)
 
 
-def score_spread(pair: DataFrame, z_min: float = 1.5, p_max: float = 0.1) -> DataFrame:
-    """Neutral inside the zone, NEUTRAL where the unit-root test fails, else the direction that closes the spread."""
-    z = F.col("spread_z")
-    label = F.when(z.isNull() | (F.abs(z) <= z_min), "NEUTRAL").when(F.col("adf_pvalue_60") > p_max, "NEUTRAL").when(z > 0, "SHORT_A").otherwise("LONG_A")
-    reason = F.when(z.isNull() | (F.abs(z) <= z_min), "zone").when(F.col("adf_pvalue_60") > p_max, "unit root").otherwise("spread")
-    return pair.withColumn("label", label).withColumn("reason", reason).withColumn("confidence", F.when(F.col("label") == "NEUTRAL", 0.0).otherwise(F.least(F.lit(1.0), F.abs(z) / (2 * z_min))))
+#: The slot under which a pair's models stand in the registry.
+PAIR = "SPREAD"
+
+
+def train_spread(pair: DataFrame, cols: list[str], **sizes) -> DataFrame:
+    """The pair's models: as M07, over all rows of ``pair`` (exchange, ts, label_spread of W14, features) as one slot."""
+    rows = pair.withColumns({"symbol": F.lit(PAIR), "regime": F.lit(PAIR), "cluster": F.lit(0)})
+    return train_slots(rows, "label_spread", cols, labels=SPREAD_LABELS, **sizes)
+
+
+def score_spread(pair: DataFrame, registry: DataFrame | None = None, z_min: float = 1.5, p_max: float = 0.1) -> DataFrame:
+    """Adds label, reason, confidence and model_id. NEUTRAL with confidence 0 inside the zone (a null z too), where the unit-root test fails (a null p counts as 1) and where the registry has no pair model;
+    else the likeliest class of its model with the best cv_score."""
+    z, p = F.col("spread_z"), F.coalesce(F.col("adf_pvalue_60"), F.lit(1.0))
+    best = None if registry is None else best_models(registry.where(F.col("regime") == PAIR)).get(PAIR)
+    reason = F.when(z.isNull() | F.isnan(z) | (F.abs(z) <= z_min), "neutral_zone").when(p > p_max, "adf_fail").otherwise("model" if best else "no_spread_model")
+    out = pair.withColumn("reason", reason)
+    if best is None:
+        return out.withColumns({"label": F.lit("NEUTRAL"), "confidence": F.lit(0.0), "model_id": F.lit(None).cast("string")})
+    guess = _guesser({PAIR: (bytes(best["model"]), np.arange(len(best["features"])))})
+    have = [c if c in pair.columns else None for c in best["features"]]
+    x = F.array(*[F.lit(0.0) if c is None else F.coalesce(F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(0.0)), F.lit(0.0)) for c in have])
+    out = out.withColumn("shares_", guess(F.lit(PAIR), x))
+    names = F.array(*[F.lit(n) for n in SPREAD_LABELS])
+    on = F.col("reason") == "model"
+    label = F.when(on, F.element_at(names, F.array_position("shares_", F.array_max("shares_")).cast("int"))).otherwise("NEUTRAL")
+    return out.withColumns({"label": label, "confidence": F.when(on, F.array_max("shares_")).otherwise(0.0), "model_id": F.when(on, F.lit(best["model_id"]))}).drop("shares_")

@@ -11,7 +11,7 @@ from tidemark.core import KEY
 from tidemark.operators import bars as B
 from tidemark.operators import data_quality, ledger, ml, rolling
 from tidemark.plans.bar_queries import at
-from tidemark.plans.more_queries import _DELTA, _delta, _fixed, _pair
+from tidemark.plans.more_queries import _DELTA, _delta, _fixed, _pair, _z
 from tidemark.plans.registry import RAW, Data, register
 from tidemark.sources import io, normalize
 from tidemark.streaming import stateful
@@ -363,7 +363,26 @@ register("m06_with_weights", K + "label:i weight:d", lambda d: ml.with_weights(_
 register("m07_train_slots", "regime:s cluster:i model_id:s cv_score:d n:i", _registry)
 register("m08_importances", "regime:s cluster:i feature:s importance:d", lambda d: ml.importances(_registry(d)))
 register("m09_score", K + "label:s confidence:d model_id:s model_cluster:i deviation:d", lambda d: ml.score(_clustered(d), _registry(d)))
-register("m10_score_spread", "exchange:s ts:t label:s reason:s confidence:d", lambda d: ml.score_spread(rolling.adf_pvalue(_fixed(d))))
+_P_VALUES = F.when(F.unix_seconds("ts") % 10800 == 0, 0.2).otherwise(0.05)
+
+
+def _spread_rows(d: Data) -> DataFrame:
+    """The pair with its filtered hedge ratio, z-score, unit-root test, labels and the features of its first symbol."""
+    p = rolling.spread_labels(rolling.adf_pvalue(rolling.spread_zscore(rolling.kalman_hedge(_pair(d)))))
+    first = d.feat.where("symbol = 'S0'").drop("symbol")
+    return d.stored(p.join(first, ["exchange", "ts"], "left"), "pair")
+
+
+def _spread_scored(d: Data) -> DataFrame:
+    rows = _once(d, "pair", lambda: _spread_rows(d))
+    cols = [c for c in ml.feature_cols(d.feat) if c in rows.columns]
+    return ml.score_spread(rows, _once(d, "pair-models", lambda: ml.train_spread(rows, cols)))
+
+
+register("m10_score_spread", "exchange:s ts:t label:s reason:s confidence:d model_id:s", _spread_scored)
+register("m10_spread_gates", "exchange:s ts:t label:s reason:s confidence:d", lambda d: ml.score_spread(_fixed(d).withColumn("adf_pvalue_60", _P_VALUES)), f"select exchange, ts, 'NEUTRAL' as label, case when z is null or abs(z) <= 1.5 then 'neutral_zone' when epoch(ts)::bigint % 10800 = 0 then 'adf_fail' else 'no_spread_model' end as reason, 0 as confidence from {_z}")
+
+
 def _contract() -> dict:
     return {"bars": {"open": ("double", F.col("open") > 0), "close": ("double", F.col("close") < 200), "twap": ("double", None)}, "ticks": {"seq": ("bigint", None), "side": ("int", None), "size": ("double", F.col("size") >= 0)}}
 
