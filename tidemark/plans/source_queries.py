@@ -297,8 +297,11 @@ def _barred(d: Data) -> DataFrame:
     return _once(d, "barrier", lambda: _stateful(d, stateful.stream_barrier(_late_bars(d), ["S0", "S1"], _TIMEOUT)))
 
 
-_TOTAL = F.aggregate(F.map_values(F.from_json("closes", "map<string,double>")), F.lit(0.0), lambda a, v: a + v)
-register("t05_stream_barrier", "exchange:s ts:t arrived:i is_complete:b total:d", lambda d: _barred(d).where("gap_cause is null").withColumn("total", _TOTAL), f"select exchange, ts, n as arrived, n = 2 as is_complete, total from {_ARRIVED} where n = 2 or ts <= mark")
+def _with_total(df: DataFrame) -> DataFrame:
+    return df.withColumn("total", F.aggregate(F.map_values(F.from_json("closes", "map<string,double>")), F.lit(0.0), lambda a, v: a + v))
+
+
+register("t05_stream_barrier", "exchange:s ts:t arrived:i is_complete:b total:d", lambda d: _with_total(_barred(d).where("gap_cause is null")), f"select exchange, ts, n as arrived, n = 2 as is_complete, total from {_ARRIVED} where n = 2 or ts <= mark")
 register("t05_stream_gaps", "exchange:s ts:t symbol:s gap_cause:s", lambda d: _barred(d).where("gap_cause is not null"), f"select exchange, ts, case who when 'S0' then 'S1' else 'S0' end as symbol, 'barrier_timeout' as gap_cause from {_ARRIVED} where n = 1 and ts <= mark")
 
 
@@ -363,9 +366,6 @@ register("m06_with_weights", K + "label:i weight:d", lambda d: ml.with_weights(_
 register("m07_train_slots", "regime:s cluster:i model_id:s cv_score:d n:i", _registry)
 register("m08_importances", "regime:s cluster:i feature:s importance:d", lambda d: ml.importances(_registry(d)))
 register("m09_score", K + "label:s confidence:d model_id:s model_cluster:i deviation:d", lambda d: ml.score(_clustered(d), _registry(d)))
-_P_VALUES = F.when(F.unix_seconds("ts") % 10800 == 0, 0.2).otherwise(0.05)
-
-
 def _spread_rows(d: Data) -> DataFrame:
     """The pair with its filtered hedge ratio, z-score, unit-root test, labels and the features of its first symbol."""
     p = rolling.spread_labels(rolling.adf_pvalue(rolling.spread_zscore(rolling.kalman_hedge(_pair(d)))))
@@ -380,7 +380,7 @@ def _spread_scored(d: Data) -> DataFrame:
 
 
 register("m10_score_spread", "exchange:s ts:t label:s reason:s confidence:d model_id:s", _spread_scored)
-register("m10_spread_gates", "exchange:s ts:t label:s reason:s confidence:d", lambda d: ml.score_spread(_fixed(d).withColumn("adf_pvalue_60", _P_VALUES)), f"select exchange, ts, 'NEUTRAL' as label, case when z is null or abs(z) <= 1.5 then 'neutral_zone' when epoch(ts)::bigint % 10800 = 0 then 'adf_fail' else 'no_spread_model' end as reason, 0 as confidence from {_z}")
+register("m10_spread_gates", "exchange:s ts:t label:s reason:s confidence:d", lambda d: ml.score_spread(_fixed(d).withColumn("adf_pvalue_60", F.when(F.unix_seconds("ts") % 10800 == 0, 0.2).otherwise(0.05))), f"select exchange, ts, 'NEUTRAL' as label, case when z is null or abs(z) <= 1.5 then 'neutral_zone' when epoch(ts)::bigint % 10800 = 0 then 'adf_fail' else 'no_spread_model' end as reason, 0 as confidence from {_z}")
 
 
 def _contract() -> dict:
