@@ -363,4 +363,6 @@ def test_a_node_with_many_pairs_is_dealt_over_pieces(spark, monkeypatch):
     df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts + ["other words entirely in this one here"])], DOCS)
     want = sorted(map(tuple, near_dup.near_dup_classes(df).collect()))
     monkeypatch.setattr(near_dup, "PAIRS_A_PIECE", 2)
-    assert sorted(map(tuple, near_dup.near_dup_classes(df).collect())) == want and want[0][2] == 60
+    for share in (near_dup.HOT_SHARE, 1.0):  # a small table of pieces, and one too large to be broadcast
+        monkeypatch.setattr(near_dup, "HOT_SHARE", share)
+        assert sorted(map(tuple, near_dup.near_dup_classes(df).collect())) == want and want[0][2] == 60

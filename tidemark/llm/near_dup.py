@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Words, crowded, discard, join_hot, join_pieces, mix, row_digest, row_struct, shingles, sliced, written
+from tidemark.llm.common import HOT_SHARE, Words, crowded, discard, join_hot, join_pieces, mix, row_digest, row_struct, shingles, sliced, written
 
 SKETCH_BITS = 8192
 #: Pairs with their texts, and members of a bucket, that one task compares.
@@ -196,10 +196,11 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, config: NearDu
     both, sides = pairs.select("u", "v"), {}
     for side, other in (("u", "v"), ("v", "u")):  # pieces first, while rows are without texts
         held = written(pairs.groupBy(side).agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > PAIRS_A_PIECE))
+        few = held.count() <= 1 / HOT_SHARE
         pieces = F.ceil(F.coalesce("held", F.lit(1)) / PAIRS_A_PIECE).cast("int")
-        both = join_hot(both, held, [side], "held", total, "left").withColumn(f"piece_{side}", F.pmod(F.xxhash64(other), pieces)).drop("held")
-        sides[side] = texts.toDF(side, f"text_{side}").join(held, side, "left").withColumn(f"piece_{side}", F.explode(F.sequence(F.lit(0).cast("long"), pieces.cast("long") - 1))).drop("held")
-    both = written(both)
+        both = (both.join(F.broadcast(held), side, "left") if few else join_hot(written(both), held, [side], "held", total, "left")).withColumn(f"piece_{side}", F.pmod(F.xxhash64(other), pieces)).drop("held")
+        own = texts.toDF(side, f"text_{side}").join(F.broadcast(held) if few else held, side, "left")
+        sides[side] = own.withColumn(f"piece_{side}", F.explode(F.sequence(F.lit(0).cast("long"), pieces.cast("long") - 1))).drop("held")
     both = both.join(sides["u"], ["u", "piece_u"]).join(sides["v"], ["v", "piece_v"])
     out = written(both.mapInArrow(overlap_rows(config), "u string, v string, similarity double"))
     discard(texts)
