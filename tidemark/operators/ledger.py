@@ -180,10 +180,11 @@ def equity_curve(ledger: DataFrame) -> DataFrame:
     return with_peak(ledger, "realized_pnl", None, BOOK, ("nth",), "ts").withColumn("drawdown", F.col("peak") - F.col("equity"))
 
 
-def drawdown_pct(equity: DataFrame, by: list[str], order: list[str]) -> DataFrame:
-    """(peak - value) / peak of portfolio values."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    return equity.withColumn("drawdown_pct", ratio(F.max("portfolio_value").over(w) - F.col("portfolio_value"), F.max("portfolio_value").over(w)))
+def drawdown_pct(equity: DataFrame, by: list[str], order: list[str], time: str = "ts") -> DataFrame:
+    """(peak - value) / peak of portfolio values in the order of ``order``, along which ``time`` never falls; over a group's months."""
+    e = over_months(equity, tops={"before_": F.col("portfolio_value")}, by=by, order=tuple(order), time=time)
+    peak = F.greatest("before_", "portfolio_value")
+    return e.withColumn("drawdown_pct", ratio(peak - F.col("portfolio_value"), peak)).drop("before_")
 
 
 def strategy_metrics(ledger: DataFrame) -> DataFrame:

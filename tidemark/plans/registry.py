@@ -145,7 +145,7 @@ class Data:
     @cached_property
     def ledger(self) -> DataFrame:
         f = self.fills.withColumn("realized_pnl", F.when(F.col("side") == "sell", (F.col("price") - 1500) * F.col("size") / 100).otherwise(0.0))
-        return f.withColumn("nth", F.row_number().over(ledger.book_order()))
+        return ledger.in_place(f, ledger.BOOK, list(ledger.FILL_ORDER))
 
     @cached_property
     def paired(self) -> DataFrame:
