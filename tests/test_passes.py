@@ -39,3 +39,23 @@ def test_average_cost_takes_fills_once(spark, monkeypatch):
                 held = max(held - q, 0.0)
                 cost = cost if held else 0.0
             assert got[(b, i + 1)] == (pytest.approx(held), pytest.approx(cost))
+
+
+def test_ledger_curves_take_fills_once(spark):
+    """Numbers, equity and peaks over months against plain loops; each fill is computed once."""
+    from tidemark.operators import ledger
+
+    wide = lambda: counted_fills(spark, gap=9)
+    for run in (
+        lambda f: ledger.equity_curve(f.withColumn("realized_pnl", F.col("price") - 13), ledger.BOOK),
+        lambda f: ledger.position_metrics(f.withColumns({"realized_pnl": F.col("price") - 13, "avg_cost": F.lit(1.0), "position_size_after": F.col("size")}), ledger.BOOK).withColumnRenamed("cum_pnl", "equity"),
+    ):
+        fills, seen, n = wide()
+        got = {(r["strategy"], r["nth"]): r for r in run(fills).collect()}
+        assert len(got) == n and seen.value == n
+        for b in ("a", "b"):
+            equity, peak = 0.0, None if "peak" in got[(b, 1)] else 0.0
+            for i in range(n // 2):
+                equity += 10.0 + i % 7 - 13
+                peak = equity if peak is None else max(peak, equity)
+                assert (got[(b, i + 1)]["equity"], got[(b, i + 1)]["drawdown"]) == (pytest.approx(equity), pytest.approx(peak - equity))
