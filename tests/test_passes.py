@@ -59,3 +59,11 @@ def test_ledger_curves_take_fills_once(spark):
                 equity += 10.0 + i % 7 - 13
                 peak = equity if peak is None else max(peak, equity)
                 assert (got[(b, i + 1)]["equity"], got[(b, i + 1)]["drawdown"]) == (pytest.approx(equity), pytest.approx(peak - equity))
+
+
+def test_order_gates_take_requests_once(spark):
+    from tidemark.operators.ledger import order_gates
+
+    fills, seen, n = counted_fills(spark, gap=9)
+    out = order_gates(fills.withColumn("intent", F.when(F.col("side") == "buy", "entry").otherwise("exit")), 60.0, 80.0).collect()
+    assert len(out) == n and seen.value == n and {r["gate"] for r in out} > {"pass", "duplicate_entry"}
