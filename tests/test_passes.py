@@ -67,3 +67,28 @@ def test_order_gates_take_requests_once(spark):
     fills, seen, n = counted_fills(spark, gap=9)
     out = order_gates(fills.withColumn("intent", F.when(F.col("side") == "buy", "entry").otherwise("exit")), 60.0, 80.0).collect()
     assert len(out) == n and seen.value == n and {r["gate"] for r in out} > {"pass", "duplicate_entry"}
+
+
+def test_bootstrap_is_spread_over_tasks(spark):
+    """Few bytes, much work: partitions must not be put together by size."""
+    from tidemark.operators.ledger import monte_carlo_p5
+
+    rows = spark.createDataFrame([("a", "x", "A", float(i)) for i in range(40)], "strategy string, exchange string, symbol string, net_pnl double")
+    assert "REPARTITION_BY_NUM" in monte_carlo_p5(rows, 100, block=4)._jdf.queryExecution().toString()
+
+
+def test_dropped_rows_come_in_bounded_files(spark, monkeypatch):
+    from tidemark.plans import all_queries, source_queries
+
+    sf = "/root/testdata/sf0.001"
+    want = [tuple(r) for r in all_queries()["t04_dropped_rows"](spark, sf).collect()]
+    monkeypatch.setattr(source_queries, "MOST_IN_FILE", 200)
+    sizes, files = [], source_queries._files
+
+    def seen(d, df, name):
+        sizes.extend(r["count"] for r in df.groupBy("file").count().collect())
+        return files(d, df, name)
+
+    monkeypatch.setattr(source_queries, "_files", seen)
+    assert [tuple(r) for r in all_queries()["t04_dropped_rows"](spark, sf).collect()] == want
+    assert max(sizes) < 300 and len(sizes) > 4
