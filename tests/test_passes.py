@@ -41,6 +41,29 @@ def test_average_cost_takes_fills_once(spark, monkeypatch):
             assert got[(b, i + 1)] == (pytest.approx(held), pytest.approx(cost))
 
 
+def test_pairing_takes_fills_once(spark):
+    """Trades against a plain loop over books whose months hold one fill or several; each fill is computed once."""
+    from tidemark.operators.ledger import pair_trades
+
+    for gap in (4, 40):
+        fills, seen, n = counted_fills(spark, gap=gap)
+        fills = fills.withColumn("side", F.when(F.col("seq") % 7 == 5, None).otherwise(F.col("side"))).withColumn("fee", F.lit(0.5))
+        got = {(r["strategy"], r["seq"]): (r["entry_ts"], r["entry_price"], r["size"], r["net_pnl"]) for r in pair_trades(fills).collect()}
+        assert seen.value <= n
+        want = {}
+        for b in ("a", "b"):
+            entry = None
+            for i in range(n // 2):
+                if i % 7 == 5:
+                    continue
+                p, q = 10.0 + i % 7, 1.0 + i % 4
+                if i % 3 == 0 and entry is not None:
+                    size = min(q, entry[2])
+                    want[(b, i)] = (entry[0], entry[1], size, pytest.approx((p - entry[1]) * size - 1.0))
+                entry = (T0 + dt.timedelta(days=gap * i), p, q) if i % 3 else None
+        assert got == want and want
+
+
 def test_ledger_curves_take_fills_once(spark):
     """Numbers, equity and peaks over months against plain loops; each fill is computed once."""
     from tidemark.operators import ledger
