@@ -115,3 +115,16 @@ def test_dropped_rows_come_in_bounded_files(spark, monkeypatch):
     monkeypatch.setattr(source_queries, "_files", seen)
     assert [tuple(r) for r in all_queries()["t04_dropped_rows"](spark, sf).collect()] == want
     assert max(sizes) < 300 and len(sizes) > 4
+
+
+def test_streams_in_order_take_bounded_triggers(spark, monkeypatch):
+    from tidemark.plans import registry, source_queries
+    from tidemark.streaming import ticks as stream
+
+    monkeypatch.setattr(source_queries, "MOST_IN_ORDERED_FILE", 300)
+    monkeypatch.setattr(source_queries, "LEAST_IN_PART", 5, raising=False)
+    d, reports = registry.Data(spark, "/root/testdata/sf0.001"), []
+    got = stream.run_available(stream.stream_dedupe(source_queries._stream_ticks(d, repeated=1)), progress=reports)
+    taken = [r["numInputRows"] for r in reports if r["numInputRows"]]
+    assert sorted(r["seq"] for r in got.collect()) == sorted(r["seq"] for r in d.ticks.collect())
+    assert max(taken) < 450 and sum(taken) == 2 * d.ticks.count()
