@@ -128,3 +128,17 @@ def test_streams_in_order_take_bounded_triggers(spark, monkeypatch):
     taken = [r["numInputRows"] for r in reports if r["numInputRows"]]
     assert sorted(r["seq"] for r in got.collect()) == sorted(r["seq"] for r in d.ticks.collect())
     assert max(taken) < 450 and sum(taken) == 2 * d.ticks.count()
+
+
+def test_whole_bars_store_ticks_with_epochs(spark):
+    """Parts of the whole bars read ticks that were written once, not the events anew."""
+    from tidemark.operators import bars, book
+    from tidemark.plans import registry
+
+    plain = registry.Data(spark, "/root/testdata/sf0.001")
+    d = plain.with_epochs()
+    for part in (d.ticks, d.trades, d.levels, d.kinds, d.quotes, bars.with_reset_epochs(d.ticks)):
+        assert not any("events.parquet" in f for f in part.inputFiles())
+    columns = ["exchange", "symbol", "seq", *book.EPOCHS]
+    assert sorted(map(tuple, d.ticks.select(columns).collect())) == sorted(map(tuple, book.epochs(plain.ticks).select(columns).collect()))
+    assert sorted(map(tuple, bars.with_reset_epochs(d.ticks).select("seq", "acc_epoch", "cvd_epoch").collect())) == sorted(map(tuple, bars.with_reset_epochs(plain.ticks).select("seq", "acc_epoch", "cvd_epoch").collect()))
