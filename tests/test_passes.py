@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,6 +65,45 @@ def test_pairing_takes_fills_once(spark):
         assert got == want and want
 
 
+TRADE = "strategy string, exchange string, symbol string, exit_ts timestamp, seq long, net_pnl double"
+
+
+def test_paths_stay_spread_as_they_are(spark):
+    """A month's results are many and its start is one row: the starts go to the months, not the months to a task of starts."""
+    from tidemark.operators.ledger import path_summary
+
+    trades = spark.range(20000).select(F.lit("a").alias("strategy"), F.timestamp_seconds(1_700_000_000 + F.col("id") * 600).alias("exit_ts"), F.col("id").alias("seq"), F.sin("id").alias("net_pnl"))
+    sent = path_summary(trades, 1000.0, ["strategy"])._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[1]
+    assert "/starts-" in sent and "/months-" not in sent
+
+
+def test_walk_forward_report_of_months_cut_by_segments(spark):
+    """Folds against plain loops: many small months and few large ones, a book without a name, results that are null or all equal, trades without a time (last), books too small to fold; each trade is computed once."""
+    from tidemark.operators.ledger import walk_forward_report
+
+    rng, capital, k = np.random.default_rng(3), 100.0, 4
+    books = {"small": [1.0] * 4, "equal": [0.1] * 23, None: rng.normal(0, 5, 61).tolist(), "a": [None if i % 9 == 4 else float(x) for i, x in enumerate(rng.normal(1, 8, 107))], "b": rng.normal(0, 3, 50).tolist()}
+    for gap in (1, 45):
+        seen = spark.sparkContext.accumulator(0)
+
+        def look(p):
+            seen.add(1)  # noqa: B023
+            return p
+
+        rows = [(b, "x", "A", None if b == "b" and i >= 43 else T0 + dt.timedelta(days=gap * (i // 2)), i, x) for b, xs in books.items() for i, x in enumerate(xs)]
+        trades = spark.createDataFrame(rows, TRADE).withColumn("net_pnl", F.udf(look, "double")("net_pnl"))
+        got = {(r["strategy"], r["fold"]): r for r in walk_forward_report(trades, k, "net_pnl", ["strategy", "exchange", "symbol"], capital).collect()}
+        assert seen.value == len(rows) and set(got) == {(b, i) for b in books if b != "small" for i in range(1, k + 1)}
+        for (b, fold), r in got.items():
+            size = len(books[b]) // (k + 1)
+            parts = [np.array([x for x in books[b][i:j] if x is not None]) for i, j in ((0, fold * size), (fold * size, (fold + 1) * size))]
+            sharpe = [0.0 if b == "equal" else p.mean() / p.std(ddof=1) for p in parts]
+            equity = capital + np.cumsum(parts[1])
+            peak = np.maximum(capital, np.maximum.accumulate(equity))
+            want = (*sharpe, *[p.sum() for p in parts], 1 - sharpe[1] / sharpe[0] if sharpe[0] else 0.0, 1 - parts[1].sum() / parts[0].sum(), ((peak - equity) / peak).max())
+            assert tuple(r[c] for c in ("is_sharpe", "oos_sharpe", "is_pnl", "oos_pnl", "degradation", "pnl_degradation", "oos_drawdown")) == pytest.approx(want)
+
+
 def test_ledger_curves_take_fills_once(spark):
     """Numbers, equity and peaks over months against plain loops; each fill is computed once."""
     from tidemark.operators import ledger
